@@ -1,11 +1,15 @@
 """The operators' queries and the SQL of those that SQL can express."""
 
-from urbanframe.llm import exact_dedup
+from urbanframe.llm import chat_format, exact_dedup, url_filter
 
 QUERIES = {
+    "op2_url_filter": url_filter.op2_url_filter,
+    "op4_chat_format": chat_format.op4_chat_format,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
 }
 
 ORACLE_SQL = {
+    "op2_url_filter": url_filter.ORACLE,
+    "op4_chat_format": chat_format.ORACLE,
     "op5_exact_dedup": exact_dedup.ORACLE,
 }
