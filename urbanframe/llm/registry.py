@@ -1,15 +1,18 @@
 """The operators' queries and the SQL of those that SQL can express."""
 
-from urbanframe.llm import chat_format, exact_dedup, url_filter
+from urbanframe.llm import chat_format, exact_dedup, language_id, sharding, url_filter
 
 QUERIES = {
+    "op1_language_id": language_id.op1_language_id,
     "op2_url_filter": url_filter.op2_url_filter,
     "op4_chat_format": chat_format.op4_chat_format,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op6_sharding": sharding.op6_sharding,
 }
 
 ORACLE_SQL = {
     "op2_url_filter": url_filter.ORACLE,
     "op4_chat_format": chat_format.ORACLE,
     "op5_exact_dedup": exact_dedup.ORACLE,
+    "op6_sharding": sharding.ORACLE,
 }
