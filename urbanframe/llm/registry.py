@@ -1,6 +1,6 @@
 """The operators' queries and the SQL of those that SQL can express."""
 
-from urbanframe.llm import chat_format, exact_dedup, language_id, sharding, url_filter
+from urbanframe.llm import chat_format, exact_dedup, language_id, sharding, substring_dedup, url_filter
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -8,6 +8,7 @@ QUERIES = {
     "op4_chat_format": chat_format.op4_chat_format,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_sharding": sharding.op6_sharding,
+    "op7_substring_dedup": substring_dedup.op7_substring_dedup,
 }
 
 ORACLE_SQL = {
@@ -15,4 +16,5 @@ ORACLE_SQL = {
     "op4_chat_format": chat_format.ORACLE,
     "op5_exact_dedup": exact_dedup.ORACLE,
     "op6_sharding": sharding.ORACLE,
+    "op7_substring_dedup": substring_dedup.ORACLE,
 }
