@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
+from urbanframe.operators.staging import new_path, remove, shared_dir, written
+
+__all__ = ["BLANK", "clean_blanks", "new_path", "prefix_sums", "remove", "shared_dir", "table", "written"]
+
 #: ASCII white space of the query contracts: space and tab to carriage return.
 BLANK = r"[\x20\x09-\x0D]"
 
@@ -15,36 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; one under /tmp only where that is unset, as in tests."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return (found or "file:///tmp/checkpoints/urbanframe").rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder, deleted when the application ends."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return path
-
-
-def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """df as a table in the shared folder: lineage is cut, later readers prune columns, and lost executors lose nothing."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def remove(df: DataFrame) -> None:
-    """Deletes the files behind a written() table that nothing reads any more."""
-    spark = df.sparkSession
-    for f in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def clean_blanks(text: Column) -> Column:
     """Text without white space; null counts as empty."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), BLANK + "+", "")
