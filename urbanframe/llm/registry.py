@@ -1,6 +1,6 @@
 """The operators' queries and the SQL of those that SQL can express."""
 
-from urbanframe.llm import chat_format, exact_dedup, language_id, sharding, substring_dedup, url_filter
+from urbanframe.llm import chat_format, exact_dedup, language_id, near_dedup, sharding, substring_dedup, url_filter
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -9,6 +9,7 @@ QUERIES = {
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_sharding": sharding.op6_sharding,
     "op7_substring_dedup": substring_dedup.op7_substring_dedup,
+    "op9_near_dedup": near_dedup.op9_near_dedup,
 }
 
 ORACLE_SQL = {
@@ -17,4 +18,5 @@ ORACLE_SQL = {
     "op5_exact_dedup": exact_dedup.ORACLE,
     "op6_sharding": sharding.ORACLE,
     "op7_substring_dedup": substring_dedup.ORACLE,
+    "op9_near_dedup": near_dedup.ORACLE,
 }
