@@ -1,15 +1,17 @@
 """The operators' queries and the SQL of those that SQL can express."""
 
-from urbanframe.llm import chat_format, exact_dedup, language_id, near_dedup, sharding, substring_dedup, url_filter
+from urbanframe.llm import chat_format, exact_dedup, language_id, near_dedup, sentencepiece_codec, sharding, substring_dedup, token_store, url_filter
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
     "op2_url_filter": url_filter.op2_url_filter,
+    "op3_sentencepiece": sentencepiece_codec.op3_sentencepiece,
     "op4_chat_format": chat_format.op4_chat_format,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_sharding": sharding.op6_sharding,
     "op7_substring_dedup": substring_dedup.op7_substring_dedup,
     "op9_near_dedup": near_dedup.op9_near_dedup,
+    "op10_token_store": token_store.op10_token_store,
 }
 
 ORACLE_SQL = {
