@@ -1,6 +1,6 @@
 """The operators' queries and the SQL of those that SQL can express."""
 
-from urbanframe.llm import chat_format, exact_dedup, language_id, near_dedup, sentencepiece_codec, sharding, substring_dedup, token_store, url_filter
+from urbanframe.llm import chat_format, decontamination, exact_dedup, language_id, near_dedup, sentencepiece_codec, sharding, substring_dedup, token_store, url_filter
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_sharding": sharding.op6_sharding,
     "op7_substring_dedup": substring_dedup.op7_substring_dedup,
+    "op8_decontamination": decontamination.op8_decontamination,
     "op9_near_dedup": near_dedup.op9_near_dedup,
     "op10_token_store": token_store.op10_token_store,
 }
