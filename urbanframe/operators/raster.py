@@ -92,8 +92,8 @@ def resampled(grid: DataFrame, rows: int, cols: int, out_rows: int, out_cols: in
     spark = grid.sparkSession
 
     def weights(n: int, big: int, out: str, into: str) -> DataFrame:
-        w = spark.createDataFrame(step(n, big), f"{out} int, {into} int, c double").filter((F.col(into) >= 0) & (F.col(into) < n))
-        w = w.withColumn("w", cubic(F.col("c") - F.col(into))).filter("w <> 0")
+        w = spark.createDataFrame(step(n, big), f"{out} int, {into} int, centre double").filter((F.col(into) >= 0) & (F.col(into) < n))
+        w = w.withColumn("w", cubic(F.col("centre") - F.col(into))).filter("w <> 0")
         return w.withColumn("w", F.col("w") / F.sum("w").over(Window.partitionBy(out))).select(out, into, "w")
 
     down = grid.join(F.broadcast(weights(rows, out_rows, "r", "row")), "row").groupBy("r", "col").agg(F.sum(F.col("elev") * F.col("w")).alias("elev"))

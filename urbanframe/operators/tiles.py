@@ -32,9 +32,12 @@ def tiles_of_box(spark: SparkSession, west: float, south: float, east: float, no
 
 def with_corners(tiles: DataFrame, zone: int, northern: bool = True) -> DataFrame:
     """Adds west, south, east and north (7 dp): the envelope of a tile's four corners."""
-    points = [from_utm(F.col("easting") + dx, F.col("northing") + dy, zone, northern) for dx in (0, TILE_M) for dy in (0, TILE_M)]
-    lon, lat = zip(*points, strict=True)
-    return tiles.withColumns({"west": F.round(F.least(*lon), 7), "south": F.round(F.least(*lat), 7), "east": F.round(F.greatest(*lon), 7), "north": F.round(F.greatest(*lat), 7)})
+    steps = F.sequence(F.lit(0), F.lit(TILE_M), F.lit(TILE_M))
+    corners = F.flatten(F.transform(steps, lambda dx: F.transform(steps, lambda dy: F.struct((F.col("easting") + dx).alias("e"), (F.col("northing") + dy).alias("n")))))
+    lon, lat = from_utm(F.col("c.e"), F.col("c.n"), zone, northern)
+    degrees = tiles.withColumn("c", F.explode(corners)).select(*tiles.columns, lon.alias("lon"), lat.alias("lat"))
+    side = lambda f, c, name: F.round(f(c), 7).alias(name)
+    return degrees.groupBy(*tiles.columns).agg(side(F.min, "lon", "west"), side(F.min, "lat", "south"), side(F.max, "lon", "east"), side(F.max, "lat", "north"))
 
 
 def selection(ids: DataFrame, by: Sequence[str] = (), most: int = MOST_SELECTED) -> DataFrame:
