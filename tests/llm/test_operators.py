@@ -1,0 +1,248 @@
+"""Every operator on a small table with nulls, empty and long texts, ties, repeated rows and clashing columns, and on none."""
+
+import hashlib
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from urbanframe.llm import chat_format, decontamination, exact_dedup, language_id, near_dedup, sentencepiece_codec, sharding, substring_dedup, token_store, url_filter
+from urbanframe.llm.common import new_path
+
+CLASH = "keep_id long, shard int, lang_pred string, ids string, kept string, n_words string, digest string, num string, decoded string, size string"
+
+
+def _texts() -> list[tuple[int | None, str | None]]:
+    rng = random.Random(7)
+    words = ["der", "the", "of", "und", "Haus", "house", "río", "cat", "été", "x1", "...", "日本"]
+    base = " ".join(rng.choice(words) for _ in range(60))
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(1, 80)))) for i in range(12)]
+    rows += [(20, base), (21, base.replace(" ", "\n")), (22, base), (22, base), (23, base + " extra words at the end"), (24, base.upper())]
+    rows += [(30, None), (31, ""), (32, " \t\r\n"), (33, "ONE"), (34, "one"), (35, "a b"), (36, "12 34 !!"), (None, "no id"), (None, None), (40, " ".join(rng.choice(words) for _ in range(20000)))]
+    return rows
+
+
+ROWS = _texts()
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    extra = tuple(None for _ in CLASH.split(","))
+    return spark.createDataFrame([(d, t, "en" if d and d % 2 else None, *extra) for d, t in ROWS], f"doc_id long, text string, lang string, {CLASH}").repartition(3)
+
+
+@pytest.fixture(scope="module")
+def none(docs):
+    return docs.filter("doc_id = -5")
+
+
+def _blank(text):
+    return "".join(c for c in text or "" if c not in " \t\n\r\x0b\x0c")
+
+
+def test_exact(docs, none):
+    got = exact_dedup.exact_groups(docs, heavy_parts=4).collect()
+    assert len(got) == len(ROWS) and exact_dedup.exact_groups(none).count() == 0
+    groups = {}
+    for d, t in ROWS:
+        groups.setdefault(_blank(t), []).append((-len(t or ""), d if d is not None else 10**9, d))
+    for r in got:
+        members = groups[_blank(r.text)]
+        assert (r.group_size, r.keep_id) == (len(members), min(members, key=lambda m: m[:2])[2])
+        assert r.kept == (r.doc_id == r.keep_id)
+        assert r.text_sha256 == hashlib.sha256(_blank(r.text).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("law", ["bytes", "rows"])
+def test_sharding(docs, none, law):
+    got = sharding.shard(docs, 4, law).collect()
+    assert len(got) == len(ROWS) and sharding.shard(none, 4, law).count() == 0
+    slots = {}
+    for r in got:
+        assert r.size == len((r.text or "").encode()) + 1
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    if law == "rows":
+        sizes = [len(slots.get(k, [])) for k in range(4)]
+        assert max(sizes) - min(sizes) <= 1 or len({(r.doc_id, r.text) for r in got}) < len(got)
+    else:
+        total, largest = sum(r.size for r in got), max(r.size for r in got)
+        assert all(abs(sum(r.size for r in got if r.shard == k) - total / 4) <= largest for k in range(4))
+
+
+def _stripped(rows, window):
+    seen, out = {}, {}
+    keyed = sorted({(d if d is not None else -(2**63), " ".join((t or "").encode().split() and [w.decode() for w in (t or "").encode().split()] or [])) for d, t in rows})
+    for d, joined in keyed:
+        words = joined.split(" ") if joined else []
+        for p in range(len(words) - window + 1):
+            seen.setdefault(tuple(words[p : p + window]), []).append((d, joined, p))
+    for d, joined in keyed:
+        words = joined.split(" ") if joined else []
+        gone = set()
+        for p in range(len(words) - window + 1):
+            if min(seen[tuple(words[p : p + window])]) < (d, joined, p):
+                gone.update(range(p, p + window))
+        kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+        out[d, joined] = (len(words), len(gone), hashlib.sha256(kept.encode()).hexdigest())
+    return out
+
+
+def test_substring(docs, none, spark):
+    assert substring_dedup.strip_repeats(none).count() == 0
+    rows = [(d, t) for d, t in ROWS if d is not None]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    expected = Counter(_stripped(rows, 20)[d, " ".join(w.decode() for w in (t or "").encode().split())] for d, t in rows)
+    assert Counter(tuple(r)[1:] for r in substring_dedup.strip_repeats(df).collect()) == expected
+    assert substring_dedup.strip_repeats(docs).count() == len(ROWS)
+
+
+def _components(rows, size):
+    sets = {}
+    for d, t in rows:
+        w = (t or "").translate({c: c + 32 for c in range(65, 91)}).encode().split()
+        sets.setdefault(d, set()).add(frozenset(tuple(w[i : i + size]) for i in range(len(w) - size + 1)) if len(w) >= size else frozenset([tuple(w)]) if w else frozenset())
+    ids = sorted(sets)
+    label = {d: d for d in ids}
+    changed = True
+    while changed:
+        changed = False
+        for a in ids:
+            for b in ids:
+                if label[b] < label[a] and any(x and y and 100 * len(x & y) >= 80 * len(x | y) for x in sets[a] for y in sets[b]):
+                    label[a], changed = label[b], True
+    return label
+
+
+def test_near(docs, none, spark):
+    assert near_dedup.near_components(none, 2).count() == 0
+    rows = [(d, t) for d, t in ROWS if d is not None]
+    got = near_dedup.near_components(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+    label = _components(rows, 2)
+    assert {(r.doc_id, r.component_id) for r in got} == set(label.items()) and all(r.kept == (r.doc_id == r.component_id) for r in got)
+    assert near_dedup.near_components(docs, 2).count() == len(ROWS)
+
+
+def test_near_blocks(spark, monkeypatch):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(300)]
+    base = [rng.choice(words) for _ in range(50)]
+    rows = []
+    for i in range(60):
+        own = list(base)
+        for _ in range(rng.randint(0, 8)):
+            own[rng.randrange(50)] = rng.choice(words)
+        rows.append((i, " ".join(own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(near_dedup, "LARGE", 2)
+    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(near_dedup, "PAIRS_EACH", 10**9)
+    assert {r.doc_id: r.component_id for r in near_dedup.near_components(df, 2).collect()} == _components(rows, 2)
+
+
+def test_language(docs, none, spark):
+    langs = {"en": "the house of the rising sun and that other thing", "de": "der und das nicht ein Haus mit dem Garten"}
+    rng = random.Random(1)
+    rows = [(i, " ".join(rng.sample(langs[x].split(), 8)), x) for i in range(200) for x in langs]
+    train = spark.createDataFrame([(2 * i + (x == "de"), t, x) for i, t, x in rows], "doc_id long, text string, lang string")
+    model = language_id.learn(train)
+    got = language_id.identify(train, model).withColumn("held", language_id.held_out()).filter("held").collect()
+    assert got and sum(r.lang == r.lang_pred for r in got) / len(got) > 0.95
+    assert all((zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
+    messy = language_id.identify(docs, model).collect()
+    assert len(messy) == len(ROWS) and all(0 <= r.score <= 1 for r in messy)
+    assert all((r.lang_pred == "und") == (not any(map(str.isalpha, r.text or ""))) for r in messy)
+    assert language_id.identify(none, model).count() == 0 and language_id.learn(none).langs == ()
+    assert {r.lang_pred for r in language_id.identify(docs, language_id.learn(none)).collect()} == {"und"}
+
+
+def test_urls(spark):
+    rows = [(1, None), (2, "no scheme"), (3, "HTTP://A.Example.COM/en/x?q#f"), (4, "http://www.example.com/en/"), (5, "http://b.net/es/1"), (6, "http://b.net"), (7, "https://x.org#a"), (None, "http://b.net/fr/"), (8, "http://bad.org/1"), (8, "http://bad.org/1")]
+    pages = spark.createDataFrame([(i, u, "h") for i, u in rows], "page_id long, url string, host string")
+    outcomes = spark.createDataFrame([(8, 1), (8, 0), (6, 0), (None, 1), (3, None)], "page_id long, bad int")
+    got = {r.page_id: r for r in url_filter.judge_urls(pages, outcomes, limit=0.3, z=0.1).collect()}
+    assert (got[1].host, got[1].path, got[1].rule, got[1].verdict) == ("", "", None, "allow") and got[2].host == ""
+    assert (got[3].host, got[3].path, got[3].rule, got[3].verdict) == ("a.example.com", "/en/x", "example.com/en/", "block")
+    assert (got[4].rule, got[4].verdict) == ("www.example.com/en/", "allow") and (got[5].rule, got[5].verdict) == ("net/es/", "block")
+    assert (got[6].path, got[6].rule) == ("", None) and got[7].host == "x.org" and got[None].rule == "net/fr/"
+    assert got[8].bad_lower > got[7].bad_lower - 1 and url_filter.judge_urls(pages, outcomes).count() == len(rows)
+    assert url_filter.judge_urls(pages.filter("page_id = 99"), outcomes.limit(0)).count() == 0
+    assert {r.verdict for r in url_filter.judge_urls(pages, outcomes.limit(0), rules=()).collect()} == {"allow"}
+
+
+def test_chat(spark):
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "yo"), (2, 0, "user", "hi"), (3, 0, "user", "hi"), (3, 1, "assistant", "yo"), (4, 0, None, None), (5, 0, "user", "a<|im_end|>b"), (5, 0, "user", "a<|im_end|>b"), (None, 0, "user", "lost"), (6, None, "user", ""), (7, 0, "user", "hi"), (7, 1, "assistant", "no")]
+    turns = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, k int")
+    got = {r.conv_id: r for r in chat_format.render_conversations(turns).collect()}
+    assert set(got) == {1, 4, 5, 6, 7, None} and got[1].n_copies == 2 and got[1].n_turns == 2
+    assert got[1].rendered == "<|im_start|>user\nhi<|im_end|>\n<|im_start|>assistant\nyo<|im_end|>\n"
+    assert got[5].rendered.count("< |im_end|>") == 2 and got[5].n_turns == 2
+    assert chat_format.render_conversations(turns.filter("conv_id = 99")).count() == 0
+
+
+def test_sentencepiece(docs, none):
+    model = sentencepiece_codec.default_model()
+    got = sentencepiece_codec.encode_texts(docs, model).collect()
+    assert len(got) == len(ROWS) and all(r.parity and r.round_trip and r.decoded == (r.text or "") for r in got)
+    assert all(zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 for r in got)
+    assert sentencepiece_codec.encode_texts(none, model, verify=False).count() == 0
+    codec = sentencepiece_codec.Codec(open(model, "rb").read(), 1)
+    odd = ["  two  spaces ", "▁ mark", "\x00\x1f", "a" * 300, "<s></s><unk>"]
+    lib = sentencepiece_codec._library(open(model, "rb").read()).encode(odd)
+    assert [np.frombuffer(x, "<u4").tolist() for x in codec.encode(odd)] == lib
+
+
+def test_token_store(docs, none, spark):
+    from tokenizers import Tokenizer
+
+    file = token_store.default_tokenizer()
+    path = token_store.write_store(docs, new_path(spark, "store"), file, 1, by_word=True)
+    tokenizer = Tokenizer.from_file(file)
+    whole = lambda t: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1]
+    assert Counter((r.doc_id, tuple(r.ids)) for r in token_store.read_documents(spark, path).collect()) == Counter((d, tuple(whole(t))) for d, t in ROWS)
+    got = sorted(token_store.read_digests(spark, path).collect(), key=lambda r: r.start)
+    at = 0
+    for r in got:
+        assert r.start == at
+        at += r.n_tokens
+    assert [r.doc_id for r in got if r.doc_id is not None] == sorted(d for d, _ in ROWS if d is not None)
+    assert Counter((r.doc_id, r.ids_crc32) for r in got) == Counter((d, zlib.crc32(np.array(whole(t), "<u4").tobytes())) for d, t in ROWS)
+    assert token_store.read_digests(spark, token_store.write_store(none, new_path(spark, "store"), file)).count() == 0
+
+
+def test_joined_crc():
+    a, b = b"some bytes", b"and others" * 100
+    assert token_store.joined_crc(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
+
+
+def test_leaks(docs, none, spark):
+    item = "what is the capital city of the old northern kingdom by the sea"
+    edited = item.replace("capital", "main").replace("old", "very old")
+    tests = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, "zz"), (5, "never seen words stand here alone")], "item_id long, text string")
+    rows = [(1, f"before {item} after"), (2, f"x y z {edited} end"), (3, "the old sea and the city"), (4, None), (5, ""), (6, "zz"), (7, item.upper()), (7, item.upper())]
+    df = spark.createDataFrame([(d, t, 0.5) for d, t in rows], "doc_id long, text string, score double")
+    got = {(r.doc_id, r.item_id): r for r in decontamination.find_leaks(df, tests).collect()}
+    assert set(got) == {(1, 1), (2, 1), (6, 4), (7, 1)} and got[1, 1].score == 1.0 and (got[1, 1].start_word, got[1, 1].end_word) == (1, 14)
+    assert 0.6 < got[2, 1].score < 1
+    assert sorted(r.doc_id for r in decontamination.without_leaks(df, tests).collect()) == [3, 4, 5]
+    assert decontamination.find_leaks(docs, tests.limit(0)).count() == 0 and decontamination.find_leaks(none, tests).count() == 0
+    assert decontamination.without_leaks(docs, tests.limit(0)).count() == len(ROWS)
+
+
+def _smith_waterman(a, b):
+    h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            h[i][j] = max(0, h[i - 1][j - 1] + (2 if a[i - 1] == b[j - 1] else -1), h[i - 1][j] - 1, h[i][j - 1] - 1)
+    return max(map(max, h))
+
+
+def test_alignment():
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        a, b = rng.integers(0, 5, rng.integers(1, 12)), rng.integers(0, 5, rng.integers(1, 25))
+        score, start, end = decontamination.align(a, b)
+        assert score == _smith_waterman(a.tolist(), b.tolist())
+        assert not score or decontamination.align(a, b[start:end])[0] == score
