@@ -104,3 +104,46 @@ def test_runs(spark, tmp_path):
     assert U.publish(spark.range(3), target, lambda df: df.count() == 3) and spark.read.parquet(target).count() == 3
     assert not U.publish(spark.range(5), target, lambda df: False) and spark.read.parquet(target).count() == 3
     assert U.publish(spark.range(7), target, lambda df: True) and spark.read.parquet(target).count() == 7
+
+
+def test_strips(spark):
+    from urbanframe.operators import strips as ST
+
+    pts = spark.createDataFrame([("r", 1, 0.0, 0.0, 2.0), ("r", 2, 10.0, 0.0, 2.0), ("r", 3, 20.0, 0.0, 2.0)], "road string, seq int, x double, y double, half_width double")
+    assert [(r.length, r.square_m) for r in ST.strip_quads(pts).orderBy("seq").collect()] == [(10.0, 40.0)] * 2
+    crossings = spark.createDataFrame([("r", 1, 0.5, 5.0, 0.0), ("r", 1, 0.99, 9.9, 0.0)], "road string, seq int, t double, x double, y double")
+    assert [r.x for r in ST.with_crossings(pts.drop("half_width"), crossings).orderBy("seq").collect()] == [0.0, 5.0, 10.0, 20.0]
+    square = [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)]
+    assert len(ST.convex_hull([*square, (0.5, 0.5), (0.5, 0.0)])) == 4 and ST.polygon_area(ST.clipped(square, (0.5, 0.5, 9.0, 9.0))) == 0.25 and ST.clipped(square, (5.0, 5.0, 9.0, 9.0)) == []
+    rows = [(1, 0, *p, 1.0) for p in square] + [(2, 0, 0.0, 0.0, 1.0)] * 2 + [(3, 0, float(i), 0.0, 1.0) for i in range(9)] + [(4, 0, 0.0, 0.0, 1.0), (4, 0, 50.0, 0.0, 1.0), (4, 0, 0.0, 50.0, 1.0)] + [(5, 0, 0.0, 0.0, 1.0), (5, 0, 1.0, 0.0, 1.0), (5, 0, 2.0, 0.0, 1.0)] + [(6, 0, 3 * x, 3 * y, 0.4) for x, y in square]
+    got = {r.jx: (r.reason, r.square_m) for r in ST.junction_fills(spark.createDataFrame(rows, "jx int, jy int, x double, y double, half_width double")).collect()}
+    assert got == {1: (None, 1.0), 2: ("small", None), 3: ("complex", None), 4: ("radius", None), 5: ("small", None), 6: ("area", None)}
+    face = spark.createDataFrame([(1, [{"x": x, "y": y} for x, y in square], 2.0, 3.0)], "id int, ring array<struct<x:double,y:double>>, base double, height double")
+    parts = [r.part for r in ST.extruded(face, "height").collect()]
+    assert parts.count("side") == 4 and parts.count("top") == parts.count("bottom") == 1
+    assert ST.clip_faces(face, (0.5, 0.0, 1.0, 1.0)).count() == 1 and ST.clip_faces(face, (2.0, 2.0, 3.0, 3.0)).count() == 0
+
+
+def test_refine(spark):
+    from urbanframe.operators import refine as RF
+
+    ring = lambda x, s: [[{"x": x, "y": 0.0}, {"x": x + s, "y": 0.0}, {"x": x + s, "y": s}, {"x": x, "y": s}, {"x": x, "y": 0.0}]]
+    b = [(1, "Polygon", ring(0.0, 5.0), 12.0, 0.0, 0.0), (2, "Polygon", ring(1.0, 5.0), 99.0, 1.0, 0.0), (3, "Polygon", ring(50.0, 1.0), 3.0, 50.0, 0.0), (4, None, None, 3.0, 60.0, 0.0), (5, "Polygon", ring(80.0, 9.0), None, 80.0, 0.0)]
+    ways = [("1", ["a", "b"], "residential"), ("2", ["b", "c"], "residential"), ("3", ["a"], "residential"), ("4", ["a", "zz"], "residential"), ("5", ["a", "c"], "steps")]
+    area = RF.Area(
+        "x",
+        spark.createDataFrame(b, "fid long, geom_type string, outer array<array<struct<x:double,y:double>>>, raw_height double, x double, y double"),
+        spark.createDataFrame(ways, "way_id string, refs array<string>, highway string"),
+        spark.createDataFrame([("a", 0.0, 0.0), ("b", 10.0, 0.0), ("c", 20.0, 0.0)], "id string, x double, y double"),
+        spark.createDataFrame([(0, 0, 1.0), (0, 1, 9.0), (0, 2, 3.0)], "row int, col int, elev double"),
+        spark.createDataFrame([(1, 84.0, 0.0, 7.0)], "id long, x double, y double, height double"),
+    )
+    layers = RF.refine(area)
+    assert {r.fid: (r.height, r.height_source) for r in layers["buildings"].collect()} == {1: (12.0, "overture"), 5: (7.0, "osm")}
+    assert [(r.way_id, list(r.refs)) for r in layers["roads"].collect()] == [("1", ["a", "b", "c"])]
+    assert {r.check: r.status for r in RF.output_checks(layers).collect()} == {"bld_height_present": "pass", "bld_height_source": "pass", "sample_valid": "pass", "road_connectivity": "pass"}
+    under = spark.createDataFrame([(0, 1)], "row int, col int")
+    assert RF.refine_dem(area, 2, under).filter("col = 1").first().elev == 2.0
+    area.dem_source = RF.BARE_EARTH
+    assert RF.refine_dem(area, 2, under) is area.dem
+    assert RF.recipe_key({"a": "1"}, {"r": 3}) != RF.recipe_key({"a": "1"}, {"r": 4})
