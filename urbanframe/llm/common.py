@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from urbanframe.operators.staging import new_path, remove, shared_dir, written
 
-__all__ = ["BLANK", "clean_blanks", "new_path", "prefix_sums", "remove", "shared_dir", "table", "written"]
+__all__ = ["BLANK", "clean_blanks", "new_path", "prefix_sums", "remove", "shared_dir", "slices", "table", "written"]
 
 #: ASCII white space of the query contracts: space and tab to carriage return.
 BLANK = r"[\x20\x09-\x0D]"
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of fewer, so that a worker holds the Python form of a few texts at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -25,24 +35,19 @@ def clean_blanks(text: Column) -> Column:
 def prefix_sums(df: DataFrame, order: list[str], values: dict[str, Column], name: str) -> DataFrame:
     """Adds to each row the sums of values over all rows before it in the order of the given columns, and its ``row_no``.
 
-    Rows are range-partitioned by sampled splitters and written once with their part number. Only one total for each
-    part (as many as partitions) goes to every task; no task holds more than its own part.
+    Rows are exchanged once, by sampled splitters, sorted, and written with their places in their part. Only one total for
+    each part (as many as partitions) goes to every task; no task holds more than its own part, and without values
+    nothing is exchanged again.
     """
-    spark = df.sparkSession
-    parts = df.withColumns({f"__v_{k}": v for k, v in values.items()}).repartitionByRange(*order)
-    parts = written(parts.withColumn("__part", F.spark_partition_id()), name)
-    totals = parts.groupBy("__part").agg(F.count("*").alias("__rows"), *(F.sum(f"__v_{k}").alias(f"__s_{k}") for k in values))
+    part, place = F.shiftright("__at", 33), F.col("__at").bitwiseAND((1 << 33) - 1)  # monotonically_increasing_id's layout
+    rows = df.withColumns({f"__v_{k}": v for k, v in values.items()}).repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = written(rows.withColumn("__at", F.monotonically_increasing_id()), name)
+    rows = rows.withColumns({"__part": part, "__place": place})
+    totals = rows.groupBy("__part").agg(F.count("*").alias("__rows"), *(F.sum(f"__v_{k}").alias(f"__s_{k}") for k in values))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        "__part",
-        F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__row0"),
-        *(F.coalesce(F.sum(f"__s_{k}").over(before), F.lit(0)).alias(f"__o_{k}") for k in values),
-    )
-    inside = Window.partitionBy("__part").orderBy(*order)
-    upto = inside.rowsBetween(Window.unboundedPreceding, -1)
-    joined = parts.join(F.broadcast(offsets), "__part")
-    out = joined.withColumns(
-        {k: F.col(f"__o_{k}") + F.coalesce(F.sum(f"__v_{k}").over(upto), F.lit(0)) for k in values}
-        | {"row_no": F.col("__row0") + F.row_number().over(inside) - 1}
-    )
-    return out.select(*df.columns, *values, "row_no")
+    earlier = lambda c, to: F.coalesce(F.sum(c).over(before), F.lit(0)).alias(to)
+    offsets = totals.select("__part", earlier("__rows", "__row0"), *(earlier(f"__s_{k}", f"__o_{k}") for k in values))
+    joined = rows.join(F.broadcast(offsets), "__part")
+    upto = Window.partitionBy("__part").orderBy("__place").rowsBetween(Window.unboundedPreceding, -1)
+    sums = {k: F.col(f"__o_{k}") + F.coalesce(F.sum(f"__v_{k}").over(upto), F.lit(0)) for k in values}
+    return joined.withColumns(sums | {"row_no": F.col("__row0") + F.col("__place")}).select(*df.columns, *values, "row_no")
