@@ -1,7 +1,7 @@
 """Exact dedup by content sort, with DataFrame operations only.
 
-Sampled splitters range-partition the normalised texts, the sort inside each range places equal texts side by side, and
-neighbouring texts are compared in full. A text that many rows share would fill a single range; such heavy texts are
+Sampled splitters range-partition the normalised texts by their beginnings, the sort inside each range by all bytes places
+equal texts side by side, and neighbouring texts are compared in full. A text that many rows share would fill a single range; such heavy texts are
 found first by counting content hashes over all rows. There can be at most ``HEAVY_PARTS`` of them, as each has more than
 a ``HEAVY_PARTS``-th of all rows. They skip the range exchange: every task sorts and collapses its own equal rows, so
 that one row for each task and text is exchanged, and the few results go back to the rows by a broadcast.
@@ -16,6 +16,8 @@ from urbanframe.llm.common import clean_blanks, table
 
 #: A text with more than this share of all rows (1 / HEAVY_PARTS) is heavy; so there are fewer heavy texts than this.
 HEAVY_PARTS = 256
+#: Splitters are sampled from so many first characters and a hash, so that samples of long texts don't fill the driver.
+HEAD = 64
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", heavy_parts: int = HEAVY_PARTS) -> DataFrame:
@@ -39,10 +41,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     heavy = [r[0] for r in counts.filter(F.col("n") * heavy_parts > total).filter("n > 1").select("__hash").collect()]
     is_heavy = F.col("__hash").isin(heavy) if heavy else F.lit(False)
 
-    same = Window.partitionBy("__norm")
+    # the order is that of the first characters; texts that share them are ordered by hash and then by all their bytes
+    same = Window.partitionBy("__head", "__hash", "__norm")
     light = (
         rows.filter(~is_heavy)
-        .repartitionByRange("__norm")
+        .withColumn("__head", F.substring("__norm", 1, HEAD))
+        .repartitionByRange("__head", "__hash")
         .withColumns({"__best": F.max("__rank").over(same), "group_size": F.count("*").over(same)})
         .select(*rest, F.sha2("__norm", 256).alias("text_sha256"), "__best", "group_size")
     )
