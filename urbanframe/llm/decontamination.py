@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from urbanframe.llm.common import table
+from urbanframe.llm.common import slices, table
 
 #: Words of a seed, share of a perfect alignment that counts as a leak, and the scores of a match, a change and a gap.
 SEED, THRESHOLD = 3, 0.6
@@ -181,7 +181,7 @@ def _searchers(docs: DataFrame, items: DataFrame, text_col: str, seed: int) -> I
 
         def count(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             index, total = sent.value, np.zeros(len(sent.value.grams), np.int64)
-            for b in batches:
+            for b in slices(batches):
                 for text in b.column(0).to_pylist():
                     total[np.unique(index.hits(index.encode(words_of(text)))[1])] += 1
             at = np.flatnonzero(total)
@@ -210,7 +210,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             index, seeds = sent.value
-            for b in batches:
+            for b in slices(batches):
                 at, found = [], []
                 for i, text in enumerate(b.column(1).to_pylist()):
                     new = index.leaks(index.encode(words_of(text)), seeds, threshold)
@@ -237,7 +237,7 @@ def without_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
 def _clean(sent, at: int, threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, seeds = sent.value
-        for b in batches:
+        for b in slices(batches):
             yield b.filter(pa.array([not index.leaks(index.encode(words_of(t)), seeds, threshold) for t in b.column(at).to_pylist()], pa.bool_()))
 
     return run

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
-from urbanframe.llm.common import table
+from urbanframe.llm.common import slices, table
 
 UNKNOWN = "und"
 #: Bound of the labelled sample: rows of each language, and the number of languages.
@@ -192,7 +192,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     at = rest.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             langs, scores = sent.value.predict(batch.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores)], [*batch.schema.names, "lang_pred", "score"])
 

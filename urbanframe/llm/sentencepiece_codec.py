@@ -29,8 +29,8 @@ MARK = "▁"
 #: Fixed values of the model format: kinds of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE = 1, 2, 3, 4, 6
 UNIGRAM, BPE = 1, 2
-#: Segments that a worker remembers.
-REMEMBERED = 500_000
+#: Segments that a worker remembers, in each of two generations, and the texts that it holds at once.
+REMEMBERED, TEXTS = 150_000, 250
 SEGMENT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
@@ -111,7 +111,9 @@ class Codec:
         self.segments = Tokenizer(core)  # of text that is already normal and marked
         self.surface = [bytes([int(p[3:-1], 16)]) if k == BYTE else p.replace(MARK, " ").encode() for p, _, k in m.pieces]
         self.whole_texts = any(MARK in p.lstrip(MARK) for p, _, k in m.pieces if k in (NORMAL, USER_DEFINED))
+        # two generations: what was used since the last full one stays
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _merges(self, ids: dict[str, int]) -> list[tuple[str, str]]:
         """Pairs of pieces that make a piece, the best score first."""
@@ -135,11 +137,16 @@ class Codec:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         parts = [self._split(t) for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list({s for p in parts for s in p if s not in self.known})
+            self.known, self.older = {}, self.known
+        known, new = self.known, []
+        for segment in {s for p in parts for s in p if s not in known}:
+            if (ids := self.older.get(segment)) is None:
+                new.append(segment)
+            else:
+                known[segment] = ids
         for segment, e in zip(new, self.segments.encode_batch(new, add_special_tokens=False), strict=True):
-            self.known[segment] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, p)) for p in parts]
+            known[segment] = np.array(e.ids, "<u4").tobytes()
+        return [b"".join(map(known.__getitem__, p)) for p in parts]
 
     def normal(self, text: str) -> str:
         """What decoding gives back: the normalised text, in which a marker is a space."""
@@ -170,8 +177,8 @@ def _run(sent, threads: int, verify: bool, text_at: int, names: list[str]) -> Ca
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data = sent.value
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                b = whole.slice(at, 1000)
+            for at in range(0, whole.num_rows, TEXTS):
+                b = whole.slice(at, TEXTS)
                 texts = [t or "" for t in b.column(text_at).to_pylist()]
                 own = codec(data, threads)
                 encoded = own.encode(texts)
