@@ -8,7 +8,8 @@ A band that a large group of near copies shares would give a square of pairs. On
 round compares the members of a bucket with one leader of the bucket, drawn anew by hash, unless both are already in one
 component; components are joined after each round. A round costs a pair for each bucket member at most. When few pairs
 of different components are left in the buckets, or a round helps no more, all pairs that are left are compared: so no
-link between different components is lost, whatever the leaders were.
+link between different components is lost, whatever the leaders were. In small buckets these pairs are joined; in large
+ones the members outside the largest component meet the bucket's members block by block, and only links come out.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from urbanframe.operators.components import connected_components
 BANDS, ROWS = 40, 5
 #: Leader rounds end when the buckets hold fewer unjoined pairs than this many for each of their rows, or after MOST_ROUNDS.
 PAIRS_EACH, MOST_ROUNDS = 2, 8
+#: Buckets of more members are compared in blocks of so many.
+LARGE, BLOCK_ROWS = 32, 512
 _seeds = np.random.default_rng(20_240_701)
 #: A permutation of 64-bit values is an exclusive or and a product with an odd number.
 XORS = _seeds.integers(0, 2**64, BANDS * ROWS // 2, np.uint64)
@@ -118,6 +121,46 @@ def _linked(size: int, percent: int):
     return run
 
 
+def _block_links(size: int, percent: int):
+    """Links between the components of members (role 0) and queries (role 1) of each block, in rows sorted by block."""
+
+    def links(rows: list[tuple]) -> set[tuple[int, int]]:
+        unzip = zstandard.ZstdDecompressor()
+        found: set[tuple[int, int]] = set()
+        members = [r for r in rows if not r[3]]
+        if not members:
+            return found
+        sets = [shingle_set(unzip.decompress(r[6]).split(), size) for r in members]
+        comps = np.array([r[5] for r in members])
+        sizes = np.array([len(x) for x in sets])
+        starts, every = np.concatenate([[0], np.cumsum(sizes)[:-1]]), np.concatenate(sets)
+        for r in rows:
+            if r[3]:
+                own = shingle_set(unzip.decompress(r[6]).split(), size)
+                at = np.minimum(np.searchsorted(own, every), len(own) - 1)
+                both = np.add.reduceat(own[at] == every, starts, dtype=np.int64)
+                good = (100 * both >= percent * (sizes + len(own) - both)) & (comps != r[5])
+                found.update((r[5], int(c)) for c in np.unique(comps[good]))
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if rows and row[:3] != rows[0][:3]:
+                    yield _pairs(links(rows))
+                    rows = []
+                rows.append(row)
+        if rows:
+            yield _pairs(links(rows))
+
+    return run
+
+
+def _pairs(found: set[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+
 def _joined(members: DataFrame, found: DataFrame) -> DataFrame:
     """members (key, num, n, comp) after joining the components that the links (a, b) connect; found has component numbers."""
     labels = connected_components(found, "a", "b")
@@ -125,6 +168,22 @@ def _joined(members: DataFrame, found: DataFrame) -> DataFrame:
     return written(out.select("key", "num", "n", F.coalesce("component", "comp").alias("comp")), "members")
 
 
+def _small_pairs(mixed: DataFrame) -> DataFrame:
+    """Pairs of different components in each bucket."""
+    side = lambda c: mixed.select("key", F.col("num").alias(c), F.col("n").alias(f"n{c}"), F.col("comp").alias(f"c{c}"))
+    return side("a").join(side("b"), "key").filter(F.col("ca") < F.col("cb"))
+
+
+def _blocks(mixed: DataFrame) -> DataFrame:
+    """Members, and as queries those outside the main component, dealt so that every query meets every member once."""
+    number = lambda c: F.ceil(F.col(c) / BLOCK_ROWS).cast("int")
+    own = lambda c: F.pmod(F.hash("num"), number(c))
+    every = lambda c: F.explode(F.sequence(F.lit(0), number(c) - 1))
+    members = mixed.select("key", own("m").alias("bm"), every("u").alias("bu"), F.lit(0).alias("role"), "num", "comp")
+    queries = mixed.filter("comp <> main").select("key", every("m").alias("bm"), own("u").alias("bu"), F.lit(1).alias("role"), "num", "comp")
+    return members.unionByName(queries)
+
+
 def _open_pairs(members: DataFrame) -> int:
     """The pairs of bucket members in different components, each counted for every bucket that they share."""
     each = members.groupBy("key", "comp").agg(F.count("*").cast("double").alias("m")).groupBy("key").agg((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))).alias("p"))
@@ -176,13 +235,14 @@ def near_components(docs: DataFrame, size: int, percent: int = 80, id_col: str =
         if left > 0.9 * before and turn > 1:
             break
     if left:
-        # buckets that hold one component have nothing left
-        mixed = members.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key")
-        rest = written(members.join(mixed, "key", "left_semi"), "mixed-buckets")
-        other = rest.select("key", F.col("num").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-        pairs = rest.select("key", F.col("num").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca")).join(other, "key")
-        pairs = pairs.filter(F.col("ca") < F.col("cb")).filter(near_size).select("a", "b", "ca", "cb").distinct()
-        members = _joined(members, confirmed(pairs))
+        counted = members.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key")
+        held = counted.agg(F.count("*").alias("comps"), F.sum("c").alias("m"), F.max(F.struct("c", "comp")).alias("top")).filter("comps > 1")
+        held = held.select("key", "m", (F.col("m") - F.col("top.c")).alias("u"), F.col("top.comp").alias("main"))
+        mixed = written(members.join(written(held, "mixed-buckets"), "key"), "mixed-members")
+        found = confirmed(_small_pairs(mixed.filter(F.col("m") <= LARGE)).filter(near_size).select("a", "b", "ca", "cb").distinct())
+        blocks = _blocks(mixed.filter(F.col("m") > LARGE)).join(texts, "num").select("key", "bm", "bu", "role", "num", "comp", "packed")
+        blocks = blocks.repartition("key", "bm", "bu").sortWithinPartitions("key", "bm", "bu", "role")
+        members = _joined(members, found.union(blocks.mapInArrow(_block_links(size, percent), "a long, b long")))
 
     labels = members.select("num", "comp").distinct()
     owned = classes.join(labels, "num", "left").withColumn("comp", F.coalesce("comp", "num"))
