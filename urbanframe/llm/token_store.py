@@ -2,7 +2,7 @@
 
 A rolling hash over the ids cuts each document's stream into chunks, so equal stretches of ids give equal chunks wherever
 they stand. The store is a folder with two Parquet tables: ``chunks`` has every different chunk once (SHA-256 of its
-ids, their number, and the ids as compressed little-endian unsigned 32-bit integers); ``recipes`` has each document's
+ids, and the ids as little-endian unsigned 32-bit integers, compressed byte by byte); ``recipes`` has each document's
 chunk hashes, the number of its ids and the root of a Merkle tree over the hashes, in ascending order of the ids of the
 documents. Reading checks every chunk against its hash and every recipe against its root.
 
@@ -17,6 +17,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -27,20 +28,26 @@ from urbanframe.llm.common import new_path, prefix_sums, remove, table, written
 from urbanframe.llm.substring_dedup import rolling
 
 #: A chunk ends where the hash of the last SPAN ids has no bits of CUT; it has LEAST to MOST ids, the last one maybe fewer.
-SPAN, CUT, LEAST, MOST = 8, 0xFF, 64, 2048
+SPAN, CUT, LEAST, MOST = 8, 0x1FF, 128, 4096
 END_ID = 1
-#: Words that a worker remembers with their ids.
-REMEMBERED = 500_000
+#: Words that a worker remembers with their ids, in each of two generations.
+REMEMBERED = 300_000
+#: Letters below this one are Latin. Byte-level models spell bytes that don't print by letters from 256 on, in order.
+LATIN_END = "\u0250"
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 CHUNKS, RECIPES = "chunks", "recipes"
 #: Reversed polynomial of CRC-32, a fixed value.
 POLYNOMIAL = 0xEDB88320
 
 
 class WordEncoder:
-    """Encodes texts with a tokenizer of the tokenizers library that drops ASCII blanks and never looks across them.
+    """Encodes texts with a tokenizer of the tokenizers library.
 
-    Texts are then the rows of their words' ids, and a word that was met before is looked up. For other tokenizers
-    (``by_word`` false) whole texts are encoded.
+    With ``by_word`` the tokenizer must lower-case texts, drop ASCII blanks, never look across them, and end a run of
+    letters at a full stop or comma. Then a text's ids are those of its words in a row, and a word that was met before is
+    looked up. A new word of lower-case Latin letters goes to the tokenizer's model at once, as the steps before it would
+    leave it alone but for the spelling of its bytes. Otherwise whole texts are encoded.
     """
 
     def __init__(self, data: str, by_word: bool):
@@ -48,20 +55,48 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.by_word = Tokenizer.from_str(data), by_word
+        self.model = self.tokenizer.model
+        # two generations: what was used since the last full one stays
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.marks: dict[bytes, bytes] = {}
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _letters(self, word: bytes) -> bytes | None:
+        """The ids of Latin letters and the stops and commas after them, by the model; null for other words."""
+        letters = word.rstrip(b".,")
+        text = letters.decode()
+        if not text.isalpha() or max(text) >= LATIN_END or text != text.lower() or not is_normalized("NFC", text):
+            return None
+        ids = b"".join(t.id.to_bytes(4, "little") for t in self.model.tokenize(letters.decode("latin-1").translate(BYTE_LETTERS)))
+        if len(letters) == len(word):
+            return ids
+        mark = word[len(letters) :]
+        if mark not in self.marks:
+            if len(self.marks) > 10_000:
+                self.marks.clear()
+            self.marks[mark] = self._encoded([mark.decode()])[0]
+        return ids + self.marks[mark]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return self._encoded(texts)
-        parts = [t.encode().split() for t in texts]  # bytes split at the six ASCII blanks only
+        # bytes: A-Z and the six ASCII blanks only; what may be a special token keeps its case
+        parts = [t.encode().split() if "<|" in t else t.encode().lower().split() for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list({w for p in parts for w in p if w not in self.known})
-        self.known.update(zip(new, self._encoded([w.decode() for w in new]), strict=True))
-        return [b"".join(map(self.known.__getitem__, p)) for p in parts]
+            self.known, self.older = {}, self.known
+        known, rest = self.known, set()
+        for word in {w for p in parts for w in p if w not in known}:
+            ids = self.older.get(word) or self._letters(word)
+            if ids is None:
+                rest.add(word)
+            else:
+                known[word] = ids
+        new = sorted(rest)
+        known.update(zip(new, self._encoded([w.decode() for w in new]), strict=True))
+        return [b"".join(map(known.__getitem__, p)) for p in parts]
 
 
 @lru_cache(2)
@@ -93,6 +128,15 @@ def merkle_root(hashes: list[bytes]) -> bytes:
     return level[0]
 
 
+def packed(part: bytes, zip_: zstandard.ZstdCompressor) -> bytes:
+    """Little-endian 32-bit ids, their first bytes together, then their second ones and so on, compressed."""
+    return zip_.compress(np.frombuffer(part, np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def unpacked(data: bytes, unzip: zstandard.ZstdDecompressor) -> bytes:
+    return np.frombuffer(unzip.decompress(data), np.uint8).reshape(4, -1).T.tobytes()
+
+
 def _times(a: int, b: int) -> int:
     """Product of two polynomials over GF(2) modulo that of CRC-32, bits reversed."""
     out, bit = 0, 1 << 31
@@ -137,7 +181,7 @@ def _chunked(sent, by_word: bool, end_id: int | None):
                     for end in cuts(np.frombuffer(ids, "<u4")):
                         part = ids[4 * begin : 4 * end]
                         own.append(h := hashlib.sha256(part).digest())
-                        new.append(None if h in seen else zip_.compress(part))  # sent once by each task, as far as it remembers
+                        new.append(None if h in seen else packed(part, zip_))  # sent once by each task, as far as it remembers
                         seen.add(h)
                         begin = end
                     counts.append(len(ids) // 4)
@@ -174,7 +218,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int | None =
 def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     unzip = zstandard.ZstdDecompressor()
     for b in batches:
-        data = [unzip.decompress(x) for x in b.column("data").to_pylist()]
+        data = [unpacked(x, unzip) for x in b.column("data").to_pylist()]
         for h, x in zip(b.column("hash").to_pylist(), data, strict=True):
             if hashlib.sha256(x).digest() != h:
                 raise ValueError(f"chunk {h.hex()} doesn't match its hash")
@@ -226,7 +270,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         for b in batches:
             ids = []
             for root, parts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                data = [unzip.decompress(p["data"]) for p in parts]
+                data = [unpacked(p["data"], unzip) for p in parts]
                 if merkle_root([hashlib.sha256(x).digest() for x in data]) != root:
                     raise ValueError(f"the recipe of root {root.hex()} can't be rebuilt")
                 ids.append(np.frombuffer(b"".join(data), "<i4"))
