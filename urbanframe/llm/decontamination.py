@@ -1,14 +1,16 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-Every document is counted for the n-grams of the test items. An item's seeds are its rarer n-grams: those that no more
-than a thousandth of all documents have, and always those not above the median of its own, so an item that leaked into a
-third of all documents keeps seeds. Where a seed of an item stands in a document, the passage around it is aligned with
-the item by words; the score is the alignment's share of a perfect one, so copies with changed, missing and added words
-are found too. An upper bound from the words in common spares most alignments and changes no result.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+
+All n-grams of an item are seeds, however common, and n is so small that no alignment that reaches the threshold is
+without one. A change, a missing or an added word costs something, so such an alignment also has a least number of seeds,
+and these stand close to one diagonal. Where so many seeds of an item stand in a document, the passage around them is
+aligned with the item by words; the score is the alignment's share of a perfect one, so copies with changed, missing and
+added words are found too. The number of seeds and an upper bound from the words in common spare most alignments and
+change no result: it is that of aligning every document with every item.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -21,11 +23,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from urbanframe.llm.common import slices, table
 
-#: Words of a seed, share of a perfect alignment that counts as a leak, and the scores of a match, a change and a gap.
+#: Most words of a seed, share of a perfect alignment that counts as a leak, and the scores of a match, a change and a gap.
 SEED, THRESHOLD = 3, 0.6
 MATCH, CHANGE, GAP = 2, -1, -1
-#: A seed that more than this share of all documents have is common.
-COMMON = 0.001
 #: Words of the test items that are searched in one pass; more items take more passes.
 BLOCK_WORDS = 500_000
 WORD = re.compile(r"[^\W_]+")
@@ -61,27 +61,43 @@ def _best(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
+def _least_seeds(n: int, size: int, threshold: float) -> float:
+    """How many seeds of size words an alignment with an item of n words has at least, if it reaches the threshold.
+
+    Of m matches in r runs, m - r * (size - 1) or more begin a seed. The r - 1 changes or gaps between the runs cost one or
+    more each, and no more than MATCH * m less the score can be lost; for a size of two or more the least is at m = n.
+    """
+    return n * threshold if size == 1 else n - (size - 1) * (MATCH * n * (1 - threshold) + 1)
+
+
 @dataclass
 class ItemIndex:
     """Seeds of a block of test items."""
 
     items: list[tuple[object, list[str]]]
     seed: int = SEED
+    threshold: float = THRESHOLD
     vocabulary: dict[str, int] = field(default_factory=dict)
     coded: list[np.ndarray] = field(default_factory=list)
-    grams: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # sorted codes
-    places: list[list[tuple[int, int]]] = field(default_factory=list)  # item and place in it, for each gram
 
     def __post_init__(self) -> None:
         for _, words in self.items:
             self.coded.append(np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words], np.int64))
-        found: dict[int, list[tuple[int, int]]] = {}
-        for k, x in enumerate(self.coded):
-            for at, code in enumerate(self.codes(x, min(self.seed, len(x))).tolist()):
-                found.setdefault(code, []).append((k, at))
-        self.grams = np.array(sorted(found), np.int64)
-        self.places = [found[g] for g in self.grams.tolist()]
-        self.sizes = sorted({min(self.seed, len(x)) for x in self.coded if len(x)})
+        sizes = [self._size(len(x)) for x in self.coded]
+        self.sizes = sorted(set(sizes))
+        codes = [self.codes(x, size) for x, size in zip(self.coded, sizes, strict=True)]
+        every, owner = np.concatenate(codes), np.repeat(np.arange(len(codes)), [len(c) for c in codes])
+        order = np.argsort(every, kind="stable")
+        self.grams, first = np.unique(every[order], return_index=True)  # sorted codes
+        self.first = np.append(first, len(every))  # of each gram in owner and place
+        self.owner, self.place = owner[order], np.concatenate([np.arange(len(c)) for c in codes])[order]
+        self.lengths = np.array([len(x) for x in self.coded], np.int64)
+        self.least = np.array([max(1, math.ceil(_least_seeds(len(x), size, self.threshold) - 1e-9)) for x, size in zip(self.coded, sizes, strict=True)], np.int64)
+        # gaps that an alignment can have, so how far its seeds can be from one diagonal
+        self.drift = np.floor(MATCH * self.lengths * (1 - self.threshold) + 1e-9).astype(np.int64)
+
+    def _size(self, n: int) -> int:
+        return next((k for k in range(min(self.seed, n), 1, -1) if _least_seeds(n, k, self.threshold) > 1e-9), 1)
 
     def codes(self, x: np.ndarray, size: int) -> np.ndarray:
         """One number for each run of size words; runs with a word that no item has get -1. Shorter runs never equal longer ones."""
@@ -110,38 +126,39 @@ class ItemIndex:
             numbers.append(k[good])
         return (np.concatenate(places), np.concatenate(numbers)) if places else (np.zeros(0, np.int64),) * 2
 
-    def rare(self, found_in: dict[int, int], docs: int) -> np.ndarray:
-        """Whether a gram is a seed, by the number of documents that have it; for each place of it by its item."""
-        own: list[list[int]] = [[] for _ in self.items]
-        for g, places in enumerate(self.places):
-            for item, _ in places:
-                own[item].append(found_in.get(g, 0))
-        limit = [max(docs * COMMON, float(np.median(x))) if x else 0 for x in own]
-        self.places = [[(i, at) for i, at in places if found_in.get(g, 0) <= limit[i]] for g, places in enumerate(self.places)]
-        return np.array([bool(p) for p in self.places], bool)
-
-    def leaks(self, x: np.ndarray, seeds: np.ndarray, threshold: float) -> list[tuple[int, float, int, int]]:
-        """(item, score, first word, word after the last) of the best passage for each item that reaches the threshold."""
+    def near(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Items and diagonals, in order, of the seeds in a document from which on there are enough for an alignment."""
         places, numbers = self.hits(x)
-        good = seeds[numbers]
+        times = self.first[numbers + 1] - self.first[numbers]
+        k = np.repeat(self.first[numbers] - np.cumsum(times) + times, times) + np.arange(times.sum())
+        item, diagonal = self.owner[k], np.repeat(places, times) - self.place[k]
+        enough = np.bincount(item, minlength=len(self.items)) >= self.least
+        item, diagonal = item[enough[item]], diagonal[enough[item]]
+        low = int(self.lengths.max())
+        width = len(x) + low + int(self.drift.max()) + 1  # so no drift reaches the next item's
+        key = np.sort(item * width + diagonal + low)
+        item = key // width
+        good = np.searchsorted(key, key + self.drift[item], "right") - np.arange(len(key)) >= self.least[item]
+        return item[good], key[good] % width - low
+
+    def leaks(self, x: np.ndarray) -> list[tuple[int, float, int, int]]:
+        """(item, score, first word, word after the last) of the best passage for each item that reaches the threshold."""
         spans: dict[int, list[tuple[int, int]]] = {}
-        for p, g in zip(places[good].tolist(), numbers[good].tolist(), strict=True):
-            for item, at in self.places[g]:
-                n = len(self.coded[item])
-                slack = n // 2 + 2
-                spans.setdefault(item, []).append((max(0, p - at - slack), min(len(x), p - at + n + slack)))
+        for item, diagonal in zip(*(v.tolist() for v in self.near(x)), strict=True):
+            slack = int(self.drift[item])
+            spans.setdefault(item, []).append((max(0, diagonal - slack), min(len(x), diagonal + len(self.coded[item]) + slack)))
         out = []
-        for item, own in sorted(spans.items()):
+        for item, own in spans.items():
             word, best = self.coded[item], (0, 0, 0)
             need = Counter(word.tolist())
             for lo, hi in _merged(own):
                 have = Counter(x[lo:hi].tolist())
-                if sum(min(n, have[w]) for w, n in need.items()) < threshold * len(word):
+                if sum(min(n, have[w]) for w, n in need.items()) < self.threshold * len(word) - 1e-9:
                     continue
                 score, start, end = align(word, x[lo:hi])
                 if score > best[0]:
                     best = (score, lo + start, lo + end)
-            if best[0] >= threshold * MATCH * len(word):
+            if best[0] and best[0] >= self.threshold * MATCH * len(word) - 1e-9:
                 out.append((item, best[0] / (MATCH * len(word)), best[1], best[2]))
         return out
 
@@ -156,47 +173,26 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _blocks(items: Iterator[tuple[object, str | None]], seed: int) -> Iterator[ItemIndex]:
+def _blocks(items: DataFrame, seed: int, threshold: float) -> Iterator[ItemIndex]:
     block, size = [], 0
-    for item, text in items:
+    for item, text in items.toLocalIterator():
         words = words_of(text)
         if not words:
             continue
         block.append((item, words))
         size += len(words)
         if size >= BLOCK_WORDS:
-            yield ItemIndex(block, seed)
+            yield ItemIndex(block, seed, threshold)
             block, size = [], 0
     if block:
-        yield ItemIndex(block, seed)
-
-
-def _searchers(docs: DataFrame, items: DataFrame, text_col: str, seed: int) -> Iterator[tuple[ItemIndex, np.ndarray]]:
-    """Each block of items with its seeds, chosen by counts over all documents."""
-    context, texts = docs.sparkSession.sparkContext, docs.select(text_col)
-    number = None
-    for index in _blocks(((r[0], r[1]) for r in items.toLocalIterator()), seed):
-        number = texts.count() if number is None else number
-        sent = context.broadcast(index)
-
-        def count(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            index, total = sent.value, np.zeros(len(sent.value.grams), np.int64)
-            for b in slices(batches):
-                for text in b.column(0).to_pylist():
-                    total[np.unique(index.hits(index.encode(words_of(text)))[1])] += 1
-            at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["g", "n"])
-
-        found = dict(texts.mapInArrow(count, "g long, n long").groupBy("g").agg(F.sum("n")).collect())
-        yield index, index.rare(found, number)
+        yield ItemIndex(block, seed, threshold)
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """doc_id, item_id, score, start_word and end_word of every document and test item with an alignment of threshold or more.
 
     The best passage of a document for an item is given, the first of equally good ones. Words are lower-cased runs of
-    letters and digits; items and documents without any match nothing. An item with fewer words than a seed is its own
-    seed. Repeated documents and items are searched each on their own; null ids are kept. Other columns are left out.
+    letters and digits; items and documents without any match nothing. Repeated documents and items are searched each on their own; null ids are kept. Other columns are left out.
     Items are searched in blocks of BLOCK_WORDS words, each in a pass over all documents.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -205,15 +201,15 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
     schema = f"doc_id {kinds[0].simpleString()}, item_id {kinds[1].simpleString()}, score double, start_word long, end_word long"
     out = docs.sparkSession.createDataFrame([], schema)
     item_type = pa.from_numpy_dtype(np.int64) if kinds[1].typeName() == "long" else pa.string() if kinds[1].typeName() == "string" else None
-    for index, seeds in _searchers(rows, tests, "text", seed):
-        sent = docs.sparkSession.sparkContext.broadcast((index, seeds))
+    for index in _blocks(tests, seed, threshold):
+        sent = docs.sparkSession.sparkContext.broadcast(index)
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            index, seeds = sent.value
+            index = sent.value
             for b in slices(batches):
                 at, found = [], []
                 for i, text in enumerate(b.column(1).to_pylist()):
-                    new = index.leaks(index.encode(words_of(text)), seeds, threshold)
+                    new = index.leaks(index.encode(words_of(text)))
                     at += [i] * len(new)
                     found += new
                 k = list(zip(*found, strict=True)) or [()] * 4
@@ -228,17 +224,17 @@ def without_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
     """The rows of docs, with all their columns, that find_leaks would find no leak in; no row is exchanged."""
     tests = items.select(item_col, item_text_col)
     at, out = docs.columns.index(text_col), docs
-    for index, seeds in _searchers(docs, tests, text_col, seed):
-        sent = docs.sparkSession.sparkContext.broadcast((index, seeds))
-        out = out.mapInArrow(_clean(sent, at, threshold), docs.schema)
+    for index in _blocks(tests, seed, threshold):
+        sent = docs.sparkSession.sparkContext.broadcast(index)
+        out = out.mapInArrow(_clean(sent, at), docs.schema)
     return out
 
 
-def _clean(sent, at: int, threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _clean(sent, at: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, seeds = sent.value
+        index = sent.value
         for b in slices(batches):
-            yield b.filter(pa.array([not index.leaks(index.encode(words_of(t)), seeds, threshold) for t in b.column(at).to_pylist()], pa.bool_()))
+            yield b.filter(pa.array([not index.leaks(index.encode(words_of(t))) for t in b.column(at).to_pylist()], pa.bool_()))
 
     return run
 
