@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Iterable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
@@ -114,33 +117,47 @@ def _one_way(value: str | None) -> bool:
 def _chained(rows: list[tuple[str, list[str]]], reversible: bool) -> list[tuple[str, list[str], list[str]]]:
     """Ways in order, merged greedily at ends that exactly two different open ways share; (id, refs, ids merged into it)."""
     ways = {way: (list(refs), [way]) for way, refs in rows}
+    order = {way: k for k, way in enumerate(ways)}
+    uses: dict[str, dict[tuple[int, bool], str]] = {}  # of each node: place of the way and whether it is its last end
+    heap: list[tuple[tuple[int, bool], str]] = []  # nodes by their first use; old entries stay until they come up
+
+    def ends(way: str) -> list[tuple[str, tuple[int, bool]]]:
+        refs = ways[way][0]
+        return [(refs[0], (order[way], False)), (refs[-1], (order[way], True))] if len(refs) >= 2 and refs[0] != refs[-1] else []
+
+    def add(way: str) -> None:
+        for node, use in ends(way):
+            uses.setdefault(node, {})[use] = way
+
+    def look(nodes: Iterable[str]) -> None:
+        for node in nodes:
+            if len(uses.get(node, ())) == 2:
+                heapq.heappush(heap, (min(uses[node]), node))
+
+    for way in ways:
+        add(way)
+    look(uses)
+    while heap:
+        first, node = heapq.heappop(heap)
+        two = sorted(uses.get(node, ()))
+        if len(two) != 2 or two[0] != first:
+            continue
+        a, b = uses[node][two[0]], uses[node][two[1]]
+        a_first, b_first = not two[0][1], not two[1][1]
+        x, y = ways[a][0], ways[b][0]
+        if a_first != b_first:
+            refs = y + x[1:] if a_first else x + y[1:]
+        elif reversible:
+            refs = y[::-1] + x[1:] if a_first else x + y[::-1][1:]
+        else:
+            continue
+        changed = ends(a) + ends(b)
+        for end, use in changed:
+            del uses[end][use]
+        ways[a] = (refs, ways[a][1] + ways.pop(b)[1])
+        add(a)
+        look({end for end, _ in changed})
 
-    def uses() -> dict[str, list[tuple[str, bool]]]:
-        found: dict[str, list[tuple[str, bool]]] = {}
-        for way, (refs, _) in ways.items():
-            if len(refs) >= 2 and refs[0] != refs[-1]:
-                found.setdefault(refs[0], []).append((way, True))
-                found.setdefault(refs[-1], []).append((way, False))
-        return found
-
-    def joined() -> bool:
-        for two in uses().values():
-            if len(two) != 2 or two[0][0] == two[1][0]:
-                continue
-            (a, a_first), (b, b_first) = two
-            x, y = ways[a][0], ways[b][0]
-            if a_first != b_first:
-                refs = y + x[1:] if a_first else x + y[1:]
-            elif reversible:
-                refs = y[::-1] + x[1:] if a_first else x + y[::-1][1:]
-            else:
-                continue
-            ways[a] = (refs, ways[a][1] + ways.pop(b)[1])
-            return True
-        return False
-
-    while joined():
-        pass
     return [(way, refs, merged) for way, (refs, merged) in ways.items()]
 
 

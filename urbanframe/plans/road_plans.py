@@ -15,12 +15,25 @@ def _small(spark, sf_dir):
     return ways(spark, sf_dir).filter("num % 200 = 0 AND size(refs) >= 2")
 
 
+def _whole(spark, sf_dir):
+    """All ways of two nodes or more."""
+    return ways(spark, sf_dir).filter("size(refs) >= 2")
+
+
 _SMALL = cte("way_nodes", "way_tags") + """, w AS (SELECT way_id FROM way_tags WHERE num % 200 = 0), n0 AS (SELECT n.* FROM way_nodes n JOIN w ON w.way_id = n.way_id),
 n AS (SELECT * FROM n0 QUALIFY count(*) OVER (PARTITION BY way_id) >= 2),
 e AS (SELECT way_id, seq, ref AS src, lead(ref) OVER (PARTITION BY way_id ORDER BY seq) AS dst FROM n),
 ends AS (SELECT way_id, arg_min(ref, seq) AS a, arg_max(ref, seq) AS b FROM n GROUP BY 1)
 """
 
+_WHOLE = cte("way_nodes") + """, n AS (SELECT * FROM way_nodes QUALIFY count(*) OVER (PARTITION BY way_id) >= 2),
+e AS (SELECT way_id, seq, ref AS src, lead(ref) OVER (PARTITION BY way_id ORDER BY seq) AS dst FROM n),
+ends AS (SELECT way_id, arg_min(ref, seq) AS a, arg_max(ref, seq) AS b FROM n GROUP BY 1)
+"""
+#: Least labels, of which each node keeps one, so the one large component takes few rows.
+_REACH = _WHOLE.replace("WITH ", "WITH RECURSIVE ", 1) + """, both_ways AS (SELECT src::BIGINT AS u, dst::BIGINT AS v FROM e WHERE dst IS NOT NULL UNION SELECT dst::BIGINT, src::BIGINT FROM e WHERE dst IS NOT NULL),
+label(u, c) USING KEY (u) AS (SELECT DISTINCT u, u FROM both_ways UNION SELECT l.u, min(near.c) FROM label near JOIN both_ways b ON b.u = near.u JOIN recurring.label l ON l.u = b.v WHERE near.c < l.c GROUP BY 1)"""
+
 
 def way_filter_report(spark, sf_dir):
     out = R.way_reasons(ways(spark, sf_dir), layer(spark, sf_dir, "nodes"))
@@ -79,6 +92,20 @@ def dangling(spark, sf_dir):
     return R.end_degrees(_small(spark, sf_dir))
 
 
+def road_components_all(spark, sf_dir):
+    """The same for all ways, most of which are one component."""
+    return R.connectivity(_whole(spark, sf_dir)).withColumn("largest_share", F.round("largest_share", 6))
+
+
+def node_components_all(spark, sf_dir):
+    nodes = _whole(spark, sf_dir).select("way_id", F.posexplode("refs").alias("seq", "ref"))
+    return connected_components(R.way_edges(nodes).select(F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst")))
+
+
+def dangling_all(spark, sf_dir):
+    return R.end_degrees(_whole(spark, sf_dir))
+
+
 def half_width(spark, sf_dir):
     rows = layer(spark, sf_dir, "way_tags").withColumns({"w": P.width_m(F.col("width")), "l": P.lane_count(F.col("lanes"))})
     return rows.select("way_id", R.half_width(F.col("highway"), F.col("w"), F.col("l")).alias("half_width"))
@@ -131,12 +158,12 @@ def short_steps(spark, sf_dir):
 
 def weld_ends(spark, sf_dir):
     nodes = planar(layer(spark, sf_dir, "nodes")).select("id", "x", F.col("z").alias("y"))
-    small = _small(spark, sf_dir).select("way_id", "refs")
-    return R.weld(small, nodes, 20.0).select("way_id", F.element_at("refs", 1).alias("a"), F.element_at("refs", -1).alias("b"), F.size("refs").cast("long").alias("n"), "welded")
+    whole = _whole(spark, sf_dir).select("way_id", "refs")
+    return R.weld(whole, nodes, 20.0).select("way_id", F.element_at("refs", 1).alias("a"), F.element_at("refs", -1).alias("b"), F.size("refs").cast("long").alias("n"), "welded")
 
 
 def chain_merge(spark, sf_dir):
-    rows = _small(spark, sf_dir)
+    rows = _whole(spark, sf_dir)
     for t in R.MERGE_TAGS:
         if t not in rows.columns:
             rows = rows.withColumn(t, F.lit(None).cast("string"))
@@ -162,7 +189,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         way_filter_report, highway_hist, highway_top, road_coverage, way_bbox_semijoin, way_geometry, edges, endpoints, road_components,
-        node_components, dangling, half_width, tag_numbers, merge_groups, cum_len, tangents, junction_places, chunk_split,
+        node_components, dangling, road_components_all, node_components_all, dangling_all, half_width, tag_numbers, merge_groups, cum_len, tangents, junction_places, chunk_split,
         short_steps, weld_ends, chain_merge, tag_reconciliation, dropped_ways,
     )
 }
@@ -196,6 +223,12 @@ CASE WHEN max(n) / sum(n) < 0.6 AND count(*) > 1 THEN 'warn' ELSE 'pass' END AS
 reach(u, v) AS (SELECT u, u FROM both_ways UNION SELECT reach.u, b.v FROM reach JOIN both_ways b ON b.u = reach.v)
 SELECT u AS node, min(v) AS component FROM reach GROUP BY 1""",
     "dangling": _SMALL + " SELECT node, count(*) AS degree FROM (SELECT a AS node FROM ends UNION ALL SELECT b FROM ends) GROUP BY 1",
+    "road_components_all": _REACH + """, s AS (SELECT c, count(*) AS n FROM ends JOIN label ON u = a::BIGINT GROUP BY 1),
+g AS (SELECT node, count(*) AS degree FROM (SELECT a AS node FROM ends UNION ALL SELECT b FROM ends) GROUP BY 1)
+SELECT count(*) AS components, CAST(sum(n) AS BIGINT) AS ways, max(n) AS largest_ways, round(max(n) / sum(n), 6) AS largest_share, (SELECT count(*) FROM g WHERE degree = 1) AS dangling,
+CASE WHEN max(n) / sum(n) < 0.6 AND count(*) > 1 THEN 'warn' ELSE 'pass' END AS status FROM s""",
+    "node_components_all": _REACH + " SELECT u AS node, c AS component FROM label",
+    "dangling_all": _WHOLE + " SELECT node, count(*) AS degree FROM (SELECT a AS node FROM ends UNION ALL SELECT b FROM ends) GROUP BY 1",
     "half_width": _TAGS + f", h AS (SELECT *, CASE WHEN w > 0 THEN w * 0.5e0 WHEN l > 0 THEN l * 1.75e0 ELSE CASE highway {_WIDTHS} ELSE 1.5e0 END END AS h FROM t) SELECT way_id, least(CASE {_HIGH} ELSE 5e0 END, greatest(CASE {_LOW} ELSE 0.75e0 END, h)) AS half_width FROM h",
     "tag_numbers": _TAGS + " SELECT way_id, CAST(l AS BIGINT) AS lanes, w AS width FROM t",
     "merge_groups": cte("way_tags") + " SELECT coalesce(highway, '') AS highway, coalesce(lanes, '') AS lanes, coalesce(width, '') AS width, coalesce(oneway, '') AS oneway, count(*) AS n FROM way_tags GROUP BY 1, 2, 3, 4",
