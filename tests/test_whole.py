@@ -57,3 +57,10 @@ def test_welds_of_all_ways(spark):
 def test_components_of_all_ways(spark):
     (r,) = road_plans.road_components_all(spark, SF).collect()
     assert r.ways == len(_all_ways(spark))
+
+
+def test_heights_of_all_parts(spark):
+    from urbanframe.plans import raster_plans
+
+    parts = layer(spark, SF, "bld").count()
+    assert raster_plans.heightmap_all(spark, SF).count() == -(-parts // 8) * 21 // 8 * 21

@@ -88,16 +88,17 @@ def cubic(t: Column, a: float = -0.5) -> Column:
 
 def resampled(grid: DataFrame, rows: int, cols: int, out_rows: int, out_cols: int) -> DataFrame:
     """(row, col, elev) of a full grid enlarged by cubic convolution; samples are centred and edges lose their weight."""
-    step = lambda n, big: [(i, k, (i + 0.5) * n / big - 0.5) for i in range(big) for k in range(int((i + 0.5) * n / big - 0.5 + 1) - 3, int((i + 0.5) * n / big - 0.5 + 1) + 3)]
     spark = grid.sparkSession
 
     def weights(n: int, big: int, out: str, into: str) -> DataFrame:
-        w = spark.createDataFrame(step(n, big), f"{out} int, {into} int, centre double").filter((F.col(into) >= 0) & (F.col(into) < n))
+        centre = ((F.col("id") + 0.5) * n / big - 0.5).alias("centre")
+        near = F.sequence(F.floor(F.col("centre")).cast("int") - 2, F.floor(F.col("centre")).cast("int") + 3)
+        w = spark.range(big).select(F.col("id").cast("int").alias(out), centre).select(out, F.explode(near).alias(into), "centre").filter((F.col(into) >= 0) & (F.col(into) < n))
         w = w.withColumn("w", cubic(F.col("centre") - F.col(into))).filter("w <> 0")
         return w.withColumn("w", F.col("w") / F.sum("w").over(Window.partitionBy(out))).select(out, into, "w")
 
-    down = grid.join(F.broadcast(weights(rows, out_rows, "r", "row")), "row").groupBy("r", "col").agg(F.sum(F.col("elev") * F.col("w")).alias("elev"))
-    across = down.join(F.broadcast(weights(cols, out_cols, "c", "col")), "col").groupBy("r", "c").agg(F.sum(F.col("elev") * F.col("w")).alias("elev"))
+    down = grid.join(weights(rows, out_rows, "r", "row"), "row").groupBy("r", "col").agg(F.sum(F.col("elev") * F.col("w")).alias("elev"))
+    across = down.join(weights(cols, out_cols, "c", "col"), "col").groupBy("r", "c").agg(F.sum(F.col("elev") * F.col("w")).alias("elev"))
     return across.select(F.col("r").alias("row"), F.col("c").alias("col"), "elev")
 
 

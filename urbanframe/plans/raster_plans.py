@@ -92,12 +92,20 @@ def height_pixels(spark, sf_dir):
 
 
 def heightmap(spark, sf_dir):
-    """The grid of every part, enlarged by cubic convolution."""
+    """The grid of the first 63 parts, enlarged by cubic convolution."""
     rows = 8
     full = table(spark, sf_dir, "part").selectExpr("CAST(floor(p_partkey / 8) AS INT) AS row", "CAST(p_partkey % 8 AS INT) AS col", "p_retailprice - 900 AS elev").filter(F.col("row") < rows)
     return R.resampled(full, rows, 8, 21, 21).select(F.col("row").cast("long").alias("r"), F.col("col").cast("long").alias("c"), F.round("elev", 5).alias("elev"))
 
 
+def heightmap_all(spark, sf_dir):
+    """The full grid of all parts, eight wide, enlarged by 21 / 8 by cubic convolution."""
+    part = table(spark, sf_dir, "part")
+    full = part.selectExpr("CAST(floor((p_partkey - 1) / 8) AS INT) AS row", "CAST((p_partkey - 1) % 8 AS INT) AS col", "p_retailprice - 900 AS elev")
+    rows = full.agg(F.max("row")).first()[0] + 1
+    return R.resampled(full, rows, 8, rows * 21 // 8, 21).select(F.col("row").cast("long").alias("r"), F.col("col").cast("long").alias("c"), F.round("elev", 5).alias("elev"))
+
+
 def _faces(spark, sf_dir):
     """Four-cornered faces; every 10th is a bow tie and every 7th a sliver."""
     s = table(spark, sf_dir, "part").selectExpr("p_partkey AS id", "p_size AS n", "CAST(p_size AS DOUBLE) AS w", "CASE WHEN p_partkey % 7 = 0 THEN 0.05e0 ELSE 1 + p_partkey % 5 END AS h", "p_partkey % 10 = 0 AS tie")
@@ -172,7 +180,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         dem_crop, dem_missing, dem_valid, dense_rank_index, idw_fill, dtm_delta, dem_quads, bilinear, terrain_sample, terrain_delta_pct,
-        snap_base, road_drape, foundation_skirt, height_pixels, heightmap, face_rows, face_qa, short_edges, normal_stats,
+        snap_base, road_drape, foundation_skirt, height_pixels, heightmap, heightmap_all, face_rows, face_qa, short_edges, normal_stats,
         bevel_corners, percentiles_by_area, check_severity, severity_total, latest_report, sampled_rows, first_colours,
     )
 }
@@ -227,6 +235,13 @@ d AS (SELECT i, k, abs(c - k) AS t FROM o),
 w AS (SELECT i, k, CASE WHEN t < 1 THEN (1.5e0 * t - 2.5e0) * t * t + 1 WHEN t < 2 THEN ((t - 5) * t + 8) * t * -0.5e0 + 2 ELSE 0 END AS w FROM d),
 n AS (SELECT i, k, w / sum(w) OVER (PARTITION BY i) AS w FROM w)
 SELECT a.i AS r, b.i AS c, round(sum(elev * a.w * b.w), 5) AS elev FROM g JOIN n a ON a.k = row JOIN n b ON b.k = col GROUP BY 1, 2""",
+    "heightmap_all": """WITH g AS (SELECT (p_partkey - 1) // 8 AS row, (p_partkey - 1) % 8 AS col, p_retailprice - 900 AS elev FROM part), m AS (SELECT max(row) + 1 AS n FROM g),
+side AS (SELECT 0 AS s, n, n * 21 // 8 AS big FROM m UNION ALL SELECT 1, 8, 21),
+o AS (SELECT s, i, (i + 0.5e0) * n / big - 0.5e0 AS c, n FROM side, unnest(range(big)) t(i)),
+d AS (SELECT s, i, k, abs(c - k) AS t FROM o, unnest(range(greatest(0, floor(c)::BIGINT - 2), least(n, floor(c)::BIGINT + 4))) t(k)),
+w AS (SELECT s, i, k, CASE WHEN t < 1 THEN (1.5e0 * t - 2.5e0) * t * t + 1 WHEN t < 2 THEN ((t - 5) * t + 8) * t * -0.5e0 + 2 ELSE 0 END AS w FROM d),
+n AS (SELECT s, i, k, w / sum(w) OVER (PARTITION BY s, i) AS w FROM w)
+SELECT a.i AS r, b.i AS c, round(sum(elev * a.w * b.w), 5) AS elev FROM g JOIN n a ON a.s = 0 AND a.k = row JOIN n b ON b.s = 1 AND b.k = col GROUP BY 1, 2""",
     "face_rows": _FACES + "SELECT id, round(a, 4) AS square_m, round(asp, 4) AS aspect, round(ang, 4) AS angle, CASE WHEN tie THEN 1 ELSE 0 END AS crossings FROM g",
     "face_qa": _FACES + """SELECT 4 AS max_verts, 0 AS ngons, count(*) FILTER (a * 10 > 750) AS large, count(*) FILTER (asp > 150) AS long_warn, count(*) FILTER (asp > 500) AS long_fail,
 count(*) FILTER (ang < 5) AS sharp_warn, count(*) FILTER (ang < 2) AS sharp_fail, count(*) FILTER (tie) AS crossed, round(max(a * 10), 4) AS max_area FROM g""",
