@@ -83,8 +83,7 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return self._encoded(texts)
-        # bytes: A-Z and the six ASCII blanks only; what may be a special token keeps its case
-        parts = [t.encode().split() if "<|" in t else t.encode().lower().split() for t in texts]
+        parts = [_words(t) for t in texts]
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
         known, rest = self.known, set()
@@ -99,6 +98,20 @@ class WordEncoder:
         return [b"".join(map(known.__getitem__, p)) for p in parts]
 
 
+def _words(text: str) -> list[bytes]:
+    """Words between the six ASCII blanks, with A-Z made small; what may be a special token keeps its case.
+
+    The tokenizer composes letters before it makes them small, and some have a composed form for the small letter only. So
+    where there are marks (U+0300 to U+037F begin with these bytes) that an ASCII letter may be composed with, words keep theirs.
+    """
+    raw = text.encode()
+    if "<|" in text:
+        return raw.split()
+    if b"\xcc" in raw or b"\xcd" in raw:
+        return [w.lower() if w.isascii() else w for w in raw.split()]
+    return raw.lower().split()
+
+
 @lru_cache(2)
 def encoder(data: str, by_word: bool) -> WordEncoder:
     return WordEncoder(data, by_word)
