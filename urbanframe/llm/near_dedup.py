@@ -4,17 +4,22 @@ Every permutation of the shingle hashes gives two signature values, its minimum
 evaluations fill the bands. Equal shingle sets are one class. Classes that share a band are candidates, and a link counts
 only after the full sets have been compared.
 
+Most candidates are left out before any text moves, by an exact bound: shingles fall into 256 classes by their hashes, and
+two sets have no more in common than the sum of the lesser counts of each class.
+
 A band that a large group of near copies shares would give a square of pairs. Only the components are wanted, so each
 round compares the members of a bucket with one leader of the bucket, drawn anew by hash, unless both are already in one
 component; components are joined after each round. A round costs a pair for each bucket member at most. When few pairs
 of different components are left in the buckets, or a round helps no more, all pairs that are left are compared: so no
 link between different components is lost, whatever the leaders were. In small buckets these pairs are joined; in large
-ones the members outside the largest component meet the bucket's members block by block, and only links come out.
+ones the members outside the largest component meet the bucket's members block by block: first their class counts, then
+the texts of those that the bound leaves, and only links come out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +27,16 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from urbanframe.llm.common import table, written
+from urbanframe.llm.common import remove, table, written
 from urbanframe.llm.substring_dedup import rolling, word_hashes
 from urbanframe.operators.components import connected_components
 
 #: A pair with a similarity of 0.8 shares none of 40 bands of 5 values with a probability of 1.3e-7.
 BANDS, ROWS = 40, 5
+#: Classes of shingles for the bound; a count of FULL stands for any from there on.
+CLASSES, FULL = 256, 255
+#: Digests of shingle sets that a task remembers, so that it sends the bands and words of equal ones once.
+REMEMBERED = 100_000
 #: Leader rounds end when the buckets hold fewer unjoined pairs than this many for each of their rows, or after MOST_ROUNDS.
 PAIRS_EACH, MOST_ROUNDS = 2, 8
 #: Buckets of more members are compared in blocks of so many.
@@ -70,30 +79,64 @@ def band_keys(x: np.ndarray) -> np.ndarray:
     return mixed.view(np.int64)
 
 
+def class_counts(x: np.ndarray) -> bytes:
+    return np.minimum(np.bincount((x >> np.uint64(8)).view(np.int64) & (CLASSES - 1), minlength=CLASSES), FULL).astype(np.uint8).tobytes()
+
+
+def may_link(a: np.ndarray, b: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows of class counts a and b leave a link possible, total being the sum of both sizes."""
+    both = np.minimum(a, b)
+    common = np.where((both == FULL).any(1), total, both.sum(1, dtype=np.int64))
+    return 100 * common >= percent * (total - common)
+
+
 def _words(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []  # bytes: A-Z and the six ASCII blanks only
 
 
 def _describe(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        zip_ = zstandard.ZstdCompressor(level=3)
+        zip_, seen = zstandard.ZstdCompressor(level=3), set()
         for b in batches:
-            counts, digests, bands, packed = [], [], [], []
+            sizes, digests, bands, counts, packed = [], [], [], [], []
+            if len(seen) > REMEMBERED:
+                seen.clear()
             for text in b.column(1).to_pylist():
                 words = _words(text)
                 x = shingle_set(words, size)
-                counts.append(len(x))
-                digests.append(xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None)
-                bands.append(band_keys(x) if len(x) else None)
-                packed.append(zip_.compress(b" ".join(words)) if len(x) else None)
+                digest = xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None
+                new = digest is not None and digest not in seen
+                seen.add(digest)
+                sizes.append(len(x))
+                digests.append(digest)
+                bands.append(band_keys(x) if new else None)
+                counts.append(class_counts(x) if new else None)
+                packed.append(zip_.compress(b" ".join(words)) if new else None)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(packed, pa.binary())],
-                ["doc_id", "n_shingles", "digest", "bands", "packed"],
+                [b.column(0), pa.array(sizes, pa.int64()), *(pa.array(v, kind) for v, kind in ((digests, pa.binary()), (bands, pa.list_(pa.int64())), (counts, pa.binary()), (packed, pa.binary())))],
+                ["doc_id", "n_shingles", "digest", "bands", "counts", "packed"],
             )
 
     return run
 
 
+def _table(column: pa.Array) -> np.ndarray:
+    """Class counts as rows."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), CLASSES)
+
+
+def _possible(percent: int):
+    """The pairs (a, b, ca, cb) of those with sizes and class counts that may be links."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            total = b.column("na").to_numpy() + b.column("nb").to_numpy()
+            good = may_link(_table(b.column("counts_a")), _table(b.column("counts_b")), total, percent)
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in ("a", "b", "ca", "cb")], ["a", "b", "ca", "cb"]).filter(pa.array(good))
+
+    return run
+
+
 def _linked(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor()
@@ -108,51 +151,86 @@ def _linked(size: int, percent: int):
 
         for batch in batches:
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            good = []
-            for u, v, p, q in zip(a, b, batch.column(2), batch.column(3), strict=True):
-                x, y = full(u, p.as_py()), full(v, q.as_py())
-                if min(len(x), len(y)) * 100 < percent * max(len(x), len(y)):
-                    good.append(False)
-                    continue
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * both >= percent * (len(x) + len(y) - both))
+            good = [_similar(full(u, p.as_py()), full(v, q.as_py()), percent) for u, v, p, q in zip(a, b, batch.column(2), batch.column(3), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return run
 
 
-def _block_links(size: int, percent: int):
-    """Links between the components of members (role 0) and queries (role 1) of each block, in rows sorted by block."""
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if min(len(x), len(y)) * 100 < percent * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
 
-    def links(rows: list[tuple]) -> set[tuple[int, int]]:
-        unzip = zstandard.ZstdDecompressor()
-        found: set[tuple[int, int]] = set()
-        members = [r for r in rows if not r[3]]
-        if not members:
-            return found
-        sets = [shingle_set(unzip.decompress(r[6]).split(), size) for r in members]
-        comps = np.array([r[5] for r in members])
-        sizes = np.array([len(x) for x in sets])
-        starts, every = np.concatenate([[0], np.cumsum(sizes)[:-1]]), np.concatenate(sets)
-        for r in rows:
-            if r[3]:
-                own = shingle_set(unzip.decompress(r[6]).split(), size)
-                at = np.minimum(np.searchsorted(own, every), len(own) - 1)
-                both = np.add.reduceat(own[at] == every, starts, dtype=np.int64)
-                good = (100 * both >= percent * (sizes + len(own) - both)) & (comps != r[5])
-                found.update((r[5], int(c)) for c in np.unique(comps[good]))
-        return found
+
+class _Block:
+    """Rows of one block (key, bm, bu, role, num, comp, n, counts, further): members have role 0 and queries 1."""
+
+    def __init__(self, rows: list[tuple], percent: int):
+        self.percent = percent
+        self.members, self.queries = [r for r in rows if not r[3]], [r for r in rows if r[3]]
+        self.comps = np.array([r[5] for r in self.members], np.int64)
+        self.sizes = np.array([r[6] for r in self.members], np.int64)
+        self.counts = np.frombuffer(b"".join(r[7] for r in self.members), np.uint8).reshape(-1, CLASSES)
+
+    def partners(self, query: tuple) -> np.ndarray:
+        """Numbers of the members of other components that may be linked with a query."""
+        own = np.frombuffer(query[7], np.uint8)[None, :]
+        return np.flatnonzero((self.comps != query[5]) & may_link(self.counts, own, self.sizes + query[6], self.percent))
+
+
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    rows: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if rows and row[:3] != rows[0][:3]:
+                yield rows
+                rows = []
+            rows.append(row)
+    if rows:
+        yield rows
+
+
+def _involved(percent: int):
+    """The rows of blocks that have a possible partner, without their class counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if rows and row[:3] != rows[0][:3]:
-                    yield _pairs(links(rows))
-                    rows = []
-                rows.append(row)
-        if rows:
-            yield _pairs(links(rows))
+        for rows in _by_block(batches):
+            block, met, out = _Block(rows, percent), set(), []
+            for query in block.queries:
+                found = block.partners(query).tolist()
+                met.update(found)
+                if found:
+                    out.append(query[:7])
+            out += [block.members[k][:7] for k in sorted(met)]
+            if out:
+                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["key", "bm", "bu", "role", "num", "comp", "n"])
+
+    return run
+
+
+def _block_links(size: int, percent: int):
+    """Links between the components of members and queries of each block; rows have packed words at the end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unzip = zstandard.ZstdDecompressor()
+        shingles = lambda r: shingle_set(unzip.decompress(r[8]).split(), size)
+        for rows in _by_block(batches):
+            block, sets, found = _Block(rows, percent), {}, set()
+            for query in block.queries:
+                own = None
+                for k in block.partners(query).tolist():
+                    link = (query[5], int(block.comps[k]))
+                    if link in found:
+                        continue
+                    own = shingles(query) if own is None else own
+                    if k not in sets:
+                        sets[k] = shingles(block.members[k])
+                    if _similar(own, sets[k], percent):
+                        found.add(link)
+            yield _pairs(found)
 
     return run
 
@@ -161,11 +239,10 @@ def _pairs(found: set[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
-def _joined(members: DataFrame, found: DataFrame) -> DataFrame:
-    """members (key, num, n, comp) after joining the components that the links (a, b) connect; found has component numbers."""
-    labels = connected_components(found, "a", "b")
-    out = members.join(labels.select(F.col("node").alias("comp"), "component"), "comp", "left")
-    return written(out.select("key", "num", "n", F.coalesce("component", "comp").alias("comp")), "members")
+def _moved(members: DataFrame, links: DataFrame) -> DataFrame:
+    """members (key, num, n, comp) after joining the components that the links (a, b) connect."""
+    labels = connected_components(links, "a", "b").select(F.col("node").alias("comp"), "component")
+    return members.join(labels, "comp", "left").select("key", "num", "n", F.coalesce("component", "comp").alias("comp"))
 
 
 def _small_pairs(mixed: DataFrame) -> DataFrame:
@@ -179,17 +256,11 @@ def _blocks(mixed: DataFrame) -> DataFrame:
     number = lambda c: F.ceil(F.col(c) / BLOCK_ROWS).cast("int")
     own = lambda c: F.pmod(F.hash("num"), number(c))
     every = lambda c: F.explode(F.sequence(F.lit(0), number(c) - 1))
-    members = mixed.select("key", own("m").alias("bm"), every("u").alias("bu"), F.lit(0).alias("role"), "num", "comp")
-    queries = mixed.filter("comp <> main").select("key", every("m").alias("bm"), own("u").alias("bu"), F.lit(1).alias("role"), "num", "comp")
+    members = mixed.select("key", own("m").alias("bm"), every("u").alias("bu"), F.lit(0).alias("role"), "num", "comp", "n")
+    queries = mixed.filter("comp <> main").select("key", every("m").alias("bm"), own("u").alias("bu"), F.lit(1).alias("role"), "num", "comp", "n")
     return members.unionByName(queries)
 
 
-def _open_pairs(members: DataFrame) -> int:
-    """The pairs of bucket members in different components, each counted for every bucket that they share."""
-    each = members.groupBy("key", "comp").agg(F.count("*").cast("double").alias("m")).groupBy("key").agg((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))).alias("p"))
-    return int((each.agg(F.sum("p")).first()[0] or 0) / 2)
-
-
 def near_components(docs: DataFrame, size: int, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Adds n_shingles, component_id and kept to every row of docs (id, text); other columns are left out.
 
@@ -201,51 +272,71 @@ def near_components(docs: DataFrame, size: int, percent: int = 80, id_col: str =
     """
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    rows = source.mapInArrow(_describe(size), f"doc_id {kind}, n_shingles long, digest binary, bands array<long>, packed binary")
+    rows = source.mapInArrow(_describe(size), f"doc_id {kind}, n_shingles long, digest binary, bands array<long>, counts binary, packed binary")
     rows = written(rows.withColumn("num", F.monotonically_increasing_id()), "sets")
 
-    classes = rows.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("num").alias("num"), F.min("doc_id").alias("least"))
+    # the first row of a set in each task has its bands; that with the smallest number stands for the set
+    classes = rows.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("num").alias("num"), F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"))
     classes = written(classes, "set-classes")
-    banded = rows.select("num", "bands").join(classes.select("num"), "num", "left_semi").select(F.explode("bands").alias("key"), "num")
-    shared = banded.groupBy("key").count().filter("count > 1").select("key")
-    buckets = banded.join(written(shared, "shared-bands"), "key", "left_semi")
-    sizes = rows.select("num", F.col("n_shingles").alias("n"))
-    members = written(buckets.join(sizes, "num").select("key", "num", "n", F.col("num").alias("comp")), "members")
-    texts = written(rows.select("num", "packed").join(members.select("num").distinct(), "num", "left_semi"), "candidate-sets")
+    # a band is of use if two different sets have it; 32 bits of their digests differ but for one pair in 4e9
+    banded = rows.filter("bands IS NOT NULL").select(F.explode("bands").alias("key"), F.hash("digest").alias("d"), "num")
+    shared = written(banded.groupBy("key").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).filter("lo <> hi").select("key"), "shared-bands")
+    buckets = banded.select("key", "num").join(shared, "key", "left_semi")
+    members = written(buckets.join(classes.select("num", "n"), "num").select("key", "num", "n", F.col("num").alias("comp")), "members")
+    texts = written(rows.select("num", "counts", "packed").join(members.select("num").distinct(), "num", "left_semi"), "candidate-sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        """The links among pairs (a, b, ca, cb), as their component numbers; pairs whose sizes differ too much are none."""
-        left, right = (texts.select(F.col("num").alias(c), F.col("packed").alias(f"packed_{c}")) for c in "ab")
-        pairs = written(pairs, "pairs")
+        """The links among pairs (a, b, na, nb, ca, cb), as their component numbers."""
+        pairs = pairs.select("a", "b", "na", "nb", "ca", "cb").distinct()
+        own, other = (texts.select(F.col("num").alias(c), F.col("counts").alias(f"counts_{c}")) for c in "ab")
+        possible = pairs.join(other, "b").join(own, "a").select("a", "b", "na", "nb", "ca", "cb", "counts_a", "counts_b")
+        pairs = written(possible.mapInArrow(_possible(percent), "a long, b long, ca long, cb long"), "pairs")
+        needed = pairs.select(F.col("a").alias("num")).union(pairs.select("b"))
+        held = texts.select("num", "packed").join(needed, "num", "left_semi")
+        left, right = (held.select(F.col("num").alias(c), F.col("packed").alias(f"packed_{c}")) for c in "ab")
         full = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "packed_a", "packed_b")
         links = full.mapInArrow(_linked(size, percent), "a long, b long")
-        return written(links.join(pairs, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "links")
+        links = written(links.join(pairs, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "links")
+        remove(pairs)
+        return links
 
     near_size = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    rows_in = members.count()
-    left, turn = _open_pairs(members), 0
-    while left > PAIRS_EACH * rows_in and turn < MOST_ROUNDS:
+    links, rows_in, before, turn = [], members.count(), 0, 0
+    while True:
         drawn = F.min(F.struct(F.xxhash64(F.lit(turn), "num").alias("h"), F.col("num"), F.col("n"), F.col("comp"))).alias("lead")
-        leaders = members.groupBy("key").agg(drawn).select("key", F.col("lead.num").alias("b"), F.col("lead.n").alias("nb"), F.col("lead.comp").alias("cb"))
-        pairs = members.join(written(leaders, "leaders"), "key").filter("comp <> cb")
-        pairs = pairs.select(F.col("num").alias("a"), "b", F.col("n").alias("na"), "nb", F.col("comp").alias("ca"), "cb").filter(near_size)
-        links = confirmed(pairs.select("a", "b", "ca", "cb").distinct())
-        members = _joined(members, links)
-        before, left, turn = left, _open_pairs(members), turn + 1
-        if left > 0.9 * before and turn > 1:
+        leaders = members.groupBy("key").agg(drawn, F.count("*").alias("m"))
+        leaders = written(leaders.filter("m > 1").select("key", "m", F.col("lead.num").alias("b"), F.col("lead.n").alias("nb"), F.col("lead.comp").alias("cb")), "leaders")
+        apart = members.join(leaders, "key").filter("comp <> cb")
+        apart = written(apart.select("key", "m", F.col("num").alias("a"), "b", F.col("n").alias("na"), "nb", F.col("comp").alias("ca"), "cb"), "apart")
+        remove(leaders)
+        left = apart.agg(F.sum("m")).first()[0] or 0  # pairs that comparing each of these rows with its whole bucket takes
+        if left <= PAIRS_EACH * rows_in or turn == MOST_ROUNDS or turn > 1 and left > 0.9 * before:
             break
+        links.append(confirmed(apart.filter(near_size)))
+        still = members.join(apart.select("key").distinct(), "key", "left_semi")  # components only grow: the other buckets are done
+        members, old = written(_moved(still, links[-1]), "members"), members
+        remove(old)
+        remove(apart)
+        before, turn = left, turn + 1
     if left:
-        counted = members.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key")
-        held = counted.agg(F.count("*").alias("comps"), F.sum("c").alias("m"), F.max(F.struct("c", "comp")).alias("top")).filter("comps > 1")
-        held = held.select("key", "m", (F.col("m") - F.col("top.c")).alias("u"), F.col("top.comp").alias("main"))
-        mixed = written(members.join(written(held, "mixed-buckets"), "key"), "mixed-members")
-        found = confirmed(_small_pairs(mixed.filter(F.col("m") <= LARGE)).filter(near_size).select("a", "b", "ca", "cb").distinct())
-        blocks = _blocks(mixed.filter(F.col("m") > LARGE)).join(texts, "num").select("key", "bm", "bu", "role", "num", "comp", "packed")
-        blocks = blocks.repartition("key", "bm", "bu").sortWithinPartitions("key", "bm", "bu", "role")
-        members = _joined(members, found.union(blocks.mapInArrow(_block_links(size, percent), "a long, b long")))
-
-    labels = members.select("num", "comp").distinct()
-    owned = classes.join(labels, "num", "left").withColumn("comp", F.coalesce("comp", "num"))
+        held = written(apart.groupBy("key").agg(F.first("m").alias("m"), F.count("*").alias("u"), F.first("cb").alias("main")), "mixed-buckets")
+        mixed = written(members.join(held, "key"), "mixed-members")
+        links.append(confirmed(_small_pairs(mixed.filter(F.col("m") <= LARGE)).filter(near_size)))
+        together = lambda df: df.repartition("key", "bm", "bu").sortWithinPartitions("key", "bm", "bu", "role")
+        parts = ["key", "bm", "bu", "role", "num", "comp", "n"]
+        counts = together(_blocks(mixed.filter(F.col("m") > LARGE)).join(texts.select("num", "counts"), "num").select(*parts, "counts"))
+        involved = written(counts.mapInArrow(_involved(percent), "key long, bm int, bu int, role int, num long, comp long, n long"), "involved")
+        blocks = together(involved.join(texts, "num").select(*parts, "counts", "packed"))
+        links.append(written(blocks.mapInArrow(_block_links(size, percent), "a long, b long"), "links"))
+        remove(mixed)
+        remove(involved)
+    remove(texts)
+    remove(members)
+
+    owned = classes.withColumn("comp", F.col("num"))
+    if links:
+        labels = connected_components(reduce(DataFrame.unionByName, links), "a", "b").select(F.col("node").alias("num"), "component")
+        owned = classes.join(labels, "num", "left").withColumn("comp", F.coalesce("component", "num"))
     least = owned.groupBy("comp").agg(F.min("least").alias("component_id"))
     fates = written(owned.join(written(least, "component-ids"), "comp").select("digest", "component_id"), "fates")
     out = rows.select("doc_id", "n_shingles", "digest").join(fates, "digest", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
