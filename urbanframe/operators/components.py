@@ -80,4 +80,4 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", f
         return nodes.withColumn("component", F.col("node"))
     rooted = nodes.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("node").alias("component"))
-    return rooted.join(written(least, "components"), "root").select("node", "component")
+    return written(rooted.join(written(least, "component-ids"), "root").select("node", "component"), "components")
