@@ -3,7 +3,11 @@
 Labelled page outcomes are counted for each host, and shrunk through beta-binomial priors: a suffix is shrunk to the rate
 of all pages, a registered domain to its suffix, a host to its registered domain. How strongly is itself learned at each
 level: the method of moments gives the correlation of outcomes within a group beyond that of its parent. A host is
-blocked if the lower bound of its posterior, mean less ``z`` standard deviations, is above ``limit``.
+blocked if the lower bound of its rate, the quantile ``TAIL`` of its beta posterior, is above ``lift`` times the rate of
+all labelled pages. So what is blocked follows from the outcomes, and few outcomes block nothing.
+
+Reputation is that of a site, the host without user, port and trailing dots; an address of numbers is a domain of its
+own.
 """
 
 from __future__ import annotations
@@ -23,8 +27,10 @@ RULES = (
     ("block", "net/fr/"),
 )
 
-#: Suffixes of two labels, under which anyone can register; a longer list can be given.
-TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.nz", "co.in")
+#: Under a country code these labels are suffixes, under which anyone can register; other suffixes of two labels can be given.
+SECOND_LEVEL = ("ac", "co", "com", "edu", "gov", "ne", "net", "or", "org")
+#: How much worse than all pages a blocked host is, the share of the posterior below its bound, and the normal quantile of that share.
+LIFT, TAIL, TAIL_Z = 1.5, 0.05, 1.6448536269514722
 
 #: Correlation within a group is kept between these, so that a prior is worth from 0.25 to 999 outcomes.
 LEAST_RHO, MOST_RHO = 0.001, 0.8
@@ -42,14 +48,26 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def suffix_of(host: Column, two_label: Sequence[str] = TWO_LABEL_SUFFIXES) -> Column:
-    last, pair = F.substring_index(host, ".", -1), F.substring_index(host, ".", -2)
-    return F.when(pair.isin(*two_label), pair).otherwise(last)
+def site_of(host: Column) -> Column:
+    """The host without user, port and trailing dots."""
+    return F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r"\.*(:[0-9]*)?$", "")
+
+
+def is_address(site: Column) -> Column:
+    return site.rlike(r"^([0-9]+(\.[0-9]+){3}|\[.*)$")
+
 
+def suffix_of(site: Column, suffixes: Sequence[str] = ()) -> Column:
+    """The last label, or two of them: a known second-level label under a country code, or one of ``suffixes``. Addresses have none."""
+    last, pair = F.substring_index(site, ".", -1), F.substring_index(site, ".", -2)
+    two = pair.rlike(rf"^({'|'.join(SECOND_LEVEL)})\.[a-z]{{2}}$") | pair.isin(*suffixes)
+    return F.when(is_address(site), "").when(two, pair).otherwise(last)
 
-def domain_of(host: Column, two_label: Sequence[str] = TWO_LABEL_SUFFIXES) -> Column:
-    pair = F.substring_index(host, ".", -2)
-    return F.when(pair.isin(*two_label), F.substring_index(host, ".", -3)).otherwise(pair)
+
+def domain_of(site: Column, suffix: Column) -> Column:
+    """The suffix and one label more; an address is a domain as it is."""
+    more = F.when(F.contains(suffix, F.lit(".")), F.substring_index(site, ".", -3)).otherwise(F.substring_index(site, ".", -2))
+    return F.when(is_address(site), site).otherwise(more)
 
 
 def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tuple[Column, Column]:
@@ -77,41 +95,58 @@ def _shrunk(df: DataFrame, parent: str, name: str) -> DataFrame:
     return df.withColumn(name, (F.col("bad") + k * F.col(parent)) / (F.col("n") + k)).withColumn(f"{name}_size", F.col("n") + k)
 
 
-def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = 1.0) -> DataFrame:
-    """One row for each non-empty host of pages (page_id, host): n, bad, bad_mean and bad_lower.
+def lower_bound(mean: Column, size: Column) -> Column:
+    """The quantile TAIL of a beta distribution by Abramowitz and Stegun 26.5.22.
+
+    That formula is for parameters above 1. Below, the bound is one that is certainly low enough: 0 for a first parameter up
+    to 1, and for a second one up to 1 the quantile at 1.
+    """
+    a, b = mean * size, (1 - mean) * size
+    p, q, least = 1 / (2 * a - 1), 1 / (2 * b - 1), (TAIL_Z**2 - 3) / 6
+    h = 2 / (p + q)
+    w = TAIL_Z * F.sqrt(h + least) / h - (q - p) * (least + 5 / 6 - 2 / (3 * h))
+    return F.when(a <= 1, 0.0).when(b <= 1, F.pow(F.lit(TAIL), 1 / a)).otherwise(a / (a + b * F.exp(2 * w)))
+
+
+def site_reputation(pages: DataFrame, outcomes: DataFrame, suffixes: Sequence[str] = ()) -> DataFrame:
+    """One row for each non-empty site of pages (page_id, site): n, bad, bad_mean, bad_lower and the rate of all pages.
 
     outcomes has page_id and bad (0 or 1). Several outcomes of a page count as the worst of them; null outcomes and those
-    of unknown pages count for nothing. Hosts without outcomes get their domain's prior. Without any outcome the rate is 0.
+    of unknown pages count for nothing. Sites without outcomes get their domain's prior. Without any outcome the rate is 0.
     """
     worst = outcomes.filter("bad IS NOT NULL AND page_id IS NOT NULL").groupBy("page_id").agg(F.max("bad").alias("bad"))
-    counts = pages.filter("host <> ''").join(worst, "page_id", "left").groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    hosts = written(counts.withColumns({"suffix": suffix_of(F.col("host")), "domain": domain_of(F.col("host"))}), "hosts")
-    total = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
-    rate = total.bad / total.n if total.n else 0.0
+    counts = pages.filter("site <> ''").join(worst, "page_id", "left").groupBy("site").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+    named = counts.withColumn("suffix", suffix_of(F.col("site"), suffixes))
+    sites = written(named.withColumn("domain", domain_of(F.col("site"), F.col("suffix"))), "sites")
+    total = sites.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
+    rate = float(total.bad / total.n) if total.n else 0.0
     sums = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
-    suffixes = _shrunk(hosts.groupBy("suffix").agg(*sums).withColumn("of_all", F.lit(float(rate))), "of_all", "of_suffix")
-    domains = hosts.groupBy("suffix", "domain").agg(*sums).join(suffixes.select("suffix", "of_suffix"), "suffix")
+    of_suffix = _shrunk(sites.groupBy("suffix").agg(*sums).withColumn("of_all", F.lit(rate)), "of_all", "of_suffix")
+    domains = sites.groupBy("suffix", "domain").agg(*sums).join(of_suffix.select("suffix", "of_suffix"), "suffix")
     domains = _shrunk(domains, "of_suffix", "of_domain").select("domain", "of_domain")
-    out = _shrunk(hosts.join(domains, "domain"), "of_domain", "bad_mean")
-    spread = F.sqrt(F.col("bad_mean") * (1 - F.col("bad_mean")) / (F.col("bad_mean_size") + 1))
-    return out.select("host", "domain", "n", "bad", "bad_mean", (F.col("bad_mean") - z * spread).alias("bad_lower"))
+    out = _shrunk(sites.join(domains, "domain"), "of_domain", "bad_mean")
+    return out.select("site", "domain", "n", "bad", "bad_mean", lower_bound(F.col("bad_mean"), F.col("bad_mean_size")).alias("bad_lower"), F.lit(rate).alias("rate"))
 
 
-def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str]] = RULES, limit: float = 0.5, z: float = 1.0) -> DataFrame:
+def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str]] = RULES, lift: float = LIFT, suffixes: Sequence[str] = ()) -> DataFrame:
     """Adds host, path, rule, verdict, bad_mean and bad_lower to pages (page_id, url, any others).
 
-    The verdict is that of the longest fitting rule, else block if the host's bad_lower is above limit, else allow. A null
-    url or one without ``://`` has empty host and path, no reputation and the verdict allow. Repeated rows stay repeated.
-    Columns of pages with the added names are replaced. A host with a third of all pages is split by the join's skew
-    handling: its side of the reputation is one row.
+    The verdict is that of the longest fitting rule, else block if the site's bad_lower is above lift times the rate of all
+    labelled pages, else allow. A null url or one without ``://`` has empty host and path, no reputation and the verdict
+    allow. Repeated rows stay repeated, and each counts for the rates. Columns of pages with the added names are replaced;
+    others, whatever their names are, pass through. A site with a third of all pages is split by the join's skew handling:
+    its side of the reputation is one row.
     """
     added = ["host", "path", "rule", "verdict", "bad_mean", "bad_lower"]
-    rest = [c for c in pages.columns if c not in added]
-    split = pages.select(*rest, host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    known = written(host_reputation(split.select("page_id", "host"), outcomes, z).select("host", "bad_mean", "bad_lower"), "reputation")
+    names = [c for c in pages.columns if c not in added]
+    kept = [f"c{k}" for k in range(len(names))]  # so that no other column's name clashes
+    split = pages.select(*(F.col(f"`{c}`").alias(k) for c, k in zip(names, kept, strict=True)), "page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    split = split.withColumn("site", site_of(F.col("host")))
+    known = written(site_reputation(split.select("page_id", "site"), outcomes, suffixes).select("site", "bad_mean", "bad_lower", "rate"), "reputation")
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
-    method = F.when(F.col("bad_lower") > limit, F.lit("block")).otherwise(F.lit("allow"))
-    return split.join(known, "host", "left").withColumns({"rule": rule, "verdict": F.coalesce(verdict, method)}).select(*rest, *added)
+    method = F.when(F.col("bad_lower") > lift * F.col("rate"), F.lit("block")).otherwise(F.lit("allow"))
+    out = split.join(known, "site", "left").withColumns({"rule": rule, "verdict": F.coalesce(verdict, method)})
+    return out.select(*(F.col(k).alias(c) for c, k in zip(names, kept, strict=True)), *added)
 
 
 def labelled_outcomes(labels: DataFrame) -> DataFrame:
@@ -132,33 +167,40 @@ def _level(name: str, rows: str, parent: str, out: str) -> str:
 {name} AS (SELECT r.*, (bad + k * {parent}) / (n + k) AS {out}, n + k AS {out}_size FROM ({rows}) r, {name}_k)"""
 
 
-def _two(host: str, n: int) -> str:
-    return f"array_to_string(list_slice(string_split({host}, '.'), -{n}, -1), '.')"
-
-
-_PAIRS = ", ".join(f"'{x}'" for x in TWO_LABEL_SUFFIXES)
 _FITS = "\n".join(f"WHEN (host = '{r.partition('/')[0]}' OR ends_with(host, '.{r.partition('/')[0]}')) AND starts_with(path, '/{r.partition('/')[2]}') THEN '{v}|{r}'" for v, r in sorted(RULES, key=lambda x: -len(x[1])))
 
 ORACLE = rf"""
-WITH p AS (
+WITH q AS (
   SELECT page_id, lower(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)) AS host,
          regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+p AS (SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), '\.*(:[0-9]*)?$', '') AS site FROM q),
 worst AS (
   SELECT doc_id, max(CASE WHEN toxic = 1 OR quality = 0 THEN 1 WHEN toxic IS NOT NULL OR quality IS NOT NULL THEN 0 END) AS bad
   FROM labels WHERE doc_id IS NOT NULL GROUP BY 1),
-hosts AS (
-  SELECT host, CASE WHEN {_two('host', 2)} IN ({_PAIRS}) THEN {_two('host', 2)} ELSE {_two('host', 1)} END AS suffix,
-         CASE WHEN {_two('host', 2)} IN ({_PAIRS}) THEN {_two('host', 3)} ELSE {_two('host', 2)} END AS domain,
+named AS (
+  SELECT site, string_split(site, '.') AS l, regexp_matches(site, '^([0-9]+(\.[0-9]+){{3}}|\[.*)$') AS numbers,
          count(bad)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS bad
-  FROM p LEFT JOIN worst ON page_id = doc_id WHERE host <> '' GROUP BY 1, 2, 3),
+  FROM p LEFT JOIN worst ON page_id = doc_id WHERE site <> '' GROUP BY 1),
+paired AS (
+  SELECT *, len(l) >= 2 AND length(l[-1]) = 2 AND regexp_matches(l[-1], '^[a-z]+$')
+            AND l[-2] IN ('ac', 'co', 'com', 'edu', 'gov', 'ne', 'net', 'or', 'org') AS two FROM named),
+hosts AS (
+  SELECT site AS host, n, bad, CASE WHEN numbers THEN '' WHEN two THEN array_to_string(l[-2:], '.') ELSE l[-1] END AS suffix,
+         CASE WHEN numbers THEN site WHEN two THEN array_to_string(l[-3:], '.') ELSE array_to_string(l[-2:], '.') END AS domain FROM paired),
 rate AS (SELECT coalesce(sum(bad) / nullif(sum(n), 0), 0) AS of_all FROM hosts),
 {_level('s', 'SELECT suffix, sum(n) AS n, sum(bad) AS bad, any_value(of_all) AS of_all FROM hosts, rate GROUP BY 1', 'of_all', 'of_suffix')},
 {_level('d', 'SELECT h.suffix, h.domain, sum(h.n) AS n, sum(h.bad) AS bad, any_value(of_suffix) AS of_suffix FROM hosts h JOIN s ON h.suffix = s.suffix GROUP BY 1, 2', 'of_suffix', 'of_domain')},
 {_level('h', 'SELECT hosts.*, of_domain FROM hosts JOIN d ON hosts.domain = d.domain', 'of_domain', 'bad_mean')},
-known AS (SELECT host, bad_mean, bad_mean - sqrt(bad_mean * (1 - bad_mean) / (bad_mean_size + 1)) AS bad_lower FROM h),
+beta AS (SELECT host, bad_mean, bad_mean * bad_mean_size AS a, (1 - bad_mean) * bad_mean_size AS b FROM h),
+-- the 5 % quantile by Abramowitz and Stegun 26.5.22, z = 1.6448536269514722, lambda = (z * z - 3) / 6
+inner_h AS (SELECT *, 2 / (1 / nullif(2 * a - 1, 0) + 1 / nullif(2 * b - 1, 0)) AS hh FROM beta),
+known AS (
+  SELECT host, bad_mean, CASE WHEN a <= 1 THEN 0.0 WHEN b <= 1 THEN pow(0.05, 1 / a) ELSE
+         a / (a + b * exp(2 * (1.6448536269514722 * sqrt(hh - 0.049076090984) / hh
+             - (1 / (2 * b - 1) - 1 / (2 * a - 1)) * (-0.049076090984 + 5.0 / 6 - 2 / (3 * hh))))) END AS bad_lower FROM inner_h),
 fit AS (SELECT *, CASE {_FITS} END AS fits FROM p)
 SELECT page_id, fit.host, path, string_split(fits, '|')[2] AS rule,
-       coalesce(string_split(fits, '|')[1], CASE WHEN bad_lower > 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
+       coalesce(string_split(fits, '|')[1], CASE WHEN bad_lower > 1.5 * of_all THEN 'block' ELSE 'allow' END) AS verdict,
        round(bad_mean, 6) AS bad_mean, round(bad_lower, 6) AS bad_lower
-FROM fit LEFT JOIN known ON fit.host = known.host
+FROM fit CROSS JOIN rate LEFT JOIN known ON fit.site = known.host
 """
