@@ -196,13 +196,13 @@ def cover_add(spark, sf_dir):
 
 
 def _targets(spark, sf_dir):
-    t = table(spark, sf_dir, "customer").filter("c_custkey % 5 = 0")
+    t = table(spark, sf_dir, "customer")
     return t.selectExpr("c_custkey AS id", "100.84e0 + c_custkey % 17 * 2e-3 AS west", "12.87e0 + c_custkey % 19 * 1e-3 AS south", "100.85e0 + c_custkey % 17 * 2e-3 AS east", "12.88e0 + c_custkey % 19 * 1e-3 AS north")
 
 
 _TARGETS = cte("clips") + """, t AS (
 SELECT c_custkey AS id, 100.84e0 + c_custkey % 17 * 2e-3 AS west, 12.87e0 + c_custkey % 19 * 1e-3 AS south, 100.85e0 + c_custkey % 17 * 2e-3 AS east, 12.88e0 + c_custkey % 19 * 1e-3 AS north
-FROM customer WHERE c_custkey % 5 = 0),
+FROM customer),
 j AS (SELECT t.id AS target, c.id AS cover, (c.east - c.west) * (c.north - c.south) AS size FROM t LEFT JOIN clips c
       ON c.west <= t.west AND c.south <= t.south AND c.east >= t.east AND c.north >= t.north)
 """
@@ -222,7 +222,7 @@ def segment_hits(spark, sf_dir):
 
 
 def pip_mask(spark, sf_dir):
-    rings = table(spark, sf_dir, "customer").selectExpr("c_custkey AS ring_id", "CAST(c_custkey * 7919 % 48 AS DOUBLE) AS cx", "CAST(c_custkey * 104729 % 38 AS DOUBLE) AS cy", "0.7003e0 + c_custkey % 3 AS s").filter("ring_id % 10 = 0")
+    rings = table(spark, sf_dir, "customer").selectExpr("c_custkey AS ring_id", "CAST(c_custkey * 7919 % 48 AS DOUBLE) AS cx", "CAST(c_custkey * 104729 % 38 AS DOUBLE) AS cy", "0.7003e0 + c_custkey % 3 AS s")
     at = lambda a, b: F.struct((F.col("cx") + a * F.col("s")).alias("x"), (F.col("cy") + b * F.col("s")).alias("y"))
     rings = rings.withColumn("ring", F.array(at(0.0, -1.0), at(1.0, 0.0), at(0.0, 1.0), at(-1.0, 0.0))).select("ring_id", "ring", *(F.expr(e) for e in ("cx - s AS min_x", "cy - s AS min_y", "cx + s AS max_x", "cy + s AS max_y")))
     points = layer(spark, sf_dir, "points").select("id", "x", F.col("z").alias("y"))
@@ -340,7 +340,7 @@ FROM segments p JOIN segments q ON p.id < q.id AND p.road <> q.road)
 SELECT a, b, round(t / det, 4) AS t, round(u / det, 4) AS u, round(ax + t / det * dx, 3) AS x, round(ay + t / det * dy, 3) AS y
 FROM d WHERE abs(det) > 1e-12 AND t / det > 0.05 AND t / det < 0.95 AND u / det > 0.05 AND u / det < 0.95""",
     # a square on its tip holds the points whose distances along the axes sum to less than its size
-    "pip_mask": cte("points") + """, r AS (SELECT CAST(c_custkey * 7919 % 48 AS DOUBLE) AS cx, CAST(c_custkey * 104729 % 38 AS DOUBLE) AS cy, 0.7003e0 + c_custkey % 3 AS s FROM customer WHERE c_custkey % 10 = 0)
+    "pip_mask": cte("points") + """, r AS (SELECT CAST(c_custkey * 7919 % 48 AS DOUBLE) AS cx, CAST(c_custkey * 104729 % 38 AS DOUBLE) AS cy, 0.7003e0 + c_custkey % 3 AS s FROM customer)
 SELECT DISTINCT id FROM points JOIN r ON abs(x - cx) + abs(z - cy) < s""",
     "zonal_mean": cte("points") + """, c AS (SELECT floor(x) AS c, floor(z) AS r, avg(value) AS v, avg(CASE WHEN kind <> 'error' THEN 1 ELSE 0 END) AS p FROM points GROUP BY 1, 2)
 SELECT CAST(floor(c / 10) AS BIGINT) AS zone_c, CAST(floor(r / 10) AS BIGINT) AS zone_r, round(avg(v), 6) AS mean_value, count(*) AS cells FROM c WHERE p > 0.5 GROUP BY 1, 2""",

@@ -129,7 +129,7 @@ def reject_accounts(spark, sf_dir):
 
 def source_priority(spark, sf_dir):
     """For each nation the first source that has rows: customers' balances, else suppliers'."""
-    a = table(spark, sf_dir, "customer").filter("c_custkey % 97 = 0").groupBy(F.col("c_nationkey").alias("k")).agg(F.count("*").alias("n"), F.lit(1).alias("priority"), F.lit("first").alias("source"))
+    a = table(spark, sf_dir, "customer").filter("c_acctbal > 9900").groupBy(F.col("c_nationkey").alias("k")).agg(F.count("*").alias("n"), F.lit(1).alias("priority"), F.lit("first").alias("source"))
     b = table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("k")).agg(F.count("*").alias("n"), F.lit(2).alias("priority"), F.lit("second").alias("source"))
     best = a.unionByName(b).groupBy("k").agg(F.min_by(F.struct("source", "n"), "priority").alias("b"))
     return best.select("k", "b.source", "b.n")
@@ -197,7 +197,7 @@ SELECT component, count(*) AS prims, min(x) AS min_x, max(x) AS max_x FROM q JOI
         "first_samples": cte("bld") + " SELECT fid, coalesce(raw_height, 0) > 0 AS valid FROM bld ORDER BY fid LIMIT 10",
         "crop_bounds": cte("dem") + " SELECT min(col * 30e0) - 50 AS min_x, max(col * 30e0) + 50 AS max_x, min(row * -30e0) - 50 AS min_z, max(row * -30e0) + 50 AS max_z FROM dem",
         "reject_accounts": cte("points") + ", j AS (SELECT count(*) AS uses FROM points GROUP BY round_even(x, 0), round_even(z, 0) HAVING count(*) >= 2) SELECT CASE WHEN uses < 3 THEN 'small' WHEN uses > 8 THEN 'complex' ELSE 'fill' END AS reason, count(*) AS n FROM j GROUP BY 1",
-        "source_priority": """WITH a AS (SELECT c_nationkey AS k, count(*) AS n FROM customer WHERE c_custkey % 97 = 0 GROUP BY 1), b AS (SELECT s_nationkey AS k, count(*) AS n FROM supplier GROUP BY 1)
+        "source_priority": """WITH a AS (SELECT c_nationkey AS k, count(*) AS n FROM customer WHERE c_acctbal > 9900 GROUP BY 1), b AS (SELECT s_nationkey AS k, count(*) AS n FROM supplier GROUP BY 1)
 SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NOT NULL THEN 'first' ELSE 'second' END AS source, coalesce(a.n, b.n) AS n FROM a FULL JOIN b ON a.k = b.k""",
     }
 

@@ -92,13 +92,6 @@ def height_pixels(spark, sf_dir):
 
 
 def heightmap(spark, sf_dir):
-    """The grid of the first 63 parts, enlarged by cubic convolution."""
-    rows = 8
-    full = table(spark, sf_dir, "part").selectExpr("CAST(floor(p_partkey / 8) AS INT) AS row", "CAST(p_partkey % 8 AS INT) AS col", "p_retailprice - 900 AS elev").filter(F.col("row") < rows)
-    return R.resampled(full, rows, 8, 21, 21).select(F.col("row").cast("long").alias("r"), F.col("col").cast("long").alias("c"), F.round("elev", 5).alias("elev"))
-
-
-def heightmap_all(spark, sf_dir):
     """The full grid of all parts, eight wide, enlarged by 21 / 8 by cubic convolution."""
     part = table(spark, sf_dir, "part")
     full = part.selectExpr("CAST(floor((p_partkey - 1) / 8) AS INT) AS row", "CAST((p_partkey - 1) % 8 AS INT) AS col", "p_retailprice - 900 AS elev")
@@ -180,10 +173,12 @@ QUERIES = {
     f.__name__: f
     for f in (
         dem_crop, dem_missing, dem_valid, dense_rank_index, idw_fill, dtm_delta, dem_quads, bilinear, terrain_sample, terrain_delta_pct,
-        snap_base, road_drape, foundation_skirt, height_pixels, heightmap, heightmap_all, face_rows, face_qa, short_edges, normal_stats,
+        snap_base, road_drape, foundation_skirt, height_pixels, heightmap, face_rows, face_qa, short_edges, normal_stats,
         bevel_corners, percentiles_by_area, check_severity, severity_total, latest_report, sampled_rows, first_colours,
     )
 }
+#: The name from the time when heightmap took the first parts.
+QUERIES["heightmap_all"] = heightmap
 
 _IDW = DEM + """, x AS (SELECT m.row AS r, m.col AS c, k.elev AS e, CAST((m.row - k.row) * (m.row - k.row) + (m.col - k.col) * (m.col - k.col) AS DOUBLE) AS d FROM dem m JOIN dem k
   ON k.row BETWEEN m.row - 4 AND m.row + 4 AND k.col BETWEEN m.col - 4 AND m.col + 4 WHERE m.masked AND NOT k.masked),
@@ -229,13 +224,7 @@ a AS (SELECT kind, count(*) AS n, count(*) FILTER (terrain IS NULL) AS misses, c
     "foundation_skirt": _SAMPLE + "SELECT id, CASE WHEN value / 2 - terrain > 0.03e0 THEN round(least(25e0, greatest(0.12e0, value / 2 - terrain)), 6) END AS depth FROM t",
     "height_pixels": DEM + """, p AS (SELECT row AS r, col AS c, CAST(trunc((elev - min(elev) OVER ()) / (max(elev) OVER () - min(elev) OVER ()) * 65535) AS INT) AS pixel FROM dem)
 SELECT r, c, pixel, pixel >> 8 AS high, pixel & 255 AS low FROM p""",
-    "heightmap": """WITH g AS (SELECT p_partkey // 8 AS row, p_partkey % 8 AS col, p_retailprice - 900 AS elev FROM part WHERE p_partkey < 64),
-o AS (SELECT i, (i + 0.5e0) * 8 / 21 - 0.5e0 AS c, k FROM range(21) a(i), range(8) b(k)),
-d AS (SELECT i, k, abs(c - k) AS t FROM o),
-w AS (SELECT i, k, CASE WHEN t < 1 THEN (1.5e0 * t - 2.5e0) * t * t + 1 WHEN t < 2 THEN ((t - 5) * t + 8) * t * -0.5e0 + 2 ELSE 0 END AS w FROM d),
-n AS (SELECT i, k, w / sum(w) OVER (PARTITION BY i) AS w FROM w)
-SELECT a.i AS r, b.i AS c, round(sum(elev * a.w * b.w), 5) AS elev FROM g JOIN n a ON a.k = row JOIN n b ON b.k = col GROUP BY 1, 2""",
-    "heightmap_all": """WITH g AS (SELECT (p_partkey - 1) // 8 AS row, (p_partkey - 1) % 8 AS col, p_retailprice - 900 AS elev FROM part), m AS (SELECT max(row) + 1 AS n FROM g),
+    "heightmap": """WITH g AS (SELECT (p_partkey - 1) // 8 AS row, (p_partkey - 1) % 8 AS col, p_retailprice - 900 AS elev FROM part), m AS (SELECT max(row) + 1 AS n FROM g),
 side AS (SELECT 0 AS s, n, n * 21 // 8 AS big FROM m UNION ALL SELECT 1, 8, 21),
 o AS (SELECT s, i, (i + 0.5e0) * n / big - 0.5e0 AS c, n FROM side, unnest(range(big)) t(i)),
 d AS (SELECT s, i, k, abs(c - k) AS t FROM o, unnest(range(greatest(0, floor(c)::BIGINT - 2), least(n, floor(c)::BIGINT + 4))) t(k)),
@@ -260,3 +249,4 @@ count(*) FILTER (status = 'pass') AS n_pass, count(*) FILTER (status = 'warn') A
     "sampled_rows": "WITH r AS (SELECT event_id AS id, row_number() OVER (ORDER BY event_id) - 1 AS r, count(*) OVER () AS n FROM events) SELECT id FROM r WHERE r % greatest(1, CAST(ceil(n / 3000.0) AS BIGINT)) = 0",
     "first_colours": "WITH c AS (SELECT vec_id, round(floor(label * 0.25e0 * 4) / 4, 4) AS red, round(label % 3 / 3e0, 4) AS green FROM embeddings) SELECT red, green, min(vec_id) AS first_seen FROM c GROUP BY 1, 2 ORDER BY 3 LIMIT 8",
 }
+ORACLE_SQL["heightmap_all"] = ORACLE_SQL["heightmap"]

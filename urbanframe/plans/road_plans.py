@@ -10,22 +10,11 @@ from urbanframe.operators.components import connected_components
 from urbanframe.plans.layers import cte, layer, planar, planar_sql, table, ways
 
 
-def _small(spark, sf_dir):
-    """The ways of every 200th order, which fall into many components; all have two nodes or more."""
-    return ways(spark, sf_dir).filter("num % 200 = 0 AND size(refs) >= 2")
-
-
 def _whole(spark, sf_dir):
     """All ways of two nodes or more."""
     return ways(spark, sf_dir).filter("size(refs) >= 2")
 
 
-_SMALL = cte("way_nodes", "way_tags") + """, w AS (SELECT way_id FROM way_tags WHERE num % 200 = 0), n0 AS (SELECT n.* FROM way_nodes n JOIN w ON w.way_id = n.way_id),
-n AS (SELECT * FROM n0 QUALIFY count(*) OVER (PARTITION BY way_id) >= 2),
-e AS (SELECT way_id, seq, ref AS src, lead(ref) OVER (PARTITION BY way_id ORDER BY seq) AS dst FROM n),
-ends AS (SELECT way_id, arg_min(ref, seq) AS a, arg_max(ref, seq) AS b FROM n GROUP BY 1)
-"""
-
 _WHOLE = cte("way_nodes") + """, n AS (SELECT * FROM way_nodes QUALIFY count(*) OVER (PARTITION BY way_id) >= 2),
 e AS (SELECT way_id, seq, ref AS src, lead(ref) OVER (PARTITION BY way_id ORDER BY seq) AS dst FROM n),
 ends AS (SELECT way_id, arg_min(ref, seq) AS a, arg_max(ref, seq) AS b FROM n GROUP BY 1)
@@ -78,31 +67,16 @@ def endpoints(spark, sf_dir):
 
 
 def road_components(spark, sf_dir):
-    out = R.connectivity(_small(spark, sf_dir))
-    return out.withColumn("largest_share", F.round("largest_share", 6))
-
-
-def node_components(spark, sf_dir):
-    nodes = _small(spark, sf_dir).select("way_id", F.posexplode("refs").alias("seq", "ref"))
-    e = R.way_edges(nodes).select(F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"))
-    return connected_components(e)
-
-
-def dangling(spark, sf_dir):
-    return R.end_degrees(_small(spark, sf_dir))
-
-
-def road_components_all(spark, sf_dir):
-    """The same for all ways, most of which are one component."""
+    """All ways, most of which are one component."""
     return R.connectivity(_whole(spark, sf_dir)).withColumn("largest_share", F.round("largest_share", 6))
 
 
-def node_components_all(spark, sf_dir):
+def node_components(spark, sf_dir):
     nodes = _whole(spark, sf_dir).select("way_id", F.posexplode("refs").alias("seq", "ref"))
     return connected_components(R.way_edges(nodes).select(F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst")))
 
 
-def dangling_all(spark, sf_dir):
+def dangling(spark, sf_dir):
     return R.end_degrees(_whole(spark, sf_dir))
 
 
@@ -189,10 +163,12 @@ QUERIES = {
     f.__name__: f
     for f in (
         way_filter_report, highway_hist, highway_top, road_coverage, way_bbox_semijoin, way_geometry, edges, endpoints, road_components,
-        node_components, dangling, road_components_all, node_components_all, dangling_all, half_width, tag_numbers, merge_groups, cum_len, tangents, junction_places, chunk_split,
+        node_components, dangling, half_width, tag_numbers, merge_groups, cum_len, tangents, junction_places, chunk_split,
         short_steps, weld_ends, chain_merge, tag_reconciliation, dropped_ways,
     )
 }
+#: Names from the time when the three took a part of the ways.
+QUERIES |= {f"{name}_all": QUERIES[name] for name in ("road_components", "node_components", "dangling")}
 
 _KINDS = ", ".join(f"'{k}'" for k in R.KINDS)
 _WIDTHS = " ".join(f"WHEN '{k}' THEN {v}e0" for k, v in R.HALF_WIDTH.items())
@@ -213,22 +189,12 @@ SELECT way_id, count(*) AS n_refs FROM r WHERE way_id IN (SELECT way_id FROM r J
     "way_geometry": cte("nodes", "way_nodes") + " SELECT way_id, count(*) AS known, round(avg(lon), 9) AS lon, round(avg(lat), 9) AS lat FROM way_nodes JOIN nodes ON id = ref GROUP BY 1",
     "edges": cte("way_nodes") + ", e AS (SELECT way_id, seq, ref AS src, lead(ref) OVER (PARTITION BY way_id ORDER BY seq) AS dst FROM way_nodes) SELECT * FROM e WHERE dst IS NOT NULL",
     "endpoints": cte("way_nodes") + " SELECT way_id, arg_min(ref, seq) AS a, arg_max(ref, seq) AS b FROM way_nodes GROUP BY 1",
-    "road_components": _SMALL.replace("WITH ", "WITH RECURSIVE ", 1) + """, both_ways AS (SELECT src AS u, dst AS v FROM e WHERE dst IS NOT NULL UNION SELECT dst, src FROM e WHERE dst IS NOT NULL),
-reach(u, v) AS (SELECT u, u FROM both_ways UNION SELECT reach.u, b.v FROM reach JOIN both_ways b ON b.u = reach.v),
-c AS (SELECT u, min(v) AS c FROM reach GROUP BY 1), s AS (SELECT c, count(*) AS n FROM ends JOIN c ON u = a GROUP BY 1),
-g AS (SELECT node, count(*) AS degree FROM (SELECT a AS node FROM ends UNION ALL SELECT b FROM ends) GROUP BY 1)
-SELECT count(*) AS components, CAST(sum(n) AS BIGINT) AS ways, max(n) AS largest_ways, round(max(n) / sum(n), 6) AS largest_share, (SELECT count(*) FROM g WHERE degree = 1) AS dangling,
-CASE WHEN max(n) / sum(n) < 0.6 AND count(*) > 1 THEN 'warn' ELSE 'pass' END AS status FROM s""",
-    "node_components": _SMALL.replace("WITH ", "WITH RECURSIVE ", 1) + """, both_ways AS (SELECT src::BIGINT AS u, dst::BIGINT AS v FROM e WHERE dst IS NOT NULL UNION SELECT dst::BIGINT, src::BIGINT FROM e WHERE dst IS NOT NULL),
-reach(u, v) AS (SELECT u, u FROM both_ways UNION SELECT reach.u, b.v FROM reach JOIN both_ways b ON b.u = reach.v)
-SELECT u AS node, min(v) AS component FROM reach GROUP BY 1""",
-    "dangling": _SMALL + " SELECT node, count(*) AS degree FROM (SELECT a AS node FROM ends UNION ALL SELECT b FROM ends) GROUP BY 1",
-    "road_components_all": _REACH + """, s AS (SELECT c, count(*) AS n FROM ends JOIN label ON u = a::BIGINT GROUP BY 1),
+    "road_components": _REACH + """, s AS (SELECT c, count(*) AS n FROM ends JOIN label ON u = a::BIGINT GROUP BY 1),
 g AS (SELECT node, count(*) AS degree FROM (SELECT a AS node FROM ends UNION ALL SELECT b FROM ends) GROUP BY 1)
 SELECT count(*) AS components, CAST(sum(n) AS BIGINT) AS ways, max(n) AS largest_ways, round(max(n) / sum(n), 6) AS largest_share, (SELECT count(*) FROM g WHERE degree = 1) AS dangling,
 CASE WHEN max(n) / sum(n) < 0.6 AND count(*) > 1 THEN 'warn' ELSE 'pass' END AS status FROM s""",
-    "node_components_all": _REACH + " SELECT u AS node, c AS component FROM label",
-    "dangling_all": _WHOLE + " SELECT node, count(*) AS degree FROM (SELECT a AS node FROM ends UNION ALL SELECT b FROM ends) GROUP BY 1",
+    "node_components": _REACH + " SELECT u AS node, c AS component FROM label",
+    "dangling": _WHOLE + " SELECT node, count(*) AS degree FROM (SELECT a AS node FROM ends UNION ALL SELECT b FROM ends) GROUP BY 1",
     "half_width": _TAGS + f", h AS (SELECT *, CASE WHEN w > 0 THEN w * 0.5e0 WHEN l > 0 THEN l * 1.75e0 ELSE CASE highway {_WIDTHS} ELSE 1.5e0 END END AS h FROM t) SELECT way_id, least(CASE {_HIGH} ELSE 5e0 END, greatest(CASE {_LOW} ELSE 0.75e0 END, h)) AS half_width FROM h",
     "tag_numbers": _TAGS + " SELECT way_id, CAST(l AS BIGINT) AS lanes, w AS width FROM t",
     "merge_groups": cte("way_tags") + " SELECT coalesce(highway, '') AS highway, coalesce(lanes, '') AS lanes, coalesce(width, '') AS width, coalesce(oneway, '') AS oneway, count(*) AS n FROM way_tags GROUP BY 1, 2, 3, 4",
@@ -242,3 +208,4 @@ SELECT way_id AS road, CAST(k AS BIGINT) AS chunk, count(*) AS n, min(seq) AS fi
     "tag_reconciliation": cte("way_tags", "bld", "dem") + " SELECT 'road' AS tag, count(*) AS n, 0 AS with_extra FROM way_tags UNION ALL SELECT 'building', count(*), 0 FROM bld UNION ALL SELECT 'terrain', count(*), count(*) FROM dem",
     "dropped_ways": cte("way_tags") + f" SELECT way_id FROM way_tags WHERE highway IS NULL OR highway NOT IN ({_KINDS})",
 }
+ORACLE_SQL |= {f"{name}_all": ORACLE_SQL[name] for name in ("road_components", "node_components", "dangling")}
