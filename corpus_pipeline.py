@@ -18,27 +18,57 @@ LEAST_SCORE = 0.3
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter and those that look like no learned language; the rest get the predicted language."""
+    """Drops texts without a letter and those that look like no learned language; the rest get the predicted language.
+
+    Every row is judged by its own text: repeated rows share a fate, null and empty texts go, and null ids are as any others.
+    Ties between languages go to the first by name. Other columns pass through. Without labelled rows nothing can be
+    learned and all rows go; an empty table stays empty.
+    """
     found = language_id.identify(docs, language_id.learn(docs))
     kept = found.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
     return kept.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_groups(docs).filter("kept").select(*docs.columns)
+    """One row of each group of texts that are equal without white space stays, whatever its id is.
+
+    It is the one with the most code points, of these the one with the smallest id (null is the last), and of repeated
+    rows any one. Null counts as an empty text, so one row without text stays. Other columns pass through; an empty table
+    stays empty.
+    """
+    return exact_dedup.exact_groups(docs).filter("first").select(*docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the smallest id; texts without words stay."""
-    gone = near_dedup.near_components(docs, SHINGLE, SIMILAR).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near copies stays: that with the smallest id (null is the last), of repeated rows any one.
+
+    Rows are judged one by one, so rows of one id with unlike texts all stay. Texts without words are like no other and
+    stay. Other columns pass through, whatever their names are; an empty table stays empty. Rows are numbered by their
+    places in docs, which must be a written table.
+    """
+    place = max(docs.columns, key=len) + "_place"
+    numbered = docs.withColumn(place, F.monotonically_increasing_id())
+    own = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(place).alias("place"))
+    judged = near_dedup.near_components(numbered.select(own.alias("doc_id"), "text"), SHINGLE, SIMILAR)
+    gone = judged.filter("NOT kept").select(F.col("doc_id.place").alias(place))
+    return numbered.join(gone, place, "left_anti").select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the rows with a passage of a benchmark item, as it is or edited.
+
+    Every row is judged by its own text: repeated rows share a fate; null and empty texts, and rows with a null id, are
+    kept if they hold no passage. Other columns pass through; an empty table stays empty, and without items all rows stay.
+    """
     return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of every row's whole text, with their number and checksum, and whether decoding and the library agree.
+
+    Each row, repeated or with a null id, gives one row; null and empty texts have no ids. Other columns of documents than
+    doc_id, lang and source are left out. An empty table stays empty.
+    """
     out = sentencepiece_codec.encode_texts(docs, sentencepiece_codec.default_model())
     return out.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "ids_crc32", "round_trip", "parity")
 
@@ -51,11 +81,12 @@ STAGES = [
     ("SentencePiece", tokens),
 ]
 
-#: No stage list with a learned classifier and a tokenizer is SQL; tests hold the rows against brute force.
+#: No stage list with a learned classifier and a tokenizer is SQL; tests hold every stage and run() against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the whole table of documents; between them rows are written to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
