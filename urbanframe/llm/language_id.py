@@ -1,7 +1,8 @@
 """Language identification by string kernels.
 
 The kernel of two texts is the blended spectrum of presence: for n from 1 to ``max_n``, the number of distinct character
-n-grams that both have, over the root of the product of their own numbers, averaged over n. Landmarks are drawn from the
+n-grams that both have, over the root of the product of their own numbers, averaged over n. Letters count in lower case,
+and all other characters as one and the same. Landmarks are drawn from the
 labelled sample (Nystroem), and one-versus-rest ridge regression on the landmark features learns a weight for each
 landmark and language. A batch of whole texts is scored by two matrix products: n-gram presence times the landmarks'
 presence, and the normalised kernel times the weights.
@@ -9,8 +10,10 @@ presence, and the normalised kernel times the weights.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,86 +24,85 @@ from pyspark.sql.window import Window
 from urbanframe.llm.common import slices, table
 
 UNKNOWN = "und"
-#: Bound of the labelled sample: rows of each language, and the number of languages.
-TRAIN_ROWS, MAX_LANGS = 400, 64
-#: Landmarks of each language (in all at most MAX_LANDMARKS), n-gram sizes, ridge, and how sharply the outputs are turned into shares.
+#: Bound of the labelled sample: rows of each language, fewer if all languages together would have more than MAX_TRAIN.
+TRAIN_ROWS, MAX_TRAIN = 400, 25_600
+#: Landmarks of each language (fewer, but one at least, if all together would be more than MAX_LANDMARKS), n-gram sizes,
+#: ridge, and how sharply the outputs are turned into shares.
 LANDMARKS, MAX_LANDMARKS, MAX_N, RIDGE, SHARPNESS = 24, 512, 3, 1e-3, 6.0
-#: Letters of the landmarks get symbols of their own up to this many; all other characters share one.
-MAX_SYMBOLS = 62
 BATCH = 64
+#: Bits of a character in the code of an n-gram; three fit into 63. Tables of flags have so many places at most.
+BITS, MOST_FLAGS = 21, 1 << 22
 
 
 def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
 
-@dataclass(frozen=True)
-class Kernel:
-    """N-gram presence over an alphabet: symbol 0 is any other character; codes of n-grams are numbers in base ``base``."""
+@lru_cache(1)
+def _is_letter() -> np.ndarray:
+    return np.fromiter((chr(c).isalpha() for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
 
-    letters: str
-    max_n: int
 
-    @property
-    def base(self) -> int:
-        return len(self.letters) + 1
-
-    def symbols(self, text: str) -> np.ndarray:
-        points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-        top = max(map(ord, self.letters), default=0) + 1
-        index = np.zeros(top + 1, np.int32)
-        index[[ord(c) for c in self.letters]] = np.arange(1, self.base)
-        return index[np.minimum(points, top)]
-
-    def grams(self, text: str, flags: list[np.ndarray]) -> list[np.ndarray]:
-        """The distinct codes for each n; flags are all-false work arrays of base ** n."""
-        s = self.symbols(text)
-        code, out = s, []
-        for n in range(1, self.max_n + 1):
+def grams(texts: Sequence[str], max_n: int) -> list[list[np.ndarray]]:
+    """For each text and n the sorted codes of its different n-grams."""
+    points = [np.frombuffer(t.lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) for t in texts]
+    every = np.concatenate(points) if points else np.zeros(0, np.int64)
+    letters, number = np.unique(np.where(_is_letter()[every], every, 0), return_inverse=True)
+    base, at, out = len(letters), 0, [[] for _ in texts]
+    flags = [np.zeros(base**n, bool) if base**n <= MOST_FLAGS else None for n in range(1, max_n + 1)]
+    for own, p in zip(out, points, strict=True):
+        s = number[at : at + len(p)]
+        at += len(p)
+        code = s  # n-grams as numbers in the base of the letters of these texts
+        for n, flag in enumerate(flags, 1):
             if n > 1:
-                code = code[:-1] * self.base + s[n - 1 :] if len(s) >= n else s[:0]
-            flags[n - 1][code] = True
-            found = np.flatnonzero(flags[n - 1])
-            flags[n - 1][found] = False
-            out.append(found)
-        return out
-
-    def work(self) -> list[np.ndarray]:
-        return [np.zeros(self.base**n, bool) for n in range(1, self.max_n + 1)]
+                code = code[:-1] * base + s[n - 1 :] if len(s) >= n else s[:0]
+            if flag is None:
+                found = np.unique(code)
+            else:
+                flag[code] = True
+                found = np.flatnonzero(flag)
+                flag[found] = False
+            whole, rest = np.zeros(len(found), np.int64), found
+            for k in range(n):
+                whole |= letters[rest % base] << (BITS * k)
+                rest = rest // base
+            own.append(whole)
+    return out
 
 
 @dataclass(frozen=True)
 class Model:
-    kernel: Kernel
+    max_n: int
     langs: tuple[str, ...]
-    columns: tuple[np.ndarray, ...]  # for each n: column of a code, -1 where no landmark has it
-    presence: np.ndarray  # landmarks x columns, as bits
-    width: tuple[int, ...]  # columns for each n
-    sizes: np.ndarray  # landmarks x n, distinct n-grams
+    codes: tuple[np.ndarray, ...]  # for each n: the sorted codes that landmarks have
+    presence: np.ndarray  # landmarks x codes of all n, as bits
+    sizes: np.ndarray  # landmarks x n, different n-grams
     weights: np.ndarray  # landmarks + 1 x languages
 
     def features(self, texts: Sequence[str]) -> np.ndarray:
         """The kernel of every text with every landmark."""
-        landmarks = np.unpackbits(self.presence, axis=1, count=sum(self.width)).astype(np.float32)
+        width = [len(c) for c in self.codes]
+        landmarks = np.unpackbits(self.presence, axis=1, count=sum(width)).astype(np.float32)
         out = np.zeros((len(texts), len(self.sizes)), np.float32)
-        work = self.kernel.work()
         for at in range(0, len(texts), BATCH):
             part = texts[at : at + BATCH]
-            x = np.zeros((len(part), sum(self.width)), np.float32)
-            own = np.zeros((len(part), self.kernel.max_n), np.float32)
-            for i, text in enumerate(part):
+            x = np.zeros((len(part), sum(width)), np.float32)
+            own = np.zeros((len(part), self.max_n), np.float32)
+            for i, found in enumerate(grams(part, self.max_n)):
                 offset = 0
-                for n, codes in enumerate(self.kernel.grams(text, work)):
+                for n, (codes, known) in enumerate(zip(found, self.codes, strict=True)):
                     own[i, n] = len(codes)
-                    c = self.columns[n][codes]
-                    x[i, offset + c[c >= 0]] = 1
-                    offset += self.width[n]
+                    if len(known):
+                        k = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+                        x[i, offset + k[known[k] == codes]] = 1
+                    offset += len(known)
             offset = 0
-            for n, w in enumerate(self.width):
+            for n, w in enumerate(width):
                 shared = x[:, offset : offset + w] @ landmarks[:, offset : offset + w].T
                 out[at : at + BATCH] += shared / np.sqrt(np.maximum(own[:, n, None] * self.sizes[None, :, n], 1))
                 offset += w
-        return out / self.kernel.max_n
+        return out / self.max_n
 
     def predict(self, texts: Sequence[str | None]) -> tuple[list[str], np.ndarray]:
         """A language and a score from 0 to 1 for each text; und and 0 for null and for texts without a letter."""
@@ -122,30 +124,16 @@ def fit(rows: Iterable[tuple[str, str]], landmarks: int = LANDMARKS, max_n: int
     langs = tuple(sorted({lang for _, lang in rows}))
     each = max(1, min(landmarks, MAX_LANDMARKS // max(1, len(langs))))
     chosen = [t for lang in langs for t in [x for x, y in rows if y == lang][:each]]
-    count: dict[str, int] = {}
-    for text in chosen:
-        for c in set(text.lower()):
-            if c.isalpha():
-                count[c] = count.get(c, 0) + 1
-    letters = " " + "".join(sorted(sorted(count, key=lambda c: (-count[c], c))[: MAX_SYMBOLS - 1]))
-    kernel = Kernel(letters, max_n)
-    work = kernel.work()
-    grams = [kernel.grams(t, work) for t in chosen]
-    columns, width = [], []
-    for n in range(max_n):
-        column = np.full(kernel.base ** (n + 1), -1, np.int32)
-        codes = np.unique(np.concatenate([g[n] for g in grams])) if grams else np.zeros(0, np.int64)
-        column[codes] = np.arange(len(codes))
-        columns.append(column)
-        width.append(len(codes))
-    presence = np.zeros((len(chosen), sum(width)), np.uint8)
-    for i, g in enumerate(grams):
+    found = grams(chosen, max_n)
+    codes = tuple(np.unique(np.concatenate([g[n] for g in found])) if found else np.zeros(0, np.int64) for n in range(max_n))
+    presence = np.zeros((len(chosen), sum(map(len, codes))), np.uint8)
+    for i, g in enumerate(found):
         offset = 0
         for n in range(max_n):
-            presence[i, offset + columns[n][g[n]]] = 1
-            offset += width[n]
-    sizes = np.array([[len(x) for x in g] for g in grams], np.float32).reshape(len(chosen), max_n)
-    model = Model(kernel, langs, tuple(columns), np.packbits(presence, axis=1), tuple(width), sizes, np.zeros((len(chosen) + 1, len(langs)), np.float32))
+            presence[i, offset + np.searchsorted(codes[n], g[n])] = 1
+            offset += len(codes[n])
+    sizes = np.array([[len(x) for x in g] for g in found], np.float32).reshape(len(chosen), max_n)
+    model = Model(max_n, langs, codes, np.packbits(presence, axis=1), sizes, np.zeros((len(chosen) + 1, len(langs)), np.float32))
     if not rows:
         return model
     k = model.features([t for t, _ in rows]).astype(float)
@@ -159,20 +147,26 @@ def fit(rows: Iterable[tuple[str, str]], landmarks: int = LANDMARKS, max_n: int
     a = phi.T @ (phi * share) + ridge * np.eye(phi.shape[1])
     w = np.linalg.solve(a, phi.T @ (y * share))
     weights = np.vstack([half @ w[:-1], w[-1:]]).astype(np.float32)
-    return Model(kernel, langs, model.columns, model.presence, model.width, sizes, weights)
+    return replace(model, weights=weights)
 
 
 def labelled_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int = TRAIN_ROWS) -> list[tuple[str, str]]:
-    """At most ``rows`` texts of each language and at most MAX_LANGS languages, in the order of a hash of the id.
+    """At most ``rows`` texts of each language, in the order of a hash of the id; fewer if all would be more than MAX_TRAIN.
 
-    The ids are chosen without reading texts (each task keeps that many for each language before the exchange); then the
-    chosen texts are read whole.
+    Languages are counted over all rows. Of each one only the ids are exchanged whose hash is below a share that leaves
+    three times as many as are wanted, so their number doesn't grow with the table; then the chosen texts are read whole.
     """
-    langs = [r[0] for r in docs.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MAX_LANGS).collect()]
-    order = Window.partitionBy(lang_col).orderBy(F.xxhash64(id_col), id_col)
-    ids = docs.filter(F.col(lang_col).isin(langs)).select(id_col, lang_col).withColumn("__r", F.row_number().over(order)).filter(F.col("__r") <= rows).select(id_col).distinct()
-    found = docs.join(F.broadcast(ids), id_col).select(id_col, lang_col, F.col(text_col).alias("t")).orderBy(F.xxhash64(id_col), id_col, lang_col, "t").limit(rows * MAX_LANGS)
-    return [(r.t, r[lang_col]) for r in found.collect()]
+    spark, low_bits = docs.sparkSession, (1 << 32) - 1
+    counts = {r[0]: r[1] for r in docs.groupBy(lang_col).count().collect()}
+    rows = max(1, min(rows, MAX_TRAIN // max(1, len(counts))))
+    shares = spark.createDataFrame([(lang, int(min(1.0, (3 * rows + 50) / n) * (1 << 32))) for lang, n in counts.items()], "lang string, below long")
+    own = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"))
+    few = own.join(F.broadcast(shares), "lang").filter(F.col("h").bitwiseAND(low_bits) < F.col("below"))
+    order = Window.partitionBy("lang").orderBy(F.col("h").bitwiseAND(low_bits), "id")
+    ids = few.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= rows).select("id").distinct()
+    texts = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("t"))
+    found = texts.join(F.broadcast(ids), "id").orderBy(F.xxhash64("id"), "id", "lang", "t").limit(MAX_TRAIN + len(counts))
+    return [(r.t, r.lang) for r in found.collect()]
 
 
 def held_out(id_col: str = "doc_id"):
