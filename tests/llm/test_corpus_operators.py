@@ -11,7 +11,7 @@ import pytest
 from urbanframe.llm import chat_format, decontamination, exact_dedup, language_id, near_dedup, sentencepiece_codec, sharding, substring_dedup, token_store, url_filter
 from urbanframe.llm.common import new_path
 
-CLASH = "keep_id long, shard int, lang_pred string, ids string, kept string, n_words string, digest string, num string, decoded string, size string"
+CLASH = "hash long, norm string, rank int, best string, head string, h long, id string, part string, place int, to int, row long, row_no long, c0 long, keep_id long, shard int, lang_pred string, ids string, kept string, n_words string, digest string, num string, decoded string, size string"
 
 
 def _texts() -> list[tuple[int | None, str | None]]:
@@ -45,14 +45,19 @@ def _blank(text):
 def test_exact(docs, none):
     got = exact_dedup.exact_groups(docs, heavy_parts=4).collect()
     assert len(got) == len(ROWS) and exact_dedup.exact_groups(none).count() == 0
-    groups = {}
+    groups, firsts = {}, {}
     for d, t in ROWS:
         groups.setdefault(_blank(t), []).append((-len(t or ""), d if d is not None else 10**9, d))
     for r in got:
         members = groups[_blank(r.text)]
         assert (r.group_size, r.keep_id) == (len(members), min(members, key=lambda m: m[:2])[2])
         assert r.kept == (r.doc_id == r.keep_id)
+        firsts[_blank(r.text)] = firsts.get(_blank(r.text), 0) + r.first
+        assert r.kept or not r.first
         assert r.text_sha256 == hashlib.sha256(_blank(r.text).encode()).hexdigest()
+    assert set(firsts.values()) == {1} and all(r.hash is None and r.row is None and r.c0 is None for r in got)
+    few = docs.select(docs.doc_id.cast("string").alias("doc_id"), "text")
+    assert {r.keep_id for r in exact_dedup.exact_groups(few.filter("doc_id IN ('20', '22')")).collect()} == {"20"}
 
 
 @pytest.mark.parametrize("law", ["bytes", "rows"])
@@ -162,16 +167,66 @@ def test_urls(spark):
     rows = [(1, None), (2, "no scheme"), (3, "HTTP://A.Example.COM/en/x?q#f"), (4, "http://www.example.com/en/"), (5, "http://b.net/es/1"), (6, "http://b.net"), (7, "https://x.org#a"), (None, "http://b.net/fr/"), (8, "http://bad.org/1"), (8, "http://bad.org/1")]
     pages = spark.createDataFrame([(i, u, "h") for i, u in rows], "page_id long, url string, host string")
     outcomes = spark.createDataFrame([(8, 1), (8, 0), (6, 0), (None, 1), (3, None)], "page_id long, bad int")
-    got = {r.page_id: r for r in url_filter.judge_urls(pages, outcomes, limit=0.3, z=0.1).collect()}
+    got = {r.page_id: r for r in url_filter.judge_urls(pages, outcomes).collect()}
     assert (got[1].host, got[1].path, got[1].rule, got[1].verdict) == ("", "", None, "allow") and got[2].host == ""
     assert (got[3].host, got[3].path, got[3].rule, got[3].verdict) == ("a.example.com", "/en/x", "example.com/en/", "block")
     assert (got[4].rule, got[4].verdict) == ("www.example.com/en/", "allow") and (got[5].rule, got[5].verdict) == ("net/es/", "block")
     assert (got[6].path, got[6].rule) == ("", None) and got[7].host == "x.org" and got[None].rule == "net/fr/"
-    assert got[8].bad_lower > got[7].bad_lower - 1 and url_filter.judge_urls(pages, outcomes).count() == len(rows)
+    assert url_filter.judge_urls(pages, outcomes).count() == len(rows)
     assert url_filter.judge_urls(pages.filter("page_id = 99"), outcomes.limit(0)).count() == 0
     assert {r.verdict for r in url_filter.judge_urls(pages, outcomes.limit(0), rules=()).collect()} == {"allow"}
 
 
+def _quantile(a, b, share=0.05):
+    """Of a beta distribution, by summing its density."""
+    x = (np.arange(200_000) + 0.5) / 200_000
+    density = np.exp((a - 1) * np.log(x) + (b - 1) * np.log1p(-x))
+    return x[np.searchsorted(np.cumsum(density) / density.sum(), share)]
+
+
+def test_beta_quantile(spark):
+    from pyspark.sql import functions as F
+
+    params = [(a, b) for a in (0.3, 1.2, 2.0, 5.0, 40.0, 300.0) for b in (0.3, 1.2, 2.0, 5.0, 40.0, 300.0)]
+    df = spark.createDataFrame([(a, b, a / (a + b), float(a + b)) for a, b in params], "a double, b double, mean double, size double")
+    for r in df.withColumn("low", url_filter.lower_bound(F.col("mean"), F.col("size"))).collect():
+        exact = _quantile(r.a, r.b)
+        assert r.low <= exact + 0.005 and (min(r.a, r.b) <= 1 or abs(r.low - exact) < 0.03), (r, exact)
+
+
+def test_reputation_blocks(spark):
+    """A bad host, a bad domain and a bad suffix are blocked by the method alone, and unseen hosts with their parents."""
+    rows, bad = [], []
+
+    def pages(host, n, share, labelled=True):
+        for k in range(n):
+            rows.append((len(rows), f"http://{host}/p{k}"))
+            if labelled:
+                bad.append((len(rows) - 1, int(k < share * n)))
+
+    for d in range(30):
+        pages(f"www.good{d}.org", 20, 0.05)
+    pages("www.good1.org:8080", 20, 0.05)
+    pages("bad.mixed.org", 40, 0.95)
+    pages("fine.mixed.org", 40, 0.05)
+    for h in range(8):
+        pages(f"h{h}.spam.co.uk", 20, 0.9)
+        pages(f"h{h}.clean.co.uk", 20, 0.05)
+        pages(f"shop{h}.zzz.", 30, 0.95)
+        pages(f"10.0.0.{h}", 10, 0.05)
+    pages("new.spam.co.uk", 1, 0, labelled=False)
+    pages("new.clean.co.uk", 1, 0, labelled=False)
+    pages("new.zzz", 1, 0, labelled=False)
+    pages("user:pw@BAD.mixed.org:99", 1, 0, labelled=False)
+    df, outcomes = spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(bad, "page_id long, bad int")
+    got = {}
+    for r in url_filter.judge_urls(df, outcomes, rules=()).collect():
+        got.setdefault(r.host, set()).add(r.verdict)
+    blocked = {h for h, v in got.items() if v == {"block"}}
+    expected = {"bad.mixed.org", "user:pw@bad.mixed.org:99", "new.zzz", "new.spam.co.uk"} | {f"h{h}.spam.co.uk" for h in range(8)} | {f"shop{h}.zzz." for h in range(8)}
+    assert blocked == expected and all(v == {"allow"} for h, v in got.items() if h not in expected)
+
+
 def test_chat(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "yo"), (2, 0, "user", "hi"), (3, 0, "user", "hi"), (3, 1, "assistant", "yo"), (4, 0, None, None), (5, 0, "user", "a<|im_end|>b"), (5, 0, "user", "a<|im_end|>b"), (None, 0, "user", "lost"), (6, None, "user", ""), (7, 0, "user", "hi"), (7, 1, "assistant", "no")]
     turns = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, k int")
@@ -212,9 +267,13 @@ def test_token_store(docs, none, spark):
     assert token_store.read_digests(spark, token_store.write_store(none, new_path(spark, "store"), file)).count() == 0
 
 
-def test_joined_crc():
-    a, b = b"some bytes", b"and others" * 100
-    assert token_store.joined_crc(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
+def test_joined_crcs():
+    rng = np.random.default_rng(2)
+    strings = [[rng.bytes(n) for n in sizes] for sizes in ([], [5], [0, 7, 0], [1000, 1, 70_000, 3], [])]
+    pieces = [p for s in strings for p in s]
+    crcs, sizes = np.array([zlib.crc32(p) for p in pieces]), np.array([len(p) for p in pieces])
+    got = token_store.joined_crcs(crcs, sizes, np.cumsum([len(s) for s in strings]))
+    assert got.tolist() == [zlib.crc32(b"".join(s)) for s in strings]
 
 
 def test_leaks(docs, none, spark):

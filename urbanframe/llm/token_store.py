@@ -14,17 +14,19 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from unicodedata import is_normalized
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from urbanframe.llm.common import new_path, prefix_sums, remove, table, written
+from urbanframe.llm.common import new_path, prefix_sums, remove, slices, table, written
 from urbanframe.llm.substring_dedup import rolling
 
 #: A chunk ends where the hash of the last SPAN ids has no bits of CUT; it has LEAST to MOST ids, the last one maybe fewer.
@@ -32,20 +34,26 @@ SPAN, CUT, LEAST, MOST = 8, 0x1FF, 128, 4096
 END_ID = 1
 #: Words that a worker remembers with their ids, in each of two generations.
 REMEMBERED = 300_000
-#: Letters below this one are Latin. Byte-level models spell bytes that don't print by letters from 256 on, in order.
-LATIN_END = "\u0250"
+#: Small Latin letters, all in composed form, and those that become one of them.
+SMALL = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c == c.lower())
+LATIN = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and len(c.lower()) == 1 and c.lower() in SMALL)
+#: ASCII marks that can't be part of a contraction or a special token.
+MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in "'<|>")
+#: Byte-level models spell bytes that don't print by letters from 256 on, in order.
 _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
 BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 CHUNKS, RECIPES = "chunks", "recipes"
 #: Reversed polynomial of CRC-32, a fixed value.
 POLYNOMIAL = 0xEDB88320
+#: A document has fewer than 2 to this power bytes of ids.
+LENGTH_BITS = 44
 
 
 class WordEncoder:
     """Encodes texts with a tokenizer of the tokenizers library.
 
     With ``by_word`` the tokenizer must lower-case texts, drop ASCII blanks, never look across them, and end a run of
-    letters at a full stop or comma. Then a text's ids are those of its words in a row, and a word that was met before is
+    letters at a mark. Then a text's ids are those of its words in a row, and a word that was met before is
     looked up. A new word of lower-case Latin letters goes to the tokenizer's model at once, as the steps before it would
     leave it alone but for the spelling of its bytes. Otherwise whole texts are encoded.
     """
@@ -57,59 +65,71 @@ class WordEncoder:
         self.tokenizer, self.by_word = Tokenizer.from_str(data), by_word
         self.model = self.tokenizer.model
         # two generations: what was used since the last full one stays
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-        self.marks: dict[bytes, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _letters(self, word: bytes) -> bytes | None:
-        """The ids of Latin letters and the stops and commas after them, by the model; null for other words."""
-        letters = word.rstrip(b".,")
-        text = letters.decode()
-        if not text.isalpha() or max(text) >= LATIN_END or text != text.lower() or not is_normalized("NFC", text):
-            return None
-        ids = b"".join(t.id.to_bytes(4, "little") for t in self.model.tokenize(letters.decode("latin-1").translate(BYTE_LETTERS)))
-        if len(letters) == len(word):
-            return ids
-        mark = word[len(letters) :]
-        if mark not in self.marks:
-            if len(self.marks) > 10_000:
-                self.marks.clear()
-            self.marks[mark] = self._encoded([mark.decode()])[0]
-        return ids + self.marks[mark]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.by_word:
-            return self._encoded(texts)
-        parts = [_words(t) for t in texts]
+    def _looked_up(self, words: list[str], letters: list[bool]) -> list[bytes]:
+        """The ids of different words. The model gets new ones of small Latin letters at once, the tokenizer all others."""
         if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
-        known, rest = self.known, set()
-        for word in {w for p in parts for w in p if w not in known}:
-            ids = self.older.get(word) or self._letters(word)
-            if ids is None:
-                rest.add(word)
+            self.known, self.older = {"": b""}, self.known
+        known, older, ascii_, other, rest = self.known, self.older, [], [], []
+        out = [*map(known.get, words)]
+        for k in [k for k, x in enumerate(out) if x is None]:
+            word = words[k]
+            if word in older:
+                known[word] = older[word]
             else:
-                known[word] = ids
-        new = sorted(rest)
-        known.update(zip(new, self._encoded([w.decode() for w in new]), strict=True))
-        return [b"".join(map(known.__getitem__, p)) for p in parts]
-
-
-def _words(text: str) -> list[bytes]:
-    """Words between the six ASCII blanks, with A-Z made small; what may be a special token keeps its case.
-
-    The tokenizer composes letters before it makes them small, and some have a composed form for the small letter only. So
-    where there are marks (U+0300 to U+037F begin with these bytes) that an ASCII letter may be composed with, words keep theirs.
+                (rest if not letters[k] else ascii_ if word.isascii() else other).append(word)
+        spelt = " ".join(other).encode().decode("latin-1").translate(BYTE_LETTERS | {32: 32}).split(" ") if other else []
+        ids, stops, tokenize = [], [0], self.model.tokenize
+        for word in chain(ascii_, spelt):
+            ids += [t.id for t in tokenize(word)]
+            stops.append(4 * len(ids))
+        raw = np.array(ids, "<u4").tobytes()
+        known.update(zip(ascii_ + other, [raw[a:b] for a, b in pairwise(stops)], strict=True))
+        known.update(zip(rest, self._encoded(rest), strict=True))
+        return [known[w] if x is None else x for w, x in zip(words, out, strict=True)]
+
+    def encode(self, texts: pa.Array, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a column of texts in a row, each text's followed by end, and the ends of the texts in them."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        if not self.by_word:
+            ids = [x + end for x in self._encoded(texts.to_pylist())]
+            return np.frombuffer(b"".join(ids), "<u4"), np.cumsum([len(x) // 4 for x in ids], dtype=np.int64)
+        split = pc.ascii_split_whitespace(pc.if_else(_keeps_case(texts), texts, pc.ascii_lower(texts)))
+        coded, ends = split.flatten().dictionary_encode(), split.offsets.to_numpy()[1:] - split.offsets.to_numpy()[0]
+        words = coded.dictionary
+        # letters, and the marks after them, are looked up on their own
+        parted = pc.match_substring_regex(words, f"^[{LATIN}]+[{re.escape(MARKS)}]*$")
+        stems, marks = pc.if_else(parted, pc.utf8_lower(pc.utf8_rtrim(words, MARKS)), words), pc.if_else(parted, pc.utf8_ltrim(words, LATIN), "")
+        parts = pa.concat_arrays([stems, marks]).dictionary_encode()
+        known = self._looked_up(*(x.to_numpy(zero_copy_only=False).tolist() for x in (parts.dictionary, pc.match_substring_regex(parts.dictionary, f"^[{SMALL}]+$"))))
+        pool, lengths = np.frombuffer(b"".join([*known, end]), "<u4"), np.fromiter(map(len, [*known, end]), np.int64, len(known) + 1) // 4
+        two = parts.indices.to_numpy().reshape(2, len(words)).T
+        pool, upto = _runs(pool, lengths, np.append(two.ravel(), len(known)))  # the end is a word of its own, the last
+        lengths = np.diff(np.append(upto[1:-1:2], upto[-1]), prepend=0)
+        ids, upto = _runs(pool, lengths, np.insert(coded.indices.to_numpy(), ends, len(words)))
+        return ids, upto[ends + np.arange(len(ends))]
+
+
+def _runs(pool: np.ndarray, lengths: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of a pool, which are of the given lengths, by their numbers, and where each run ends."""
+    own = lengths[number]
+    upto = np.cumsum(own)
+    first = (np.cumsum(lengths) - lengths)[number] - upto + own
+    return pool[np.repeat(first, own) + np.arange(upto[-1] if len(upto) else 0)], upto
+
+
+def _keeps_case(texts: pa.Array) -> pa.Array:
+    """Which texts the tokenizer must get as they are; in the others A-Z can be made small before.
+
+    They may have special tokens, or marks (U+0300 to U+036F) that a letter may be composed with: the tokenizer composes
+    letters before it makes them small, and some have a composed form for the small letter only.
     """
-    raw = text.encode()
-    if "<|" in text:
-        return raw.split()
-    if b"\xcc" in raw or b"\xcd" in raw:
-        return [w.lower() if w.isascii() else w for w in raw.split()]
-    return raw.lower().split()
+    return pc.or_(pc.match_substring(texts, "<|"), pc.match_substring_regex(texts, "[\u0300-\u036f]"))
 
 
 @lru_cache(2)
@@ -117,20 +137,30 @@ def encoder(data: str, by_word: bool) -> WordEncoder:
     return WordEncoder(data, by_word)
 
 
-def cuts(ids: np.ndarray) -> list[int]:
-    """Ends of the chunks of a stream of ids; they depend on the ids around them, not on their place."""
-    ends, at, n = [], 0, len(ids)
+def cuts(ids: np.ndarray, stops: np.ndarray) -> list[list[int]]:
+    """Ends of the chunks of each stream of ids; they depend on the ids around them, not on their place.
+
+    Streams stand in a row in ids, and stops are their ends.
+    """
     h = rolling(ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(0xD6E8FEB86659FD93), SPAN)
     h = (h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(40)
     marks = np.flatnonzero((h & np.uint64(CUT)) == 0) + SPAN
-    for mark in [*marks.tolist(), n]:
-        while mark - at > MOST:
-            at += MOST
-            ends.append(at)
-        if mark - at >= LEAST or mark == n and mark > at:
-            ends.append(mark)
-            at = mark
-    return ends
+    starts = np.concatenate([np.zeros(1, np.int64), stops[:-1]])
+    stream = np.searchsorted(stops, marks, "left")
+    good = marks - SPAN >= starts[stream]  # the ids that were hashed are of one stream
+    marks, bounds = marks[good].tolist(), np.searchsorted(stream[good], np.arange(len(stops) + 1)).tolist()
+    out = []
+    for k, (at, stop) in enumerate(zip(starts.tolist(), stops.tolist(), strict=True)):
+        ends: list[int] = []
+        for mark in (*marks[bounds[k] : bounds[k + 1]], stop):
+            while mark - at > MOST:
+                at += MOST
+                ends.append(at)
+            if mark - at >= LEAST or mark == stop and mark > at:
+                ends.append(mark)
+                at = mark
+        out.append(ends)
+    return out
 
 
 def merkle_root(hashes: list[bytes]) -> bytes:
@@ -161,48 +191,59 @@ def _times(a: int, b: int) -> int:
     return out
 
 
-@lru_cache(65536)
-def _shift(n_bytes: int) -> int:
-    """x to the power 8 * n_bytes, by squaring."""
-    out, square = 1 << 31, 1 << 23
-    while n_bytes:
-        if n_bytes & 1:
-            out = _times(square, out)
+@lru_cache(1)
+def _shifts() -> np.ndarray:
+    """For each k, each of the four bytes of a checksum and each value of it: that times x to the power 8 * 2 ** k."""
+    out, square = np.zeros((LENGTH_BITS, 4, 256), np.uint32), 1 << 23
+    for k in range(LENGTH_BITS):
+        for byte in range(4):
+            for bit in range(8):
+                out[k, byte, 1 << bit : 2 << bit] = out[k, byte, : 1 << bit] ^ np.uint32(_times(square, 1 << 8 * byte + bit))
         square = _times(square, square)
-        n_bytes >>= 1
     return out
 
 
-def joined_crc(first: int, second: int, n_second: int) -> int:
-    """The CRC-32 of two byte strings in a row, from their own and the length of the second."""
-    return _times(_shift(n_second), first) ^ second if n_second else first
+def joined_crcs(crcs: np.ndarray, sizes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The CRC-32 of strings of bytes that are made of pieces, from the pieces' own and their sizes; ends number the pieces.
+
+    A piece counts as its own checksum times x to the power of all bits after it.
+    """
+    upto = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes, dtype=np.int64)])
+    number = np.diff(ends, prepend=0)
+    after = np.repeat(upto[ends], number) - upto[1:]
+    out = crcs.astype(np.uint32)
+    for k, table_ in enumerate(_shifts()):
+        at = np.flatnonzero(after >> k & 1)
+        if len(at):
+            x = out[at]
+            out[at] = table_[0][x & 255] ^ table_[1][x >> 8 & 255] ^ table_[2][x >> 16 & 255] ^ table_[3][x >> 24]
+    sums = np.concatenate([np.zeros(1, np.uint32), np.bitwise_xor.accumulate(out)])
+    return sums[ends] ^ sums[ends - number]
 
 
 def _chunked(sent, by_word: bool, end_id: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zip_, seen = zstandard.ZstdCompressor(level=3), set()
         tail = b"" if end_id is None else int(end_id).to_bytes(4, "little")
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                b = whole.slice(at, 1000)
-                if len(seen) > REMEMBERED:
-                    seen.clear()
-                counts, roots, hashes, data = [], [], [], []
-                for ids in encoder(sent.value, by_word).encode([t or "" for t in b.column(1).to_pylist()]):
-                    ids += tail
-                    own, new, begin = [], [], 0
-                    for end in cuts(np.frombuffer(ids, "<u4")):
-                        part = ids[4 * begin : 4 * end]
-                        own.append(h := hashlib.sha256(part).digest())
-                        new.append(None if h in seen else packed(part, zip_))  # sent once by each task, as far as it remembers
-                        seen.add(h)
-                        begin = end
-                    counts.append(len(ids) // 4)
-                    roots.append(merkle_root(own))
-                    hashes.append(own)
-                    data.append(new)
-                lists = pa.list_(pa.binary())
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(counts, pa.int64()), pa.array(roots, pa.binary()), pa.array(hashes, lists), pa.array(data, lists)], ["doc_id", "num", "n_tokens", "root", "hashes", "data"])
+        for b in slices(batches, 1000):
+            if len(seen) > REMEMBERED:
+                seen.clear()
+            roots, hashes, data = [], [], []
+            ids, stops = encoder(sent.value, by_word).encode(b.column(1), tail)
+            raw, begin = ids.astype("<u4").tobytes(), 0
+            for ends in cuts(ids, stops):
+                own, new = [], []
+                for end in ends:
+                    part = raw[4 * begin : 4 * end]
+                    own.append(h := hashlib.sha256(part).digest())
+                    new.append(None if h in seen else packed(part, zip_))  # sent once by each task, as far as it remembers
+                    seen.add(h)
+                    begin = end
+                roots.append(merkle_root(own))
+                hashes.append(own)
+                data.append(new)
+            lists, counts = pa.list_(pa.binary()), np.diff(stops, prepend=0)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(counts, pa.int64()), pa.array(roots, pa.binary()), pa.array(hashes, lists), pa.array(data, lists)], ["doc_id", "num", "n_tokens", "root", "hashes", "data"])
 
     return run
 
@@ -228,33 +269,35 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int | None =
     return path
 
 
-def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    unzip = zstandard.ZstdDecompressor()
-    for b in batches:
-        data = [unpacked(x, unzip) for x in b.column("data").to_pylist()]
-        for h, x in zip(b.column("hash").to_pylist(), data, strict=True):
-            if hashlib.sha256(x).digest() != h:
-                raise ValueError(f"chunk {h.hex()} doesn't match its hash")
-        yield b, data
+def _values(column: pa.Array) -> list:
+    return column.to_numpy(zero_copy_only=False).tolist()
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b, data in _opened(batches):
+    unzip = zstandard.ZstdDecompressor()
+    for b in slices(batches, 5000):
+        data = [unpacked(x, unzip) for x in _values(b.column("data"))]
+        for h, x in zip(_values(b.column("hash")), data, strict=True):
+            if hashlib.sha256(x).digest() != h:
+                raise ValueError(f"chunk {h.hex()} doesn't match its hash")
         yield pa.RecordBatch.from_arrays([b.column("hash"), pa.array([zlib.crc32(x) for x in data], pa.int64()), pa.array([len(x) // 4 for x in data], pa.int64())], ["hash", "crc", "n"])
 
 
 def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        crcs, counts = [], []
-        for root, parts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            if merkle_root([p["hash"] for p in parts]) != root or any(p["crc"] is None for p in parts):
+        lists = b.column(1)
+        parts, ends = lists.flatten(), np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)).astype(np.int64)
+        hashes, at = _values(parts.field("hash")), 0
+        for root, end in zip(_values(b.column(0)), ends.tolist(), strict=True):
+            if merkle_root(hashes[at:end]) != root:
                 raise ValueError(f"the recipe of root {root.hex()} can't be rebuilt")
-            crc = 0
-            for p in parts:
-                crc = joined_crc(crc, p["crc"], 4 * p["n"])
-            crcs.append(crc)
-            counts.append(sum(p["n"] for p in parts))
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64()), pa.array(crcs, pa.int64())], ["root", "n_read", "ids_crc32"])
+            at = end
+        if parts.field("crc").null_count:
+            raise ValueError("a chunk of a recipe isn't in the store")
+        counts = parts.field("n").to_numpy().astype(np.int64)
+        upto = np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])[ends]
+        crcs = joined_crcs(parts.field("crc").to_numpy(), 4 * counts, ends)
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(upto, prepend=0)), pa.array(crcs.astype(np.int64))], ["root", "n_read", "ids_crc32"])
 
 
 def _parts(recipes: DataFrame, chunks: DataFrame, columns: list[str]) -> DataFrame:
