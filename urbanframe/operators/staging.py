@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Only where the session names no folder, as in tests.
+#: Only for a local master whose session names no folder, as in tests.
 FALLBACK = "file:///tmp/checkpoints/urbanframe"
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return (found or FALLBACK).rstrip("/")
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 #: Needed for right results: UTC timestamps and last-wins duplicate tag keys.
@@ -28,3 +32,16 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once for each application, wherever the driver was started."""
+    context, package = spark.sparkContext, Path(__file__).resolve().parent
+    if getattr(context, "_urbanframe_sent", False):
+        return
+    archive = Path(tempfile.mkdtemp()) / "urbanframe.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for path in sorted(package.rglob("*.py")):
+            z.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._urbanframe_sent = True
