@@ -20,6 +20,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from urbanframe.llm.common import slices, table
 
@@ -193,14 +194,15 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
 
     The best passage of a document for an item is given, the first of equally good ones. Words are lower-cased runs of
     letters and digits; items and documents without any match nothing. Repeated documents and items are searched each on their own; null ids are kept. Other columns are left out.
-    Items are searched in blocks of BLOCK_WORDS words, each in a pass over all documents.
+    Ids are of any type. Items are searched in blocks of BLOCK_WORDS words, each in a pass over all documents: the index of a
+    block is what is broadcast, so its size is bounded, and the time grows with documents times blocks of items.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     tests = items.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text"))
     kinds = rows.schema["doc_id"].dataType, tests.schema["item_id"].dataType
     schema = f"doc_id {kinds[0].simpleString()}, item_id {kinds[1].simpleString()}, score double, start_word long, end_word long"
     out = docs.sparkSession.createDataFrame([], schema)
-    item_type = pa.from_numpy_dtype(np.int64) if kinds[1].typeName() == "long" else pa.string() if kinds[1].typeName() == "string" else None
+    item_type = to_arrow_type(kinds[1])
     for index in _blocks(tests, seed, threshold):
         sent = docs.sparkSession.sparkContext.broadcast(index)
 
