@@ -37,7 +37,10 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
 
 def remove(df: DataFrame) -> None:
     """Deletes the files of a written() table that nothing reads any more."""
-    spark = df.sparkSession
     for folder in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove_path(df.sparkSession, folder)
+
+
+def remove_path(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
