@@ -27,7 +27,7 @@ def turn_prefixes(turns: DataFrame) -> DataFrame:
     rows = turns.select("conv_id", "turn", *(h.alias(n) for n, h in _turn_hashes().items()))
     order = Window.partitionBy("conv_id").orderBy("turn", "tie")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = rows.select("conv_id", F.row_number().over(order).alias("k"), "x", "y", "turn", F.lead(F.lit(1)).over(order).isNull().alias("last"))
+    placed = rows.select("conv_id", F.row_number().over(order).alias("k"), "x", "y", "turn", "tie", F.lead(F.lit(1)).over(order).isNull().alias("last"))
     placed = placed.withColumns({"p": F.xxhash64(F.lit(3), "k", "x"), "q": F.xxhash64(F.lit(4), "k", "y")})
     return placed.select("conv_id", "k", F.bit_xor("p").over(upto).alias("a"), F.bit_xor("q").over(upto).alias("b"), "last")
 

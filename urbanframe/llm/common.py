@@ -8,9 +8,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
-from urbanframe.operators.staging import new_path, remove, shared_dir, written
+from urbanframe.operators.staging import new_path, remove, remove_path, shared_dir, written
 
-__all__ = ["BLANK", "clean_blanks", "new_path", "prefix_sums", "remove", "shared_dir", "slices", "table", "written"]
+__all__ = ["BLANK", "clean_blanks", "new_path", "prefix_sums", "remove", "remove_path", "shared_dir", "slices", "table", "written"]
 
 #: ASCII white space of the query contracts: space and tab to carriage return.
 BLANK = r"[\x20\x09-\x0D]"
