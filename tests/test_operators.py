@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from urbanframe.functions import geometry as G, projection as PR
-from urbanframe.operators import quality as Q, roads as R, runs as U, spatial as S
+from urbanframe.operators import order as O, quality as Q, roads as R, runs as U, spatial as S
 from urbanframe.operators.components import connected_components
 
 
@@ -85,7 +85,7 @@ def test_rings(spark):
 
 def test_nearest_rank(spark):
     df = spark.createDataFrame([(float(i),) for i in range(4)] + [(None,)], "v double")
-    assert Q.nearest_rank(df, "v", [0.5]).first().p50 == 2.0
+    assert O.nearest_rank(df, "v", [0.5]).first().p50 == 2.0
 
 
 def test_collapsed(spark):
@@ -147,3 +147,34 @@ def test_refine(spark):
     area.dem_source = RF.BARE_EARTH
     assert RF.refine_dem(area, 2, under) is area.dem
     assert RF.recipe_key({"a": "1"}, {"r": 3}) != RF.recipe_key({"a": "1"}, {"r": 4})
+
+
+def test_ranks_sums_and_every_nth_against_sorted_lists(spark, monkeypatch):
+    rng = random.Random(3)
+    monkeypatch.setattr(O, "RANGES", 8)
+    rows = [(k, rng.choice(["a", "b", None]), None if k % 9 == 0 else float(rng.choice([1, 1, 1, 7, rng.randrange(500)])), 7) for k in range(700)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "id int, g string, v double, part int").repartition(5)
+    shares = [0.0, 0.01, 0.5, 0.95, 1.0]
+    got = {r.g: tuple(r)[1:] for r in O.nearest_rank(df, "v", shares, ["g"]).collect()}
+    for g in ("a", "b", None):
+        values = sorted(v for _, h, v, _ in rows if h == g and v is not None)
+        assert got[g] == tuple(values[round((len(values) - 1) * q)] for q in shares)
+    assert O.nearest_rank(df.filter("v IS NULL"), "v", [0.5]).count() == 0
+    summed = O.prefix_sums(df, ["id"], {"before": F.col("id").cast("long")}, "test").collect()
+    assert {(r.id, r.before, r.row_no, r.part) for r in summed} == {(k, k * (k - 1) // 2, k, 7) for k in range(700)}
+    assert sorted(r.id for r in O.every_nth(df, ["id"], 100).collect()) == list(range(0, 700, 7))
+
+
+def test_smallest_cover_against_all_pairs(spark):
+    rng = random.Random(8)
+    box = lambda k, m: (k, x := rng.uniform(-3, 3), y := rng.uniform(-3, 3), x + rng.choice([0.0, 0.01, 1, m]) * rng.random(), y + rng.choice([0.01, 1, m]) * rng.random())
+    targets, covers = [box(k, 0.2) for k in range(150)], [box(k, 9) for k in range(120)] + [(500, 1.0, 1.0, 0.0, 2.0)]
+    targets += [(900, 50.0, 50.0, 51.0, 51.0), (901, *covers[3][1:])]
+    names = "id long, west double, south double, east double, north double"
+    got = {r.target: r.cover for r in S.smallest_cover(spark.createDataFrame(targets, names), spark.createDataFrame(covers, names)).collect()}
+    first = {r.target: r.cover for r in S.smallest_cover(spark.createDataFrame(targets, names), spark.createDataFrame(covers, names), order=["id"]).collect()}
+    for t, w, s, e, n in targets:
+        held = [c for c in covers if c[1] <= w and c[2] <= s and c[3] >= e and c[4] >= n]
+        assert got[t] == (min(held, key=lambda c: ((c[3] - c[1]) * (c[4] - c[2]), c[0]))[0] if held else None)
+        assert first[t] == (min(c[0] for c in held) if held else None)

@@ -61,18 +61,6 @@ def retention(n_in: Column, n_out: Column) -> tuple[Column, Column]:
     return ratio, F.when(ratio.isNull(), None).when((ratio < LOW_RETENTION) | (ratio > HIGH_RETENTION), "warn").otherwise("pass")
 
 
-def nearest_rank(df: DataFrame, value: str, shares: list[float], by: list[str] | None = None) -> DataFrame:
-    """One column for each share: the value at round((n - 1) * share), half to even, of the sorted values; nulls are left out.
-
-    The rank is found by a window and one conditional aggregate, so no group is collected.
-    """
-    keys = by or []
-    w = Window.partitionBy(*keys)
-    ranked = df.filter(F.col(value).isNotNull()).withColumns({"__r": F.row_number().over(w.orderBy(value)) - 1, "__n": F.count("*").over(w)})
-    pick = lambda q: F.max(F.when(F.col("__r") == F.bround((F.col("__n") - 1) * F.lit(q)), F.col(value))).alias(f"p{round(q * 100):02d}")
-    return ranked.groupBy(*keys).agg(*map(pick, shares))
-
-
 def missing_cells(df: DataFrame, columns: list[str]) -> Column:
     """Counts rows with an empty or nan string in any of the columns."""
     return F.count_if(F.exists(F.array(*columns), lambda v: F.lower(F.trim(v)).isin("", "nan")))
@@ -88,11 +76,3 @@ def height_anomalies(buildings: DataFrame) -> DataFrame:
 def latest(df: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
     """The last row of each group."""
     return df.withColumn("__r", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter("__r = 1").drop("__r")
-
-
-def every_nth(df: DataFrame, order: list[str], most: int | None) -> DataFrame:
-    """Every ceil(n / most)-th row in order; all rows with most None or no more rows than that."""
-    if most is None:
-        return df
-    step = max(1, -(-df.count() // most))
-    return df.withColumn("__r", F.row_number().over(Window.orderBy(*order)) - 1).filter(F.col("__r") % step == 0).drop("__r")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from urbanframe.functions import geometry as G
-from urbanframe.operators import quality as Q, raster as R
+from urbanframe.operators import order as O, quality as Q, raster as R
 from urbanframe.plans.layers import cte, layer, table
 
 DEM = cte("dem")
@@ -64,7 +64,7 @@ def terrain_delta_pct(spark, sf_dir):
     """Height above the terrain by kind of point: nearest-rank percentiles, misses, and those below -0.05."""
     out = R.sampled(layer(spark, sf_dir, "points"), layer(spark, sf_dir, "dem")).withColumn("delta", F.round(F.col("value") - F.col("terrain"), 6))
     n = out.groupBy("kind").agg(F.count("*").alias("n"), F.count_if(F.col("terrain").isNull()).alias("misses"), F.count_if(F.col("delta") < -0.05).alias("below"))
-    return n.join(Q.nearest_rank(out, "delta", _SHARES, ["kind"]), "kind", "left")
+    return n.join(O.nearest_rank(out, "delta", _SHARES, ["kind"]), "kind", "left")
 
 
 def snap_base(spark, sf_dir):
@@ -143,7 +143,7 @@ def bevel_corners(spark, sf_dir):
 
 
 def percentiles_by_area(spark, sf_dir):
-    out = Q.nearest_rank(layer(spark, sf_dir, "reports"), "value", _SHARES, ["area"])
+    out = O.nearest_rank(layer(spark, sf_dir, "reports"), "value", _SHARES, ["area"])
     return out
 
 
@@ -161,7 +161,7 @@ def latest_report(spark, sf_dir):
 
 
 def sampled_rows(spark, sf_dir):
-    return Q.every_nth(layer(spark, sf_dir, "points"), ["id"], 3000).select("id")
+    return O.every_nth(layer(spark, sf_dir, "points"), ["id"], 3000).select("id")
 
 
 def first_colours(spark, sf_dir):
