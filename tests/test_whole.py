@@ -1,18 +1,26 @@
-"""Chains and welds of all ways against plain sequential versions."""
+"""Operators that depend on an order, against plain sequential versions."""
 
+import math
+import random
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
+from urbanframe.operators import roads as R, spatial as S
 from urbanframe.plans import road_plans
 from urbanframe.plans.layers import layer, planar, ways
 
 SF = "/root/testdata/sf0.001"
 
 
+TAGS = ("highway", "lanes", "width", "oneway")
+
+
 def _all_ways(spark):
-    return sorted((r.way_id, r.highway or "", list(r.refs)) for r in ways(spark, SF).collect() if r.refs and len(r.refs) >= 2)
+    return sorted((r.way_id, tuple(r[t] or "" for t in TAGS), list(r.refs)) for r in ways(spark, SF).collect() if r.refs and len(r.refs) >= 2)
 
 
-def _merged(rows):
+def _merged(rows, reversible=True):
     """One pair at a time, looking at all ways again after each."""
     found = {way: (refs, 1) for way, refs in rows}
     while True:
@@ -21,9 +29,9 @@ def _merged(rows):
             if refs[0] != refs[-1]:
                 uses[refs[0]].append((way, True))
                 uses[refs[-1]].append((way, False))
-        two = next((v for v in uses.values() if len(v) == 2 and v[0][0] != v[1][0]), None)
+        two = next((v for v in uses.values() if len(v) == 2 and v[0][0] != v[1][0] and (reversible or v[0][1] != v[1][1])), None)
         if two is None:
-            return [(way, len(refs), n) for way, (refs, n) in found.items()]
+            return [(way, refs, n) for way, (refs, n) in found.items()]
         (a, a_first), (b, b_first) = two
         (x, n), (y, m) = found[a], found.pop(b)
         y = y if a_first != b_first else y[::-1]
@@ -32,11 +40,67 @@ def _merged(rows):
 
 def test_chains_of_all_ways(spark):
     groups = defaultdict(list)
-    for way, highway, refs in _all_ways(spark):
-        groups[highway].append((way, refs))
-    expected = [(way, highway, n, m) for highway, rows in groups.items() for way, n, m in _merged(rows)]
+    for way, tags, refs in _all_ways(spark):
+        groups[tags].append((way, refs))
+    expected = [(way, tags[0], len(refs), m) for tags, rows in groups.items() for way, refs, m in _merged(rows, tags[3] != "yes")]
     got = [tuple(r) for r in road_plans.chain_merge(spark, SF).select("way_id", "highway", "n_refs", "merged").collect()]
-    assert sorted(got) == sorted(expected) and max(m for *_, m in got) > 1
+    key = lambda r: tuple(map(str, r))
+    assert sorted(((w, h or "", n, m) for w, h, n, m in got), key=key) == sorted(expected, key=key) and max(m for *_, m in got) > 1
+
+
+def test_chains_with_tags_and_one_ways(spark):
+    rng = random.Random(11)
+    rows = [(f"w{k:03d}", [str(rng.randrange(90)) for _ in range(rng.randint(2, 4))], rng.choice(["primary", "service"]), rng.choice([None, "2"]), rng.choice([None, "", "yes", "-1", "no"])) for k in range(260)]
+    df = spark.createDataFrame(rows, "way_id string, refs array<string>, highway string, lanes string, oneway string")
+    for t in R.MERGE_TAGS:
+        if t not in df.columns:
+            df = df.withColumn(t, F.lit(None).cast("string"))
+    groups = defaultdict(list)
+    for way, refs, highway, lanes, oneway in sorted(rows):
+        groups[highway, lanes or "", oneway or ""].append((way, refs))
+    expected = [(way, refs, m) for tags, group in groups.items() for way, refs, m in _merged(group, tags[2] not in ("yes", "-1"))]
+    got = [(r.way_id, list(r.refs), r.merged) for r in R.merge_chains(df).collect()]
+    assert sorted(got) == sorted(expected) and max(m for *_, m in got) > 2
+
+
+def test_near_copies_in_rounds_and_in_one_task(spark):
+    rng = random.Random(12)
+    points = [(k, rng.uniform(0, 60), rng.uniform(0, 60)) for k in range(400)] + [(1000 + k, 100.0 + k, 5.0) for k in range(40)]
+    kept = []
+    for p in points:
+        if all(math.hypot(p[1] - q[1], p[2] - q[2]) >= 3 for q in kept):
+            kept.append(p)
+    df = spark.createDataFrame(points, "id long, x double, y double")
+    pairs = S.within_distance(df, df, 3.0, strict=True).filter("left_id < right_id").select(F.col("left_id").alias("earlier"), F.col("right_id").alias("later"))
+    for few in (0, 60, 10**6):
+        assert sorted(r.id for r in S.keep_first(df, pairs, few=few).collect()) == [p[0] for p in kept]
+
+
+def test_added_cover_against_a_plain_loop(spark):
+    rng = random.Random(13)
+    cut = lambda v: int(v / 15)
+    primary = [(k, rng.uniform(-200, 200), rng.uniform(-200, 200)) for k in range(30)]
+    extra = [(k, rng.uniform(-200, 200), rng.uniform(-200, 200)) for k in range(300)]
+    held, kept = {(cut(x), cut(y)) for _, x, y in primary}, []
+    for k, x, y in extra:
+        if not any((cut(x) + i, cut(y) + j) in held for i in (-1, 0, 1) for j in (-1, 0, 1)):
+            held.add((cut(x), cut(y)))
+            kept.append(k)
+    names = "id long, x double, y double"
+    got = S.uncovered(spark.createDataFrame(extra, names), spark.createDataFrame(primary, names), 15.0)
+    assert sorted(r.id for r in got.collect()) == kept
+
+
+def test_collapse_against_a_plain_loop(spark):
+    rng = random.Random(14)
+    lines = [(k, [{"x": rng.uniform(0, 5), "y": rng.uniform(0, 5)} for _ in range(rng.randint(0, 30))]) for k in range(60)]
+    df = spark.createDataFrame(lines, "road long, p array<struct<x:double,y:double>>")
+    for r in df.select("road", R.collapsed(F.col("p"), 1.5).alias("kept")).collect():
+        kept = []
+        for p in lines[r.road][1]:
+            if not kept or math.hypot(p["x"] - kept[-1][0], p["y"] - kept[-1][1]) >= 1.5:
+                kept.append((p["x"], p["y"]))
+        assert [(p.x, p.y) for p in r.kept] == kept
 
 
 def test_welds_of_all_ways(spark):

@@ -6,10 +6,17 @@ within reach, so the join is an equality on cells with the exact test as a furth
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from urbanframe.functions.geometry import contains, crossing
-from urbanframe.operators.staging import written
+from urbanframe.operators.staging import remove, written
+
+#: So many open conflicts of neighbours, or fewer, are settled by a single task.
+FEW_CONFLICTS = 1_000_000
 
 
 def cell(value: Column, size: float) -> Column:
@@ -47,27 +54,47 @@ def nearest(left: DataFrame, right: DataFrame, radius: float, names: tuple[str,
     return best.select("left_id", "b.right_id", "b.distance")
 
 
-def keep_first(points: DataFrame, pairs: DataFrame, id_col: str = "id") -> DataFrame:
+def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ids that go, from one partition's conflicts (earlier, later), taken in id order."""
+    before: dict = {}
+    kind = None
+    for b in batches:
+        kind = b.column(1).type
+        for earlier, later in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            before.setdefault(later, []).append(earlier)
+    gone: set = set()
+    for later in sorted(before):
+        if any(e not in gone for e in before[later]):
+            gone.add(later)
+    if gone:
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(gone), kind)], ["id"])
+
+
+def keep_first(points: DataFrame, pairs: DataFrame, id_col: str = "id", few: int = FEW_CONFLICTS) -> DataFrame:
     """The ids that stay when rows are taken in id order and one goes if it conflicts with a row that stayed before.
 
     pairs (earlier, later) holds the conflicts. In each round a row without an undecided or kept earlier partner stays,
-    and one with a kept earlier partner goes; that is the sequential result, in as many rounds as conflicts are chained.
+    and one with a kept earlier partner goes; that is the sequential result. Rounds end when few conflicts or fewer are
+    open: one task settles these, in bounded memory. So only chains of conflicts that are long and many take many rounds.
     """
     open_ = written(pairs.select("earlier", "later").distinct(), "conflicts")
-    dropped = None
-    while True:
+    dropped: list[DataFrame] = []
+    while (left := open_.count()) > few:
         later = open_.select(F.col("later").alias("id")).distinct()
         kept = open_.select(F.col("earlier").alias("id")).distinct().join(later, "id", "left_anti")
-        out = open_.join(kept.withColumnRenamed("id", "earlier"), "earlier", "left_semi").select(F.col("later").alias("id")).distinct()
-        out = written(out, "dropped")
-        if out.limit(1).count() == 0:
-            break
-        dropped = out if dropped is None else dropped.union(out)
+        out = written(open_.join(kept.withColumnRenamed("id", "earlier"), "earlier", "left_semi").select(F.col("later").alias("id")).distinct(), "dropped")
+        dropped.append(out)
         gone = out.select(F.col("id").alias("later"))
         rest = open_.join(gone, "later", "left_anti").join(gone.withColumnRenamed("later", "earlier"), "earlier", "left_anti")
-        open_ = written(rest, "conflicts")
+        open_, old = written(rest, "conflicts"), open_
+        remove(old)
+    if left:
+        kind = open_.schema["later"].dataType.simpleString()
+        dropped.append(written(open_.coalesce(1).mapInArrow(_settled, f"id {kind}"), "dropped"))
     ids = points.select(F.col(id_col).alias("id"))
-    return (ids if dropped is None else ids.join(dropped.distinct(), "id", "left_anti")).withColumnRenamed("id", id_col)
+    if dropped:
+        ids = ids.join(reduce(DataFrame.union, dropped), "id", "left_anti")
+    return ids.withColumnRenamed("id", id_col)
 
 
 def dedup_within(points: DataFrame, radius: float, names: tuple[str, str, str] = ("id", "x", "y")) -> DataFrame:

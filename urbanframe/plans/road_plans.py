@@ -141,7 +141,7 @@ def chain_merge(spark, sf_dir):
     for t in R.MERGE_TAGS:
         if t not in rows.columns:
             rows = rows.withColumn(t, F.lit(None).cast("string"))
-    return R.merge_chains(rows.withColumns({"lanes": F.lit(""), "width": F.lit(""), "oneway": F.lit("")})).select("way_id", "highway", F.size("refs").cast("long").alias("n_refs"), "merged")
+    return R.merge_chains(rows).select("way_id", "highway", F.size("refs").cast("long").alias("n_refs"), "merged")
 
 
 def tag_reconciliation(spark, sf_dir):
