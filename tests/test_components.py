@@ -1,6 +1,7 @@
 """Components against union and find on random graphs, chains and loops."""
 
 import random
+from datetime import date
 
 import pytest
 
@@ -35,5 +36,8 @@ def test_components(spark, kind, few):
 
 def test_nodes_of_other_types_and_no_edges(spark):
     text = spark.createDataFrame([("a", "b"), ("c", "b"), ("z", "z")], "src string, dst string")
-    assert {r.node: r.component for r in connected_components(text).collect()} == {"a": "a", "b": "a", "c": "a", "z": "z"}
+    for few in (0, 10**6):
+        assert {r.node: r.component for r in connected_components(text, few_edges=few).collect()} == {"a": "a", "b": "a", "c": "a", "z": "z"}
     assert connected_components(text.limit(0)).count() == 0
+    days = spark.createDataFrame([(date(2024, 1, 2), date(2024, 1, 1)), (date(2024, 1, 2), date(2024, 1, 3))], "src date, dst date")
+    assert {r.component for r in connected_components(days).collect()} == {date(2024, 1, 1)}

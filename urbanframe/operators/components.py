@@ -7,17 +7,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import IntegerType, LongType
+from pyspark.sql.types import IntegerType, LongType, StringType
 
 from urbanframe.operators.staging import remove, written
 
-#: A graph of so many edges or fewer (16 MB as numbers) is finished by a single task.
+#: A graph of so many edges or fewer (16 MB as numbers, some 100 MB as texts) is finished by a single task.
 FEW_EDGES = 1_000_000
 
 
 def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, root) of one partition's edges (u, v) by union and find; the root is the least node."""
-    parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+    parts = [tuple(b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1)) for b in batches]
     if not parts:
         return
     nodes, ends = np.unique(np.concatenate([p[k] for k in (0, 1) for p in parts]), return_inverse=True)
@@ -46,18 +46,18 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", f
     """(node, component) for every node of the undirected edges; component is the component's least node.
 
     In each round a node goes to the neighbour of the least hash, and edges take the places of their ends; half of all
-    nodes that have edges are expected to go. When few_edges or fewer are left and nodes are integers, one task finishes
-    them, in bounded memory and with the same result. Rounds are written to the shared folder
+    nodes that have edges are expected to go. When few_edges or fewer are left and nodes are integers or texts, one task
+    finishes them, in bounded memory and with the same result. Rounds are written to the shared folder
     and the one before is removed; only counts reach the driver. Loops count as nodes; edges with a null end are left out.
     """
     ends = edges.filter(F.col(src).isNotNull() & F.col(dst).isNotNull()).select(F.col(src).alias("u"), F.col(dst).alias("v"))
     own = written(ends.distinct(), "edges")
     left, turn, maps = own.filter("u <> v"), 0, []
     kind = own.schema["u"].dataType
-    numbers = isinstance(kind, IntegerType | LongType) and own.schema["v"].dataType == kind
+    plain = isinstance(kind, IntegerType | LongType | StringType) and own.schema["v"].dataType == kind
     while True:
         n = left.count()
-        if not n or numbers and n <= few_edges:
+        if not n or plain and n <= few_edges:
             break
         maps.append(written(_step(left, turn), "steps"))
         to = lambda c, m=maps[-1]: m.select(F.col("node").alias(c), F.col("root").alias(f"to_{c}"))
