@@ -1,4 +1,4 @@
-"""Shared pieces: tables written to the cluster's shared folder, global prefix sums, SQL text classes."""
+"""Shared pieces: the library's staging and global order, and text without white space."""
 
 from __future__ import annotations
 
@@ -6,8 +6,8 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.window import Window
 
+from urbanframe.operators.order import prefix_sums
 from urbanframe.operators.staging import new_path, remove, remove_path, shared_dir, written
 
 __all__ = ["BLANK", "clean_blanks", "new_path", "prefix_sums", "remove", "remove_path", "shared_dir", "slices", "table", "written"]
@@ -30,24 +30,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def clean_blanks(text: Column) -> Column:
     """Text without white space; null counts as empty."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), BLANK + "+", "")
-
-
-def prefix_sums(df: DataFrame, order: list[str], values: dict[str, Column], name: str) -> DataFrame:
-    """Adds to each row the sums of values over all rows before it in the order of the given columns, and its ``row_no``.
-
-    Rows are exchanged once, by sampled splitters, sorted, and written with their places in their part. Only one total for
-    each part (as many as partitions) goes to every task; no task holds more than its own part, and without values
-    nothing is exchanged again.
-    """
-    part, place = F.shiftright("__at", 33), F.col("__at").bitwiseAND((1 << 33) - 1)  # monotonically_increasing_id's layout
-    rows = df.withColumns({f"__v_{k}": v for k, v in values.items()}).repartitionByRange(*order).sortWithinPartitions(*order)
-    rows = written(rows.withColumn("__at", F.monotonically_increasing_id()), name)
-    rows = rows.withColumns({"__part": part, "__place": place})
-    totals = rows.groupBy("__part").agg(F.count("*").alias("__rows"), *(F.sum(f"__v_{k}").alias(f"__s_{k}") for k in values))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = lambda c, to: F.coalesce(F.sum(c).over(before), F.lit(0)).alias(to)
-    offsets = totals.select("__part", earlier("__rows", "__row0"), *(earlier(f"__s_{k}", f"__o_{k}") for k in values))
-    joined = rows.join(F.broadcast(offsets), "__part")
-    upto = Window.partitionBy("__part").orderBy("__place").rowsBetween(Window.unboundedPreceding, -1)
-    sums = {k: F.col(f"__o_{k}") + F.coalesce(F.sum(f"__v_{k}").over(upto), F.lit(0)) for k in values}
-    return joined.withColumns(sums | {"row_no": F.col("__row0") + F.col("__place")}).select(*df.columns, *values, "row_no")
