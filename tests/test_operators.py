@@ -60,6 +60,18 @@ def test_chains(spark):
     assert got["1"] == (["a", "b", "c", "d"], 3) and got["4"] == (["d", "e"], 1) and got["5"][1] == got["6"][1] == got["7"][1] == 1
 
 
+@pytest.mark.parametrize(
+    ("lon", "lat", "zone", "east", "north"),
+    [(2.2945, 48.858222, 31, 448251.8, 5411932.7), (-79.387139, 43.642567, 17, 630084.0, 4833439.0), (151.215297, -33.856784, 56, 334902.0, 6252288.0), (3.0, 0.0, 31, 500000.0, 0.0)],
+)
+def test_known_places(lon, lat, zone, east, north):
+    """Published coordinates of two towers and an opera house, and the middle of a zone on the equator."""
+    assert int(PR.zone_number(F.lit(lon)) is not None) and int((lon + 180) // 6) + 1 == zone
+    e, n = PR.to_utm(lon, lat, zone, PR.PLAIN)
+    assert abs(e - east) < 2.5 and abs(n - north) < 2.5, (e, n)
+    assert max(abs(a - b) for a, b in zip(PR.from_utm(east, north, zone, lat >= 0, PR.PLAIN), (lon, lat), strict=True)) < 3e-5
+
+
 def test_projection():
     p = PR.Projector(100.87, 12.92)
     assert max(map(abs, p.local(100.87, 12.92, PR.PLAIN))) < 1e-4
@@ -135,13 +147,14 @@ def test_refine(spark):
         spark.createDataFrame(b, "fid long, geom_type string, outer array<array<struct<x:double,y:double>>>, raw_height double, x double, y double"),
         spark.createDataFrame(ways, "way_id string, refs array<string>, highway string"),
         spark.createDataFrame([("a", 0.0, 0.0), ("b", 10.0, 0.0), ("c", 20.0, 0.0)], "id string, x double, y double"),
-        spark.createDataFrame([(0, 0, 1.0), (0, 1, 9.0), (0, 2, 3.0)], "row int, col int, elev double"),
+        spark.createDataFrame([(0, 0, 1.0), (0, 1, 9.0), (0, 2, 3.0), (0, 6, 4.0)], "row int, col int, elev double"),
         spark.createDataFrame([(1, 84.0, 0.0, 7.0)], "id long, x double, y double, height double"),
     )
     layers = RF.refine(area)
     assert {r.fid: (r.height, r.height_source) for r in layers["buildings"].collect()} == {1: (12.0, "overture"), 5: (7.0, "osm")}
     assert [(r.way_id, list(r.refs)) for r in layers["roads"].collect()] == [("1", ["a", "b", "c"])]
     assert {r.check: r.status for r in RF.output_checks(layers).collect()} == {"bld_height_present": "pass", "bld_height_source": "pass", "sample_valid": "pass", "road_connectivity": "pass"}
+    assert {r.col: r.elev for r in layers["dem"].collect()} == {0: 1.0, 1: 9.0, 2: 4.0, 6: 4.0}  # under the first building, and near the last cell
     under = spark.createDataFrame([(0, 1)], "row int, col int")
     assert RF.refine_dem(area, 2, under).filter("col = 1").first().elev == 2.0
     area.dem_source = RF.BARE_EARTH

@@ -65,17 +65,36 @@ def subdivided(grid: DataFrame, times: int = 4) -> DataFrame:
     return at.select((F.col("row") * times + F.col("s.i")).alias("row"), (F.col("col") * times + F.col("s.j")).alias("col"), elev.alias("elev"))
 
 
-def sampled(points: DataFrame, grid: DataFrame, size: float = 1.0) -> DataFrame:
-    """Adds terrain to points (id, x, z): bilinear inside a cell of size metres of the grid; null outside."""
+def sampled(points: DataFrame, grid: DataFrame, size: float = 1.0, reach: int = 0) -> DataFrame:
+    """Adds terrain to points (x, z, others): bilinear inside a cell of size metres of the grid.
+
+    Where a cell lacks a corner, terrain is that of the nearest known grid point within reach cells (the one of the least
+    row and column of several), or null.
+    """
     at = points.withColumns({"row": F.floor(F.col("z") / size), "col": F.floor(F.col("x") / size)})
     found = at.join(quads(grid).filter("next_row = row + 1 AND next_col = col + 1").drop("next_row", "next_col"), ["row", "col"], "left")
     terrain = bilinear(F.col("e00"), F.col("e01"), F.col("e10"), F.col("e11"), F.col("z") / size - F.col("row"), F.col("x") / size - F.col("col"))
-    return found.withColumn("terrain", terrain).select(*points.columns, "terrain")
+    out = found.withColumn("terrain", terrain).select(*points.columns, "terrain")
+    if not reach:
+        return out
+    places = out.filter("terrain IS NULL AND x IS NOT NULL AND z IS NOT NULL").select("x", "z").distinct()
+    steps = F.sequence(F.lit(-reach), F.lit(reach))
+    around = F.flatten(F.transform(steps, lambda i: F.transform(steps, lambda j: F.struct((F.floor(F.col("z") / size) + i).alias("row"), (F.floor(F.col("x") / size) + j).alias("col")))))
+    near = places.withColumn("c", F.explode(around)).select("x", "z", "c.row", "c.col").join(grid.filter("elev IS NOT NULL").select("row", "col", "elev"), ["row", "col"])
+    away = F.hypot(F.col("x") - F.col("col") * size, F.col("z") - F.col("row") * size)
+    nearest = near.groupBy("x", "z").agg(F.min(F.struct(away.alias("d"), "row", "col", "elev")).alias("n")).select("x", "z", F.col("n.elev").alias("near_elev"))
+    return out.join(nearest, ["x", "z"], "left").withColumn("terrain", F.coalesce("terrain", "near_elev")).select(*points.columns, "terrain")
+
+
+def windowed(grid: DataFrame, first_row: int, last_row: int, first_col: int, last_col: int) -> DataFrame:
+    """The rows and columns between two of each (included) of a grid, with row and col from 0 again."""
+    kept = grid.filter(F.col("row").between(first_row, last_row) & F.col("col").between(first_col, last_col))
+    return kept.withColumns({"row": F.col("row") - first_row, "col": F.col("col") - first_col})
 
 
-def snapped_base(corners: DataFrame, grid: DataFrame, size: float = 1.0) -> DataFrame:
+def snapped_base(corners: DataFrame, grid: DataFrame, size: float = 1.0, reach: int = 0) -> DataFrame:
     """(id, base): the highest terrain under a footprint's corners (id, x, z) plus BASE_GAP; null where none is known."""
-    return sampled(corners, grid, size).groupBy("id").agg((F.max("terrain") + BASE_GAP).alias("base"))
+    return sampled(corners, grid, size, reach).groupBy("id").agg((F.max("terrain") + BASE_GAP).alias("base"))
 
 
 def cubic(t: Column, a: float = -0.5) -> Column:

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from urbanframe.functions import geometry as G
 from urbanframe.operators import buildings as B, quality as Q, raster as R, roads, spatial
 from urbanframe.operators.runs import fingerprint
 
 #: The highest level of each layer, and the smallest raw files in bytes.
 MOST_LEVEL = {"buildings": 3, "roads": 2, "dem": 2}
-LEAST_BYTES = {"buildings": 10_000, "roads": 5_000, "dem": 4_000}
+LEAST_BYTES = {"buildings": 10 * 1024, "roads": 5 * 1024, "dem": 4 * 1024}
 BARE_EARTH = "fabdem"
+#: Cell size by which grid points meet rings.
+COVER_CELL_M = 25.0
 
 
 @dataclass
@@ -55,6 +58,14 @@ def refine_roads(area: Area, level: int) -> DataFrame:
     return out
 
 
+def covered_cells(area: Area, size: float = 1.0) -> DataFrame:
+    """(row, col) of the grid points inside the buildings' outer rings, for a grid of size metres from the scene's origin."""
+    points = area.dem.select(F.struct("row", "col").alias("id"), (F.col("col") * size).alias("x"), (F.col("row") * size).alias("y"))
+    rings = area.buildings.select("fid", F.posexplode("outer").alias("part", "closed")).select(F.struct("fid", "part").alias("ring_id"), G.unique_points(F.col("closed")).alias("ring"))
+    rings = rings.filter(F.size("ring") >= 3).withColumn("b", G.bounds(F.col("ring"))).select("ring_id", "ring", "b.min_x", "b.min_y", "b.max_x", "b.max_y")
+    return spatial.points_in_rings(points, rings, max(size, COVER_CELL_M)).select("id.row", "id.col").distinct()
+
+
 def refine_dem(area: Area, level: int, footprints: DataFrame | None = None) -> DataFrame:
     """Level 2 fills the cells (row, col) under footprints from their neighbours, unless the source is bare earth already."""
     if level < 2 or area.dem_source == BARE_EARTH or footprints is None:
@@ -65,9 +76,24 @@ def refine_dem(area: Area, level: int, footprints: DataFrame | None = None) -> D
 
 
 def refine(area: Area, level: int = 3) -> dict[str, DataFrame]:
-    """The layers at a level, lazily; each stops at its own highest level."""
+    """The layers at a level, lazily; each stops at its own highest level. Level 2 fills the terrain under the buildings."""
     at = {k: min(level, v) for k, v in MOST_LEVEL.items()}
-    return {"buildings": refine_buildings(area, at["buildings"]), "roads": refine_roads(area, at["roads"]), "dem": refine_dem(area, at["dem"])}
+    return {"buildings": refine_buildings(area, at["buildings"]), "roads": refine_roads(area, at["roads"]), "dem": refine_dem(area, at["dem"], covered_cells(area))}
+
+
+def input_checks(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """(check, status, message) for the raw files of the layers: each must exist and have its least size."""
+    rows = []
+    for name, least in LEAST_BYTES.items():
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.get(name) or "missing")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not paths.get(name) or not fs.exists(path):
+            rows.append((f"{name}_exists", "fail", f"{path.getName()} isn't there"))
+        elif (size := fs.getContentSummary(path).getLength()) < least:
+            rows.append((f"{name}_size", "fail", f"{path.getName()} has {size} bytes"))
+        else:
+            rows.append((f"{name}_exists", "pass", f"{size // 1024} KB"))
+    return spark.createDataFrame(rows, "check string, status string, message string")
 
 
 def output_checks(layers: dict[str, DataFrame]) -> DataFrame:

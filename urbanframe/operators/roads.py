@@ -54,6 +54,21 @@ def way_reasons(ways: DataFrame, nodes: DataFrame) -> DataFrame:
     return ways.join(orphans, "way_id", "left").withColumn("reject_reason", reason).drop("orphan")
 
 
+def ways_in_box(way_nodes: DataFrame, tags: DataFrame, nodes: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
+    """(way_id, ref, seq, lon, lat): all known nodes of the ways with a highway or building tag and a node in the box.
+
+    way_nodes are (way_id, seq, ref), tags (way_id, highway, building), nodes (id, lon, lat) and the box (west, south, east,
+    north), edges included. Refs that no node has are left out.
+    """
+    west, south, east, north = box
+    tagged = tags.filter((F.coalesce("highway", F.lit("")) != "") | (F.coalesce("building", F.lit("")) != "")).select("way_id")
+    places = nodes.select(F.col("id").alias("ref"), "lon", "lat")
+    inside = places.filter(F.col("lon").between(west, east) & F.col("lat").between(south, north)).select("ref")
+    rows = way_nodes.join(tagged, "way_id", "left_semi")
+    hit = rows.join(inside, "ref", "left_semi").select("way_id").distinct()
+    return rows.join(hit, "way_id", "left_semi").join(places, "ref").select("way_id", "ref", "seq", "lon", "lat")
+
+
 def half_width(kind: Column, width: Column, lanes: Column) -> Column:
     """Half of the measured width, else of the lanes, else by kind; held to the kind's range."""
     table = F.create_map(*(F.lit(v) for kv in HALF_WIDTH.items() for v in kv))

@@ -6,7 +6,7 @@ within reach, so the join is an equality on cells with the exact test as a furth
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pyarrow as pa
@@ -157,10 +157,10 @@ def _level(width: Column, height: Column) -> Column:
     return F.ceil(F.log2(F.greatest(width, height, F.lit(2.0**-40)))).cast("int")
 
 
-def smallest_cover(targets: DataFrame, covers: DataFrame, order: list[str] | None = None) -> DataFrame:
+def smallest_cover(targets: DataFrame, covers: DataFrame, order: list[str] | None = None, same: Sequence[str] = ()) -> DataFrame:
     """(target, cover) for boxes (id, west, south, east, north): the cover of least area in square degrees, then id.
 
-    With order the first cover by these columns. A cover stands in the cells of its own level that it touches, four at
+    With order the first cover by these columns; with same only covers with the target's values there. A cover stands in the cells of its own level that it touches, four at
     most, and holds the south-western corner of what it covers; so the join is an equality on level and cell. There are as
     many levels as sizes of covers by powers of 2, which reach the driver. Repeated targets give one row.
     """
@@ -170,9 +170,9 @@ def smallest_cover(targets: DataFrame, covers: DataFrame, order: list[str] | Non
     levels = sorted(r[0] for r in held.select("level").filter("level IS NOT NULL").distinct().collect())
     steps = lambda a, b: F.explode(F.sequence(degrees(a, level), degrees(b, level)))
     spread = held.filter("east >= west AND north >= south").withColumn("cx", steps("west", "east")).withColumn("cy", steps("south", "north"))
-    t = targets.select(F.col("id").alias("target"), *(F.col(c).alias(f"t_{c}") for c in ("west", "south", "east", "north")))
+    t = targets.select(F.col("id").alias("target"), *same, *(F.col(c).alias(f"t_{c}") for c in ("west", "south", "east", "north")))
     at = t.withColumn("level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))).withColumns({"cx": degrees("t_west", level), "cy": degrees("t_south", level)})
     inside = (F.col("west") <= F.col("t_west")) & (F.col("south") <= F.col("t_south")) & (F.col("east") >= F.col("t_east")) & (F.col("north") >= F.col("t_north"))
     rank = [F.col(c) for c in order] if order else [((F.col("east") - F.col("west")) * (F.col("north") - F.col("south"))).alias("size")]
-    best = at.join(spread, ["level", "cx", "cy"]).filter(inside).groupBy("target").agg(F.min(F.struct(*rank, F.col("id").alias("cover"))).alias("b"))
+    best = at.join(spread, ["level", "cx", "cy", *same]).filter(inside).groupBy("target").agg(F.min(F.struct(*rank, F.col("id").alias("cover"))).alias("b"))
     return t.select("target").distinct().join(best, "target", "left").select("target", F.col("b.cover").alias("cover"))

@@ -19,18 +19,46 @@ ROAD_HEIGHT = 0.18
 Point = tuple[float, float]
 
 
-def with_crossings(points: DataFrame, crossings: DataFrame, eps: float = 0.25) -> DataFrame:
+def with_crossings(points: DataFrame, crossings: DataFrame, eps: float = 0.25, own_eps: float = 0.05) -> DataFrame:
     """Polylines (road, seq, x, y) with the crossings (road, seq, t, x, y) put between a point and the next, in order of t.
 
-    A crossing nearer than eps to the point before or after it in order is left out. seq is renumbered from 1.
+    A crossing nearer than eps, and a point of the line nearer than own_eps, to the last point that was kept is left out.
+    seq is renumbered from 1. A polyline is one record while it is walked along.
     """
-    own = points.select("road", F.col("seq").alias("at"), F.lit(0.0).alias("t"), "x", "y", F.lit(True).alias("own"))
-    new = crossings.select("road", F.col("seq").alias("at"), "t", "x", "y", F.lit(False).alias("own"))
-    w = Window.partitionBy("road").orderBy("at", "t")
-    both = own.unionByName(new)
-    gap = lambda f: F.coalesce(F.hypot(F.col("x") - f("x").over(w), F.col("y") - f("y").over(w)), F.lit(float("inf")))
-    kept = both.withColumns({"a": gap(F.lag), "b": gap(F.lead)}).filter(F.col("own") | ((F.col("a") >= eps) & (F.col("b") >= eps)))
-    return kept.select("road", F.row_number().over(w).alias("seq"), "x", "y")
+    own = points.select("road", F.col("seq").alias("at"), F.lit(0.0).alias("t"), F.lit(0).alias("new"), "x", "y", F.lit(own_eps).alias("eps"))
+    new = crossings.select("road", F.col("seq").alias("at"), "t", F.lit(1).alias("new"), "x", "y", F.lit(eps).alias("eps"))
+    lines = own.unionByName(new).groupBy("road").agg(F.sort_array(F.collect_list(F.struct("at", "new", "t", "x", "y", "eps"))).alias("p"))
+    place = lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))
+    far = lambda kept, p: F.hypot(F.element_at(kept, -1)["x"] - p["x"], F.element_at(kept, -1)["y"] - p["y"]) >= p["eps"]
+    start, rest = F.transform(F.slice("p", 1, 1), place), F.slice("p", F.lit(2), F.greatest(F.size("p") - 1, F.lit(0)))
+    kept = F.aggregate(rest, start, lambda k, p: F.when(far(k, p), F.array_append(k, place(p))).otherwise(k))
+    return lines.select("road", F.posexplode(kept).alias("k", "q")).select("road", (F.col("k") + 1).alias("seq"), "q.x", "q.y")
+
+
+def trimmed(points: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sides, ends) of polylines (road, seq, x, y, half_width, is_junction) that are cut back at junctions.
+
+    sides are (road, travelled, lx, ly, rx, ry): left and right of each point that stays. A line is cut by its half width,
+    at most 45 % of its length, at an end that is a junction, and gets sides there; its other points have sides unless
+    they are in what was cut off or an end. Lines that would be cut away, or have no length, have none. ends are
+    (jx, jy, x, y, half_width): both sides of each cut, for junction_fills, by the place of the junction in metres.
+    """
+    own = along(points).withColumns({"whole": F.max("travelled").over(Window.partitionBy("road")), "hw": F.col("half_width")})
+    last = F.row_number().over(Window.partitionBy("road").orderBy(F.desc("seq"))) == 1
+    first = F.row_number().over(Window.partitionBy("road").orderBy("seq")) == 1
+    own = own.withColumns({"first": first, "last": last}).withColumn("cut", F.when(F.col("is_junction") & (F.col("first") | F.col("last")), F.least(F.col("hw"), F.col("whole") * 0.45)).otherwise(0.0))
+    by_road = Window.partitionBy("road")
+    own = own.withColumns({"start": F.max(F.when(F.col("first"), F.col("cut"))).over(by_road), "end": F.max(F.when(F.col("last"), F.col("cut"))).over(by_road)})
+    own = own.filter((F.col("whole") >= 1e-6) & (F.col("start") + F.col("end") < F.col("whole") - 1e-4) & F.col("tx").isNotNull())
+    side = lambda k: [(F.col("px") - k * F.col("ty") * F.col("hw")).alias("lx" if k > 0 else "rx"), (F.col("py") + k * F.col("tx") * F.col("hw")).alias("ly" if k > 0 else "ry")]
+    inner = own.filter((F.col("travelled") > F.col("start") + 1e-4) & (F.col("travelled") < F.col("whole") - F.col("end") - 1e-4)).withColumns({"px": F.col("x"), "py": F.col("y")})
+    sign = F.when(F.col("first"), 1.0).otherwise(-1.0)
+    ends = own.filter(F.col("cut") > 0).withColumns({"px": F.col("x") + sign * F.col("tx") * F.col("cut"), "py": F.col("y") + sign * F.col("ty") * F.col("cut")})
+    ends = ends.withColumn("travelled", F.col("travelled") + sign * F.col("cut"))
+    sides = inner.select("road", "travelled", *side(1), *side(-1)).unionByName(ends.select("road", "travelled", *side(1), *side(-1)))
+    both = ends.select(F.bround("x").alias("jx"), F.bround("y").alias("jy"), "hw", *side(1), *side(-1))
+    at = lambda s: both.select("jx", "jy", F.col(f"{s}x").alias("x"), F.col(f"{s}y").alias("y"), F.col("hw").alias("half_width"))
+    return sides, at("l").unionByName(at("r"))
 
 
 def strip_quads(points: DataFrame) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from urbanframe.functions.projection import Projector
@@ -37,12 +40,18 @@ def raster_points(cells: DataFrame, origin: Projector, transform: tuple[float, f
 
 
 def first_available(sources: Sequence[tuple[str, Callable[[], DataFrame]]]) -> tuple[str, DataFrame] | None:
-    """The name and table of the first source that can be read and has rows."""
+    """The name of the first source that can be read and has rows, and its table with the name as dem_source.
+
+    A source is passed over, with a warning that gives the reason, if Spark or the file system can't read it; other errors
+    are raised.
+    """
     for name, read in sources:
         try:
             df = read()
             if df.limit(1).count():
-                return name, df
-        except Exception:  # noqa: BLE001, S112  a source that fails is passed over, whatever the cause
-            continue
+                return name, df.withColumn("dem_source", F.lit(name))
+            reason = "no rows"
+        except (PySparkException, Py4JError, OSError) as e:
+            reason = str(e).splitlines()[0]
+        warnings.warn(f"elevation source {name}: {reason}", stacklevel=2)
     return None
