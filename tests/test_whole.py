@@ -128,3 +128,25 @@ def test_heights_of_all_parts(spark):
 
     parts = layer(spark, SF, "bld").count()
     assert raster_plans.heightmap_all(spark, SF).count() == -(-parts // 8) * 21 // 8 * 21
+
+
+def test_crossings_put_into_lines_against_a_plain_loop(spark):
+    from urbanframe.operators import strips as ST
+
+    rng = random.Random(15)
+    at = lambda: rng.choice([rng.uniform(0, 2), 1.0])
+    points = [(road, seq, at(), at()) for road in range(25) for seq in range(1, rng.randint(2, 9))]
+    crossings = [(road, seq, t / 5, at(), at()) for road, seq, *_ in points for t in rng.sample(range(1, 5), rng.randint(0, 2))]
+    expected = {}
+    for road in {p[0] for p in points}:
+        kept = []
+        for _, seq, x, y in sorted(p for p in points if p[0] == road):
+            for eps, u, v in [(0.05, x, y)] + [(0.25, c[3], c[4]) for c in sorted(crossings) if c[:2] == (road, seq)]:
+                if not kept or math.hypot(kept[-1][0] - u, kept[-1][1] - v) >= eps:
+                    kept.append((u, v))
+        expected[road] = [(k + 1, *p) for k, p in enumerate(kept)]
+    names = "x double, y double"
+    got = defaultdict(list)
+    for r in ST.with_crossings(spark.createDataFrame(points, f"road int, seq int, {names}"), spark.createDataFrame(crossings, f"road int, seq int, t double, {names}")).collect():
+        got[r.road].append((r.seq, r.x, r.y))
+    assert {k: sorted(v) for k, v in got.items()} == expected
