@@ -97,10 +97,13 @@ def _stripped(rows, window):
 
 def test_substring(docs, none, spark):
     assert substring_dedup.strip_repeats(none).count() == 0
-    rows = [(d, t) for d, t in ROWS if d is not None]
+    first = next((d, t) for d, t in ROWS if d == 20)
+    rows = [*ROWS, first, first, (None, first[1] + " and the end"), (50, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    expected = Counter(_stripped(rows, 20)[d, " ".join(w.decode() for w in (t or "").encode().split())] for d, t in rows)
-    assert Counter(tuple(r)[1:] for r in substring_dedup.strip_repeats(df).collect()) == expected
+    words = lambda t: " ".join(w.decode() for w in (t or "").encode().split())
+    expected = _stripped(rows, 20)
+    got = substring_dedup.strip_repeats(df).collect()
+    assert Counter(tuple(r) for r in got) == Counter((d, *expected[-(2**63) if d is None else d, words(t)]) for d, t in rows)
     assert substring_dedup.strip_repeats(docs).count() == len(ROWS)
 
 

@@ -207,7 +207,9 @@ def strip_repeats(docs: DataFrame, window: int = WINDOW, gram: int = ANCHOR) ->
     """
     seen, firsts, suspects, marks = repeated_windows(docs, window, gram)
     fate = suspects.select("num", "packed").join(marks, "num", "left").select("num", "packed", "marks").mapInArrow(_strip(window), "num long, n_removed long, kept_sha256 string")
-    fate = suspects.select("num", "digest").join(fate, "num").select("digest", "n_removed", "kept_sha256")
+    # a first row that is repeated is a suspect each time; the least number is judged before the others and so rightly
+    fate = suspects.select("num", "digest").join(fate, "num").groupBy("digest").agg(F.min(F.struct("num", "n_removed", "kept_sha256")).alias("f"))
+    fate = fate.select("digest", "f.n_removed", "f.kept_sha256")
     is_first = F.coalesce("doc_id", F.lit(-(2**63))) == F.col("first")
     # written, so that a digest that many rows share can be split when it meets its one row here
     joined = seen.join(written(firsts.join(fate, "digest", "left"), "sequence-fates"), "digest")
