@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 FLOOR_M = 3.5
+#: The form of a tile's id, and the addresses of maps that have a place, the last that fits wins.
 TILE_ID = r"^z(\d{1,2})([ns])_e(-?\d+)_n(-?\d+)_s(\d+)$"
+MAP_ADDRESSES = (
+    (r"[?&]q=(-?\d+\.\d+),(-?\d+\.\d+)", False),
+    (r"[?&]ll=(-?\d+\.\d+),(-?\d+\.\d+)", False),
+    (r"/@(-?\d+\.\d+),(-?\d+\.\d+),([\d.]+)z", True),
+)
 TILE_M = 1000
 
 
@@ -49,7 +55,7 @@ def width_m(text: Column) -> Column:
 def map_centre(url: Column) -> Column:
     """struct(lat, lon, zoom) of a map's address: /@lat,lon,zoomz, else ll=, else q= with zoom 14; null if none fits."""
     found = F.lit(None).cast("struct<lat:double,lon:double,zoom:double>")
-    for pattern, zoomed in ((r"[?&]q=(-?\d+\.\d+),(-?\d+\.\d+)", False), (r"[?&]ll=(-?\d+\.\d+),(-?\d+\.\d+)", False), (r"/@(-?\d+\.\d+),(-?\d+\.\d+),([\d.]+)z", True)):
+    for pattern, zoomed in MAP_ADDRESSES:
         part = lambda k: F.regexp_extract(url, pattern, k).try_cast("double")  # noqa: E731, B023
         zoom = part(3) if zoomed else F.lit(14.0)
         found = F.when(F.regexp_like(url, F.lit(pattern)), F.struct(part(1).alias("lat"), part(2).alias("lon"), zoom.alias("zoom"))).otherwise(found)

@@ -16,7 +16,9 @@ from urbanframe.operators.staging import new_path
 STEP = r"^\[(\d+)/(\d+)\]"
 BUILD = r"^\[Houdini\s+(\d+)/(\d+)\]"
 DONE = ("[OK] 全部通过", "Houdini build completed")
+#: What an id may be made of, and what becomes a line in one.
 SAFE_ID = re.compile(r"^[A-Za-z0-9][A-Za-z0-9_.-]*$")
+NOT_IN_ID = re.compile(r"[^A-Za-z0-9_.-]+")
 
 
 def line_progress(line: Column, now: Column) -> Column:
@@ -52,7 +54,7 @@ def run_states(events: DataFrame) -> DataFrame:
 
 def run_id(area: str, now: datetime) -> str:
     """A readable id of a run: time and slug."""
-    return f"{now:%Y%m%d_%H%M%S}_{re.sub(r'[^A-Za-z0-9_.-]+', '_', area).strip('_') or 'area'}"
+    return f"{now:%Y%m%d_%H%M%S}_{NOT_IN_ID.sub('_', area).strip('_') or 'area'}"
 
 
 def checked_id(value: str) -> str:

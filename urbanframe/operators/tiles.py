@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from urbanframe.functions.parsing import TILE_M, tile_id, tile_parts
 from urbanframe.functions.projection import PLAIN, from_utm, to_utm
+from urbanframe.operators.spatial import smallest_cover
 
 #: Tiles of a viewport and of a selection.
 MOST_TILES, MOST_SELECTED = 400, 256
@@ -64,7 +65,12 @@ def selection(ids: DataFrame, by: Sequence[str] = (), most: int = MOST_SELECTED)
 
 def coverage(tiles: DataFrame, macro: DataFrame, clips: DataFrame) -> DataFrame:
     """Adds source: macro where a macro tile covers the tile's envelope, else clip, else none."""
-    inside = lambda c: (F.col(f"{c}.west") <= F.col("t.west")) & (F.col(f"{c}.south") <= F.col("t.south")) & (F.col(f"{c}.east") >= F.col("t.east")) & (F.col(f"{c}.north") >= F.col("t.north"))
-    has = lambda df, c: tiles.alias("t").join(df.alias(c), inside(c), "left_semi").select("tile_id").distinct().withColumn(c, F.lit(True))
+    sides = ("west", "south", "east", "north")
+    targets = tiles.select(F.col("tile_id").alias("id"), *sides)
+
+    def has(covers: DataFrame, name: str) -> DataFrame:
+        found = smallest_cover(targets, covers.select(F.lit(1).alias("id"), *sides)).filter("cover IS NOT NULL")
+        return found.select(F.col("target").alias("tile_id"), F.lit(True).alias(name))
+
     out = tiles.join(has(macro, "m"), "tile_id", "left").join(has(clips, "k"), "tile_id", "left")
     return out.withColumn("source", F.when(F.col("m"), "macro").when(F.col("k"), "clip").otherwise("none")).drop("m", "k")

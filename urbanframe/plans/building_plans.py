@@ -9,7 +9,7 @@ from urbanframe.operators import buildings as B, quality as Q, spatial as S
 from urbanframe.plans.layers import ORIGIN, cte, layer, planar, planar_sql, table
 from urbanframe.plans.sqltext import Sql, Text
 
-NEAR_M = 12.0
+NEAR_M = B.ENRICH_M
 
 
 def _square(dx: float = 0.0):
@@ -325,8 +325,8 @@ round(x + s * 1e0, 2) AS vx, round(z + s * 0.7e0, 2) AS vz, round(x + 2 * s, 2)
     "centroid_in_box": _RING + " SELECT fid FROM p WHERE x + s > -2500 AND x + s < 1000 AND z + s * (1 + 0.5e0 * (1 + 0.5e0 / 3)) / 2.5e0 > -3200 AND z + s * (1 + 0.5e0 * (1 + 0.5e0 / 3)) / 2.5e0 < -1500",
     "centroid_delete_flag": _RING + " SELECT fid, NOT (x + s BETWEEN -2500 AND 1000 AND z + s * 0.7e0 BETWEEN -3200 AND -1500) AS deleted FROM p",
     "points_in_box": cte("bld") + " SELECT fid FROM bld WHERE lon BETWEEN 100.842e0 - 0.001e0 AND 100.845e0 + 0.001e0 AND lat BETWEEN 12.891e0 - 0.001e0 AND 12.892e0 + 0.001e0",
-    "nearest_height": _SPLIT + "," + _NEAR.format(d=_XY, limit="12") + " SELECT left_id, right_id, round(d, 3) AS distance FROM ranked WHERE r = 1",
-    "enriched_heights": _SPLIT + "," + _NEAR.format(d=_XY, limit="12") + """, j AS (SELECT l.*, CAST(right_id % 40 + 3 AS DOUBLE) AS survey, coalesce(raw_height > 0, false) AS known FROM l LEFT JOIN ranked ON left_id = l.id AND r = 1)
+    "nearest_height": _SPLIT + "," + _NEAR.format(d=_XY, limit="8") + " SELECT left_id, right_id, round(d, 3) AS distance FROM ranked WHERE r = 1",
+    "enriched_heights": _SPLIT + "," + _NEAR.format(d=_XY, limit="8") + """, j AS (SELECT l.*, CAST(right_id % 40 + 3 AS DOUBLE) AS survey, coalesce(raw_height > 0, false) AS known FROM l LEFT JOIN ranked ON left_id = l.id AND r = 1)
 SELECT id, CASE WHEN known THEN least(raw_height, 600e0) ELSE coalesce(survey, 0e0) END AS height,
 CASE WHEN known THEN 'overture' WHEN survey IS NULL THEN 'estimated_pending' ELSE 'osm' END AS height_source FROM j""",
     "nearest_degrees": _SPLIT + "," + _NEAR.format(d=_DEG, limit="50 / 111319e0") + " SELECT left_id, right_id, round(d * 111319e0, 2) AS metres FROM ranked WHERE r = 1",
