@@ -191,3 +191,26 @@ def test_smallest_cover_against_all_pairs(spark):
         held = [c for c in covers if c[1] <= w and c[2] <= s and c[3] >= e and c[4] >= n]
         assert got[t] == (min(held, key=lambda c: ((c[3] - c[1]) * (c[4] - c[2]), c[0]))[0] if held else None)
         assert first[t] == (min(c[0] for c in held) if held else None)
+
+
+def test_long_segments_and_large_rings_meet_all(spark):
+    rng = random.Random(21)
+    segments = [(k, k % 7, x := rng.uniform(0, 3000), y := rng.uniform(0, 3000), x + (d := rng.choice([5.0, 60.0, 2900.0])) * rng.uniform(-1, 1), y + d * rng.uniform(-1, 1)) for k in range(150)]
+    df = spark.createDataFrame(segments, "id long, road int, ax double, ay double, bx double, by double")
+    expected = set()
+    for p in segments:
+        for q in segments:
+            if p[0] < q[0] and p[1] != q[1]:
+                dx, dy, ex, ey = p[4] - p[2], p[5] - p[3], q[4] - q[2], q[5] - q[3]
+                det = dx * ey - dy * ex
+                if abs(det) > 1e-12:
+                    t, u = ((q[2] - p[2]) * ey - (q[3] - p[3]) * ex) / det, ((q[2] - p[2]) * dy - (q[3] - p[3]) * dx) / det
+                    if 0.05 < t < 0.95 and 0.05 < u < 0.95:
+                        expected.add((p[0], q[0]))
+    assert {(r.a, r.b) for r in S.segment_crossings(df, size=10.0).collect()} == expected and len(expected) > 50
+
+    squares = [(k, rng.uniform(0, 500), rng.uniform(0, 500), rng.choice([1.0, 30.0, 400.0])) for k in range(60)]
+    rings = [(k, [{"x": x, "y": y}, {"x": x + s, "y": y}, {"x": x + s, "y": y + s}, {"x": x, "y": y + s}], x, y, x + s, y + s) for k, x, y, s in squares]
+    points = [(k, rng.uniform(0, 900), rng.uniform(0, 900)) for k in range(400)]
+    found = S.points_in_rings(spark.createDataFrame(points, "id long, x double, y double"), spark.createDataFrame(rings, "ring_id long, ring array<struct<x:double,y:double>>, min_x double, min_y double, max_x double, max_y double"), 2.0)
+    assert {(r.id, r.ring_id) for r in found.collect()} == {(p, k) for p, u, v in points for k, x, y, s in squares if x < u < x + s and y < v < y + s}

@@ -17,6 +17,8 @@ from urbanframe.operators.staging import remove, written
 
 #: So many open conflicts of neighbours, or fewer, are settled by a single task.
 FEW_CONFLICTS = 1_000_000
+#: Boxes of more cells each way stand in larger cells.
+MOST_STEPS = 8
 
 
 def cell(value: Column, size: float) -> Column:
@@ -29,12 +31,26 @@ def near_cells(x: Column, y: Column, size: float, reach: int = 1) -> Column:
     return F.flatten(F.transform(steps, lambda i: F.transform(steps, lambda j: F.struct((cell(x, size) + i).alias("cx"), (cell(y, size) + j).alias("cy")))))
 
 
-def box_cells(min_x: Column, min_y: Column, max_x: Column, max_y: Column, size: float) -> Column:
-    """All cells that a box touches, for explode."""
+def box_cells(min_x: Column, min_y: Column, max_x: Column, max_y: Column, size: float | Column) -> Column:
+    """All cells that a box touches, for explode; size may depend on the box (``cell_level``)."""
     xs, ys = F.sequence(cell(min_x, size), cell(max_x, size)), F.sequence(cell(min_y, size), cell(max_y, size))
     return F.flatten(F.transform(xs, lambda i: F.transform(ys, lambda j: F.struct(i.alias("cx"), j.alias("cy")))))
 
 
+def cell_level(width: Column, height: Column, size: float) -> Column:
+    """How often the cell size must double so that a box touches no more than MOST_STEPS + 1 cells each way."""
+    return F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(width, height, F.lit(size)) / (MOST_STEPS * size))).cast("int"))
+
+
+def _levels(df: DataFrame) -> Column:
+    """The different levels of df, a few dozens at most, as an array."""
+    return F.array(*(F.lit(r[0]) for r in df.select("level").filter("level IS NOT NULL").distinct().orderBy("level").collect())).cast("array<int>")
+
+
+def _doubled(size: float, level: Column) -> Column:
+    return F.lit(size) * F.pow(F.lit(2.0), level)
+
+
 def _renamed(df: DataFrame, names: tuple[str, str, str], to: tuple[str, str, str]) -> DataFrame:
     return df.select(*(F.col(a).alias(b) for a, b in zip(names, to, strict=True)))
 
@@ -124,27 +140,37 @@ def uncovered(extra: DataFrame, primary: DataFrame, size: float, names: tuple[st
 
 
 def points_in_rings(points: DataFrame, rings: DataFrame, size: float) -> DataFrame:
-    """(id, ring_id) of points (id, x, y) inside open rings (ring_id, ring, min_x, min_y, max_x, max_y)."""
-    a = points.select("id", "x", "y", cell(F.col("x"), size).alias("cx"), cell(F.col("y"), size).alias("cy"))
-    spread = box_cells(F.col("min_x"), F.col("min_y"), F.col("max_x"), F.col("max_y"), size)
-    b = rings.withColumn("c", F.explode(spread)).select("ring_id", "ring", "min_x", "min_y", "max_x", "max_y", "c.cx", "c.cy")
+    """(id, ring_id) of points (id, x, y) inside open rings (ring_id, ring, min_x, min_y, max_x, max_y).
+
+    Rings stand in cells of size, large ones in cells that are doubled until they touch few; points in those of each level.
+    """
+    level = F.col("level")
+    held = rings.withColumn("level", cell_level(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"), size))
+    spread = box_cells(F.col("min_x"), F.col("min_y"), F.col("max_x"), F.col("max_y"), _doubled(size, level))
+    b = held.withColumn("c", F.explode(spread)).select("ring_id", "ring", "min_x", "min_y", "max_x", "max_y", "level", "c.cx", "c.cy")
+    a = points.select("id", "x", "y", F.explode(_levels(held)).alias("level"))
+    a = a.withColumns({"cx": cell(F.col("x"), _doubled(size, level)), "cy": cell(F.col("y"), _doubled(size, level))})
     boxed = F.col("x").between(F.col("min_x"), F.col("max_x")) & F.col("y").between(F.col("min_y"), F.col("max_y"))
-    return a.join(b, ["cx", "cy"]).filter(boxed).filter(contains(F.col("ring"), F.col("x"), F.col("y"))).select("id", "ring_id")
+    return a.join(b, ["level", "cx", "cy"]).filter(boxed).filter(contains(F.col("ring"), F.col("x"), F.col("y"))).select("id", "ring_id")
 
 
 def segment_crossings(segments: DataFrame, size: float = 25.0, least: float = 0.05, most: float = 0.95, limit: int | None = None) -> DataFrame:
     """(a, b, t, u, x, y) where segments (id, road, ax, ay, bx, by) of different roads cross inside both.
 
-    A pair is given once, a < b. Above limit segments there is no result, where a limit is asked for.
+    A pair is given once, a < b. Above limit segments there is no result, where a limit is asked for. Long segments stand in
+    cells that are doubled until they touch few; a pair meets in the cells of the longer one.
     """
     if limit is not None and segments.limit(limit + 1).count() > limit:
         segments = segments.limit(0)
     low = lambda f, c: f(F.col(f"a{c}"), F.col(f"b{c}"))
     boxed = segments.withColumns({"x0": low(F.least, "x"), "x1": low(F.greatest, "x"), "y0": low(F.least, "y"), "y1": low(F.greatest, "y")})
-    spread = boxed.withColumn("c", F.explode(box_cells(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), size))).select("*", "c.cx", "c.cy").drop("c")
+    boxed = boxed.withColumn("level", cell_level(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"), size))
+    spread = boxed.withColumn("at", F.explode(F.filter(_levels(boxed), lambda v: v >= F.col("level"))))
+    spread = spread.withColumn("c", F.explode(box_cells(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), _doubled(size, F.col("at"))))).select("*", "c.cx", "c.cy").drop("c")
     p, q = spread.alias("p"), spread.alias("q")
     touch = (F.col("p.x0") <= F.col("q.x1")) & (F.col("q.x0") <= F.col("p.x1")) & (F.col("p.y0") <= F.col("q.y1")) & (F.col("q.y0") <= F.col("p.y1"))
-    same = (F.col("p.cx") == F.col("q.cx")) & (F.col("p.cy") == F.col("q.cy"))
+    same = (F.col("p.at") == F.col("q.at")) & (F.col("p.cx") == F.col("q.cx")) & (F.col("p.cy") == F.col("q.cy"))
+    same = same & (F.col("p.at") == F.greatest("p.level", "q.level"))
     pairs = p.join(q, same & (F.col("p.id") < F.col("q.id")) & (F.col("p.road") != F.col("q.road")) & touch)
     t, u = crossing(*(F.col(f"{s}.{c}") for s in "pq" for c in ("ax", "ay", "bx", "by")))
     pairs = pairs.select(F.col("p.id").alias("a"), F.col("q.id").alias("b"), t.alias("t"), u.alias("u"), (F.col("p.ax") + t * (F.col("p.bx") - F.col("p.ax"))).alias("x"), (F.col("p.ay") + t * (F.col("p.by") - F.col("p.ay"))).alias("y"))
