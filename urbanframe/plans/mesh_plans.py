@@ -18,7 +18,7 @@ def terrain_fallback(spark, sf_dir):
 
 
 def dem_window(spark, sf_dir):
-    out = R.windowed(layer(spark, sf_dir, "dem"), 5, 30, 10, 40)
+    out = R.windowed(layer(spark, sf_dir, "dem"), 1, 30, 10, 40)
     return out.select(F.col("row").alias("r"), F.col("col").alias("c"), "elev")
 
 
@@ -181,7 +181,7 @@ QUALIFY row_number() OVER (PARTITION BY t.id ORDER BY (c.east - c.west) * (c.nor
 n AS (SELECT t.id, elev FROM t JOIN dem ON dem.row BETWEEN floor(z) - 3 AND floor(z) + 3 AND dem.col BETWEEN floor(x) - 3 AND floor(x) + 3 WHERE terrain IS NULL
 QUALIFY row_number() OVER (PARTITION BY t.id ORDER BY sqrt((x - col) * (x - col) + (z - row) * (z - row)), row, col) = 1)
 SELECT t.id, round(coalesce(terrain, elev), 6) AS terrain FROM t LEFT JOIN n ON n.id = t.id""",
-    "dem_window": cte("dem") + " SELECT row - 5 AS r, col - 10 AS c, elev FROM dem WHERE row BETWEEN 5 AND 30 AND col BETWEEN 10 AND 40",
+    "dem_window": cte("dem") + " SELECT row - 1 AS r, col - 10 AS c, elev FROM dem WHERE row BETWEEN 1 AND 30 AND col BETWEEN 10 AND 40",
     "ways_in_box": cte("nodes", "way_nodes", "way_tags") + """, r AS (SELECT w.way_id, w.seq, w.ref FROM way_nodes w JOIN way_tags t ON t.way_id = w.way_id WHERE t.highway IS NOT NULL OR t.num % 6 = 2)
 SELECT way_id, seq, ref, lon, lat FROM r JOIN nodes ON id = ref
 WHERE way_id IN (SELECT way_id FROM r JOIN nodes ON id = ref WHERE lon BETWEEN 100.841e0 AND 100.8415e0 AND lat BETWEEN 12.891e0 AND 12.8914e0)""",
