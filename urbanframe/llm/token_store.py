@@ -1,10 +1,10 @@
 """Token ids in a content-addressed store.
 
 A rolling hash over the ids cuts each document's stream into chunks, so equal stretches of ids give equal chunks wherever
-they stand. The store is a folder with two Parquet tables: ``chunks`` has every different chunk once (SHA-256 of its
-ids, and the ids as little-endian unsigned 32-bit integers, compressed byte by byte); ``recipes`` has each document's
-chunk hashes, the number of its ids and the root of a Merkle tree over the hashes, in ascending order of the ids of the
-documents. Reading checks every chunk against its hash and every recipe against its root.
+they stand. The store is a folder with Parquet tables: ``stored/table=chunks`` has every different chunk once (its key is
+the SHA-256 of its ids; the ids are little-endian unsigned 32-bit integers, compressed byte by byte); ``recipes`` has each
+document's chunk hashes, the number of its ids and the root of a Merkle tree over the hashes, in ascending order of the ids
+of the documents. Reading checks every chunk against its hash and every recipe against its root.
 
 A digest of a document needs no chunk to move: each chunk is checked and summed up where it is stored, and checksums of
 chunks are combined in the order of the recipe. ``read_documents`` brings back the ids themselves.
@@ -26,14 +26,16 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from urbanframe.llm.common import new_path, prefix_sums, remove, slices, table, written
+from urbanframe.llm.common import new_path, prefix_sums, remove_path, slices, table, written
 from urbanframe.llm.substring_dedup import rolling
 
 #: A chunk ends where the hash of the last SPAN ids has no bits of CUT; it has LEAST to MOST ids, the last one maybe fewer.
 SPAN, CUT, LEAST, MOST = 8, 0x1FF, 128, 4096
 END_ID = 1
 #: Words that a worker remembers with their ids, in each of two generations.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
+#: Texts that a worker encodes at a time.
+TEXTS = 250
 #: Small Latin letters, all in composed form, and those that become one of them.
 SMALL = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c == c.lower())
 LATIN = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and len(c.lower()) == 1 and c.lower() in SMALL)
@@ -42,7 +44,9 @@ MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not
 #: Byte-level models spell bytes that don't print by letters from 256 on, in order.
 _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
 BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
-CHUNKS, RECIPES = "chunks", "recipes"
+#: Folders of a store: chunks and recipes as they were encoded, by table, and the recipes in order.
+STORED, CHUNKS, UNSORTED, RECIPES = "stored", "chunks", "unsorted", "recipes"
+FIELDS = ["key", "doc_id", "num", "n_tokens", "root", "hashes", "data"]
 #: Reversed polynomial of CRC-32, a fixed value.
 POLYNOMIAL = 0xEDB88320
 #: A document has fewer than 2 to this power bytes of ids.
@@ -225,25 +229,29 @@ def _chunked(sent, by_word: bool, end_id: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zip_, seen = zstandard.ZstdCompressor(level=3), set()
         tail = b"" if end_id is None else int(end_id).to_bytes(4, "little")
-        for b in slices(batches, 1000):
+        for b in slices(batches, TEXTS):
             if len(seen) > REMEMBERED:
                 seen.clear()
-            roots, hashes, data = [], [], []
+            roots, hashes, new, data = [], [], [], []
             ids, stops = encoder(sent.value, by_word).encode(b.column(1), tail)
             raw, begin = ids.astype("<u4").tobytes(), 0
             for ends in cuts(ids, stops):
-                own, new = [], []
+                own = []
                 for end in ends:
                     part = raw[4 * begin : 4 * end]
                     own.append(h := hashlib.sha256(part).digest())
-                    new.append(None if h in seen else packed(part, zip_))  # sent once by each task, as far as it remembers
-                    seen.add(h)
+                    if h not in seen:  # sent once by each task, as far as it remembers
+                        seen.add(h)
+                        new.append(h)
+                        data.append(packed(part, zip_))
                     begin = end
                 roots.append(merkle_root(own))
                 hashes.append(own)
-                data.append(new)
-            lists, counts = pa.list_(pa.binary()), np.diff(stops, prepend=0)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(counts, pa.int64()), pa.array(roots, pa.binary()), pa.array(hashes, lists), pa.array(data, lists)], ["doc_id", "num", "n_tokens", "root", "hashes", "data"])
+            n, binary = b.num_rows, pa.binary()
+            keys = [x.to_bytes(8, "big") for x in b.column(2).to_pylist()]
+            columns = [pa.array(keys, binary), b.column(0), b.column(2), pa.array(np.diff(stops, prepend=0), pa.int64()), pa.array(roots, binary), pa.array(hashes, pa.list_(binary)), pa.nulls(n, binary)]
+            yield pa.RecordBatch.from_arrays(columns, FIELDS)
+            yield pa.RecordBatch.from_arrays([pa.array(new, binary), *(pa.nulls(len(new), c.type) for c in columns[1:-1]), pa.array(data, binary)], FIELDS)
 
     return run
 
@@ -259,16 +267,23 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int | None =
         sent = docs.sparkSession.sparkContext.broadcast(f.read())
     rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("num"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, num long, n_tokens long, root binary, hashes array<binary>, data array<binary>"
-    encoded = written(rows.mapInArrow(_chunked(sent, by_word, end_id), schema), "encoded")
-    pieces = encoded.select(F.explode(F.arrays_zip("hashes", "data")).alias("c")).select("c.hashes", "c.data").filter("data IS NOT NULL")
-    pieces.groupBy(F.col("hashes").alias("hash")).agg(F.first("data").alias("data")).write.option("compression", "none").parquet(f"{path}/{CHUNKS}")
-    recipes = encoded.select("doc_id", "num", "n_tokens", "root", "hashes")
+    schema = f"key binary, doc_id {kind}, num long, n_tokens long, root binary, hashes array<binary>, data binary"
+    # one exchange for chunks, which meet by their hashes, and recipes, whose keys are their own
+    once = rows.mapInArrow(_chunked(sent, by_word, end_id), schema).groupBy("key").agg(*(F.first(c).alias(c) for c in FIELDS[1:]))
+    which = F.when(F.col("data").isNull(), UNSORTED).otherwise(CHUNKS).alias("table")
+    once.select("*", which).write.option("compression", "none").partitionBy("table").parquet(f"{path}/{STORED}")
+    recipes = docs.sparkSession.read.schema(f"{schema}, table string").parquet(f"{path}/{STORED}").filter(F.col("table") == UNSORTED).select(FIELDS[1:-1])
     recipes.repartitionByRange("doc_id", "num").sortWithinPartitions("doc_id", "num").write.option("compression", "none").parquet(f"{path}/{RECIPES}")
-    remove(encoded)
+    remove_path(docs.sparkSession, f"{path}/{STORED}/table={UNSORTED}")
     return path
 
 
+def _chunks(spark: SparkSession, path: str) -> DataFrame:
+    """(hash, data) of a store's chunks."""
+    stored = spark.read.schema("key binary, data binary, table string").parquet(f"{path}/{STORED}").filter(F.col("table") == CHUNKS)
+    return stored.select(F.col("key").alias("hash"), "data")
+
+
 def _values(column: pa.Array) -> list:
     return column.to_numpy(zero_copy_only=False).tolist()
 
@@ -311,7 +326,7 @@ def _parts(recipes: DataFrame, chunks: DataFrame, columns: list[str]) -> DataFra
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document of a store, from its files; damage is an error."""
     recipes = spark.read.parquet(f"{path}/{RECIPES}")
-    chunks = written(spark.read.parquet(f"{path}/{CHUNKS}").mapInArrow(_summed, "hash binary, crc long, n long"), "chunk-sums")
+    chunks = written(_chunks(spark, path).mapInArrow(_summed, "hash binary, crc long, n long"), "chunk-sums")
     roots = written(_parts(recipes, chunks, ["crc", "n"]).mapInArrow(_combined, "root binary, n_read long, ids_crc32 long"), "recipe-sums")
     docs = recipes.select("doc_id", "num", "root", "n_tokens").join(roots, "root")
     docs = docs.withColumn("n_tokens", F.when(F.col("n_tokens") == F.col("n_read"), F.col("n_read")).otherwise(F.raise_error(F.lit("a recipe's number of ids is wrong")).cast("long")))
@@ -332,7 +347,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                 ids.append(np.frombuffer(b"".join(data), "<i4"))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], ["root", "ids"])
 
-    recipes, chunks = spark.read.parquet(f"{path}/{RECIPES}"), spark.read.parquet(f"{path}/{CHUNKS}")
+    recipes, chunks = spark.read.parquet(f"{path}/{RECIPES}"), _chunks(spark, path)
     roots = _parts(recipes, chunks, ["data"]).mapInArrow(rebuilt, "root binary, ids array<int>")
     return recipes.select("doc_id", "root").join(roots, "root").select("doc_id", "ids")
 
