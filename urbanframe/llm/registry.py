@@ -1,6 +1,20 @@
 """The operators' queries and the SQL of those that SQL can express."""
 
-from urbanframe.llm import chat_format, decontamination, exact_dedup, language_id, near_dedup, sentencepiece_codec, sharding, substring_dedup, token_store, url_filter
+from urbanframe.llm import (
+    chat_format,
+    decontamination,
+    exact_dedup,
+    filter_audit,
+    language_id,
+    near_dedup,
+    sentencepiece_codec,
+    sharding,
+    simhash,
+    substring_dedup,
+    token_store,
+    url_filter,
+    whitening,
+)
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -13,6 +27,9 @@ QUERIES = {
     "op8_decontamination": decontamination.op8_decontamination,
     "op9_near_dedup": near_dedup.op9_near_dedup,
     "op10_token_store": token_store.op10_token_store,
+    "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op12_simhash_dedup": simhash.op12_simhash_dedup,
+    "op13_embedding_whitening": whitening.op13_embedding_whitening,
 }
 
 ORACLE_SQL = {
@@ -22,4 +39,5 @@ ORACLE_SQL = {
     "op6_sharding": sharding.ORACLE,
     "op7_substring_dedup": substring_dedup.ORACLE,
     "op9_near_dedup": near_dedup.ORACLE,
+    "op11_filter_audit": filter_audit.ORACLE,
 }
