@@ -197,6 +197,66 @@ def test_beta_quantile(spark):
         assert r.low <= exact + 0.005 and (min(r.a, r.b) <= 1 or abs(r.low - exact) < 0.03), (r, exact)
 
 
+def _below(x, a, b):
+    """The share of a beta distribution below x, by summing the density of its log odds."""
+    t, limit = np.linspace(-60 / a - 20, 60 / b + 20, 400_001), np.log(x / (1 - x))
+    log = -a * np.logaddexp(0, -t) - b * np.logaddexp(0, t)
+    density = np.exp(log - log.max())
+    total = np.r_[0, np.cumsum((density[1:] + density[:-1]) / 2)]
+    return np.interp(limit, t, total) / total[-1]
+
+
+def test_small_parameters_have_true_quantiles(spark):
+    from pyspark.sql import functions as F
+
+    params = [(a, b) for a in (0.1, 0.3, 1.0, 1.2, 2.2, 30.0, 2000.0) for b in (0.1, 0.3, 1.0, 1.2, 2.2, 30.0, 2000.0)]
+    rows = [(a, b, a / (a + b), a + b) for a, b in params] + [(0.0, 1.0, 0.0, 1.0), (1.0, 0.0, 1.0, 1.0), (None, None, None, 2.0)]
+    df = spark.createDataFrame(rows, "a double, b double, mean double, size double")
+    got = {(r.a, r.b): r.low for r in df.withColumn("low", url_filter.lower_bound(F.col("mean"), F.col("size"))).collect()}
+    assert got.pop((0.0, 1.0)) == 0 and got.pop((1.0, 0.0)) == 1 and got.pop((None, None)) is None
+    assert all(abs(_below(low, a, b) - 0.05) < 1e-5 for (a, b), low in got.items() if 1e-12 < low)
+    assert abs(got[2.2, 0.1] - 0.722) < 0.001
+
+
+def test_few_outcomes_under_bad_parents(spark):
+    """Hosts with 0, 1 and 3 outcomes: the bound is the quantile of their posterior, which their parents' outcomes shape."""
+    rows, bad = [], []
+    for host, good_pages, bad_pages in [("a.worse.xyz", 0, 0), ("b.worse.xyz", 0, 1), ("c.worse.xyz", 3, 0), ("d.worse.xyz", 0, 3)] + [(f"h{k}.worse.xyz", 2, 38) for k in range(6)] + [(f"x{k}.fine.abc", 40, 2) for k in range(30)] + [("one.new.abc", 0, 1)]:
+        for k in range(max(1, good_pages + bad_pages)):
+            rows.append((len(rows), f"http://{host}/{k}"))
+            if k < good_pages + bad_pages:
+                bad.append((len(rows) - 1, int(k < bad_pages)))
+    df, outcomes = spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(bad, "page_id long, bad int")
+    pages = df.select("page_id", url_filter.host_of(df.url).alias("site"))
+    got = {r.site: r for r in url_filter.site_reputation(pages, outcomes).collect()}
+    low = [got[f"{c}.worse.xyz"].bad_lower for c in "cabd"]
+    assert low == sorted(low) and got["a.worse.xyz"].n == 0
+    verdicts = {r.host: r.verdict for r in url_filter.judge_urls(df, outcomes, rules=()).collect()}
+    assert all(v == ("block" if got[h].bad_lower > 1.5 * got[h].rate else "allow") for h, v in verdicts.items())
+    assert verdicts["a.worse.xyz"] == verdicts["d.worse.xyz"] == "block" and verdicts["one.new.abc"] == "allow"
+
+
+def test_parents_uncertainty_widens_priors(spark):
+    """A host without outcomes under a domain with one outcome has a lower bound than under one with forty of the same rate."""
+    df = spark.createDataFrame([(0.0, 0.0, 0.6, v) for v in (0.0, 0.01, 0.05)] + [(3.0, 6.0, 0.6, 0.0), (5.0, 6.0, 0.6, 0.0)], "bad double, n double, p double, p_var double")
+    got = {r.p_var: r for r in url_filter._shrunk(df, "p", "q").filter("n = 0").collect()}
+    assert got[0.0].q_size > got[0.01].q_size > got[0.05].q_size and all(abs(r.q - 0.6) < 1e-12 for r in got.values())
+    assert got[0.05].q_var > got[0.0].q_var
+
+
+def test_suffix_rules(spark, tmp_path):
+    file = tmp_path / "suffixes.txt"
+    file.write_text("// a comment\ncom\nuk\nco.uk\n*.ck\n!www.ck\n\nBlog.Example.com  // hosts\n*.nom.br\nbr\n")
+    rules = url_filter.suffix_rules(spark, str(file))
+    expected = {"a.b.com": "com", "x.co.uk": "co.uk", "x.uk": "uk", "me.blog.example.com": "blog.example.com", "a.b.ck": "b.ck", "www.ck": "ck", "q.www.ck": "ck", "x.y.nom.br": "y.nom.br", "localhost": "localhost", "a.unknown": "unknown", "10.0.0.1": "", "co.uk": "co.uk", ".".join("a" * 5000) + ".co.uk": "co.uk"}
+    got = {r.site: r for r in url_filter.with_suffixes(spark.createDataFrame([(s,) for s in expected], "site string"), rules).withColumn("domain", url_filter.domain_of(url_filter.F.col("site"), url_filter.F.col("suffix"))).collect()}
+    assert {s: r.suffix for s, r in got.items()} == expected
+    assert [got[s].domain for s in ("a.b.com", "x.co.uk", "a.b.ck", "q.www.ck", "me.blog.example.com", "10.0.0.1", "co.uk")] == ["b.com", "x.co.uk", "a.b.ck", "www.ck", "me.blog.example.com", "10.0.0.1", "co.uk"]
+    pages = spark.createDataFrame([(1, "http://a.b.ck/x"), (2, "http://" + "a." * 20_000 + "com/" + "p" * 100_000)], "page_id long, url string")
+    got = {r.page_id: r for r in url_filter.judge_urls(pages, spark.createDataFrame([(1, 0)], "page_id long, bad int"), suffixes=rules).collect()}
+    assert got[2].rule == "com/" and len(got[2].host) == 40_003 and len(got[2].path) == 100_001 and got[1].verdict == "allow"
+
+
 def test_reputation_blocks(spark):
     """A bad host, a bad domain and a bad suffix are blocked by the method alone, and unseen hosts with their parents."""
     rows, bad = [], []

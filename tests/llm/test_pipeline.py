@@ -126,6 +126,25 @@ def test_every_stage_and_run(spark, tables):
     assert Counter((r.doc_id, r.lang, r.n_tokens, r.ids_crc32, r.round_trip, r.parity) for r in got) == expected
 
 
+@pytest.mark.parametrize("stage", [corpus_pipeline.exact, corpus_pipeline.near])
+def test_rows_have_one_fate_in_whatever_splits_they_are_read(spark, tables, stage):
+    folder, rows = tables
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = docs.unionByName(docs.filter("doc_id < 3")).unionByName(docs.filter("doc_id = 202"))
+    spark.conf.set("spark.sql.leafNodeDefaultParallelism", "1")
+    out = stage(spark, docs, folder)
+    try:
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "16")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        got = out.collect()
+    finally:
+        for name in ("spark.sql.leafNodeDefaultParallelism", "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+            spark.conf.unset(name)
+    expected = (_exact if stage is corpus_pipeline.exact else _near)(rows + [r for r in rows if r[0] in (0, 1, 2, 202)])
+    assert Counter((r.doc_id, r.text) for r in got) == Counter((r[0], r[1]) for r in expected)
+
+
 def test_stages_on_no_rows(spark, tables):
     folder, _ = tables
     none = spark.read.parquet(f"{folder}/documents.parquet").filter("doc_id = -1")

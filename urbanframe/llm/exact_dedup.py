@@ -52,10 +52,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     light = light.withColumns({"best": F.min("rank").over(same), "group_size": F.count("*").over(same), "text_sha256": F.sha2("norm", 256)})
     out = _finished(light, rest, own)
     if any_heavy:
-        crowd = rows.join(F.broadcast(heavy), "hash", "left_semi").withColumns({"norm": norm, "rank": rank})
+        # written once, so that a row keeps its number whatever the splits of the files are when it is read again; few
+        # texts, each many times, take little space
+        crowd = rows.join(F.broadcast(heavy), "hash", "left_semi").drop("hash").withColumn("text_sha256", F.sha2(norm, 256))
+        crowd = written(crowd, "heavy-rows").withColumns({"norm": norm, "rank": rank})
         few = crowd.groupBy("norm").agg(F.min("rank").alias("best"), F.count("*").alias("group_size"))
         few = few.select(F.sha2("norm", 256).alias("text_sha256"), "best", "group_size")
-        out = out.unionByName(_finished(crowd.withColumn("text_sha256", F.sha2("norm", 256)).join(F.broadcast(few), "text_sha256"), rest, own))
+        out = out.unionByName(_finished(crowd.join(F.broadcast(few), "text_sha256"), rest, own))
     return out.select(*(F.col(k).alias(c) for c, k in zip(names, rest, strict=True) if c not in ADDED), *ADDED)
 
 
