@@ -42,16 +42,22 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies stays: that with the smallest id (null is the last), of repeated rows any one.
 
-    Rows are judged one by one, so rows of one id with unlike texts all stay. Texts without words are like no other and
-    stay. Other columns pass through, whatever their names are; an empty table stays empty. Rows are numbered by their
-    places in docs, which must be a written table.
+    Rows are judged by their ids and texts, so rows of one id with unlike texts all stay; of those with near ones that
+    with the least digest. Texts without words are like no other and stay, repeated rows once. Other columns pass through,
+    whatever their names are; an empty table stays empty. A row's fate follows from what is in it and never from its
+    place, so docs may be read again in other splits.
     """
-    place = max(docs.columns, key=len) + "_place"
-    numbered = docs.withColumn(place, F.monotonically_increasing_id())
-    own = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(place).alias("place"))
-    judged = near_dedup.near_components(numbered.select(own.alias("doc_id"), "text"), SHINGLE, SIMILAR)
-    gone = judged.filter("NOT kept").select(F.col("doc_id.place").alias(place))
-    return numbered.join(gone, place, "left_anti").select(*docs.columns)
+    names = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    rows = docs.toDF(*names.values()).withColumn("digest", F.sha2(F.coalesce(names["text"], F.lit("")), 256))
+    number = F.col(names["doc_id"])
+    own = F.struct(number.isNull().alias("none"), number.alias("id"), F.col("digest"))
+    judged = near_dedup.near_components(rows.select(own.alias("doc_id"), F.col(names["text"]).alias("text")), SHINGLE, SIMILAR)
+    fates = written(judged.groupBy("doc_id").agg(F.first("kept").alias("kept"), F.count("*").alias("n")).select("doc_id.*", "kept", "n"), "fates")
+    same = number.eqNullSafe(F.col("id")) & (rows["digest"] == F.col("same_digest"))
+    which = lambda what: fates.filter(what).select("id", F.col("digest").alias("same_digest"))
+    left = rows.join(which("NOT kept OR n > 1"), same, "left_anti")
+    repeated = rows.join(which("kept AND n > 1"), same, "left_semi").dropDuplicates([names["doc_id"], "digest"])
+    return left.unionByName(repeated).select(*(F.col(k).alias(c) for c, k in names.items()))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
