@@ -55,3 +55,15 @@ def test_held_out_accuracy(spark):
     found = language_id.identify(docs, language_id.learn(docs)).withColumn("held", language_id.held_out()).filter("held AND lang IS NOT NULL AND lang_pred <> 'und'")
     rows = found.select("lang", "lang_pred").collect()
     assert len(rows) > 1000 and sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.99
+
+
+def test_odd_labels_dont_fill_the_driver(spark, monkeypatch):
+    """With more labels than are learned the most frequent ones are, whatever odd ones some rows have; long texts aren't learned from."""
+    monkeypatch.setattr(language_id, "MAX_LANGS", 3)
+    monkeypatch.setattr(language_id, "LONGEST", 500)
+    rows = [(k, "the house of the rising sun" if k % 2 else "der Garten und das Haus", "en" if k % 2 else "de") for k in range(400)]
+    rows += [(1000 + k, f"odd label number {k}", f"x{k}") for k in range(300)] + [(2000 + k, "lo " * 1000, "long") for k in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = language_id.labelled_sample(docs, "doc_id", "text", "lang")
+    assert {lang for _, lang in sample} == {"en", "de"} and max(len(t) for t, _ in sample) <= 500
+    assert language_id.learn(docs).langs == ("de", "en")

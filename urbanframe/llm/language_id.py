@@ -26,6 +26,8 @@ from urbanframe.llm.common import slices, table
 UNKNOWN = "und"
 #: Bound of the labelled sample: rows of each language, fewer if all languages together would have more than MAX_TRAIN.
 TRAIN_ROWS, MAX_TRAIN = 400, 25_600
+#: Languages that are learned at most, and characters of a text that is learned from.
+MAX_LANGS, LONGEST = 1_000, 1 << 20
 #: Landmarks of each language (fewer, but one at least, if all together would be more than MAX_LANDMARKS), n-gram sizes,
 #: ridge, and how sharply the outputs are turned into shares.
 LANDMARKS, MAX_LANDMARKS, MAX_N, RIDGE, SHARPNESS = 24, 512, 3, 1e-3, 6.0
@@ -153,11 +155,13 @@ def fit(rows: Iterable[tuple[str, str]], landmarks: int = LANDMARKS, max_n: int
 def labelled_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int = TRAIN_ROWS) -> list[tuple[str, str]]:
     """At most ``rows`` texts of each language, in the order of a hash of the id; fewer if all would be more than MAX_TRAIN.
 
-    Languages are counted over all rows. Of each one only the ids are exchanged whose hash is below a share that leaves
+    Languages are counted over all rows; with more than MAX_LANGS the most frequent ones are learned, of equally frequent
+    ones the first by name. Texts of more than LONGEST characters aren't learned from. Of each one only the ids are exchanged whose hash is below a share that leaves
     three times as many as are wanted, so their number doesn't grow with the table; then the chosen texts are read whole.
     """
     spark, low_bits = docs.sparkSession, (1 << 32) - 1
-    counts = {r[0]: r[1] for r in docs.groupBy(lang_col).count().collect()}
+    frequent = docs.groupBy(F.col(lang_col).alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang")
+    counts = {r.lang: r.n for r in frequent.limit(MAX_LANGS).collect()}
     rows = max(1, min(rows, MAX_TRAIN // max(1, len(counts))))
     shares = spark.createDataFrame([(lang, int(min(1.0, (3 * rows + 50) / n) * (1 << 32))) for lang, n in counts.items()], "lang string, below long")
     own = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"))
@@ -165,7 +169,7 @@ def labelled_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     order = Window.partitionBy("lang").orderBy(F.col("h").bitwiseAND(low_bits), "id")
     ids = few.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= rows).select("id").distinct()
     texts = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("t"))
-    found = texts.join(F.broadcast(ids), "id").orderBy(F.xxhash64("id"), "id", "lang", "t").limit(MAX_TRAIN + len(counts))
+    found = texts.join(F.broadcast(ids), "id").join(F.broadcast(shares.select("lang")), "lang").filter(F.length("t") <= LONGEST).select("id", "lang", "t").orderBy(F.xxhash64("id"), "id", "lang", "t").limit(MAX_TRAIN + len(counts))
     return [(r.t, r.lang) for r in found.collect()]
 
 
