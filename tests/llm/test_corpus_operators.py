@@ -133,13 +133,15 @@ def test_near(docs, none, spark):
     assert near_dedup.near_components(docs, 2).count() == len(ROWS)
 
 
-def test_near_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("spread", [0, 60])
+def test_near_blocks(spark, monkeypatch, spread):
+    """A crowded bucket of near texts, of one length or of many."""
     rng = random.Random(3)
     words = [f"w{i}" for i in range(300)]
-    base = [rng.choice(words) for _ in range(50)]
+    base = [rng.choice(words) for _ in range(50 + spread)]
     rows = []
     for i in range(60):
-        own = list(base)
+        own = list(base)[: 50 + rng.randint(0, spread)]
         for _ in range(rng.randint(0, 8)):
             own[rng.randrange(50)] = rng.choice(words)
         rows.append((i, " ".join(own)))

@@ -12,7 +12,7 @@ round compares the members of a bucket with one leader of the bucket, drawn anew
 component; components are joined after each round. A round costs a pair for each bucket member at most. When few pairs
 of different components are left in the buckets, or a round helps no more, all pairs that are left are compared: so no
 link between different components is lost, whatever the leaders were. In small buckets these pairs are joined; in large
-ones the members outside the largest component meet the bucket's members block by block: first their class counts, then
+ones the members outside the largest component meet the bucket's members of like sizes block by block: first their class counts, then
 the texts of those that the bound leaves, and only links come out.
 """
 
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -251,13 +252,23 @@ def _small_pairs(mixed: DataFrame) -> DataFrame:
     return side("a").join(side("b"), "key").filter(F.col("ca") < F.col("cb"))
 
 
-def _blocks(mixed: DataFrame) -> DataFrame:
-    """Members, and as queries those outside the main component, dealt so that every query meets every member once."""
-    number = lambda c: F.ceil(F.col(c) / BLOCK_ROWS).cast("int")
-    own = lambda c: F.pmod(F.hash("num"), number(c))
-    every = lambda c: F.explode(F.sequence(F.lit(0), number(c) - 1))
-    members = mixed.select("key", own("m").alias("bm"), every("u").alias("bu"), F.lit(0).alias("role"), "num", "comp", "n")
-    queries = mixed.filter("comp <> main").select("key", every("m").alias("bm"), own("u").alias("bu"), F.lit(1).alias("role"), "num", "comp", "n")
+def _blocks(mixed: DataFrame, percent: int) -> DataFrame:
+    """Members, and as queries those outside the main component, dealt so that every query meets once every member it may link with.
+
+    Sets fall into classes of sizes such that links join sets of one class or of neighbouring ones, so only blocks of
+    these meet. bm and bu are the blocks of members and of queries, with their classes in the higher bits.
+    """
+    # a little wider than the greatest ratio of linked sizes, so that rounding can't part them by two classes
+    kind = F.floor(F.log("n") / (max(0.01, log(100 / percent)) * 1.000001)).cast("int")
+    mixed = mixed.withColumn("kind", kind)
+    tally = mixed.groupBy("key", "kind").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("m"), F.ceil(F.sum((F.col("comp") != F.col("main")).cast("int")) / BLOCK_ROWS).cast("int").alias("u"))
+    tally = tally.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("kind", F.struct("m", "u")))).alias("tally"))  # a row for each ratio of sizes
+    mixed = mixed.join(written(tally, "block-sizes"), "key")
+    blocks = lambda c, k: F.coalesce(F.try_element_at("tally", k)[c], F.lit(0))
+    own = lambda c: F.shiftleft("kind", 20) + F.pmod(F.hash("num"), blocks(c, F.col("kind")))
+    near = lambda c: F.flatten(F.transform(F.array(*(F.col("kind") + d for d in (-1, 0, 1))), lambda k: F.transform(F.slice(F.sequence(F.lit(0), blocks(c, k)), F.lit(1), blocks(c, k)), lambda j: k * (1 << 20) + j)))
+    members = mixed.select("key", own("m").alias("bm"), F.explode(near("u")).alias("bu"), F.lit(0).alias("role"), "num", "comp", "n")
+    queries = mixed.filter("comp <> main").select("key", F.explode(near("m")).alias("bm"), own("u").alias("bu"), F.lit(1).alias("role"), "num", "comp", "n")
     return members.unionByName(queries)
 
 
@@ -324,7 +335,7 @@ def near_components(docs: DataFrame, size: int, percent: int = 80, id_col: str =
         links.append(confirmed(_small_pairs(mixed.filter(F.col("m") <= LARGE)).filter(near_size)))
         together = lambda df: df.repartition("key", "bm", "bu").sortWithinPartitions("key", "bm", "bu", "role")
         parts = ["key", "bm", "bu", "role", "num", "comp", "n"]
-        counts = together(_blocks(mixed.filter(F.col("m") > LARGE)).join(texts.select("num", "counts"), "num").select(*parts, "counts"))
+        counts = together(_blocks(mixed.filter(F.col("m") > LARGE).drop("m", "u"), percent).join(texts.select("num", "counts"), "num").select(*parts, "counts"))
         involved = written(counts.mapInArrow(_involved(percent), "key long, bm int, bu int, role int, num long, comp long, n long"), "involved")
         blocks = together(involved.join(texts, "num").select(*parts, "counts", "packed"))
         links.append(written(blocks.mapInArrow(_block_links(size, percent), "a long, b long"), "links"))
