@@ -6,9 +6,16 @@ it open (``unique_points``).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value worked out once, however often it stands in use; filters can't paste it several times either."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _next(ring: Column, i: Column) -> Column:
     return F.element_at(ring, F.when(i + 1 < F.size(ring), i + 2).otherwise(F.lit(1)).cast("int"))
 
@@ -24,9 +31,22 @@ def unique_points(ring: Column) -> Column:
     return F.when(closed, F.slice(kept, F.lit(1), F.size(kept) - 1)).otherwise(kept)
 
 
+def _around(ring: Column) -> Column:
+    """Sums around an open ring, from its first point: a (twice the area), x and y (moments); p is the last point met."""
+    zero = F.struct(F.element_at(ring, -1).alias("p"), F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+    first = F.element_at(ring, 1)
+
+    def step(s: Column, q: Column) -> Column:
+        px, py, qx, qy = s["p"]["x"] - first["x"], s["p"]["y"] - first["y"], q["x"] - first["x"], q["y"] - first["y"]
+        sums = lambda cross: F.struct(q.alias("p"), (s["a"] + cross).alias("a"), (s["x"] + (px + qx) * cross).alias("x"), (s["y"] + (py + qy) * cross).alias("y"))
+        return let(px * qy - qx * py, sums)
+
+    return F.aggregate(ring, zero, step)
+
+
 def signed_area(ring: Column) -> Column:
     """Half the sum of cross products around an open ring: positive against the clock. Fewer than 3 points give 0."""
-    return F.when(F.size(ring) >= 3, _sum(F.transform(ring, lambda p, i: p["x"] * _next(ring, i)["y"] - _next(ring, i)["x"] * p["y"])) / 2).otherwise(F.lit(0.0))
+    return let(ring, lambda r: F.when(F.size(r) >= 3, _around(r)["a"] / 2).otherwise(F.lit(0.0)))
 
 
 def area(ring: Column) -> Column:
@@ -35,27 +55,34 @@ def area(ring: Column) -> Column:
 
 def wound(ring: Column) -> Column:
     """The ring turned so that its signed area isn't positive, as faces to the top of a scene need."""
-    return F.when(signed_area(ring) > 0, F.reverse(ring)).otherwise(ring)
+    return let(ring, lambda r: F.when(signed_area(r) > 0, F.reverse(r)).otherwise(r))
 
 
 def vertex_mean(ring: Column) -> Column:
-    n = F.size(ring)
-    return F.struct((_sum(F.transform(ring, lambda p: p["x"])) / n).alias("x"), (_sum(F.transform(ring, lambda p: p["y"])) / n).alias("y"))
+    mean = lambda r, axis: (_sum(F.transform(r, lambda p: p[axis])) / F.size(r)).alias(axis)
+    return let(ring, lambda r: F.struct(mean(r, "x"), mean(r, "y")))
 
 
 def area_centroid(ring: Column) -> Column:
     """The centre of mass of the ring's area; the vertex mean where the area is 0."""
-    twice = signed_area(ring) * 2
 
-    def moment(axis: str) -> Column:
-        return _sum(F.transform(ring, lambda p, i: (p[axis] + _next(ring, i)[axis]) * (p["x"] * _next(ring, i)["y"] - _next(ring, i)["x"] * p["y"]))) / (3 * twice)
+    def of(r: Column) -> Column:
+        first = F.element_at(r, 1)
+        centre = lambda s: F.struct(*((first[c] + s[c] / (3 * s["a"])).alias(c) for c in "xy"))
+        return let(_around(r), lambda s: F.when(s["a"] != 0, centre(s)).otherwise(vertex_mean(r)))
 
-    return F.when(twice != 0, F.struct(moment("x").alias("x"), moment("y").alias("y"))).otherwise(vertex_mean(ring))
+    return let(ring, of)
 
 
 def bounds(ring: Column) -> Column:
-    xs, ys = F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])
-    return F.struct(F.array_min(xs).alias("min_x"), F.array_min(ys).alias("min_y"), F.array_max(xs).alias("max_x"), F.array_max(ys).alias("max_y"))
+    xs, ys = (lambda r: F.transform(r, lambda p: p["x"])), (lambda r: F.transform(r, lambda p: p["y"]))
+    sides = lambda r: F.struct(F.array_min(xs(r)).alias("min_x"), F.array_min(ys(r)).alias("min_y"), F.array_max(xs(r)).alias("max_x"), F.array_max(ys(r)).alias("max_y"))
+    return let(ring, sides)
+
+
+def inside(point: Column, min_x: float, min_y: float, max_x: float, max_y: float) -> Column:
+    """Strictly inside a box; the boundary is out."""
+    return let(point, lambda p: (p["x"] > min_x) & (p["x"] < max_x) & (p["y"] > min_y) & (p["y"] < max_y))
 
 
 def contains(ring: Column, x: Column, y: Column) -> Column:

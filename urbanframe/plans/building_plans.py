@@ -96,10 +96,10 @@ def centre_boxes(spark, sf_dir):
 
 def _ring():
     """An open five-cornered ring that is wound by the row's number."""
-    s = F.col("side") + 1
-    at = lambda a, b: F.struct((F.col("x") + a * s).alias("x"), (F.col("z") + b * s).alias("y"))
-    ring = F.array(at(0.0, 0.0), at(2.0, 0.0), at(2.0, 1.0), at(1.0, 1.5), at(0.0, 1.0))
-    return F.when(F.col("fid") % 2 == 0, ring).otherwise(F.reverse(ring))
+    corners = ((0.0, 0.0), (2.0, 0.0), (2.0, 1.0), (1.0, 1.5), (0.0, 1.0))
+    at = lambda r, a, b: F.struct((r["x"] + a * (r["side"] + 1)).alias("x"), (r["z"] + b * (r["side"] + 1)).alias("y"))
+    ring = G.let(F.struct("x", "z", "side"), lambda r: F.array(*(at(r, a, b) for a, b in corners)))
+    return G.let(ring, lambda r: F.when(F.col("fid") % 2 == 0, r).otherwise(F.reverse(r)))
 
 
 _RING = cte("bld") + f""", p AS (SELECT *, side + 1 AS s, CASE WHEN fid % 2 = 0 THEN 1 ELSE -1 END AS turn FROM {planar_sql('bld')})"""
@@ -121,10 +121,7 @@ def ring_centroids(spark, sf_dir):
 
 
 def centroid_in_box(spark, sf_dir):
-    """Strictly inside; the boundary is out."""
-    a = G.area_centroid(_ring())
-    rows = planar(layer(spark, sf_dir, "bld")).withColumn("a", a)
-    return rows.filter("a.x > -2500 AND a.x < 1000 AND a.y > -3200 AND a.y < -1500").select("fid")
+    return planar(layer(spark, sf_dir, "bld")).filter(G.inside(G.area_centroid(_ring()), -2500, -3200, 1000, -1500)).select("fid")
 
 
 def centroid_delete_flag(spark, sf_dir):
