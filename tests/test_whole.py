@@ -119,7 +119,7 @@ def test_welds_of_all_ways(spark):
 
 
 def test_components_of_all_ways(spark):
-    (r,) = road_plans.road_components_all(spark, SF).collect()
+    (r,) = road_plans.road_components(spark, SF).collect()
     assert r.ways == len(_all_ways(spark))
 
 
@@ -127,7 +127,7 @@ def test_heights_of_all_parts(spark):
     from urbanframe.plans import raster_plans
 
     parts = layer(spark, SF, "bld").count()
-    assert raster_plans.heightmap_all(spark, SF).count() == -(-parts // 8) * 21 // 8 * 21
+    assert raster_plans.heightmap(spark, SF).count() == -(-parts // 8) * 21 // 8 * 21
 
 
 def test_crossings_put_into_lines_against_a_plain_loop(spark):

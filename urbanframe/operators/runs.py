@@ -9,8 +9,9 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.window import Window
 
-from urbanframe.operators.staging import new_path
+from urbanframe.operators.staging import new_path, written
 
 #: Formats of progress lines.
 STEP = r"^\[(\d+)/(\d+)\]"
@@ -21,30 +22,51 @@ SAFE_ID = re.compile(r"^[A-Za-z0-9][A-Za-z0-9_.-]*$")
 NOT_IN_ID = re.compile(r"[^A-Za-z0-9_.-]+")
 
 
-def line_progress(line: Column, now: Column) -> Column:
-    """The percentage after a line: steps lead to 75, build stages to 98, the end to 99, and an [OK] adds 3 before 75."""
+def line_effect(line: Column) -> Column:
+    """What a line does to a percentage: struct<least, small>. It rises to least, if that isn't null; small adds 3, up to 74."""
     part = lambda p, k: F.regexp_extract(line, p, k).try_cast("int")
-    share = lambda p, whole: F.floor(part(p, 1) / part(p, 2) * whole).cast("int")
+    share = lambda p, whole: F.floor(F.try_divide(part(p, 1), part(p, 2)) * whole).cast("int")
     step = F.when(part(STEP, 1) >= part(STEP, 2), 75).otherwise(F.least(F.lit(74), share(STEP, 75)))
     done = F.lit(False)
     for text in DONE:
         done = done | F.contains(line, F.lit(text))
-    return (
-        F.when(part(STEP, 1).isNotNull(), F.greatest(now, step))
-        .when(part(BUILD, 1).isNotNull(), F.greatest(now, F.least(F.lit(99), share(BUILD, 23) + 75)))
-        .when(done, F.greatest(now, F.lit(99)))
-        .when(F.contains(line, F.lit("[OK]")) & (now < 75), F.least(F.lit(74), now + 3))
-        .otherwise(now)
-    )
+    least = F.when(part(STEP, 1).isNotNull(), step).when(part(BUILD, 1).isNotNull(), F.least(F.lit(99), share(BUILD, 23) + 75)).when(done, 99)
+    return F.struct(least.alias("least"), (least.isNull() & F.coalesce(F.contains(line, F.lit("[OK]")), F.lit(False))).alias("small"))
+
+
+def line_progress(line: Column, now: Column) -> Column:
+    """The percentage after a line: steps lead to 75, build stages to 98, the end to 99, and an [OK] adds 3 before 75."""
+    effect = line_effect(line)
+    return F.when(effect["least"].isNotNull(), F.greatest(now, effect["least"])).when(effect["small"] & (now < 75), F.least(F.lit(74), now + 3)).otherwise(now)
 
 
 def progress(log: DataFrame) -> DataFrame:
-    """Adds pct to the lines (run, seq, line) of runs: the state after each line, in order; it never falls."""
-    lines = log.groupBy("run").agg(F.sort_array(F.collect_list(F.struct("seq", "line"))).alias("l"))
-    start = F.array().cast("array<int>")
-    last = lambda a: F.coalesce(F.element_at(a, -1), F.lit(0))
-    states = F.aggregate("l", start, lambda a, x: F.concat(a, F.array(line_progress(x["line"], F.when(F.size(a) > 0, last(a)).otherwise(F.lit(0))).cast("int"))))
-    return lines.select("run", F.explode(F.arrays_zip("l", states.alias("p"))).alias("z")).select("run", "z.l.seq", "z.l.line", F.col("z.p").alias("pct"))
+    """Adds pct to the lines (run, seq, line) of runs: the state after each line, in order; it never falls.
+
+    Each line is a monotone map of percentages, and so are several in a row: with k small rises, pct below 75 becomes
+    min(74, max(pct + 3 * k, m)), and pct at all becomes max(pct, h) if some line rises to h of 75 or more. k, m and h are
+    running sums and maxima. They are taken within parts of the lines in order, so a long run spreads over many tasks;
+    the state before each part follows from the maps of the parts before it, a row for each run and part.
+    """
+    rows = log.select("run", "seq", "line", line_effect(F.col("line")).alias("e")).select("run", "seq", "line", F.col("e.small").cast("int").alias("small"), F.col("e.least").alias("least"))
+    rows = rows.repartitionByRange("run", "seq").sortWithinPartitions("run", "seq").withColumn("at", F.monotonically_increasing_id())
+    rows = written(rows, "log-lines").withColumn("part", F.shiftright("at", 33))
+    low = lambda k: F.when(F.col("least") < 75, F.col("least")) - 3 * F.col(k)
+    high = F.when(F.col("least") >= 75, F.col("least"))
+    upto = Window.partitionBy("run", "part").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("k", F.sum("small").over(upto))
+    rows = rows.withColumns({"m": F.coalesce(F.max(low("k")).over(upto), F.lit(-300)) + 3 * F.col("k"), "h": F.max(high).over(upto)})
+    last = F.max_by(F.struct("k", "m", "h"), "at").alias("map")
+    parts = rows.groupBy("run", "part").agg(last).select("run", "part", "map.*")
+    before = Window.partitionBy("run").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("sum", F.sum("k").over(Window.partitionBy("run").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)))
+    sums, tops = F.coalesce(F.sum("k").over(before), F.lit(0)), F.max("h").over(before)
+    small = F.least(F.lit(74), F.greatest(3 * sums, F.coalesce(F.max(F.col("m") - 3 * F.col("sum")).over(before), F.lit(-300)) + 3 * sums))
+    parts = parts.select(F.col("run").alias("of"), F.col("part").alias("in"), F.coalesce(tops, small).alias("start"))
+    joined = rows.join(parts, F.col("run").eqNullSafe(F.col("of")) & (F.col("part") == F.col("in")))
+    start = F.col("start")
+    pct = F.when(F.col("h").isNotNull(), F.greatest(start, "h")).when(start >= 75, start).otherwise(F.least(F.lit(74), F.greatest(start + 3 * F.col("k"), F.col("m"))))
+    return joined.select("run", "seq", "line", pct.cast("int").alias("pct"))
 
 
 def run_states(events: DataFrame) -> DataFrame:

@@ -12,7 +12,8 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from urbanframe.functions.geometry import contains, crossing
+from urbanframe.functions.geometry import crossing
+from urbanframe.operators.overlay import points_in_polygons
 from urbanframe.operators.staging import remove, written
 
 #: So many open conflicts of neighbours, or fewer, are settled by a single task.
@@ -140,18 +141,8 @@ def uncovered(extra: DataFrame, primary: DataFrame, size: float, names: tuple[st
 
 
 def points_in_rings(points: DataFrame, rings: DataFrame, size: float) -> DataFrame:
-    """(id, ring_id) of points (id, x, y) inside open rings (ring_id, ring, min_x, min_y, max_x, max_y).
-
-    Rings stand in cells of size, large ones in cells that are doubled until they touch few; points in those of each level.
-    """
-    level = F.col("level")
-    held = rings.withColumn("level", cell_level(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"), size))
-    spread = box_cells(F.col("min_x"), F.col("min_y"), F.col("max_x"), F.col("max_y"), _doubled(size, level))
-    b = held.withColumn("c", F.explode(spread)).select("ring_id", "ring", "min_x", "min_y", "max_x", "max_y", "level", "c.cx", "c.cy")
-    a = points.select("id", "x", "y", F.explode(_levels(held)).alias("level"))
-    a = a.withColumns({"cx": cell(F.col("x"), _doubled(size, level)), "cy": cell(F.col("y"), _doubled(size, level))})
-    boxed = F.col("x").between(F.col("min_x"), F.col("max_x")) & F.col("y").between(F.col("min_y"), F.col("max_y"))
-    return a.join(b, ["level", "cx", "cy"]).filter(boxed).filter(contains(F.col("ring"), F.col("x"), F.col("y"))).select("id", "ring_id")
+    """(id, ring_id) of points (id, x, y) inside open rings (ring_id, ring); cells at the edge of a ring aren't split below size."""
+    return points_in_polygons(points, rings.select(F.col("ring_id").alias("zone"), F.array("ring").alias("parts")), size).withColumnRenamed("zone", "ring_id")
 
 
 def segment_crossings(segments: DataFrame, size: float = 25.0, least: float = 0.05, most: float = 0.95, limit: int | None = None) -> DataFrame:

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
+from urbanframe.functions.geometry import area, interior_angles, let
+from urbanframe.operators.overlay import box_sides, clipped_by, fan, spaced
 from urbanframe.operators.roads import along
 
 #: Limits of a junction's fill.
@@ -146,6 +148,10 @@ def extruded(faces: DataFrame, height: str) -> DataFrame:
     return faces.select("id", F.posexplode(every).alias("face", "f")).select("id", "f.part", "face", "f.ring")
 
 
+#: Corners nearer than this are one, and pieces with less area or a smaller angle in degrees are dropped.
+CLIP_EPS, LEAST_SQUARE, LEAST_ANGLE = 0.05, 1e-5, 5.0
+
+
 def clipped(ring: list[Point], box: tuple[float, float, float, float], eps: float = 0.05) -> list[Point]:
     """The part of a polygon inside a box (min_x, min_y, max_x, max_y); corners nearer than eps to the one before go."""
     out = list(ring)
@@ -165,11 +171,17 @@ def clipped(ring: list[Point], box: tuple[float, float, float, float], eps: floa
     return clean if len(clean) >= 3 and polygon_area(clean) > 1e-5 else []
 
 
-def clip_faces(faces: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
+def clip_faces(faces: DataFrame, box: tuple[float, float, float, float], eps: float = CLIP_EPS) -> DataFrame:
     """(id, ring) of the parts of faces (id, ring of struct<x,y>) in a box; faces outside are left out."""
+    cut = spaced(clipped_by(F.col("ring"), box_sides(*box)), eps)
+    return faces.select("id", F.filter(F.array(cut), lambda r: (F.size(r) >= 3) & (area(r) > LEAST_SQUARE)).alias("r")).select("id", F.explode("r").alias("ring"))
 
-    @F.pandas_udf("array<struct<x:double,y:double>>")
-    def cut(rings: pd.Series) -> pd.Series:
-        return pd.Series([[{"x": x, "y": y} for x, y in clipped([(p["x"], p["y"]) for p in r], box)] for r in rings])
 
-    return faces.select("id", cut("ring").alias("ring")).filter(F.size("ring") > 0)
+def clip_pieces(faces: DataFrame, box: tuple[float, float, float, float], eps: float = CLIP_EPS, least_angle: float = LEAST_ANGLE) -> DataFrame:
+    """(id, piece, ring) of what faces have in a box: parts of more than four corners become triangles around their mean.
+
+    Pieces of almost no area, or with an angle below least_angle degrees, are left out; piece counts from 0 with them.
+    """
+    parts = clip_faces(faces, box, eps).select("id", F.posexplode(fan(F.col("ring"))).alias("piece", "ring"))
+    good = let(F.col("ring"), lambda r: (area(r) > LEAST_SQUARE) & (F.coalesce(F.array_min(interior_angles(r)), F.lit(0.0)) >= least_angle))
+    return parts.filter(good)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from urbanframe.functions.geometry import let
 from urbanframe.functions.parsing import TILE_M, tile_id, tile_parts
 from urbanframe.functions.projection import PLAIN, from_utm, to_utm
 from urbanframe.operators.spatial import smallest_cover
@@ -31,6 +32,27 @@ def tiles_of_box(spark: SparkSession, west: float, south: float, east: float, no
     return out.select(tile_id(F.col("zone"), F.col("northern"), F.col("easting"), F.col("northing")).alias("tile_id"), "zone", "northern", "easting", "northing")
 
 
+def tiles_of_boxes(boxes: DataFrame, zone: int, northern: bool = True, most: int = MOST_TILES) -> DataFrame:
+    """(id, tile_id, zone, northern, easting, northing) of the tiles that each box (id, west, south, east, north) touches in a zone.
+
+    A box of more tiles than most has none, and neither has one with a null side. Repeated boxes give repeated rows.
+    """
+    sides = ("west", "south", "east", "north")
+    corner = lambda x, y: F.struct(F.col(x).alias("lon"), F.col(y).alias("lat"))
+    planar = lambda c: F.struct(*(F.floor(v / TILE_M).alias(n) for n, v in zip("en", to_utm(c["lon"], c["lat"], zone), strict=True)))
+    corners = F.transform(F.array(*(corner(x, y) for x in sides[::2] for y in sides[1::2])), planar)
+
+    def grid(c: Column) -> Column:
+        ends = {n: (F.array_min(F.transform(c, lambda p: p[n])), F.array_max(F.transform(c, lambda p: p[n]))) for n in "en"}
+        few = (ends["e"][1] - ends["e"][0] + 1) * (ends["n"][1] - ends["n"][0] + 1) <= most
+        every = F.flatten(F.transform(F.sequence(*ends["e"]), lambda e: F.transform(F.sequence(*ends["n"]), lambda n: F.struct((e * TILE_M).alias("easting"), (n * TILE_M).alias("northing")))))
+        return F.when(few, every)
+
+    known = boxes.filter(" AND ".join(f"{c} IS NOT NULL" for c in sides))
+    out = known.select("id", F.explode(let(corners, grid)).alias("t")).select("id", F.lit(zone).alias("zone"), F.lit(northern).alias("northern"), "t.*")
+    return out.select("id", tile_id(F.col("zone"), F.col("northern"), F.col("easting"), F.col("northing")).alias("tile_id"), "zone", "northern", "easting", "northing")
+
+
 def with_corners(tiles: DataFrame, zone: int, northern: bool = True) -> DataFrame:
     """Adds west, south, east and north (7 dp): the envelope of a tile's four corners."""
     steps = F.sequence(F.lit(0), F.lit(TILE_M), F.lit(TILE_M))

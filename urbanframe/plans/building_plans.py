@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from urbanframe.functions import geometry as G, parsing as P, projection as PR
-from urbanframe.operators import buildings as B, quality as Q, spatial as S
+from urbanframe.operators import buildings as B, overlay as OV, quality as Q, spatial as S
 from urbanframe.plans.layers import ORIGIN, cte, layer, planar, planar_sql, table
 from urbanframe.plans.sqltext import Sql, Text
 
@@ -218,12 +218,27 @@ def segment_hits(spark, sf_dir):
     return out.select("a", "b", F.round("t", 4).alias("t"), F.round("u", 4).alias("u"), F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
 
 
+def _diamonds(spark, sf_dir, centre_x: str, centre_y: str, size: str, hole: float = 0.0):
+    """Squares on their tips around each customer's place, with a hole of a part of their size."""
+    c = table(spark, sf_dir, "customer").selectExpr("c_custkey AS zone", f"{centre_x} AS cx", f"{centre_y} AS cy", f"{size} AS s")
+    at = lambda a, b, k: F.struct((F.col("cx") + a * k * F.col("s")).alias("x"), (F.col("cy") + b * k * F.col("s")).alias("y"))
+    ring = lambda k: F.array(at(0.0, -1.0, k), at(1.0, 0.0, k), at(0.0, 1.0, k), at(-1.0, 0.0, k))
+    return c.select("zone", F.array(ring(1.0), *([ring(hole)] if hole else [])).alias("parts"))
+
+
 def pip_mask(spark, sf_dir):
-    rings = table(spark, sf_dir, "customer").selectExpr("c_custkey AS ring_id", "CAST(c_custkey * 7919 % 48 AS DOUBLE) AS cx", "CAST(c_custkey * 104729 % 38 AS DOUBLE) AS cy", "0.7003e0 + c_custkey % 3 AS s")
-    at = lambda a, b: F.struct((F.col("cx") + a * F.col("s")).alias("x"), (F.col("cy") + b * F.col("s")).alias("y"))
-    rings = rings.withColumn("ring", F.array(at(0.0, -1.0), at(1.0, 0.0), at(0.0, 1.0), at(-1.0, 0.0))).select("ring_id", "ring", *(F.expr(e) for e in ("cx - s AS min_x", "cy - s AS min_y", "cx + s AS max_x", "cy + s AS max_y")))
-    points = layer(spark, sf_dir, "points").select("id", "x", F.col("z").alias("y"))
-    return S.points_in_rings(points, rings, 2.0).select("id").distinct()
+    rings = _diamonds(spark, sf_dir, "CAST(c_custkey * 7919 % 48 AS DOUBLE)", "CAST(c_custkey * 104729 % 38 AS DOUBLE)", "0.7003e0 + c_custkey % 3")
+    return OV.covered_points(layer(spark, sf_dir, "points").select("id", "x", F.col("z").alias("y")), rings)
+
+
+def zonal_polygons(spark, sf_dir):
+    """Mean in time of each half-metre cell, then over the cells in slanted zones with holes that were present more than half of the time."""
+    cells = layer(spark, sf_dir, "points").withColumn("present", (F.col("kind") != "error").cast("int"))
+    by_cell = cells.groupBy(F.floor(F.col("x") * 2).alias("c"), F.floor(F.col("z") * 2).alias("r")).agg(F.avg("value").alias("value"), F.avg("present").alias("p"))
+    centres = by_cell.filter("p > 0.5").select(((F.col("c") + 0.5) / 2).alias("x"), ((F.col("r") + 0.5) / 2).alias("y"), "value")
+    zones = _diamonds(spark, sf_dir, "CAST(c_custkey * 31 % 48 AS DOUBLE)", "CAST(c_custkey * 17 % 38 AS DOUBLE)", "2.1003e0 + c_custkey % 7 * 1.5e0", 0.4)
+    out = OV.zone_totals(centres, zones)
+    return out.select("zone", F.col("n").alias("cells"), F.round(F.col("total") / F.col("n"), 9).alias("mean_value"))
 
 
 def zonal_mean(spark, sf_dir):
@@ -284,7 +299,7 @@ QUERIES = {
         bld_clean_report, bld_clean_rows, bld_height_provenance, contract_checks, retention_check, height_anomaly, utm_project,
         utm_inverse, local_scene, box_sizes, centre_boxes, ring_area, winding, ring_centroids, centroid_in_box,
         centroid_delete_flag, points_in_box, nearest_height, enriched_heights, nearest_degrees, pairs_within, bld_dedup, cover_anti,
-        cover_add, smallest_cover, first_cover, segment_hits, pip_mask, zonal_mean, procedural_heights, tag_heights,
+        cover_add, smallest_cover, first_cover, segment_hits, pip_mask, zonal_polygons, zonal_mean, procedural_heights, tag_heights,
         class_heights, layer_extent, box_overlap, largest_ring,
     )
 }
@@ -339,6 +354,10 @@ FROM d WHERE abs(det) > 1e-12 AND t / det > 0.05 AND t / det < 0.95 AND u / det
     # a square on its tip holds the points whose distances along the axes sum to less than its size
     "pip_mask": cte("points") + """, r AS (SELECT CAST(c_custkey * 7919 % 48 AS DOUBLE) AS cx, CAST(c_custkey * 104729 % 38 AS DOUBLE) AS cy, 0.7003e0 + c_custkey % 3 AS s FROM customer)
 SELECT DISTINCT id FROM points JOIN r ON abs(x - cx) + abs(z - cy) < s""",
+    "zonal_polygons": cte("points") + """, c AS (SELECT floor(x * 2) AS c, floor(z * 2) AS r, avg(value) AS v, avg(CASE WHEN kind <> 'error' THEN 1 ELSE 0 END) AS p FROM points GROUP BY 1, 2),
+m AS (SELECT (c + 0.5) / 2 AS x, (r + 0.5) / 2 AS y, v FROM c WHERE p > 0.5),
+z AS (SELECT c_custkey AS zone, CAST(c_custkey * 31 % 48 AS DOUBLE) AS cx, CAST(c_custkey * 17 % 38 AS DOUBLE) AS cy, 2.1003e0 + c_custkey % 7 * 1.5e0 AS s FROM customer)
+SELECT zone, count(*) AS cells, round(avg(v), 9) AS mean_value FROM z JOIN m ON abs(x - cx) + abs(y - cy) < s AND abs(x - cx) + abs(y - cy) > s * 0.4 GROUP BY 1""",
     "zonal_mean": cte("points") + """, c AS (SELECT floor(x) AS c, floor(z) AS r, avg(value) AS v, avg(CASE WHEN kind <> 'error' THEN 1 ELSE 0 END) AS p FROM points GROUP BY 1, 2)
 SELECT CAST(floor(c / 10) AS BIGINT) AS zone_c, CAST(floor(r / 10) AS BIGINT) AS zone_r, round(avg(v), 6) AS mean_value, count(*) AS cells FROM c WHERE p > 0.5 GROUP BY 1, 2""",
     "procedural_heights": _CLEAN + f""", q AS (SELECT *, side * side * 30 AS a, fid % 31 / 10e0 - 1.5e0 AS noise FROM cleaned WHERE reject_reason IS NULL),

@@ -20,11 +20,13 @@ def tile_assign(spark, sf_dir):
 
 
 def viewport_tiles(spark, sf_dir):
-    return T.tiles_of_box(spark, 100.84, 12.88, 100.88, 12.91).select("tile_id", "easting", "northing")
+    return T.tiles_of_boxes(layer(spark, sf_dir, "clips"), 47).select("id", "tile_id", "easting", "northing")
 
 
 def tile_corners(spark, sf_dir):
-    return T.with_corners(T.tiles_of_box(spark, 100.84, 12.88, 100.88, 12.91), 47).select("tile_id", "west", "south", "east", "north")
+    """The envelopes of all tiles that some clip touches."""
+    tiles = T.tiles_of_boxes(layer(spark, sf_dir, "clips"), 47).select("tile_id", "easting", "northing").distinct()
+    return T.with_corners(tiles, 47).select("tile_id", "west", "south", "east", "north")
 
 
 def tile_coverage(spark, sf_dir):
@@ -158,6 +160,11 @@ t AS (SELECT 'z47n_e' || x * 1000 || '_n' || y * 1000 || '_s1000' AS tile_id, x
     sides = [from_utm(Text(f"(easting + {dx})"), Text(f"(northing + {dy})"), 47, True, Sql) for dx in (0, 1000) for dy in (0, 1000)]
     lon, lat = (", ".join(str(s[k]) for s in sides) for k in (0, 1))
     box = f"k AS (SELECT tile_id, round(least({lon}), 7) AS west, round(least({lat}), 7) AS south, round(greatest({lon}), 7) AS east, round(greatest({lat}), 7) AS north FROM t) "
+    of_clips = cte("clips") + f""", c AS (SELECT id, {e} AS e, {n} AS n FROM (
+SELECT id, west AS lon, south AS lat FROM clips UNION ALL SELECT id, west, north FROM clips UNION ALL SELECT id, east, south FROM clips UNION ALL SELECT id, east, north FROM clips)),
+b AS (SELECT id, CAST(floor(min(e) / 1000) AS BIGINT) AS e0, CAST(floor(max(e) / 1000) AS BIGINT) AS e1, CAST(floor(min(n) / 1000) AS BIGINT) AS n0, CAST(floor(max(n) / 1000) AS BIGINT) AS n1 FROM c GROUP BY 1),
+s AS (SELECT id, 'z47n_e' || x * 1000 || '_n' || y * 1000 || '_s1000' AS tile_id, x * 1000 AS easting, y * 1000 AS northing
+FROM b, unnest(range(e0, e1 + 1)) a(x), unnest(range(n0, n1 + 1)) d(y) WHERE (e1 - e0 + 1) * (n1 - n0 + 1) <= 400) """
     ids = """WITH i AS (SELECT c_nationkey AS g, CASE WHEN c_nationkey = 3 AND c_custkey % 5 = 0 THEN 'nowhere' WHEN c_custkey % 11 = 0 THEN ' '
 WHEN c_nationkey % 2 = 0 THEN 'z47n_e' || (700000 + c_custkey % 3 * 1000) || '_n' || (1430000 + c_custkey % 2 * 1000) || '_s1000'
 ELSE 'z47n_e' || (700000 + c_custkey % 7 * 1000) || '_n' || (1430000 + c_custkey % 5 * 1000 + (c_custkey % 7) * 3000) || '_s1000' END AS tile_id FROM customer),
@@ -171,8 +178,8 @@ WHEN l.line LIKE '[Houdini%' THEN greatest(p, least(99, 75 + CAST(floor(CAST(reg
 WHEN l.line LIKE '%[OK]%' AND p < 75 THEN least(74, p + 3) ELSE p END"""
     return {
         "tile_assign": cte("bld") + f", u AS (SELECT CAST(floor({e} / 1000) * 1000 AS BIGINT) AS e, CAST(floor({n} / 1000) * 1000 AS BIGINT) AS n FROM bld) SELECT 'z47n_e' || e || '_n' || n || '_s1000' AS tile_id, count(*) AS buildings FROM u GROUP BY 1",
-        "viewport_tiles": "WITH " + tiles(100.84, 12.88, 100.88, 12.91) + "SELECT * FROM t",
-        "tile_corners": "WITH " + tiles(100.84, 12.88, 100.88, 12.91) + "," + box + "SELECT * FROM k",
+        "viewport_tiles": of_clips + "SELECT * FROM s",
+        "tile_corners": of_clips + ", t AS (SELECT DISTINCT tile_id, easting, northing FROM s), " + box + "SELECT * FROM k",
         "tile_coverage": cte("clips") + "," + tiles(100.84, 12.88, 100.92, 12.95) + "," + box + """SELECT tile_id, CASE WHEN EXISTS (SELECT 1 FROM clips s WHERE s.id % 9 = 0 AND s.west <= k.west AND s.south <= k.south AND s.east >= k.east AND s.north >= k.north) THEN 'macro'
 WHEN EXISTS (SELECT 1 FROM clips s WHERE s.id % 9 <> 0 AND s.west <= k.west AND s.south <= k.south AND s.east >= k.east AND s.north >= k.north) THEN 'clip' ELSE 'none' END AS source FROM k""",
         "tile_select_check": ids + """SELECT g, count(*) AS n, count(DISTINCT e) AS cols, count(DISTINCT n) AS rows, CASE WHEN count(*) FILTER (e IS NULL) > 0 THEN 'bad_id' WHEN count(*) > 256 THEN 'too_many'

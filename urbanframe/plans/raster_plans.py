@@ -177,8 +177,6 @@ QUERIES = {
         bevel_corners, percentiles_by_area, check_severity, severity_total, latest_report, sampled_rows, first_colours,
     )
 }
-#: The name from the time when heightmap took the first parts.
-QUERIES["heightmap_all"] = heightmap
 
 _IDW = DEM + """, x AS (SELECT m.row AS r, m.col AS c, k.elev AS e, CAST((m.row - k.row) * (m.row - k.row) + (m.col - k.col) * (m.col - k.col) AS DOUBLE) AS d FROM dem m JOIN dem k
   ON k.row BETWEEN m.row - 4 AND m.row + 4 AND k.col BETWEEN m.col - 4 AND m.col + 4 WHERE m.masked AND NOT k.masked),
@@ -249,4 +247,3 @@ count(*) FILTER (status = 'pass') AS n_pass, count(*) FILTER (status = 'warn') A
     "sampled_rows": "WITH r AS (SELECT event_id AS id, row_number() OVER (ORDER BY event_id) - 1 AS r, count(*) OVER () AS n FROM events) SELECT id FROM r WHERE r % greatest(1, CAST(ceil(n / 3000.0) AS BIGINT)) = 0",
     "first_colours": "WITH c AS (SELECT vec_id, round(floor(label * 0.25e0 * 4) / 4, 4) AS red, round(label % 3 / 3e0, 4) AS green FROM embeddings) SELECT red, green, min(vec_id) AS first_seen FROM c GROUP BY 1, 2 ORDER BY 3 LIMIT 8",
 }
-ORACLE_SQL["heightmap_all"] = ORACLE_SQL["heightmap"]

@@ -167,8 +167,6 @@ QUERIES = {
         short_steps, weld_ends, chain_merge, tag_reconciliation, dropped_ways,
     )
 }
-#: Names from the time when the three took a part of the ways.
-QUERIES |= {f"{name}_all": QUERIES[name] for name in ("road_components", "node_components", "dangling")}
 
 _KINDS = ", ".join(f"'{k}'" for k in R.KINDS)
 _WIDTHS = " ".join(f"WHEN '{k}' THEN {v}e0" for k, v in R.HALF_WIDTH.items())
@@ -208,4 +206,3 @@ SELECT way_id AS road, CAST(k AS BIGINT) AS chunk, count(*) AS n, min(seq) AS fi
     "tag_reconciliation": cte("way_tags", "bld", "dem") + " SELECT 'road' AS tag, count(*) AS n, 0 AS with_extra FROM way_tags UNION ALL SELECT 'building', count(*), 0 FROM bld UNION ALL SELECT 'terrain', count(*), count(*) FROM dem",
     "dropped_ways": cte("way_tags") + f" SELECT way_id FROM way_tags WHERE highway IS NULL OR highway NOT IN ({_KINDS})",
 }
-ORACLE_SQL |= {f"{name}_all": ORACLE_SQL[name] for name in ("road_components", "node_components", "dangling")}

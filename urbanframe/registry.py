@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 #: Modules of ``urbanframe.plans`` that hold ``QUERIES`` and ``ORACLE_SQL``.
-MODULES = ("building_plans", "road_plans", "raster_plans", "mesh_plans", "misc_plans")
+MODULES = ("building_plans", "road_plans", "raster_plans", "mesh_plans", "overlay_plans", "misc_plans")
 
 
 def _merged(attribute: str) -> dict:
