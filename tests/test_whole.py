@@ -63,6 +63,47 @@ def test_chains_with_tags_and_one_ways(spark):
     assert sorted(got) == sorted(expected) and max(m for *_, m in got) > 2
 
 
+def _way_table(spark, rows):
+    df = spark.createDataFrame(rows, "way_id string, refs array<string>, highway string, oneway string")
+    return df.withColumns({t: F.lit(None).cast("string") for t in R.MERGE_TAGS if t not in df.columns})
+
+
+def test_chains_that_close_in_many_small_networks(spark):
+    rng = random.Random(16)
+    rows = []
+    for net in range(400):
+        nodes = rng.randint(2, 9)
+        for _ in range(rng.randint(1, 14)):
+            rows.append((f"w{rng.randrange(10**9):09d}", [str(rng.randrange(nodes)) for _ in range(rng.choice([2, 2, 2, 3]))], f"net{net}", rng.choice(["yes", "-1"]) if net % 4 == 0 else None))
+    for net, loops in enumerate(([(0, 1), (1, 2), (2, 0), (0, 3), (3, 4), (4, 0)], [(0, 1), (1, 2), (2, 1), (1, 3)], [(0, 1), (1, 2), (2, 1), (1, 3), (3, 4), (4, 3), (3, 0), (5, 0), (0, 6)])):
+        for turn in range(30):  # the same loops with ways named in other orders
+            names = rng.sample(range(10**6), len(loops))
+            rows += [(f"x{n:06d}", [str(a), str(b)] if rng.random() < 0.5 else [str(b), str(a)], f"loops{net}/{turn}", None) for n, (a, b) in zip(names, loops, strict=True)]
+    groups = defaultdict(list)
+    for way, refs, highway, oneway in sorted(rows):
+        groups[highway, oneway].append((way, refs))
+    expected = [(way, refs, m) for tags, group in groups.items() for way, refs, m in _merged(group, tags[1] is None)]
+    got = [(r.way_id, list(r.refs), r.merged) for r in R.merge_chains(_way_table(spark, rows)).collect()]
+    assert sorted(got) == sorted(expected) and sum(refs[0] == refs[-1] and m > 1 for _, refs, m in expected) > 100
+
+
+def test_chains_of_a_city_stay_small_groups(spark):
+    n = 12  # a grid of crossings, each street of three ways between them
+    streets = [((x, y), (x + i, y + 1 - i)) for x in range(n) for y in range(n) for i in (0, 1) if max(x + i, y + 1 - i) < n]
+    rows = [(f"w{k:05d}/{p}", [f"{a if p == 0 else (a, b, p)}", f"{b if p == 2 else (a, b, p + 1)}"], "primary", None) for k, (a, b) in enumerate(streets) for p in range(3)]
+    ways = _way_table(spark, rows)
+    found = R.chain_clusters(ways.selectExpr("way_id", "'g' AS g", "refs[0] AS a", "refs[1] AS b", "false AS one_way")).groupBy("cluster").count().collect()
+    assert max(r["count"] for r in found) == 6 and sum(r["count"] > 3 for r in found) == 4  # only the corners have two ends
+    assert Counter(r.merged for r in R.merge_chains(ways).collect()) == {3: len(streets) - 8, 6: 4}
+
+
+def test_ways_that_nothing_joins_pass(spark):
+    rows = [("a", None, "primary", None), ("b", [], "primary", None), ("c", ["1"], "primary", None), ("d", ["1", "2", "1"], "primary", None), ("e", ["1", "3"], None, None), ("f", ["1", "9"], "", None)]
+    got = {r.way_id: (r.refs, r.merged) for r in R.merge_chains(_way_table(spark, rows)).collect()}
+    assert got == {"a": (None, 1), "b": ([], 1), "c": (["1"], 1), "d": (["1", "2", "1"], 1), "e": (["9", "1", "3"], 2)}
+    assert R.merge_chains(_way_table(spark, rows).limit(0)).count() == 0
+
+
 def test_near_copies_in_rounds_and_in_one_task(spark):
     rng = random.Random(12)
     points = [(k, rng.uniform(0, 60), rng.uniform(0, 60)) for k in range(400)] + [(1000 + k, 100.0 + k, 5.0) for k in range(40)]

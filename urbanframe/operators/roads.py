@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from urbanframe.operators.components import connected_components
 from urbanframe.operators.spatial import within_distance
+from urbanframe.operators.staging import written
 
 #: The kinds of road that stay.
 KINDS = (
@@ -39,7 +40,11 @@ RANGES = (
 RANGE_ELSE = (0.75, 5.0)
 #: Tags that must be the same for two ways to become one.
 MERGE_TAGS = ("highway", "lanes", "width", "oneway", "bridge", "tunnel", "layer", "surface")
+#: Lower-cased values of a way that goes in one direction.
+ONE_WAY = ("yes", "1", "true", "-1")
 WELD_M = 1.0
+#: Begins the names of nodes that tie chains; no way id holds it.
+HUB = "\x00node"
 
 
 def way_reasons(ways: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -126,11 +131,14 @@ def weld(ways: DataFrame, nodes: DataFrame, radius: float = WELD_M) -> DataFrame
 
 
 def _one_way(value: str | None) -> bool:
-    return (value or "").lower() in {"yes", "1", "true", "-1"}
+    return (value or "").lower() in ONE_WAY
 
 
-def _chained(rows: list[tuple[str, list[str]]], reversible: bool) -> list[tuple[str, list[str], list[str]]]:
-    """Ways in order, merged greedily at ends that exactly two different open ways share; (id, refs, ids merged into it)."""
+def _chained(rows: list[tuple[str, list[str]]], reversible: bool, meeting: set[str]) -> list[tuple[str, list[str], list[str]]]:
+    """Ways in order, merged greedily at ends that exactly two different open ways share; (id, refs, ids merged into it).
+
+    Ends join only at meeting nodes, of which all open ways must be among the rows.
+    """
     ways = {way: (list(refs), [way]) for way, refs in rows}
     order = {way: k for k, way in enumerate(ways)}
     uses: dict[str, dict[tuple[int, bool], str]] = {}  # of each node: place of the way and whether it is its last end
@@ -138,7 +146,8 @@ def _chained(rows: list[tuple[str, list[str]]], reversible: bool) -> list[tuple[
 
     def ends(way: str) -> list[tuple[str, tuple[int, bool]]]:
         refs = ways[way][0]
-        return [(refs[0], (order[way], False)), (refs[-1], (order[way], True))] if len(refs) >= 2 and refs[0] != refs[-1] else []
+        both = [(refs[0], (order[way], False)), (refs[-1], (order[way], True))] if len(refs) >= 2 and refs[0] != refs[-1] else []
+        return [end for end in both if end[0] in meeting]
 
     def add(way: str) -> None:
         for node, use in ends(way):
@@ -176,26 +185,72 @@ def _chained(rows: list[tuple[str, list[str]]], reversible: bool) -> list[tuple[
     return [(way, refs, merged) for way, (refs, merged) in ways.items()]
 
 
+def _linked(nodes: DataFrame) -> DataFrame:
+    """(src, dst) of the nodes (one_way, x, y) at which x and y can follow each other; x and y are struct<id, last>."""
+    return nodes.filter(~F.col("one_way") | (F.col("x.last") != F.col("y.last"))).select(F.col("x.id").alias("src"), F.col("y.id").alias("dst"))
+
+
+def chain_clusters(ways: DataFrame) -> DataFrame:
+    """(way_id, cluster, meeting): the ways that can take part in a merge, and which of them must be looked at together.
+
+    ways are (way_id, g, a, b, one_way): a group of the same tags, the nodes of both ends, whether it can't be turned round;
+    ids are unique and a isn't b. meeting are the end nodes of a way that can join. Two ends at a node with no third make a
+    chain, whatever the order of merges is. The order counts only where a chain comes back to a node N that has more ends: it
+    closes there and N loses two ends. If two others are then left they join, and if only closed chains meet in N, the last of
+    them closes elsewhere. So such nodes tie their chains to a cluster, and joined chains may close in turn: as many
+    rounds as loops are nested. Crossings of more ends tie nothing, so a cluster is a chain with the loops on it, not a network.
+    """
+    ends = ways.select("g", "one_way", F.col("way_id").alias("id"), F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(False).alias("last")), F.struct(F.col("b").alias("node"), F.lit(True).alias("last")))).alias("e"))
+    ends = written(ends.select("g", "one_way", "id", "e.node", "e.last"), "chain-ends")
+    end = F.struct("id", "last")
+    nodes = ends.groupBy("g", "node").agg(F.count("*").alias("n"), F.first("one_way").alias("one_way"), F.min(end).alias("x"), F.max(end).alias("y"))
+    free = ~F.col("one_way") | (F.col("x.last") != F.col("y.last"))
+    plain = written(nodes.filter((F.col("n") == 2) & free).drop("n"), "chain-nodes")
+    ties, meeting = _linked(plain), plain.select("g", "node")
+    labels = clusters = connected_components(ties)
+    open_ends = ends.join(meeting, ["g", "node"], "left_anti")
+    while True:
+        named = open_ends.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("id", F.coalesce("component", "id")).drop("component")
+        open_ends = written(named, "chain-ends")
+        both = open_ends.groupBy("g", "node", "id").agg(F.count("*").alias("n"), F.first("one_way").alias("one_way"), F.max("last").alias("last"))
+        other = F.when(F.col("n") == 1, end)
+        sums = both.groupBy("g", "node").agg(F.count_if(F.col("n") == 2).alias("loops"), F.count_if(F.col("n") == 1).alias("others"), F.first("one_way").alias("one_way"), F.min(other).alias("x"), F.max(other).alias("y"))
+        hubs = written(sums.filter((F.col("loops") > 0) & ((F.col("others") == 2) | (F.col("others") == 0) & (F.col("loops") > 1))), "chain-hubs")
+        if hubs.isEmpty():
+            break
+        at = hubs.select("g", "node")
+        tied = open_ends.join(at, ["g", "node"]).select(F.col("id").alias("src"), F.concat_ws("/", F.lit(HUB), "g", "node").alias("dst"))
+        ties, meeting, clusters = ties.union(tied), meeting.union(at), None
+        labels = connected_components(_linked(hubs.filter("others = 2")))
+        open_ends = open_ends.join(at, ["g", "node"], "left_anti")
+    clusters = connected_components(ties) if clusters is None else clusters
+    by_way = ends.join(meeting, ["g", "node"]).groupBy("id").agg(F.collect_set("node").alias("meeting"))
+    return by_way.join(clusters.withColumnRenamed("node", "id"), "id").select(F.col("id").alias("way_id"), F.col("component").alias("cluster"), "meeting")
+
+
 def merge_chains(ways: DataFrame) -> DataFrame:
     """Ways (way_id, refs, MERGE_TAGS) with chains of the same tags made one: adds merged, the number of ways in each.
 
-    Only ends within the same tags count. The result is that of merging one pair at a time, in way order; groups are split
-    by connected ends first, so the order-dependent part sees one chain network at a time and not a whole tag group.
+    Only ends within the same tags count, and way ids are unique. The result is that of merging one pair at a time, in way
+    order. Ways that nothing can join pass through without Python, as do closed ways and those without refs; of the rest a
+    task sees one cluster at a time, which is little more than the row that comes of it.
     """
     tags = [F.coalesce(F.col(t), F.lit("")).alias(t) for t in MERGE_TAGS]
-    base = ways.select("way_id", "refs", *tags).withColumn("g", F.sha2(F.to_json(F.array(*MERGE_TAGS)), 256))
-    end = lambda k: F.concat_ws("/", "g", F.element_at("refs", k))
-    labels = connected_components(base.select(end(1).alias("src"), end(-1).alias("dst")))
-    grouped = base.withColumn("node", end(1)).join(labels, "node")
+    own = {"g": F.sha2(F.to_json(F.array(*MERGE_TAGS)), 256), "a": F.try_element_at("refs", F.lit(1)), "b": F.try_element_at("refs", F.lit(-1)), "one_way": F.lower("oneway").isin(*ONE_WAY)}
+    base = written(ways.select("way_id", "refs", *tags).withColumns(own), "chain-ways")
+    found = written(chain_clusters(base.filter((F.size("refs") >= 2) & (F.col("a") != F.col("b"))).select("way_id", *own)), "chain-clusters")
+    columns = ["way_id", "refs", *MERGE_TAGS]
     schema = ", ".join(["way_id string", "refs array<string>", *(f"{t} string" for t in MERGE_TAGS), "merged int"])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("way_id")
         first = pdf.iloc[0]
-        out = _chained([(w, list(r)) for w, r in zip(pdf["way_id"], pdf["refs"], strict=True)], not _one_way(first["oneway"]))
-        return pd.DataFrame([(w, refs, *(first[t] for t in MERGE_TAGS), len(m)) for w, refs, m in out], columns=["way_id", "refs", *MERGE_TAGS, "merged"])
+        rows = [(w, list(r)) for w, r in zip(pdf["way_id"], pdf["refs"], strict=True)]
+        out = _chained(rows, not _one_way(first["oneway"]), {node for nodes in pdf["meeting"] for node in nodes})
+        return pd.DataFrame([(w, refs, *(first[t] for t in MERGE_TAGS), len(m)) for w, refs, m in out], columns=[*columns, "merged"])
 
-    return grouped.groupBy("component").applyInPandas(run, schema)
+    alone = base.join(found, "way_id", "left_anti").select(*columns, F.lit(1).alias("merged"))
+    return alone.unionByName(base.select(*columns).join(found, "way_id").groupBy("cluster").applyInPandas(run, schema))
 
 
 def along(points: DataFrame, road: str = "road", order: str = "seq") -> DataFrame:
