@@ -38,6 +38,22 @@ def prefix_sums(df: DataFrame, order: list[str], values: dict[str, Column], name
     return joined.select(*(F.col(rest[c]).alias(c) for c in kept), *added, (F.col("row0") + F.col("place")).alias("row_no"))
 
 
+def first_places(df: DataFrame, by: list[str], value: str, order: str) -> DataFrame:
+    """(by, value, place): each different value of a group once, with its place from 0 by where it first stands in order.
+
+    Places are row numbers of all groups together less those before the group, so that no task holds a group. Values that
+    stand at the same place of the order, or at none, go by value. Null values are left out, a null group is a group.
+    """
+    keys = [f"k{k}" for k in range(len(by))]
+    rows = df.select(*(F.col(c).alias(k) for c, k in zip(by, keys, strict=True)), F.col(value).alias("v"), F.col(order).alias("o")).filter("v IS NOT NULL")
+    first = rows.groupBy(*keys, "v").agg(F.min("o").alias("o"))
+    placed = prefix_sums(first.withColumn("none", F.col("o").isNull()), [*keys, "none", "o", "v"], {}, "first-places")
+    starts = placed.groupBy(*keys).agg(F.min("row_no").alias("start"))
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    joined = placed.alias("a").join(starts.alias("b"), same)
+    return joined.select(*(F.col(f"a.{k}").alias(c) for c, k in zip(by, keys, strict=True)), F.col("v").alias(value), (F.col("row_no") - F.col("start")).alias("place"))
+
+
 def every_nth(df: DataFrame, order: list[str], most: int | None) -> DataFrame:
     """Every ceil(n / most)-th row in order; all rows with most None or no more rows than that."""
     if most is None:

@@ -112,15 +112,18 @@ def connectivity(ways: DataFrame) -> DataFrame:
 def weld(ways: DataFrame, nodes: DataFrame, radius: float = WELD_M) -> DataFrame:
     """Ways (way_id, refs) with their first and last node put to one for all ends within radius, directly or by steps.
 
-    The representative is the lowest id as a number, or the first in node order if an id isn't a number. Adds welded, the
-    number of ends that changed. nodes are (id, x, y) in metres; ids are strings.
+    The representative is the lowest id as a number. If an id isn't a number it is the first in node order, which is the
+    column seq of nodes where they have one, else the order of the texts. Adds welded, the number of ends that changed.
+    nodes are (id, x, y) in metres; ids are strings.
     """
     ends = ways.select(F.explode(F.array(F.element_at("refs", 1), F.element_at("refs", -1))).alias("id")).distinct().join(nodes, "id")
+    ends = ends if "seq" in nodes.columns else ends.withColumn("seq", F.lit(0))
     pairs = within_distance(ends, ends, radius).filter("left_id < right_id").select(F.col("left_id").alias("src"), F.col("right_id").alias("dst"))
     labels = connected_components(pairs)
     number = F.col("node").try_cast("long")
-    chosen = labels.groupBy("component").agg(F.min(F.struct(number.alias("n"), F.col("node"))).alias("low"), F.count_if(number.isNull()).alias("others"))
-    rep = labels.join(chosen, "component").select("node", F.when(F.col("others") == 0, F.col("low.node")).otherwise(F.col("component")).alias("rep"))
+    placed = labels.join(ends.select(F.col("id").alias("node"), "seq"), "node")
+    chosen = placed.groupBy("component").agg(F.min(F.struct(number.alias("n"), F.col("node"))).alias("low"), F.min(F.struct("seq", "node")).alias("first"), F.count_if(number.isNull()).alias("others"))
+    rep = labels.join(chosen, "component").select("node", F.when(F.col("others") == 0, F.col("low.node")).otherwise(F.col("first.node")).alias("rep"))
     out = ways.withColumns({"__a": F.element_at("refs", 1), "__b": F.element_at("refs", -1)})
     for end in ("__a", "__b"):
         out = out.join(rep.select(F.col("node").alias(end), F.col("rep").alias(f"{end}_rep")), end, "left").withColumn(f"{end}_new", F.coalesce(f"{end}_rep", end))

@@ -106,10 +106,14 @@ def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
 def publish(df: DataFrame, target: str, ready: Callable[[DataFrame], bool]) -> bool:
     """Writes df beside target, and swaps it in only if the written table is ready; else target stays as it was."""
     spark = df.sparkSession
-    staged, old = new_path(spark, "staged"), f"{target}.previous"
+    staged = new_path(spark, "staged")
     df.write.parquet(staged)
-    if not ready(spark.read.parquet(staged)):
-        return False
+    return ready(spark.read.parquet(staged)) and swapped(spark, staged, target)
+
+
+def swapped(spark: SparkSession, staged: str, target: str) -> bool:
+    """Puts staged in the place of target by renames; a target that can't be replaced is put back."""
+    old = f"{target}.previous"
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
     fs.delete(path(old), True)

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from urbanframe.functions import geometry as G, parsing as P, projection as PR
+from urbanframe.functions.sql import register
 from urbanframe.operators import buildings as B, overlay as OV, quality as Q, spatial as S
 from urbanframe.plans.layers import ORIGIN, cte, layer, planar, planar_sql, table
 from urbanframe.plans.sqltext import Sql, Text
+from urbanframe.sources.geojson import coverage, split_collections
 
 NEAR_M = B.ENRICH_M
 
@@ -105,6 +111,47 @@ def _ring():
 _RING = cte("bld") + f""", p AS (SELECT *, side + 1 AS s, CASE WHEN fid % 2 = 0 THEN 1 ELSE -1 END AS turn FROM {planar_sql('bld')})"""
 
 
+_SQL_FUNCTIONS = """
+SELECT fid, round(abs(ring_signed_area(ring)), 3) AS square_m, round(ring_signed_area(reverse(ring)), 3) AS turned,
+       ring_contains(ring, x + 1.5D * s, z + element_at(array(0.5D, 1.3D, 1.2D, -0.1D), CAST(fid % 4 AS INT) + 1) * s) AS inside,
+       round(crossing_first(x, z, x + 2 * s, z, x + fid % 5 * 0.4D * s, z - s, x + fid % 5 * 0.4D * s, z + s), 6) AS share,
+       round(utm_easting(lon, lat, 47), 3) AS easting, round(utm_northing(lon, lat, 47), 3) AS northing, utm_zone(lon) AS zone,
+       round(utm_lon(utm_easting(lon, lat, 47), utm_northing(lon, lat, 47), 47, true), 6) AS lon_back
+FROM (SELECT *, array(named_struct('x', x, 'y', z), named_struct('x', x + 2 * s, 'y', z), named_struct('x', x + 2 * s, 'y', z + s),
+                      named_struct('x', x + s, 'y', z + 1.5D * s), named_struct('x', x, 'y', z + s)) AS ring
+      FROM (SELECT *, side + 1 AS s FROM {rows}))"""
+
+
+def sql_functions(spark, sf_dir):
+    """Areas, containment, crossings and projections by their SQL names."""
+    register(spark)
+    return spark.sql(_SQL_FUNCTIONS, rows=planar(layer(spark, sf_dir, "bld")).select("fid", "lon", "lat", "side", "x", "z"))
+
+
+def _packed(batches):
+    """Every third file (path, text) becomes an archive, every eleventh is cut short."""
+    for batch in batches:
+        content = []
+        for k, text in zip(batch["k"], batch["text"], strict=True):
+            data = text.encode()
+            if k % 3 == 0:
+                with zipfile.ZipFile(out := io.BytesIO(), "w", zipfile.ZIP_DEFLATED) as z:
+                    z.writestr("readme.txt", "x")
+                    z.writestr("part.geojson", data)
+                data = out.getvalue()
+            content.append(data[: len(data) // 2] if k % 11 == 0 else data)
+        yield pd.DataFrame({"path": batch["k"].astype(str), "content": content})
+
+
+def collection_coverage(spark, sf_dir):
+    """Coverage of collections of 500 buildings, some of them zipped and some damaged."""
+    point = F.concat(F.lit('{"type":"Point","coordinates":['), F.col("lon").cast("string"), F.lit(","), F.col("lat").cast("string"), F.lit("]}"))
+    feature = F.concat(F.lit('{"geometry":'), F.when(F.col("geom_type").isNull(), "null").otherwise(point), F.lit(',"properties":{"height":'), F.coalesce(F.col("raw_height").cast("string"), F.lit('""')), F.lit("}}"))
+    files = layer(spark, sf_dir, "bld").groupBy(F.floor(F.col("fid") / 500).alias("k")).agg(F.concat_ws(",", F.collect_list(feature)).alias("text"))
+    files = files.withColumn("text", F.concat(F.lit('{"features":['), "text", F.lit("]}")))
+    return coverage(split_collections(files.mapInPandas(_packed, "path string, content binary")))
+
+
 def ring_area(spark, sf_dir):
     return planar(layer(spark, sf_dir, "bld")).select("fid", F.round(G.area(_ring()), 3).alias("square_m"))
 
@@ -297,7 +344,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         bld_clean_report, bld_clean_rows, bld_height_provenance, contract_checks, retention_check, height_anomaly, utm_project,
-        utm_inverse, local_scene, box_sizes, centre_boxes, ring_area, winding, ring_centroids, centroid_in_box,
+        utm_inverse, local_scene, box_sizes, centre_boxes, sql_functions, collection_coverage, ring_area, winding, ring_centroids, centroid_in_box,
         centroid_delete_flag, points_in_box, nearest_height, enriched_heights, nearest_degrees, pairs_within, bld_dedup, cover_anti,
         cover_add, smallest_cover, first_cover, segment_hits, pip_mask, zonal_polygons, zonal_mean, procedural_heights, tag_heights,
         class_heights, layer_extent, box_overlap, largest_ring,
@@ -329,6 +376,11 @@ CASE WHEN count(*) = 0 THEN 'empty' WHEN bool_and(height = 10) THEN 'all_default
     "centre_boxes": cte("bld") + """, k AS (SELECT *, greatest(1e0, least(10e0, pow(2e0, 15 - (10 + fid % 8)))) AS km FROM bld)
 SELECT fid, km, round(lon - km / (111.32e0 * cos(radians(lat))), 7) AS west, round(lat - km / 111.32e0, 7) AS south,
 round(lon + km / (111.32e0 * cos(radians(lat))), 7) AS east, round(lat + km / 111.32e0, 7) AS north FROM k""",
+    "sql_functions": _RING + f""" SELECT fid, round(s * s * 2.5e0, 3) AS square_m, round(-s * s * 2.5e0, 3) AS turned, fid % 4 IN (0, 2) AS inside, round(fid % 5 * 0.2e0, 6) AS share,
+round({_E}, 3) AS easting, round({_N}, 3) AS northing, 47 AS zone, round(lon, 6) AS lon_back FROM p""",
+    "collection_coverage": cte("bld") + """, g AS (SELECT fid // 500 AS k, count(*) AS n, count(raw_height) AS h, count(geom_type) AS g FROM bld GROUP BY 1)
+SELECT CAST(k AS VARCHAR) AS path, CASE WHEN k % 11 = 0 THEN 0 ELSE n END AS n, CASE WHEN k % 11 = 0 THEN 0 ELSE h END AS with_field, CASE WHEN k % 11 <> 0 THEN 100 * h // n END AS share,
+CASE WHEN k % 11 = 0 THEN 0 ELSE g END AS with_geometry, CASE WHEN k % 11 = 0 OR g = 0 THEN 'fail' ELSE 'pass' END AS status FROM g""",
     "ring_area": _RING + " SELECT fid, round(s * s * 2.5e0, 3) AS square_m FROM p",
     "winding": _RING + " SELECT fid, round(turn * s * s * 2.5e0, 3) AS signed, round(-s * s * 2.5e0, 3) AS after FROM p",
     # a rectangle of 2 x 1 and a triangle of half a unit on its top

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from urbanframe.functions import parsing as P
-from urbanframe.operators import quality as Q, runs as U, tiles as T
+from urbanframe.operators import order as O, quality as Q, runs as U, tiles as T
 from urbanframe.operators.components import connected_components
 from urbanframe.plans.layers import cte, layer, table
 
@@ -39,6 +39,7 @@ def _ids(spark, sf_dir):
     """Tile ids in groups: rectangles, gaps, wrong ids, blanks."""
     return table(spark, sf_dir, "customer").selectExpr(
         "c_nationkey AS g",
+        "c_custkey * 7919 % 10007 AS k",
         "CASE WHEN c_nationkey = 3 AND c_custkey % 5 = 0 THEN 'nowhere' WHEN c_custkey % 11 = 0 THEN ' ' WHEN c_nationkey % 2 = 0 THEN concat('z47n_e', CAST(700000 + c_custkey % 3 * 1000 AS STRING), '_n', CAST(1430000 + c_custkey % 2 * 1000 AS STRING), '_s1000') "
         "ELSE concat('z47n_e', CAST(700000 + c_custkey % 7 * 1000 AS STRING), '_n', CAST(1430000 + c_custkey % 5 * 1000 + (c_custkey % 7) * 3000 AS STRING), '_s1000') END AS tile_id",
     )
@@ -55,9 +56,8 @@ def tile_parse(spark, sf_dir):
 
 def ordered_ids(spark, sf_dir):
     """Different ids that aren't blank in the order of their first place."""
-    ids = _ids(spark, sf_dir).withColumn("k", F.monotonically_increasing_id())
-    a = ids.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("k", "tile_id"))).alias("a"))
-    return a.select("g", F.size(F.array_distinct(F.filter(F.transform("a.tile_id", lambda t: F.trim(t)), lambda t: t != ""))).cast("long").alias("n"))
+    ids = _ids(spark, sf_dir).withColumn("tile_id", F.trim("tile_id")).filter("tile_id <> ''")
+    return O.first_places(ids, ["g"], "tile_id", "k")
 
 
 def progress_max(spark, sf_dir):
@@ -165,7 +165,7 @@ SELECT id, west AS lon, south AS lat FROM clips UNION ALL SELECT id, west, north
 b AS (SELECT id, CAST(floor(min(e) / 1000) AS BIGINT) AS e0, CAST(floor(max(e) / 1000) AS BIGINT) AS e1, CAST(floor(min(n) / 1000) AS BIGINT) AS n0, CAST(floor(max(n) / 1000) AS BIGINT) AS n1 FROM c GROUP BY 1),
 s AS (SELECT id, 'z47n_e' || x * 1000 || '_n' || y * 1000 || '_s1000' AS tile_id, x * 1000 AS easting, y * 1000 AS northing
 FROM b, unnest(range(e0, e1 + 1)) a(x), unnest(range(n0, n1 + 1)) d(y) WHERE (e1 - e0 + 1) * (n1 - n0 + 1) <= 400) """
-    ids = """WITH i AS (SELECT c_nationkey AS g, CASE WHEN c_nationkey = 3 AND c_custkey % 5 = 0 THEN 'nowhere' WHEN c_custkey % 11 = 0 THEN ' '
+    ids = """WITH i AS (SELECT c_nationkey AS g, c_custkey * 7919 % 10007 AS k, CASE WHEN c_nationkey = 3 AND c_custkey % 5 = 0 THEN 'nowhere' WHEN c_custkey % 11 = 0 THEN ' '
 WHEN c_nationkey % 2 = 0 THEN 'z47n_e' || (700000 + c_custkey % 3 * 1000) || '_n' || (1430000 + c_custkey % 2 * 1000) || '_s1000'
 ELSE 'z47n_e' || (700000 + c_custkey % 7 * 1000) || '_n' || (1430000 + c_custkey % 5 * 1000 + (c_custkey % 7) * 3000) || '_s1000' END AS tile_id FROM customer),
 d AS (SELECT DISTINCT g, trim(tile_id) AS tile_id FROM i WHERE trim(tile_id) <> ''),
@@ -185,7 +185,8 @@ WHEN EXISTS (SELECT 1 FROM clips s WHERE s.id % 9 <> 0 AND s.west <= k.west AND
         "tile_select_check": ids + """SELECT g, count(*) AS n, count(DISTINCT e) AS cols, count(DISTINCT n) AS rows, CASE WHEN count(*) FILTER (e IS NULL) > 0 THEN 'bad_id' WHEN count(*) > 256 THEN 'too_many'
 WHEN ((max(e) - min(e)) // 1000 + 1) * ((max(n) - min(n)) // 1000 + 1) <> count(*) THEN 'not_rectangle' END AS reason FROM p GROUP BY 1""",
         "tile_parse": ids + "SELECT DISTINCT tile_id, 47 AS zone, e AS easting, n AS northing FROM p WHERE e IS NOT NULL",
-        "ordered_ids": ids + "SELECT i.g, (SELECT count(*) FROM d WHERE d.g = i.g) AS n FROM (SELECT DISTINCT g FROM i) i",
+        "ordered_ids": ids + """, f AS (SELECT g, trim(tile_id) AS tile_id, min(k) AS k FROM i WHERE trim(tile_id) <> '' GROUP BY 1, 2)
+SELECT g, tile_id, row_number() OVER (PARTITION BY g ORDER BY k, tile_id) - 1 AS place FROM f""",
         "progress_max": recursive.replace("WITH RECURSIVE ", "WITH RECURSIVE " + log + ", ") + f"s(run, i, p) AS (SELECT run, 0::BIGINT, 0 FROM (SELECT DISTINCT run FROM l) UNION ALL SELECT l.run, l.i, {step} FROM s JOIN l ON l.run = s.run AND l.i = s.i + 1) SELECT l.run, l.seq, CAST(p AS BIGINT) AS pct FROM s JOIN l ON l.run = s.run AND l.i = s.i",
         "last_lines": cte("log") + " SELECT run, seq, line FROM log ORDER BY run DESC, seq DESC LIMIT 80",
         "url_parse": """WITH u AS (SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'https://maps.example.com/@' || (12 + page_id % 3) || '.9' || page_id || ',100.8' || page_id || ',' || (13 + page_id % 4) || 'z' WHEN 1 THEN 'https://maps.example.com/?ll=-12.5' || page_id || ',100.25'

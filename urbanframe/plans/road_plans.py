@@ -136,6 +136,14 @@ def weld_ends(spark, sf_dir):
     return R.weld(whole, nodes, 20.0).select("way_id", F.element_at("refs", 1).alias("a"), F.element_at("refs", -1).alias("b"), F.size("refs").cast("long").alias("n"), "welded")
 
 
+def weld_first(spark, sf_dir):
+    """Ends at one place become the one that is first by a given order, for ids that are no numbers."""
+    named = lambda c: F.concat(F.lit("n"), c)
+    nodes = planar(layer(spark, sf_dir, "nodes")).select(named("id").alias("id"), "x", F.col("z").alias("y"), (-F.col("id").cast("long")).alias("seq"))
+    whole = _whole(spark, sf_dir).select("way_id", F.transform("refs", named).alias("refs"))
+    return R.weld(whole, nodes).select("way_id", F.element_at("refs", 1).alias("a"), F.element_at("refs", -1).alias("b"), "welded")
+
+
 def chain_merge(spark, sf_dir):
     rows = _whole(spark, sf_dir)
     for t in R.MERGE_TAGS:
@@ -164,7 +172,7 @@ QUERIES = {
     for f in (
         way_filter_report, highway_hist, highway_top, road_coverage, way_bbox_semijoin, way_geometry, edges, endpoints, road_components,
         node_components, dangling, half_width, tag_numbers, merge_groups, cum_len, tangents, junction_places, chunk_split,
-        short_steps, weld_ends, chain_merge, tag_reconciliation, dropped_ways,
+        short_steps, weld_ends, weld_first, chain_merge, tag_reconciliation, dropped_ways,
     )
 }
 
@@ -203,6 +211,11 @@ CASE WHEN max(n) / sum(n) < 0.6 AND count(*) > 1 THEN 'warn' ELSE 'pass' END AS
 c AS (SELECT *, sum(cut::INT) OVER (PARTITION BY way_id ORDER BY seq) AS k FROM m),
 b AS (SELECT way_id, seq, k FROM c UNION ALL SELECT way_id, seq, k - 1 FROM c WHERE cut)
 SELECT way_id AS road, CAST(k AS BIGINT) AS chunk, count(*) AS n, min(seq) AS first_seq, max(seq) AS last_seq FROM b GROUP BY 1, 2""",
+    "weld_first": cte("nodes", "way_nodes") + """, e AS (SELECT way_id, arg_min(ref, seq) AS a, arg_max(ref, seq) AS b FROM way_nodes GROUP BY 1 HAVING count(*) >= 2),
+u AS (SELECT a AS id FROM e UNION SELECT b FROM e),
+r AS (SELECT id, CAST(max(CAST(id AS BIGINT)) OVER (PARTITION BY lon, lat) AS VARCHAR) AS rep FROM u JOIN nodes USING (id))
+SELECT way_id, 'n' || coalesce(p.rep, a) AS a, 'n' || coalesce(q.rep, b) AS b, CAST(coalesce(p.rep, a) <> a AS INT) + CAST(coalesce(q.rep, b) <> b AS INT) AS welded
+FROM e LEFT JOIN r p ON p.id = a LEFT JOIN r q ON q.id = b""",
     "tag_reconciliation": cte("way_tags", "bld", "dem") + " SELECT 'road' AS tag, count(*) AS n, 0 AS with_extra FROM way_tags UNION ALL SELECT 'building', count(*), 0 FROM bld UNION ALL SELECT 'terrain', count(*), count(*) FROM dem",
     "dropped_ways": cte("way_tags") + f" SELECT way_id FROM way_tags WHERE highway IS NULL OR highway NOT IN ({_KINDS})",
 }
