@@ -7,6 +7,8 @@ from pyspark.sql.window import Window
 
 #: Metres that a building stands above the highest terrain under it, and that a draped road lies above it.
 BASE_GAP, DRAPE = 0.05, 0.15
+#: Pixel values of a metre's hundredth at scale 1, and the pixel values above the middle.
+UNITS_PER_PIXEL, HALF_RANGE = 128, 32767
 
 
 def dense_index(points: DataFrame, x: str = "x", z: str = "z") -> DataFrame:
@@ -69,7 +71,7 @@ def sampled(points: DataFrame, grid: DataFrame, size: float = 1.0, reach: int =
     """Adds terrain to points (x, z, others): bilinear inside a cell of size metres of the grid.
 
     Where a cell lacks a corner, terrain is that of the nearest known grid point within reach cells (the one of the least
-    row and column of several), or null.
+    row and column of several, as far as nanometres tell them apart), or null.
     """
     at = points.withColumns({"row": F.floor(F.col("z") / size), "col": F.floor(F.col("x") / size)})
     found = at.join(quads(grid).filter("next_row = row + 1 AND next_col = col + 1").drop("next_row", "next_col"), ["row", "col"], "left")
@@ -82,7 +84,7 @@ def sampled(points: DataFrame, grid: DataFrame, size: float = 1.0, reach: int =
     around = F.flatten(F.transform(steps, lambda i: F.transform(steps, lambda j: F.struct((F.floor(F.col("z") / size) + i).alias("row"), (F.floor(F.col("x") / size) + j).alias("col")))))
     near = places.withColumn("c", F.explode(around)).select("x", "z", "c.row", "c.col").join(grid.filter("elev IS NOT NULL").select("row", "col", "elev"), ["row", "col"])
     away = F.hypot(F.col("x") - F.col("col") * size, F.col("z") - F.col("row") * size)
-    nearest = near.groupBy("x", "z").agg(F.min(F.struct(away.alias("d"), "row", "col", "elev")).alias("n")).select("x", "z", F.col("n.elev").alias("near_elev"))
+    nearest = near.groupBy("x", "z").agg(F.min(F.struct(F.round(away, 9).alias("d"), "row", "col", "elev")).alias("n")).select("x", "z", F.col("n.elev").alias("near_elev"))
     return out.join(nearest, ["x", "z"], "left").withColumn("terrain", F.coalesce("terrain", "near_elev")).select(*points.columns, "terrain")
 
 
@@ -126,6 +128,17 @@ def encoded16(elev: Column, least: Column, most: Column) -> Column:
     return ((F.least(most, F.greatest(least, elev)) - least) / F.when(most > least, most - least).otherwise(F.lit(1.0)) * 65535).cast("int")
 
 
+def landscape_scale(points: DataFrame, pixels: int) -> DataFrame:
+    """What a game engine needs to place a heightmap of pixels by pixels over the points (x, z, elev), in centimetres.
+
+    scale_x and scale_y are the steps between vertices, scale_z the height that the whole range of pixel values stands
+    for, in units of the engine, offset_z the height of the lowest point. Without points all are null.
+    """
+    step = lambda c: ((F.max(c) - F.min(c)) * 100 / (pixels - 1)).alias
+    scale = (F.max("elev") - F.min("elev")) * 100 * UNITS_PER_PIXEL / HALF_RANGE
+    return points.agg(step("x")("scale_x"), step("z")("scale_y"), scale.alias("scale_z"), (F.min("elev") * 100).alias("offset_z"))
+
+
 def split_bytes(pixel: Column) -> tuple[Column, Column]:
     return F.shiftright(pixel, 8), pixel.bitwiseAND(255)
 

@@ -24,9 +24,9 @@ def viewport_tiles(spark, sf_dir):
 
 
 def tile_corners(spark, sf_dir):
-    """The envelopes of all tiles that some clip touches."""
+    """The envelopes and centres of all tiles that some clip touches."""
     tiles = T.tiles_of_boxes(layer(spark, sf_dir, "clips"), 47).select("tile_id", "easting", "northing").distinct()
-    return T.with_corners(tiles, 47).select("tile_id", "west", "south", "east", "north")
+    return T.with_corners(tiles, 47).select("tile_id", "west", "south", "east", "north", "lon", "lat")
 
 
 def tile_coverage(spark, sf_dir):
@@ -159,7 +159,8 @@ t AS (SELECT 'z47n_e' || x * 1000 || '_n' || y * 1000 || '_s1000' AS tile_id, x
 
     sides = [from_utm(Text(f"(easting + {dx})"), Text(f"(northing + {dy})"), 47, True, Sql) for dx in (0, 1000) for dy in (0, 1000)]
     lon, lat = (", ".join(str(s[k]) for s in sides) for k in (0, 1))
-    box = f"k AS (SELECT tile_id, round(least({lon}), 7) AS west, round(least({lat}), 7) AS south, round(greatest({lon}), 7) AS east, round(greatest({lat}), 7) AS north FROM t) "
+    centre = from_utm(Text("(easting + 500e0)"), Text("(northing + 500e0)"), 47, True, Sql)
+    box = f"k AS (SELECT tile_id, round(least({lon}), 7) AS west, round(least({lat}), 7) AS south, round(greatest({lon}), 7) AS east, round(greatest({lat}), 7) AS north, round({centre[0]}, 7) AS lon, round({centre[1]}, 7) AS lat FROM t) "
     of_clips = cte("clips") + f""", c AS (SELECT id, {e} AS e, {n} AS n FROM (
 SELECT id, west AS lon, south AS lat FROM clips UNION ALL SELECT id, west, north FROM clips UNION ALL SELECT id, east, south FROM clips UNION ALL SELECT id, east, north FROM clips)),
 b AS (SELECT id, CAST(floor(min(e) / 1000) AS BIGINT) AS e0, CAST(floor(max(e) / 1000) AS BIGINT) AS e1, CAST(floor(min(n) / 1000) AS BIGINT) AS n0, CAST(floor(max(n) / 1000) AS BIGINT) AS n1 FROM c GROUP BY 1),

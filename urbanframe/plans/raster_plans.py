@@ -73,7 +73,8 @@ def snap_base(spark, sf_dir):
 
 
 def road_drape(spark, sf_dir):
-    out = R.sampled(layer(spark, sf_dir, "points"), layer(spark, sf_dir, "dem"))
+    """Points laid on the terrain; where their cell lacks a corner, on the nearest grid point within two cells."""
+    out = R.sampled(layer(spark, sf_dir, "points"), layer(spark, sf_dir, "dem"), reach=2)
     return out.select("id", F.round(F.greatest(F.coalesce("terrain", F.lit(0.0)), F.lit(0.0)) + R.DRAPE, 6).alias("y"))
 
 
@@ -91,6 +92,11 @@ def height_pixels(spark, sf_dir):
     return dem.join(F.broadcast(lim)).select(F.col("row").alias("r"), F.col("col").alias("c"), p.alias("pixel")).withColumns({"high": hi, "low": lo})
 
 
+def heightmap_scale(spark, sf_dir):
+    points = layer(spark, sf_dir, "dem").selectExpr("col * 30e0 AS x", "row * -30e0 AS z", "elev")
+    return R.landscape_scale(points, 1009).select(*(F.round(c, 6).alias(c) for c in ("scale_x", "scale_y", "scale_z", "offset_z")))
+
+
 def heightmap(spark, sf_dir):
     """The full grid of all parts, eight wide, enlarged by 21 / 8 by cubic convolution."""
     part = table(spark, sf_dir, "part")
@@ -173,7 +179,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         dem_crop, dem_missing, dem_valid, dense_rank_index, idw_fill, dtm_delta, dem_quads, bilinear, terrain_sample, terrain_delta_pct,
-        snap_base, road_drape, foundation_skirt, height_pixels, heightmap, face_rows, face_qa, short_edges, normal_stats,
+        snap_base, road_drape, foundation_skirt, height_pixels, heightmap_scale, heightmap, face_rows, face_qa, short_edges, normal_stats,
         bevel_corners, percentiles_by_area, check_severity, severity_total, latest_report, sampled_rows, first_colours,
     )
 }
@@ -218,7 +224,11 @@ FROM q, range(4) a(i), range(4) b(j)""",
 ranked AS (SELECT kind, delta, row_number() OVER (PARTITION BY kind ORDER BY delta) - 1 AS r, count(*) OVER (PARTITION BY kind) AS n FROM d WHERE delta IS NOT NULL),
 a AS (SELECT kind, count(*) AS n, count(*) FILTER (terrain IS NULL) AS misses, count(*) FILTER (delta < -0.05) AS below FROM d GROUP BY 1), p AS (""" + _ranks("delta", "kind") + ") SELECT a.*, p01, p05, p50, p95, p99 FROM a LEFT JOIN p ON p.kind = a.kind",
     "snap_base": _SAMPLE + "SELECT id % 500 AS id, round(max(terrain) + 0.05e0, 6) AS base FROM t GROUP BY 1",
-    "road_drape": _SAMPLE + "SELECT id, round(greatest(coalesce(terrain, 0), 0) + 0.15e0, 6) AS y FROM t",
+    "road_drape": _SAMPLE + """, g AS (SELECT DISTINCT x, z FROM t WHERE terrain IS NULL),
+n AS (SELECT x, z, arg_min(elev, struct_pack(d := round(sqrt((x - col) * (x - col) + (z - row) * (z - row)), 9), r := row, c := col)) AS near
+FROM g JOIN dem ON dem.row BETWEEN CAST(floor(z) AS BIGINT) - 2 AND CAST(floor(z) AS BIGINT) + 2 AND dem.col BETWEEN CAST(floor(x) AS BIGINT) - 2 AND CAST(floor(x) AS BIGINT) + 2 WHERE elev IS NOT NULL GROUP BY 1, 2)
+SELECT id, round(greatest(coalesce(terrain, near, 0), 0) + 0.15e0, 6) AS y FROM t LEFT JOIN n ON n.x = t.x AND n.z = t.z""",
+    "heightmap_scale": DEM + " SELECT round((max(col) - min(col)) * 30e0 * 100 / 1008, 6) AS scale_x, round((max(row) - min(row)) * 30e0 * 100 / 1008, 6) AS scale_y, round((max(elev) - min(elev)) * 100 * 128 / 32767, 6) AS scale_z, round(min(elev) * 100, 6) AS offset_z FROM dem",
     "foundation_skirt": _SAMPLE + "SELECT id, CASE WHEN value / 2 - terrain > 0.03e0 THEN round(least(25e0, greatest(0.12e0, value / 2 - terrain)), 6) END AS depth FROM t",
     "height_pixels": DEM + """, p AS (SELECT row AS r, col AS c, CAST(trunc((elev - min(elev) OVER ()) / (max(elev) OVER () - min(elev) OVER ()) * 65535) AS INT) AS pixel FROM dem)
 SELECT r, c, pixel, pixel >> 8 AS high, pixel & 255 AS low FROM p""",
