@@ -55,14 +55,12 @@ def tiles_of_boxes(boxes: DataFrame, zone: int, northern: bool = True, most: int
 
 def with_corners(tiles: DataFrame, zone: int, northern: bool = True) -> DataFrame:
     """Adds west, south, east and north, the envelope of a tile's four corners, and lon and lat of its centre (7 dp)."""
-    steps = F.sequence(F.lit(0), F.lit(TILE_M), F.lit(TILE_M))
-    corners = F.flatten(F.transform(steps, lambda dx: F.transform(steps, lambda dy: F.struct((F.col("easting") + dx).alias("e"), (F.col("northing") + dy).alias("n")))))
+    at = lambda dx, dy: F.struct((F.col("easting") + dx).alias("e"), (F.col("northing") + dy).alias("n"), F.lit(dx not in (0, TILE_M)).alias("mid"))
+    points = F.array(*(at(dx, dy) for dx in (0, TILE_M) for dy in (0, TILE_M)), at(TILE_M // 2, TILE_M // 2))
     lon, lat = from_utm(F.col("c.e"), F.col("c.n"), zone, northern)
-    degrees = tiles.withColumn("c", F.explode(corners)).select(*tiles.columns, lon.alias("lon"), lat.alias("lat"))
-    side = lambda f, c, name: F.round(f(c), 7).alias(name)
-    boxes = degrees.groupBy(*tiles.columns).agg(side(F.min, "lon", "west"), side(F.min, "lat", "south"), side(F.max, "lon", "east"), side(F.max, "lat", "north"))
-    lon, lat = from_utm(F.col("easting") + TILE_M / 2, F.col("northing") + TILE_M / 2, zone, northern)
-    return boxes.withColumns({"lon": F.round(lon, 7), "lat": F.round(lat, 7)})
+    degrees = tiles.withColumn("c", F.explode(points)).select(*tiles.columns, lon.alias("lon"), lat.alias("lat"), F.col("c.mid").alias("mid"))
+    side = lambda f, c, name, mid=False: F.round(f(F.when(F.col("mid") == mid, F.col(c))), 7).alias(name)
+    return degrees.groupBy(*tiles.columns).agg(side(F.min, "lon", "west"), side(F.min, "lat", "south"), side(F.max, "lon", "east"), side(F.max, "lat", "north"), side(F.max, "lon", "lon", True), side(F.max, "lat", "lat", True))
 
 
 def selection(ids: DataFrame, by: Sequence[str] = (), most: int = MOST_SELECTED) -> DataFrame:
