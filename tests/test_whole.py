@@ -191,3 +191,34 @@ def test_crossings_put_into_lines_against_a_plain_loop(spark):
     for r in ST.with_crossings(spark.createDataFrame(points, f"road int, seq int, {names}"), spark.createDataFrame(crossings, f"road int, seq int, t double, {names}")).collect():
         got[r.road].append((r.seq, r.x, r.y))
     assert {k: sorted(v) for k, v in got.items()} == expected
+
+
+def test_junction_hulls_against_all_pairs(spark):
+    """Hulls of random ends, many of them on one line or twice in one place: a side has every other point to its left or within it."""
+    import random
+
+    from urbanframe.operators import strips as ST
+
+    rnd = random.Random(5)
+
+    def corners(points):
+        unique = {(round(x * 100), round(y * 100)) for x, y in points}
+        turn = lambda a, b, o: (b[0] - a[0]) * (o[1] - a[1]) - (b[1] - a[1]) * (o[0] - a[0])
+        within = lambda a, b, o: (o[0] - a[0]) * (o[0] - b[0]) + (o[1] - a[1]) * (o[1] - b[1]) <= 0
+        sides = [(a, b) for a in unique for b in unique if a != b and all((t := turn(a, b, o)) > 0 or (t == 0 and within(a, b, o)) for o in unique)]
+        return {a for a, _ in sides}, sum(a[0] * b[1] - b[0] * a[1] for a, b in sides) / 2e4
+
+    rows, expected = [], {}
+    for j in range(300):
+        step = rnd.choice([1.0, 0.25, 0.01])
+        points = [(rnd.randrange(4) * step + 1000 * j, rnd.randrange(4) * step) for _ in range(rnd.randrange(3, 9))]
+        hull, square_m = corners(points)
+        got = ST.convex_hull(points)
+        assert {(round(x * 100), round(y * 100)) for x, y in got} == (hull or {(round(x * 100), round(y * 100)) for x, y in points})
+        expected[j] = ("small", None, None) if len(hull) < 3 else (None, round(square_m, 6), len(hull))
+        rows += [(j, 0, *p, 4.0) for p in points]
+    found = ST.junction_fills(spark.createDataFrame(rows, "jx int, jy int, x double, y double, half_width double"))
+    assert {r.jx: (r.reason, r.square_m and round(r.square_m, 6), r.corners) for r in found.collect()} == expected
+    counts = ST.junction_accounts(found).first()
+    assert counts.total == 300 and counts.fills + counts.small == 300 and counts.complex == 0
+    assert ST.junction_accounts(found.filter("jx < 0")).first().asDict() == {"fills": 0, "small": 0, "complex": 0, "radius": 0, "area": 0, "total": 0}

@@ -81,24 +81,25 @@ def strip_quads(points: DataFrame) -> DataFrame:
 
 
 def convex_hull(points: list[Point]) -> list[Point]:
-    """Against the clock, without points on an edge; points are rounded to 2 decimals."""
-    unique = sorted({(round(x, 2), round(y, 2)) for x, y in points})
-    if len(unique) < 3:
-        return unique
+    """Against the clock, without points on an edge; points are rounded to 2 decimals, and sides are told by whole numbers."""
+    unique = sorted({(round(x * 100), round(y * 100)) for x, y in points})
 
-    def chain(ordered: list[Point]) -> list[Point]:
-        out: list[Point] = []
+    def chain(ordered: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        out: list[tuple[int, int]] = []
         for p in ordered:
             while len(out) >= 2 and (out[-1][0] - out[-2][0]) * (p[1] - out[-2][1]) <= (out[-1][1] - out[-2][1]) * (p[0] - out[-2][0]):
                 out.pop()
             out.append(p)
         return out[:-1]
 
-    return chain(unique) + chain(unique[::-1])
+    hull = unique if len(unique) < 3 else chain(unique) + chain(unique[::-1])
+    return [(x / 100, y / 100) for x, y in hull]
 
 
 def polygon_area(ring: list[Point]) -> float:
-    return abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:] + ring[:1], strict=True))) / 2
+    """From its first point, so that rings far from the origin lose no digits."""
+    near = [(x - ring[0][0], y - ring[0][1]) for x, y in ring]
+    return abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(near, near[1:] + near[:1], strict=True))) / 2
 
 
 def _fill(points: list[Point], half_width: float) -> tuple[str | None, list[Point]]:
@@ -133,6 +134,11 @@ def junction_fills(ends: DataFrame) -> DataFrame:
     return done.unionByName(rest)
 
 
+def junction_accounts(fills: DataFrame) -> DataFrame:
+    """One row of counts of what junction_fills gives: fills, each reason, and total."""
+    return fills.agg(F.count_if(F.col("reason").isNull()).alias("fills"), *(F.count_if(F.col("reason") == r).alias(r) for r in REASONS), F.count("*").alias("total"))
+
+
 def extruded(faces: DataFrame, height: str) -> DataFrame:
     """(id, part, face, ring) of prisms over open rings (id, ring of struct<x,y>, base, height): sides, top and bottom."""
     top = F.col("base") + F.col(height)

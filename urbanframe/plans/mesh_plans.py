@@ -103,6 +103,12 @@ def _lines(spark, sf_dir):
     return rows.withColumns({"half_width": F.lit(HALF_M), "is_junction": F.col("ref").cast("long") % 3 == 0})
 
 
+def _districts(spark, sf_dir):
+    """The polylines in eight districts 20 km apart, of many widths, so that junctions of few and of many ends arise."""
+    num = F.col("road").cast("long")
+    return _lines(spark, sf_dir).withColumns({"x": F.col("x") + num % 8 * 20000, "half_width": (1 + num % 15).cast("double")})
+
+
 def strip_faces(spark, sf_dir):
     out = ST.strip_quads(_lines(spark, sf_dir))
     return out.select("road", "seq", F.round("length", 2).alias("length"), F.round("square_m", 2).alias("square_m"))
@@ -114,10 +120,20 @@ def trimmed_strips(spark, sf_dir):
     return sides.groupBy("road").agg(F.count("*").alias("n"), F.round(F.min("travelled"), 2).alias("first"), F.round(F.max("travelled"), 2).alias("last"))
 
 
+def _fills(spark, sf_dir):
+    _, ends = ST.trimmed(_districts(spark, sf_dir))
+    return ST.junction_fills(ends)
+
+
 def junction_surfaces(spark, sf_dir):
-    """Fills of the junctions by reason; the hull is no SQL."""
-    _, ends = ST.trimmed(_lines(spark, sf_dir))
-    return ST.junction_fills(ends).groupBy("reason").agg(F.count("*").alias("n"), F.sum("corners").alias("corners"))
+    """Each junction with its ends: the reason against a fill, or the fill's area and corners."""
+    at = lambda c: F.col(c).cast("long").alias(c)
+    return _fills(spark, sf_dir).select(at("jx"), at("jy"), at("n"), "reason", F.round("square_m", 5).alias("square_m"), at("corners"))
+
+
+def junction_accounts(spark, sf_dir):
+    """One row: fills, rejects by reason, and all junctions."""
+    return ST.junction_accounts(_fills(spark, sf_dir))
 
 
 def crossing_inserts(spark, sf_dir):
@@ -152,7 +168,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         wkb_buildings, cache_match, terrain_fallback, dem_window, ways_in_box, prism_faces, prism_normals, dressed_faces, foundation_edges, side_matches, edge_distances,
-        clip_faces, strip_faces, trimmed_strips, junction_surfaces, crossing_inserts,
+        clip_faces, strip_faces, trimmed_strips, junction_surfaces, junction_accounts, crossing_inserts,
     )
 }
 
@@ -168,7 +184,26 @@ a AS (SELECT *, sum(step) OVER (PARTITION BY road ORDER BY seq) AS travelled, su
 _DISTANCE = "sqrt((a.x - b.x) * (a.x - b.x) + (a.z - b.z) * (a.z - b.z))"
 _APART = "greatest(abs(floor(a.x / 0.2e0) - floor(b.x / 0.2e0)), abs(floor(a.z / 0.2e0) - floor(b.z / 0.2e0)))"
 
+#: Hulls by all pairs: a side is a pair of corners with every other one to its left or between them.
+_JUNCTIONS = _LINES.replace("SELECT way_id AS road, seq, ref, x, z AS y", "SELECT way_id AS road, seq, ref, x + way_id::BIGINT % 8 * 20000 AS x, z AS y") + """, c AS (SELECT *, 1 + road::BIGINT % 15 AS hw FROM a),
+d AS (SELECT *, CASE WHEN ref::BIGINT % 3 = 0 AND (first OR last) THEN least(hw, whole * 0.45) ELSE 0 END AS cut FROM c),
+k AS (SELECT * FROM d WHERE tx IS NOT NULL QUALIFY whole >= 1e-6 AND coalesce(max(cut) FILTER (first) OVER (PARTITION BY road), 0) + coalesce(max(cut) FILTER (last) OVER (PARTITION BY road), 0) < whole - 1e-4),
+e AS (SELECT CAST(round_even(x, 0) AS BIGINT) AS jx, CAST(round_even(y, 0) AS BIGINT) AS jy, hw, tx, ty, x + CASE WHEN first THEN 1 ELSE -1 END * tx * cut AS px, y + CASE WHEN first THEN 1 ELSE -1 END * ty * cut AS py FROM k WHERE cut > 0),
+p AS (SELECT jx, jy, hw, px - ty * hw AS x, py + tx * hw AS y FROM e UNION ALL SELECT jx, jy, hw, px + ty * hw, py - tx * hw FROM e),
+g AS (SELECT jx, jy, count(*) AS n, max(hw) AS hw, avg(x) AS cx, avg(y) AS cy FROM p GROUP BY 1, 2),
+w AS (SELECT jx, jy, max(sqrt(pow(x - cx, 2) + pow(y - cy, 2))) AS far FROM p JOIN g USING (jx, jy) GROUP BY 1, 2),
+u AS (SELECT DISTINCT jx, jy, CAST(round_even(x * 100, 0) AS BIGINT) AS x, CAST(round_even(y * 100, 0) AS BIGINT) AS y FROM p JOIN g USING (jx, jy) WHERE n BETWEEN 3 AND 8),
+sides AS (SELECT a.jx, a.jy, a.x AS ax, a.y AS ay, b.x AS qx, b.y AS qy, (b.x - a.x) * (o.y - a.y) - (b.y - a.y) * (o.x - a.x) AS turn, (o.x - a.x) * (o.x - b.x) + (o.y - a.y) * (o.y - b.y) AS inner_side
+      FROM u a JOIN u b ON b.jx = a.jx AND b.jy = a.jy AND (b.x <> a.x OR b.y <> a.y) JOIN u o ON o.jx = a.jx AND o.jy = a.jy),
+h AS (SELECT jx, jy, ax, ay, qx, qy FROM sides GROUP BY ALL HAVING bool_and(turn > 0 OR turn = 0 AND inner_side <= 0)),
+f AS (SELECT jx, jy, count(*) AS corners, sum(ax * qy - qx * ay) / 2e4 AS square_m FROM h GROUP BY 1, 2),
+r AS (SELECT g.jx, g.jy, n, CASE WHEN n < 3 THEN 'small' WHEN n > 8 THEN 'complex' WHEN far > least(18, greatest(g.hw * 2.8, 3)) THEN 'radius' WHEN coalesce(corners, 0) < 3 THEN 'small'
+      WHEN square_m > least(450, g.hw * g.hw * 10) THEN 'area' END AS reason, square_m, corners FROM g JOIN w ON w.jx = g.jx AND w.jy = g.jy LEFT JOIN f ON f.jx = g.jx AND f.jy = g.jy)
+"""
+
 ORACLE_SQL = {
+    "junction_surfaces": _JUNCTIONS + "SELECT jx, jy, n, reason, CASE WHEN reason IS NULL THEN round(square_m, 5) END AS square_m, CASE WHEN reason IS NULL THEN corners END AS corners FROM r",
+    "junction_accounts": _JUNCTIONS + "SELECT count(*) FILTER (reason IS NULL) AS fills, " + ", ".join(f"count(*) FILTER (reason = '{k}') AS {k}" for k in ST.REASONS) + ", count(*) AS total FROM r",
     "wkb_buildings": """SELECT p_partkey AS fid, CASE WHEN p_partkey % 5 = 0 THEN 2 ELSE 1 END AS parts, CAST(p_partkey % 100 + p_size AS DOUBLE) AS lon, CAST(p_size AS DOUBLE) AS lat,
 CASE WHEN p_partkey % 7 > 2 THEN p_partkey % 7 - 2e0 WHEN p_size % 5 > 0 THEN p_size % 5 * 3.5e0 ELSE 0e0 END AS raw_height, p_partkey % 7 > 2 OR p_size % 5 > 0 AS real,
 CASE WHEN p_partkey % 3 = 0 THEN 'retail' WHEN p_partkey % 4 = 0 THEN 'shop' ELSE 'building' END AS class FROM part WHERE p_partkey % 11 > 0 AND p_partkey % 13 > 0""",
