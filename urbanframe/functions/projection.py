@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import functions as F
+from pyspark.sql import Column, functions as F
+
+from urbanframe.functions.geometry import area, let, vertex_mean
 
 #: WGS84 and UTM.
 SEMI_MAJOR, FLATTENING = 6378137.0, 1 / 298.257223563
@@ -37,17 +39,18 @@ def zone_number(lon, m=F):
     return ((lon + 180) / 6).cast("int") + 1
 
 
-def central_meridian(zone: int) -> float:
+def central_meridian(zone):
     return zone * 6 - 183.0
 
 
-def to_utm(lon, lat, zone: int, m=F) -> tuple:
-    """(easting, northing) of degrees in a given zone; southern latitudes get the false northing."""
+def to_utm(lon, lat, zone, m=F) -> tuple:
+    """(easting, northing) of degrees in a given zone, a number or an expression; southern latitudes get the false northing."""
+    meridian = math.radians(central_meridian(zone)) if isinstance(zone, int) else m.radians(central_meridian(zone))
     phi = m.radians(lat)
     sin, cos, tan = m.sin(phi), m.cos(phi), m.tan(phi)
     n = SEMI_MAJOR / m.sqrt(1 - E2 * sin * sin)
     t, c = tan * tan, EP2 * cos * cos
-    a = (m.radians(lon) - math.radians(central_meridian(zone))) * cos
+    a = (m.radians(lon) - meridian) * cos
     a2 = a * a
     arc = SEMI_MAJOR * (ARC[0] * phi + ARC[1] * m.sin(2 * phi) + ARC[2] * m.sin(4 * phi) + ARC[3] * m.sin(6 * phi))
     east = SCALE * n * a * (1 + a2 * ((1 - t + c) / 6 + a2 * (5 - 18 * t + t * t + 72 * c - 58 * EP2) / 120)) + FALSE_EASTING
@@ -71,6 +74,20 @@ def from_utm(easting, northing, zone: int, northern: bool = True, m=F) -> tuple:
     return m.degrees(turn) + central_meridian(zone), m.degrees(phi - n * tan / r * drop)
 
 
+def ring_square_m(ring: Column) -> Column:
+    """Square metres of an open ring of struct<x,y> in degrees, in the UTM zone of its vertex mean; 0 for fewer than 3 points.
+
+    Both sides of the equator are measured from it. Null rings, and rings with a null coordinate, give null.
+    """
+
+    def at(p: Column, zone: Column) -> Column:
+        east, north = to_utm(p["x"], p["y"], zone)
+        return F.struct(east.alias("x"), (north - F.when(p["y"] < 0, FALSE_NORTHING).otherwise(0.0)).alias("y"))
+
+    in_zone = lambda r: let(zone_number(vertex_mean(r)["x"]), lambda z: area(F.transform(r, lambda p: at(p, z))))
+    return let(ring, lambda r: F.when(F.size(r) < 3, 0.0).when(F.size(r) >= 3, in_zone(r)))
+
+
 class Projector:
     """Local metres (x east, z north) around an origin, in the UTM zone of the origin; scenes have z to the south."""
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from urbanframe.functions.geometry import area, unique_points
+from urbanframe.functions.geometry import area, bounds, unique_points
+from urbanframe.functions.projection import DEGREE_M_ROUND
+from urbanframe.operators.spatial import nearest
 
 #: Fixed values of the cleaning rules: square metres, metres.
-LEAST_AREA, MOST_HEIGHT, DUPLICATE_M, ENRICH_M = 5.0, 600.0, 3.0, 8.0
+LEAST_AREA, MOST_HEIGHT, DUPLICATE_M, ENRICH_M, PROVIDER_M = 5.0, 600.0, 3.0, 8.0, 50.0
 TYPES = ("Polygon", "MultiPolygon")
 #: Floors by footprint area, and metres of a floor by class.
 FLOORS_BELOW = ((60, 1), (150, 2), (400, 3), (1000, 4), (3000, 6))
@@ -80,3 +82,25 @@ def procedural_height(height: Column, square_m: Column, kind: Column, noise: Col
 def hash_noise(*keys: Column) -> Column:
     """A value from -1.5 to 1.5 that depends on the keys only."""
     return F.pmod(F.xxhash64(*keys), F.lit(3001)) / 1000.0 - 1.5
+
+
+def second_heights(buildings: DataFrame, survey: DataFrame, reach_m: float = PROVIDER_M) -> DataFrame:
+    """(id, height, real, provider) of buildings (id, lon, lat, raw_height): those without a real height take a second provider's.
+
+    Only they are looked for in the survey (id, lon, lat, height): the nearest row within reach, in degrees times a fixed
+    value; of ties the least id. Its height counts as real, whatever it is. Others without a height have 0. Rows with a
+    null place meet nothing.
+    """
+    real = F.coalesce(F.col("raw_height") > 0, F.lit(False))
+    near = nearest(buildings.filter(~real).select("id", "lon", "lat"), survey.select("id", "lon", "lat"), reach_m / DEGREE_M_ROUND, ("id", "lon", "lat"))
+    found = near.join(survey.select(F.col("id").alias("right_id"), "height"), "right_id").select(F.col("left_id").alias("id"), F.coalesce("height", F.lit(0.0)).alias("second"))
+    out = buildings.join(found, "id", "left")
+    second = ~real & F.col("second").isNotNull()
+    return out.select("id", F.when(real, F.col("raw_height")).otherwise(F.coalesce("second", F.lit(0.0))).alias("height"), (real | second).alias("real"), F.when(real, "first").when(second, "second").alias("provider"))
+
+
+def outline_extent(buildings: DataFrame) -> DataFrame:
+    """One row: the extent of the first rings of buildings (outer array of rings), and how many there are with one; null without any."""
+    b = buildings.select(bounds(F.try_element_at("outer", F.lit(1))).alias("b"))
+    side = lambda f, c: f(f"b.{c}").alias(c)
+    return b.agg(F.count("b.min_x").alias("n"), side(F.min, "min_x"), side(F.min, "min_y"), side(F.max, "max_x"), side(F.max, "max_y"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
+from urbanframe.operators.order import prefix_sums
+
 #: Metres that a building stands above the highest terrain under it, and that a draped road lies above it.
 BASE_GAP, DRAPE = 0.05, 0.15
 #: Pixel values of a metre's hundredth at scale 1, and the pixel values above the middle.
@@ -12,10 +14,14 @@ UNITS_PER_PIXEL, HALF_RANGE = 128, 32767
 
 
 def dense_index(points: DataFrame, x: str = "x", z: str = "z") -> DataFrame:
-    """Adds row and col for points without them: ranks of the different z and x (2 dp), from 0."""
+    """Adds row and col for points without them: ranks of the different z and x (2 dp), from 0.
+
+    All places may differ, so ranks are row numbers by part. Points with a null place are left out.
+    """
     out = points
     for c, name in ((z, "row"), (x, "col")):
-        ranked = points.select(F.round(c, 2).alias("v")).distinct().withColumn(name, F.dense_rank().over(Window.orderBy("v")) - 1)
+        values = points.filter(F.col(c).isNotNull()).select(F.round(c, 2).alias("v")).distinct()
+        ranked = prefix_sums(values, ["v"], {}, "dense-index").withColumnRenamed("row_no", name)
         out = out.withColumn("v", F.round(c, 2)).join(ranked, "v").drop("v")
     return out
 

@@ -40,6 +40,15 @@ def line_progress(line: Column, now: Column) -> Column:
     return F.when(effect["least"].isNotNull(), F.greatest(now, effect["least"])).when(effect["small"] & (now < 75), F.least(F.lit(74), now + 3)).otherwise(now)
 
 
+def last_lines(log: DataFrame, most: int = 80) -> DataFrame:
+    """The last lines of each run (run, seq, line), up to most; lines with a null seq come first of all.
+
+    Tasks leave only that many lines of a run before they exchange them, so a long run fills no task.
+    """
+    back = Window.partitionBy("run").orderBy(F.desc_nulls_last("seq"), F.desc_nulls_last("line"))
+    return log.withColumn("__back", F.row_number().over(back)).filter(F.col("__back") <= most).drop("__back")
+
+
 def progress(log: DataFrame) -> DataFrame:
     """Adds pct to the lines (run, seq, line) of runs: the state after each line, in order; it never falls.
 

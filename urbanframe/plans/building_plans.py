@@ -76,6 +76,7 @@ def utm_project(spark, sf_dir):
 
 
 _E, _N = (str(v) for v in PR.to_utm(Text("lon"), Text("lat"), 47, Sql))
+_EZ, _NZ = (str(v) for v in PR.to_utm(Text("lon"), Text("lat"), Text("zone"), Sql))
 _LON, _LAT = (str(v) for v in PR.from_utm(Text("e"), Text("n"), 47, True, Sql))
 
 
@@ -156,6 +157,15 @@ def ring_area(spark, sf_dir):
     return planar(layer(spark, sf_dir, "bld")).select("fid", F.round(G.area(_ring()), 3).alias("square_m"))
 
 
+def ring_square_m(spark, sf_dir):
+    """Areas of slanted quads in degrees, some of them in other zones, south, or across the equator."""
+    k = F.col("fid") % 5
+    rows = layer(spark, sf_dir, "bld").select("fid", (F.col("lon") - k * 40).alias("lon"), F.when(k == 4, 0.0).otherwise(F.col("lat") * (1 - k)).alias("lat"), (F.col("side") * 1e-5).alias("s"))
+    at = lambda a, b: F.struct((F.col("lon") + a * F.col("s")).alias("x"), (F.col("lat") + b * F.col("s")).alias("y"))
+    ring = F.array(at(0.0, -1.0), at(2.0, 0.0), at(1.0, 2.0), at(-1.0, 1.0))
+    return rows.select("fid", F.round(PR.ring_square_m(F.when(F.col("fid") % 13 == 0, F.slice(ring, 1, 2)).otherwise(ring)), 3).alias("square_m"))
+
+
 def winding(spark, sf_dir):
     rows = planar(layer(spark, sf_dir, "bld")).withColumn("ring", _ring())
     return rows.select("fid", F.round(G.signed_area(F.col("ring")), 3).alias("signed"), F.round(G.signed_area(G.wound(F.col("ring"))), 3).alias("after"))
@@ -219,6 +229,13 @@ def nearest_degrees(spark, sf_dir):
     return out.select("left_id", "right_id", F.round(F.col("distance") * PR.DEGREE_M_ROUND, 2).alias("metres"))
 
 
+def second_heights(spark, sf_dir):
+    """Heights of a second provider for the buildings without a real one."""
+    left, right = _split(spark, sf_dir)
+    out = B.second_heights(left, right.withColumn("height", (F.col("id") % 9).cast("double")))
+    return out.select("id", "height", "real", "provider")
+
+
 def pairs_within(spark, sf_dir):
     left, _ = _split(spark, sf_dir)
     return S.within_distance(left, left, 3.0, strict=True).filter("left_id < right_id").select("left_id", "right_id")
@@ -327,6 +344,11 @@ def layer_extent(spark, sf_dir):
     return layer(spark, sf_dir, "bld").agg(*(F.round(f(c), 7).alias(f"{n}_{c}") for c in ("lon", "lat") for n, f in (("min", F.min), ("max", F.max), ("mean", F.avg))))
 
 
+def outline_extent(spark, sf_dir):
+    out = B.outline_extent(cleaned(spark, sf_dir).filter("reject_reason IS NULL"))
+    return out.select("n", *(F.round(c, 3).alias(c) for c in ("min_x", "min_y", "max_x", "max_y")))
+
+
 def box_overlap(spark, sf_dir):
     """Boxes that touch a viewport, edges included."""
     return layer(spark, sf_dir, "clips").filter("west <= 100.9e0 AND east >= 100.89e0 AND south <= 12.93e0 AND north >= 12.9e0").select("id")
@@ -345,7 +367,7 @@ QUERIES = {
     for f in (
         bld_clean_report, bld_clean_rows, bld_height_provenance, contract_checks, retention_check, height_anomaly, utm_project,
         utm_inverse, local_scene, box_sizes, centre_boxes, sql_functions, collection_coverage, ring_area, winding, ring_centroids, centroid_in_box,
-        centroid_delete_flag, points_in_box, nearest_height, enriched_heights, nearest_degrees, pairs_within, bld_dedup, cover_anti,
+        centroid_delete_flag, points_in_box, nearest_height, enriched_heights, nearest_degrees, second_heights, ring_square_m, outline_extent, pairs_within, bld_dedup, cover_anti,
         cover_add, smallest_cover, first_cover, segment_hits, pip_mask, zonal_polygons, zonal_mean, procedural_heights, tag_heights,
         class_heights, layer_extent, box_overlap, largest_ring,
     )
@@ -394,6 +416,15 @@ round(x + s * 1e0, 2) AS vx, round(z + s * 0.7e0, 2) AS vz, round(x + 2 * s, 2)
 SELECT id, CASE WHEN known THEN least(raw_height, 600e0) ELSE coalesce(survey, 0e0) END AS height,
 CASE WHEN known THEN 'overture' WHEN survey IS NULL THEN 'estimated_pending' ELSE 'osm' END AS height_source FROM j""",
     "nearest_degrees": _SPLIT + "," + _NEAR.format(d=_DEG, limit="50 / 111319e0") + " SELECT left_id, right_id, round(d * 111319e0, 2) AS metres FROM ranked WHERE r = 1",
+    "second_heights": _SPLIT + "," + _NEAR.format(d=_DEG, limit="50 / 111319e0") + """, j AS (SELECT l.*, coalesce(raw_height > 0, false) AS known, right_id FROM l LEFT JOIN ranked ON left_id = l.id AND r = 1)
+SELECT id, CASE WHEN known THEN raw_height ELSE coalesce(CAST(right_id % 9 AS DOUBLE), 0e0) END AS height, known OR right_id IS NOT NULL AS real,
+CASE WHEN known THEN 'first' WHEN right_id IS NOT NULL THEN 'second' END AS provider FROM j""",
+    "ring_square_m": cte("bld") + f""", b AS (SELECT fid, lon - fid % 5 * 40 AS lon0, CASE WHEN fid % 5 = 4 THEN 0e0 ELSE lat * (1 - fid % 5) END AS lat0, side * 1e-5 AS s FROM bld),
+k(i, a, b) AS (VALUES (0, 0, -1), (1, 2, 0), (2, 1, 2), (3, -1, 1)), c AS (SELECT fid, i, lon0 + a * s AS lon, lat0 + b * s AS lat, CAST(trunc((lon0 + s / 2 + 180) / 6) AS BIGINT) + 1 AS zone FROM b, k),
+u AS (SELECT fid, i, {_EZ} AS x, {_NZ} - CASE WHEN lat < 0 THEN 1e7 ELSE 0 END AS y FROM c)
+SELECT p.fid, CASE WHEN p.fid % 13 = 0 THEN 0e0 ELSE round(abs((r.x - p.x) * (s.y - q.y) - (s.x - q.x) * (r.y - p.y)) / 2, 3) END AS square_m
+FROM u p JOIN u q ON q.fid = p.fid AND q.i = 1 JOIN u r ON r.fid = p.fid AND r.i = 2 JOIN u s ON s.fid = p.fid AND s.i = 3 WHERE p.i = 0""",
+    "outline_extent": _CLEAN + f", p AS (SELECT * FROM {planar_sql('cleaned')} WHERE reject_reason IS NULL) SELECT count(*) AS n, round(min(x - side / 2), 3) AS min_x, round(min(z - side / 2), 3) AS min_y, round(max(x + side / 2), 3) AS max_x, round(max(z + side / 2), 3) AS max_y FROM p",
     "pairs_within": _SPLIT + f" SELECT l.id AS left_id, o.id AS right_id FROM l JOIN l o ON l.id < o.id AND {_XY} < 3",
     "cover_anti": _SPLIT + f" SELECT id FROM l WHERE NOT EXISTS (SELECT 1 FROM o WHERE {_BLOCK.format(a='l', b='o')})",
     "smallest_cover": _TARGETS + " SELECT target, arg_min(cover, struct_pack(size := size, cover := cover)) AS cover FROM j GROUP BY 1",

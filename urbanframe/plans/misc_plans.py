@@ -69,6 +69,11 @@ def last_lines(spark, sf_dir):
     return layer(spark, sf_dir, "log").orderBy(F.desc("run"), F.desc("seq")).limit(80).select("run", "seq", "line")
 
 
+def run_tail(spark, sf_dir):
+    """The last three lines of each run."""
+    return U.last_lines(layer(spark, sf_dir, "log"), 3).select("run", "seq", "line")
+
+
 def url_parse(spark, sf_dir):
     urls = table(spark, sf_dir, "pages").selectExpr("page_id", "CASE page_id % 4 WHEN 0 THEN concat('https://maps.example.com/@', 12 + page_id % 3, '.9', page_id, ',100.8', page_id, ',', 13 + page_id % 4, 'z') WHEN 1 THEN concat('https://maps.example.com/?ll=-12.5', page_id, ',100.25') WHEN 2 THEN concat('https://maps.example.com/?a=1&q=12.75,-100.', page_id) ELSE url END AS url")
     return urls.select("page_id", P.map_centre(F.col("url")).alias("c")).select("page_id", "c.lat", "c.lon", "c.zoom")
@@ -95,11 +100,11 @@ def json_levels(spark, sf_dir):
 
 def area_components(spark, sf_dir):
     """Groups of prims that share points (flood fill), with their merged extent."""
-    prims = table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS prim", "s_suppkey % 23 AS a", "s_suppkey * s_suppkey % 61 + 23 AS b", "CAST(s_suppkey * 7 % 100 AS DOUBLE) AS x")
+    prims = table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS prim", "s_suppkey % 23 AS a", "s_suppkey * s_suppkey % 61 + 23 AS b", "CAST(s_suppkey * 7 % 100 AS DOUBLE) AS x", "CAST(s_suppkey * 11 % 90 AS DOUBLE) AS y")
     e = prims.select(F.concat(F.lit("p"), "prim").alias("src"), F.explode(F.array("a", "b")).alias("v")).select("src", F.concat(F.lit("v"), "v").alias("dst"))
     labels = connected_components(e)
     out = prims.withColumn("node", F.concat(F.lit("p"), "prim")).join(labels, "node")
-    return out.groupBy("component").agg(F.count("*").alias("prims"), F.min("x").alias("min_x"), F.max("x").alias("max_x")).filter("min_x <= 60 AND max_x >= 20").select("component", "prims", "min_x", "max_x")
+    return out.groupBy("component").agg(F.count("*").alias("prims"), *(f(c).alias(f"{n}_{c}") for c in "xy" for n, f in (("min", F.min), ("max", F.max)))).filter("min_x <= 60 AND max_x >= 20 AND min_y <= 50 AND max_y >= 10")
 
 
 def box_touch(spark, sf_dir):
@@ -139,7 +144,7 @@ def source_priority(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        tile_assign, viewport_tiles, tile_corners, tile_coverage, tile_select_check, tile_parse, ordered_ids, progress_max, last_lines,
+        tile_assign, viewport_tiles, tile_corners, tile_coverage, tile_select_check, tile_parse, ordered_ids, progress_max, last_lines, run_tail,
         url_parse, run_states, stale_runs, json_levels, area_components, box_touch, first_samples, crop_bounds, reject_accounts,
         source_priority,
     )
@@ -190,6 +195,7 @@ WHEN ((max(e) - min(e)) // 1000 + 1) * ((max(n) - min(n)) // 1000 + 1) <> count(
 SELECT g, tile_id, row_number() OVER (PARTITION BY g ORDER BY k, tile_id) - 1 AS place FROM f""",
         "progress_max": recursive.replace("WITH RECURSIVE ", "WITH RECURSIVE " + log + ", ") + f"s(run, i, p) AS (SELECT run, 0::BIGINT, 0 FROM (SELECT DISTINCT run FROM l) UNION ALL SELECT l.run, l.i, {step} FROM s JOIN l ON l.run = s.run AND l.i = s.i + 1) SELECT l.run, l.seq, CAST(p AS BIGINT) AS pct FROM s JOIN l ON l.run = s.run AND l.i = s.i",
         "last_lines": cte("log") + " SELECT run, seq, line FROM log ORDER BY run DESC, seq DESC LIMIT 80",
+        "run_tail": cte("log") + " SELECT run, seq, line FROM log QUALIFY row_number() OVER (PARTITION BY run ORDER BY seq DESC NULLS LAST, line DESC NULLS LAST) <= 3",
         "url_parse": """WITH u AS (SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'https://maps.example.com/@' || (12 + page_id % 3) || '.9' || page_id || ',100.8' || page_id || ',' || (13 + page_id % 4) || 'z' WHEN 1 THEN 'https://maps.example.com/?ll=-12.5' || page_id || ',100.25'
 WHEN 2 THEN 'https://maps.example.com/?a=1&q=12.75,-100.' || page_id ELSE url END AS url FROM pages)
 SELECT page_id, CASE page_id % 4 WHEN 0 THEN ((12 + page_id % 3) || '.9' || page_id)::DOUBLE WHEN 1 THEN ('-12.5' || page_id)::DOUBLE WHEN 2 THEN 12.75 END AS lat,
@@ -197,10 +203,10 @@ CASE page_id % 4 WHEN 0 THEN ('100.8' || page_id)::DOUBLE WHEN 1 THEN 100.25 WHE
         "run_states": "SELECT user_id AS run_id, arg_max(event_type, struct_pack(t := ts, e := event_id)) AS status, count(*) AS n_events FROM events GROUP BY 1",
         "stale_runs": "SELECT user_id AS run_id FROM events GROUP BY 1 HAVING (SELECT max(ts) FROM events) - max(ts) >= INTERVAL 24 HOURS",
         "json_levels": "SELECT event_type, CAST(sum(coalesce(try_cast(json_extract_string(props, '$.k') AS BIGINT), 0)) AS BIGINT) AS total, count(*) FILTER (try_cast(json_extract_string(props, '$.k') AS BIGINT) IS NULL) AS missing FROM events GROUP BY 1",
-        "area_components": """WITH RECURSIVE q AS (SELECT s_suppkey AS prim, s_suppkey % 23 AS a, s_suppkey * s_suppkey % 61 + 23 AS b, CAST(s_suppkey * 7 % 100 AS DOUBLE) AS x FROM supplier),
+        "area_components": """WITH RECURSIVE q AS (SELECT s_suppkey AS prim, s_suppkey % 23 AS a, s_suppkey * s_suppkey % 61 + 23 AS b, CAST(s_suppkey * 7 % 100 AS DOUBLE) AS x, CAST(s_suppkey * 11 % 90 AS DOUBLE) AS y FROM supplier),
 e AS (SELECT 'p' || prim AS u, 'v' || a AS v FROM q UNION SELECT 'p' || prim, 'v' || b FROM q), w AS (SELECT u, v FROM e UNION SELECT v, u FROM e),
 r(u, v) AS (SELECT u, u FROM w UNION SELECT r.u, w.v FROM r JOIN w ON w.u = r.v), c AS (SELECT u, min(v) AS component FROM r GROUP BY 1)
-SELECT component, count(*) AS prims, min(x) AS min_x, max(x) AS max_x FROM q JOIN c ON u = 'p' || prim GROUP BY 1 HAVING min(x) <= 60 AND max(x) >= 20""",
+SELECT component, count(*) AS prims, min(x) AS min_x, max(x) AS max_x, min(y) AS min_y, max(y) AS max_y FROM q JOIN c ON u = 'p' || prim GROUP BY 1 HAVING min(x) <= 60 AND max(x) >= 20 AND min(y) <= 50 AND max(y) >= 10""",
         "box_touch": cte("segments") + " SELECT id FROM segments s WHERE least(s.ax, s.bx) <= 600 AND greatest(s.ax, s.bx) >= 300 AND least(s.ay, s.by) <= 500 AND greatest(s.ay, s.by) >= 200",
         "first_samples": cte("bld") + " SELECT fid, coalesce(raw_height, 0) > 0 AS valid FROM bld ORDER BY fid LIMIT 10",
         "crop_bounds": cte("dem") + " SELECT min(col * 30e0) - 50 AS min_x, max(col * 30e0) + 50 AS max_x, min(row * -30e0) - 50 AS min_z, max(row * -30e0) + 50 AS max_z FROM dem",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from urbanframe.functions import geometry as G
 from urbanframe.operators import order as O, quality as Q, raster as R
 from urbanframe.plans.layers import cte, layer, table
+from urbanframe.sources.heightmap import tile_images, tile_pixels
 
 DEM = cte("dem")
 _SHARES = [0.01, 0.05, 0.5, 0.95, 0.99]
@@ -83,13 +84,22 @@ def foundation_skirt(spark, sf_dir):
     return out.select("id", F.round(R.foundation_depth(F.col("value") / 2, F.col("terrain")), 6).alias("depth"))
 
 
-def height_pixels(spark, sf_dir):
-    """16-bit values of the grid with their high and low bytes."""
+def _pixels(spark, sf_dir):
     dem = layer(spark, sf_dir, "dem")
     lim = dem.agg(F.min("elev").alias("lo"), F.max("elev").alias("hi"))
-    p = R.encoded16(F.col("elev"), F.col("lo"), F.col("hi"))
+    return dem.join(F.broadcast(lim)).withColumn("pixel", R.encoded16(F.col("elev"), F.col("lo"), F.col("hi")))
+
+
+def height_pixels(spark, sf_dir):
+    """16-bit values of the grid with their high and low bytes."""
     hi, lo = R.split_bytes(F.col("pixel"))
-    return dem.join(F.broadcast(lim)).select(F.col("row").alias("r"), F.col("col").alias("c"), p.alias("pixel")).withColumns({"high": hi, "low": lo})
+    return _pixels(spark, sf_dir).select(F.col("row").alias("r"), F.col("col").alias("c"), "pixel").withColumns({"high": hi, "low": lo})
+
+
+def heightmap_tiles(spark, sf_dir):
+    """Images of 16 by 16 pixels of the grid, read back: places, their sum, and the sum by place in the tile."""
+    tiles = tile_pixels(tile_images(_pixels(spark, sf_dir), 16)).groupBy("tile_row", "tile_col")
+    return tiles.agg(F.count("*").alias("places"), F.sum("pixel").alias("total"), F.sum(F.col("pixel") * (F.col("r") * 16 + F.col("c"))).alias("by_place"))
 
 
 def heightmap_scale(spark, sf_dir):
@@ -179,7 +189,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         dem_crop, dem_missing, dem_valid, dense_rank_index, idw_fill, dtm_delta, dem_quads, bilinear, terrain_sample, terrain_delta_pct,
-        snap_base, road_drape, foundation_skirt, height_pixels, heightmap_scale, heightmap, face_rows, face_qa, short_edges, normal_stats,
+        snap_base, road_drape, foundation_skirt, height_pixels, heightmap_tiles, heightmap_scale, heightmap, face_rows, face_qa, short_edges, normal_stats,
         bevel_corners, percentiles_by_area, check_severity, severity_total, latest_report, sampled_rows, first_colours,
     )
 }
@@ -232,6 +242,8 @@ SELECT id, round(greatest(coalesce(terrain, near, 0), 0) + 0.15e0, 6) AS y FROM
     "foundation_skirt": _SAMPLE + "SELECT id, CASE WHEN value / 2 - terrain > 0.03e0 THEN round(least(25e0, greatest(0.12e0, value / 2 - terrain)), 6) END AS depth FROM t",
     "height_pixels": DEM + """, p AS (SELECT row AS r, col AS c, CAST(trunc((elev - min(elev) OVER ()) / (max(elev) OVER () - min(elev) OVER ()) * 65535) AS INT) AS pixel FROM dem)
 SELECT r, c, pixel, pixel >> 8 AS high, pixel & 255 AS low FROM p""",
+    "heightmap_tiles": DEM + """, p AS (SELECT row, col, CAST(trunc((elev - min(elev) OVER ()) / (max(elev) OVER () - min(elev) OVER ()) * 65535) AS BIGINT) AS pixel FROM dem)
+SELECT row // 16 AS tile_row, col // 16 AS tile_col, 256 AS places, sum(pixel) AS total, sum(pixel * (row % 16 * 16 + col % 16)) AS by_place FROM p GROUP BY 1, 2""",
     "heightmap": """WITH g AS (SELECT (p_partkey - 1) // 8 AS row, (p_partkey - 1) % 8 AS col, p_retailprice - 900 AS elev FROM part), m AS (SELECT max(row) + 1 AS n FROM g),
 side AS (SELECT 0 AS s, n, n * 21 // 8 AS big FROM m UNION ALL SELECT 1, 8, 21),
 o AS (SELECT s, i, (i + 0.5e0) * n / big - 0.5e0 AS c, n FROM side, unnest(range(big)) t(i)),

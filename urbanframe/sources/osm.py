@@ -2,18 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from urbanframe.functions.parsing import level_height
+from urbanframe.operators.quality import checks
 
-NODE = "_id string, _lat double, _lon double"
+#: Numbers are read as texts: the XML source ends the job at a number that it can't parse, whatever its mode is.
+NODE = "_id string, _lat string, _lon string"
 WAY = "_id string, nd array<struct<_ref:string>>, tag array<struct<_k:string,_v:string>>"
 ELEMENTS = "elements array<struct<type:string,id:long,lat:double,lon:double,nodes:array<long>,tags:map<string,string>>>"
 
 
+def _no_number(name: str) -> Column:
+    """Whether a text isn't null and no number either."""
+    return F.col(name).isNotNull() & F.col(name).try_cast("double").isNull()
+
+
+def parse_checks(spark: SparkSession, path: str) -> DataFrame:
+    """(check, status, message) of OSM XML files: elements that read_nodes and read_ways leave out, and files cut short.
+
+    A malformed node or way fails its check, as does a file without the end of its root; a file has an empty root or none at
+    all where nothing was exported, and no element at all only warns.
+    """
+
+    def elements(tag: str, schema: str, numbers: tuple[str, ...] = ()) -> tuple[DataFrame, tuple]:
+        raw = spark.read.format("xml").option("rowTag", tag).option("columnNameOfCorruptRecord", "bad").schema(f"{schema}, bad string").load(path)
+        wrong = F.col("bad").isNotNull() | F.col("_id").isNull()
+        for c in numbers:
+            wrong = wrong | _no_number(c)
+        # all columns are named, else only some would be parsed
+        one = raw.select(wrong.alias("wrong"), F.xxhash64(*raw.columns).alias("all")).agg(F.count_if("wrong").alias("bad"), F.count(F.col("all") + 1).alias("n"))
+        status = F.when(F.col("bad") > 0, "fail").when(F.col("n") == 0, "warn").otherwise("pass")
+        return one, (f"osm_{tag}s", status, F.concat(F.col("bad").cast("string"), F.lit(" malformed of "), F.col("n").cast("string")))
+
+    lines = spark.read.text(path).select(F.input_file_name().alias("file"), F.col("value").rlike(r"</osm\s*>|<osm\b[^>]*/>").alias("end"))
+    files = lines.groupBy("file").agg(F.max("end").alias("end")).agg(F.count("*").alias("n"), F.count_if(~F.col("end")).alias("cut"))
+    whole = ("osm_whole", F.when((F.col("cut") > 0) | (F.col("n") == 0), "fail").otherwise("pass"), F.concat(F.col("cut").cast("string"), F.lit(" cut short of "), F.col("n").cast("string")))
+    found = [elements("node", NODE, ("_lat", "_lon")), elements("way", WAY), (files, whole)]
+    return reduce(DataFrame.unionByName, (checks(one, [rule]) for one, rule in found))
+
+
 def read_nodes(spark: SparkSession, path: str) -> DataFrame:
-    """(id, lon, lat) of all nodes; malformed elements are left out."""
-    return spark.read.format("xml").option("rowTag", "node").option("mode", "DROPMALFORMED").schema(NODE).load(path).select(F.col("_id").alias("id"), F.col("_lon").alias("lon"), F.col("_lat").alias("lat"))
+    """(id, lon, lat) of all nodes; malformed elements are left out (parse_checks counts them)."""
+    raw = spark.read.format("xml").option("rowTag", "node").option("mode", "DROPMALFORMED").schema(NODE).load(path)
+    good = raw.filter(~_no_number("_lon") & ~_no_number("_lat"))
+    return good.select(F.col("_id").alias("id"), F.col("_lon").try_cast("double").alias("lon"), F.col("_lat").try_cast("double").alias("lat"))
 
 
 def read_ways(spark: SparkSession, path: str) -> DataFrame:
