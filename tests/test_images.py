@@ -126,3 +126,53 @@ def test_parse_checks(spark, tmp_path):
     assert found("nameless.osm", good.replace("way id='7'", "way"))["osm_ways"] == "fail"
     assert found("cut.osm", good[:-8])["osm_whole"] == "fail"
     assert found("empty.osm", "<osm version='0.6'/>") == {"osm_nodes": "warn", "osm_ways": "warn", "osm_whole": "pass"}
+
+
+def test_long_segments(spark):
+    from urbanframe.operators.roads import long_segments
+
+    p = spark.createDataFrame([("a", 1, 0.0, 0.0), ("a", 2, 0.0, 0.2), ("a", 3, 0.0, 0.45), ("a", 5, 3.0, 4.45), ("a", 6, None, 1.0), ("a", 7, 0.0, 0.0), ("b", 1, 0.0, 0.0)], "road string, seq int, x double, y double")
+    assert sorted((r.road, r.seq, round(r.length, 6)) for r in long_segments(p).collect()) == [("a", 2, 0.25), ("a", 3, 5.0)]
+    assert long_segments(p.limit(0)).count() == 0
+
+
+def test_selection_totals(spark):
+    from urbanframe.operators.tiles import selection_totals
+
+    rows = [("a", 0, 0, "x"), ("a", 0, 0, ""), ("a", 1000, 0, None), ("a", 0, 1000, "b"), ("a", 1000, 1000, "x"), ("b", 5000, 7000, "x"), ("b", 5000, 7000, "x"), ("c", None, 1, "x"), (None, 1, 2, "")]
+    got = {r.g: tuple(r)[1:] for r in selection_totals(spark.createDataFrame(rows, "g string, easting long, northing long, source string"), ["g"]).collect()}
+    assert got == {"a": (0, 0, 2, 2, 4, 3, False, ["b", "x"]), "b": (5000, 7000, 1, 1, 1, 1, True, ["x"]), None: (1, 2, 1, 1, 1, 0, False, [])}
+
+
+def test_reports(spark, tmp_path):
+    from datetime import datetime
+
+    from urbanframe.operators import reports as RP
+
+    path, schema = str(tmp_path / "reports"), "check string, status string, message string"
+    checks = lambda *s: spark.createDataFrame([(f"c{k}", x, "m") for k, x in enumerate(s)], schema)
+    first = RP.append_report(checks("pass", "fail"), path, "north", datetime(2024, 1, 1, 9))
+    second = RP.append_report(checks("pass", "warn"), path, "north", datetime(2024, 1, 2, 9))
+    other = RP.append_report(checks("pass"), path, "south", datetime(2024, 1, 1, 8))
+    RP.append_report(checks("fail").limit(0), path, "south", datetime(2025, 1, 1))
+    rows = RP.reports(spark, path)
+    assert {(r.area, r.report_id, r.check, r.status) for r in RP.latest_reports(rows).collect()} == {("north", second, "c0", "pass"), ("north", second, "c1", "warn"), ("south", other, "c0", "pass")}
+    seen = {r.report_id: (r.severity, r.n_pass, r.n_warn, r.n_fail, r.current) for r in RP.overview(rows).collect()}
+    assert seen == {first: ("fail", 1, 0, 1, False), second: ("warn", 1, 1, 0, True), other: ("pass", 1, 0, 0, True)}
+    one = RP.reports(spark, path, "south")
+    assert one.count() == 1 and "PartitionFilters: [isnotnull(area" in one._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError, match="safe"):
+        RP.append_report(checks("pass"), path, "../x", datetime(2024, 1, 1))
+
+
+def test_process_and_output_checks(spark, tmp_path):
+    from urbanframe.operators import refine as RF
+
+    rows = lambda *a, **k: [tuple(r) for r in RF.process_checks(*a, **k).collect()]
+    assert rows(spark.range(10), spark.range(4), "cop30", 2) == [("bld_retention", "warn", "40% kept"), ("dem_correction", "pass", "applied=True")]
+    assert rows(spark.range(10), spark.range(9), RF.BARE_EARTH, 2)[1:] == [("dem_correction", "pass", "applied=False")]
+    assert rows(spark.range(10), spark.range(9)) == [("bld_retention", "pass", "90% kept")] and rows(spark.range(0), spark.range(0)) == []
+    (tmp_path / "b.json").write_bytes(b"x" * 1001)
+    (tmp_path / "r.osm").write_bytes(b"x" * 1000)
+    found = RF.written_checks(spark, {"buildings": str(tmp_path / "b.json"), "roads": str(tmp_path / "r.osm")})
+    assert {r.check: r.status for r in found.collect()} == {"output_buildings": "pass", "output_roads": "fail", "output_dem": "fail"}

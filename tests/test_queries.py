@@ -7,7 +7,7 @@ from urbanframe import registry
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-ROWS_ONLY = {"bld_dedup", "cover_add", "short_steps", "weld_ends", "chain_merge", "crossing_inserts"}
+ROWS_ONLY = {"bld_dedup", "cover_add", "weld_ends", "chain_merge"}
 #: Empty on the smallest tables only.
 MAYBE_EMPTY = {"edge_distances", "segment_hits", "stale_runs", "nearest_height", "pairs_within"}
 

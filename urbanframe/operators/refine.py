@@ -13,6 +13,8 @@ from urbanframe.operators.runs import fingerprint
 #: The highest level of each layer, and the smallest raw files in bytes.
 MOST_LEVEL = {"buildings": 3, "roads": 2, "dem": 2}
 LEAST_BYTES = {"buildings": 10 * 1024, "roads": 5 * 1024, "dem": 4 * 1024}
+#: Fixed value: bytes that a written layer has at least.
+LEAST_OUTPUT = 1001
 BARE_EARTH = "fabdem"
 #: Cell size by which grid points meet rings.
 COVER_CELL_M = 25.0
@@ -81,21 +83,43 @@ def refine(area: Area, level: int = 3) -> dict[str, DataFrame]:
     return {"buildings": refine_buildings(area, at["buildings"]), "roads": refine_roads(area, at["roads"]), "dem": refine_dem(area, at["dem"], covered_cells(area))}
 
 
-def input_checks(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """(check, status, message) for the raw files of the layers: each must exist and have its least size."""
+def _file_checks(spark: SparkSession, paths: dict[str, str], least: dict[str, int], exists: str = "{}_exists", size: str = "{}_size") -> DataFrame:
+    """(check, status, message) for files or folders by name: each must exist and have its least size."""
     rows = []
-    for name, least in LEAST_BYTES.items():
+    for name, bytes_ in least.items():
         path = spark._jvm.org.apache.hadoop.fs.Path(paths.get(name) or "missing")
         fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
         if not paths.get(name) or not fs.exists(path):
-            rows.append((f"{name}_exists", "fail", f"{path.getName()} isn't there"))
-        elif (size := fs.getContentSummary(path).getLength()) < least:
-            rows.append((f"{name}_size", "fail", f"{path.getName()} has {size} bytes"))
+            rows.append((exists.format(name), "fail", f"{path.getName()} isn't there"))
+        elif (found := fs.getContentSummary(path).getLength()) < bytes_:
+            rows.append((size.format(name), "fail", f"{path.getName()} has {found} bytes"))
         else:
-            rows.append((f"{name}_exists", "pass", f"{size // 1024} KB"))
+            rows.append((exists.format(name), "pass", f"{found // 1024} KB"))
     return spark.createDataFrame(rows, "check string, status string, message string")
 
 
+def input_checks(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """(check, status, message) for the raw files of the layers: each must exist and have its least size."""
+    return _file_checks(spark, paths, LEAST_BYTES)
+
+
+def written_checks(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """(check, status, message) for the written layers: each must exist and have more than a thousand bytes."""
+    return _file_checks(spark, paths, dict.fromkeys(LEAST_BYTES, LEAST_OUTPUT), "output_{}", "output_{}")
+
+
+def process_checks(before: DataFrame, after: DataFrame, dem_source: str | None = None, dem_level: int = 0) -> DataFrame:
+    """(check, status, message) of a run: how many buildings it kept, and whether its terrain was corrected.
+
+    The first is left out if there were none before or after, the second if the terrain wasn't refined to level 2.
+    """
+    one = before.agg(F.count("*").alias("n_in")).join(F.broadcast(after.agg(F.count("*").alias("n_out"))))
+    ratio, status = Q.retention(F.col("n_in"), F.col("n_out"))
+    share = F.concat(F.round(ratio * 100).cast("int").cast("string"), F.lit("% kept"))
+    applied = F.lit(f"applied={dem_source != BARE_EARTH}")
+    return Q.checks(one, [("bld_retention", status, share), ("dem_correction", F.lit("pass" if dem_level >= 2 else None).cast("string"), applied)])
+
+
 def output_checks(layers: dict[str, DataFrame]) -> DataFrame:
     """Contract checks of refined layers with their roll-up left to ``quality.severity``."""
     sample = layers["buildings"].orderBy("fid").limit(10).agg(F.count("*").alias("n"), F.count_if(F.col("height") > 0).alias("good"))

@@ -273,6 +273,20 @@ def along(points: DataFrame, road: str = "road", order: str = "seq") -> DataFram
     }).drop("__dx", "__dy")
 
 
+#: Fixed value: shorter segments give no surface.
+LEAST_SEGMENT_M = 0.25
+
+
+def long_segments(points: DataFrame, least: float = LEAST_SEGMENT_M) -> DataFrame:
+    """(road, seq, ax, ay, bx, by, length) between the points (road, seq, x, y) of polylines and the next; short ones are left out.
+
+    Points without a place count as points, so that the segments at them are left out too.
+    """
+    w = Window.partitionBy("road").orderBy("seq")
+    ends = points.select("road", "seq", F.col("x").alias("ax"), F.col("y").alias("ay"), F.lead("x").over(w).alias("bx"), F.lead("y").over(w).alias("by"))
+    return ends.withColumn("length", F.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"))).filter(F.col("length") >= least)
+
+
 def junctions(points: DataFrame) -> DataFrame:
     """(jx, jy, uses): whole-metre places (half to even) that vertices stand on twice or more."""
     return points.groupBy(F.bround("x").alias("jx"), F.bround("y").alias("jy")).agg(F.count("*").alias("uses")).filter("uses >= 2")

@@ -96,3 +96,18 @@ def coverage(tiles: DataFrame, macro: DataFrame, clips: DataFrame) -> DataFrame:
 
     out = tiles.join(has(macro, "m"), "tile_id", "left").join(has(clips, "k"), "tile_id", "left")
     return out.withColumn("source", F.when(F.col("m"), "macro").when(F.col("k"), "clip").otherwise("none")).drop("m", "k")
+
+
+def selection_totals(tiles: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by, easting, northing, cols, rows, tiles, cached_tiles, cached, sources) of the tiles (easting, northing, source) of selections.
+
+    A tile with a source that isn't empty is cached. Repeated tiles count once, and are cached if one of them is; sources
+    are sorted, without repeats. Tiles without a place are left out, a null group is a group.
+    """
+    some = F.when(F.col("source") != "", F.col("source"))
+    once = tiles.filter("easting IS NOT NULL AND northing IS NOT NULL").groupBy(*by, "easting", "northing").agg(F.collect_set(some).alias("own"))
+    n, cached = F.count("*"), F.count_if(F.size("own") > 0)
+    return once.groupBy(*by).agg(
+        F.min("easting").alias("easting"), F.min("northing").alias("northing"), F.count_distinct("easting").alias("cols"), F.count_distinct("northing").alias("rows"),
+        n.alias("tiles"), cached.alias("cached_tiles"), (cached == n).alias("cached"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("own")))).alias("sources"),
+    )

@@ -250,6 +250,13 @@ f AS (SELECT *, lead(lx) OVER w AS mx, lead(ly) OVER w AS my, lead(rx) OVER w AS
 g AS (SELECT road, seq, (sqrt(pow(mx - lx, 2) + pow(my - ly, 2)) + sqrt(pow(sx - rx, 2) + pow(sy - ry, 2))) / 2 AS length,
       abs(lx * my - mx * ly + mx * sy - sx * my + sx * ry - rx * sy + rx * ly - lx * ry) / 2 AS square_m FROM f WHERE mx IS NOT NULL)
 SELECT road, seq, round(length, 2) AS length, round(square_m, 2) AS square_m FROM g WHERE square_m > 1e-5""",
+    "crossing_inserts": _LINES.replace("WITH ", "WITH RECURSIVE ", 1) + """, i AS (SELECT road, seq, 0 AS made, x, y, 0.05e0 AS eps FROM q
+UNION ALL SELECT road, seq, 1, mx, my, 0.25e0 FROM (SELECT road, seq, (x + lead(x) OVER w) / 2 AS mx, (y + lead(y) OVER w) / 2 AS my FROM q WINDOW w AS (PARTITION BY road ORDER BY seq)) WHERE mx IS NOT NULL),
+o AS (SELECT *, row_number() OVER (PARTITION BY road ORDER BY seq, made) AS k FROM i),
+w(road, k, kx, ky, kept) AS (SELECT road, k, x, y, 1 FROM o WHERE k = 1 UNION ALL
+SELECT o.road, o.k, CASE WHEN sqrt(pow(x - kx, 2) + pow(y - ky, 2)) >= eps THEN x ELSE kx END, CASE WHEN sqrt(pow(x - kx, 2) + pow(y - ky, 2)) >= eps THEN y ELSE ky END,
+CASE WHEN sqrt(pow(x - kx, 2) + pow(y - ky, 2)) >= eps THEN 1 ELSE 0 END FROM w JOIN o ON o.road = w.road AND o.k = w.k + 1)
+SELECT road, CAST(sum(kept) AS BIGINT) AS n FROM w GROUP BY 1""",
     "trimmed_strips": _LINES + f""", c AS (SELECT *, CASE WHEN ref::BIGINT % 3 = 0 AND (first OR last) THEN least({HALF_M}, whole * 0.45) ELSE 0 END AS cut FROM a),
 d AS (SELECT *, max(cut) FILTER (first) OVER (PARTITION BY road) AS b, max(cut) FILTER (last) OVER (PARTITION BY road) AS e FROM c),
 k AS (SELECT * FROM d WHERE whole >= 1e-6 AND b + e < whole - 1e-4 AND tx IS NOT NULL),

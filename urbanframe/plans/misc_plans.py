@@ -49,6 +49,13 @@ def tile_select_check(spark, sf_dir):
     return T.selection(_ids(spark, sf_dir), ["g"])
 
 
+def selection_totals(spark, sf_dir):
+    """The tiles of each clip with their sources by place: how many are cached, and from where."""
+    source = F.expr("CASE (easting + northing) / 1000 % 4 WHEN 0 THEN 'local' WHEN 1 THEN 'survey' WHEN 2 THEN '' END")
+    out = T.selection_totals(T.tiles_of_boxes(layer(spark, sf_dir, "clips"), 47).withColumn("source", source), ["id"])
+    return out.withColumn("sources", F.array_join("sources", ","))
+
+
 def tile_parse(spark, sf_dir):
     rows = _ids(spark, sf_dir).select("tile_id").distinct().withColumn("t", P.tile_parts(F.col("tile_id"))).filter("t IS NOT NULL")
     return rows.select("tile_id", F.col("t.zone").cast("long").alias("zone"), "t.easting", "t.northing")
@@ -144,7 +151,7 @@ def source_priority(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        tile_assign, viewport_tiles, tile_corners, tile_coverage, tile_select_check, tile_parse, ordered_ids, progress_max, last_lines, run_tail,
+        tile_assign, viewport_tiles, tile_corners, tile_coverage, tile_select_check, selection_totals, tile_parse, ordered_ids, progress_max, last_lines, run_tail,
         url_parse, run_states, stale_runs, json_levels, area_components, box_touch, first_samples, crop_bounds, reject_accounts,
         source_priority,
     )
@@ -185,6 +192,9 @@ WHEN l.line LIKE '%[OK]%' AND p < 75 THEN least(74, p + 3) ELSE p END"""
     return {
         "tile_assign": cte("bld") + f", u AS (SELECT CAST(floor({e} / 1000) * 1000 AS BIGINT) AS e, CAST(floor({n} / 1000) * 1000 AS BIGINT) AS n FROM bld) SELECT 'z47n_e' || e || '_n' || n || '_s1000' AS tile_id, count(*) AS buildings FROM u GROUP BY 1",
         "viewport_tiles": of_clips + "SELECT * FROM s",
+        "selection_totals": of_clips + """, k AS (SELECT *, CASE (easting + northing) // 1000 % 4 WHEN 0 THEN 'local' WHEN 1 THEN 'survey' END AS source FROM s)
+SELECT id, min(easting) AS easting, min(northing) AS northing, count(DISTINCT easting) AS cols, count(DISTINCT northing) AS rows, count(*) AS tiles, count(source) AS cached_tiles, count(source) = count(*) AS cached,
+coalesce(string_agg(DISTINCT source, ',' ORDER BY source), '') AS sources FROM k GROUP BY 1""",
         "tile_corners": of_clips + ", t AS (SELECT DISTINCT tile_id, easting, northing FROM s), " + box + "SELECT * FROM k",
         "tile_coverage": cte("clips") + "," + tiles(100.84, 12.88, 100.92, 12.95) + "," + box + """SELECT tile_id, CASE WHEN EXISTS (SELECT 1 FROM clips s WHERE s.id % 9 = 0 AND s.west <= k.west AND s.south <= k.south AND s.east >= k.east AND s.north >= k.north) THEN 'macro'
 WHEN EXISTS (SELECT 1 FROM clips s WHERE s.id % 9 <> 0 AND s.west <= k.west AND s.south <= k.south AND s.east >= k.east AND s.north >= k.north) THEN 'clip' ELSE 'none' END AS source FROM k""",

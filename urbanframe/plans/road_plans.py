@@ -130,6 +130,11 @@ def short_steps(spark, sf_dir):
     return pts.select("road", F.size("p").cast("long").alias("n_in"), F.size(kept).cast("long").alias("n_out"))
 
 
+def long_segments(spark, sf_dir):
+    """Segments of ways without those of hardly any length, as between two equal nodes."""
+    return R.long_segments(_polylines(spark, sf_dir)).select("road", "seq", F.round("length", 2).alias("length"))
+
+
 def weld_ends(spark, sf_dir):
     nodes = planar(layer(spark, sf_dir, "nodes")).select("id", "x", F.col("z").alias("y"))
     whole = _whole(spark, sf_dir).select("way_id", "refs")
@@ -172,7 +177,7 @@ QUERIES = {
     for f in (
         way_filter_report, highway_hist, highway_top, road_coverage, way_bbox_semijoin, way_geometry, edges, endpoints, road_components,
         node_components, dangling, half_width, tag_numbers, merge_groups, cum_len, tangents, junction_places, chunk_split,
-        short_steps, weld_ends, weld_first, chain_merge, tag_reconciliation, dropped_ways,
+        short_steps, long_segments, weld_ends, weld_first, chain_merge, tag_reconciliation, dropped_ways,
     )
 }
 
@@ -183,6 +188,14 @@ _HIGH = " ".join(f"WHEN highway IN ({', '.join(repr(k) for k in ks)}) THEN {b}e0
 _TAGS = cte("way_tags") + ", t AS (SELECT *, coalesce(try_cast(trim(lanes) AS INT), 0) AS l, coalesce(try_cast(trim(replace(width, 'm', '')) AS DOUBLE), 0e0) AS w FROM way_tags) "
 
 ORACLE_SQL = {
+    # a step for each point: the place of the last kept one goes with it
+    "short_steps": _POLY.replace("WITH ", "WITH RECURSIVE ", 1) + """, o AS (SELECT road, x, y, row_number() OVER (PARTITION BY road ORDER BY seq) AS k FROM q),
+w(road, k, kx, ky, kept) AS (SELECT road, k, x, y, 1 FROM o WHERE k = 1 UNION ALL
+SELECT o.road, o.k, CASE WHEN sqrt(pow(x - kx, 2) + pow(y - ky, 2)) >= 300 THEN x ELSE kx END, CASE WHEN sqrt(pow(x - kx, 2) + pow(y - ky, 2)) >= 300 THEN y ELSE ky END,
+CASE WHEN sqrt(pow(x - kx, 2) + pow(y - ky, 2)) >= 300 THEN 1 ELSE 0 END FROM w JOIN o ON o.road = w.road AND o.k = w.k + 1)
+SELECT road, count(*) AS n_in, CAST(sum(kept) AS BIGINT) AS n_out FROM w GROUP BY 1""",
+    "long_segments": _POLY + """, g AS (SELECT road, seq, sqrt(pow(lead(x) OVER w - x, 2) + pow(lead(y) OVER w - y, 2)) AS length FROM q WINDOW w AS (PARTITION BY road ORDER BY seq))
+SELECT road, seq, round(length, 2) AS length FROM g WHERE length >= 0.25""",
     "way_filter_report": cte("nodes", "way_nodes", "way_tags") + f""", c AS (SELECT way_id, count(*) AS n, count(*) FILTER (id IS NULL) AS missing FROM way_nodes LEFT JOIN nodes ON id = ref GROUP BY 1)
 SELECT CASE WHEN coalesce(n, 0) < 2 THEN 'short' WHEN missing > 0 THEN 'orphan' WHEN highway NOT IN ({_KINDS}) THEN 'type' END AS reject_reason, count(*) AS n
 FROM way_tags LEFT JOIN c ON c.way_id = way_tags.way_id GROUP BY 1""",
