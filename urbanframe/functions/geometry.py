@@ -27,8 +27,8 @@ def _sum(items: Column) -> Column:
 def unique_points(ring: Column) -> Column:
     """Without the closing point and without points equal to the one before."""
     kept = F.filter(ring, lambda p, i: (i == 0) | ~(p.eqNullSafe(F.element_at(ring, F.greatest(i, F.lit(1)).cast("int")))))
-    closed = (F.size(kept) > 1) & F.element_at(kept, 1).eqNullSafe(F.element_at(kept, -1))
-    return F.when(closed, F.slice(kept, F.lit(1), F.size(kept) - 1)).otherwise(kept)
+    closed = lambda r: (F.size(r) > 1) & F.element_at(r, 1).eqNullSafe(F.element_at(r, -1))
+    return let(kept, lambda r: F.when(closed(r), F.slice(r, F.lit(1), F.size(r) - 1)).otherwise(r))
 
 
 def _around(ring: Column) -> Column:

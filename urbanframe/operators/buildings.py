@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from urbanframe.functions.geometry import area, bounds, unique_points
+from urbanframe.functions.geometry import area, bounds, let, unique_points
 from urbanframe.functions.projection import DEGREE_M_ROUND
 from urbanframe.operators.spatial import nearest
 
@@ -25,14 +25,17 @@ ONE_FLOOR, ONE_FLOOR_M = ("carport", "garage", "shed", "roof"), 2.5
 
 def reject_reason(geom_type: Column, outer_rings: Column) -> Column:
     """null for a good footprint, else the first of null_geom, degenerate and tiny; outer_rings are planar metres."""
-    opened = F.transform(outer_rings, unique_points)
-    good = F.exists(opened, lambda r: F.size(r) >= 3)
-    total = F.aggregate(F.transform(opened, area), F.lit(0.0), lambda a, x: a + x)
-    return (
-        F.when(geom_type.isNull() | ~geom_type.isin(*TYPES) | outer_rings.isNull(), "null_geom")
-        .when(~F.coalesce(good, F.lit(False)), "degenerate")
-        .when(total < LEAST_AREA, "tiny")
-    )
+
+    def of(opened: Column) -> Column:
+        good = F.exists(opened, lambda r: F.size(r) >= 3)
+        total = F.aggregate(F.transform(opened, area), F.lit(0.0), lambda a, x: a + x)
+        return (
+            F.when(geom_type.isNull() | ~geom_type.isin(*TYPES) | opened.isNull(), "null_geom")
+            .when(~F.coalesce(good, F.lit(False)), "degenerate")
+            .when(total < LEAST_AREA, "tiny")
+        )
+
+    return let(F.transform(outer_rings, unique_points), of)
 
 
 def clean_height(raw: Column) -> tuple[Column, Column]:

@@ -18,16 +18,21 @@ from urbanframe.sources.geojson import coverage, split_collections
 NEAR_M = B.ENRICH_M
 
 
-def _square(dx: float = 0.0):
-    """A closed ring around the planar centre; a side of 0 gives equal points."""
-    h = F.col("side") / 2
-    point = lambda a, b: F.struct((F.col("x") + dx + a * h).alias("x"), (F.col("z") + b * h).alias("y"))
-    return F.array(point(-1, -1), point(1, -1), point(1, 1), point(-1, 1), point(-1, -1))
+def _squares(*dx: float):
+    """Closed rings around the planar centre, each moved by its dx; a side of 0 gives equal points. The projection is worked out once."""
+    point = lambda r, d, a, b: F.struct((r["x"] + d + a * (r["side"] / 2)).alias("x"), (r["z"] + b * (r["side"] / 2)).alias("y"))
+    ring = lambda r, d: F.array(*(point(r, d, a, b) for a, b in ((-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1))))
+    return G.let(F.struct("x", "z", "side"), lambda r: F.array(*(ring(r, d) for d in dx)))
+
+
+def _square():
+    return F.element_at(_squares(0.0), 1)
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     bld = planar(layer(spark, sf_dir, "bld"))
-    outer = F.when(F.col("geom_type") == "MultiPolygon", F.array(_square(), _square(20.0))).otherwise(F.array(_square()))
+    both = _squares(0.0, 20.0)
+    outer = F.slice(both, F.lit(1), F.when(F.col("geom_type") == "MultiPolygon", 2).otherwise(1))
     return B.clean_buildings(bld.withColumn("outer", outer))
 
 
