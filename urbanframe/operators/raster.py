@@ -37,15 +37,16 @@ def cropped(points: DataFrame, dx: float, dz: float, box: tuple[float, float, fl
 def idw_fill(grid: DataFrame, masked: Column, radius: int = 4, power: int = 2) -> DataFrame:
     """(row, col, elev, filled): masked cells become the mean of unmasked ones within a square, by 1 / distance ** power.
 
-    Null cells give nothing; a masked cell without neighbours keeps its value.
+    Grids are as small in their files as they are large in memory, so no side is sent whole to a driver or task (merge
+    joins, here and below). Null cells give nothing; a masked cell without neighbours keeps its value.
     """
     cells = grid.select("row", "col", "elev", masked.alias("masked"))
     steps = F.sequence(F.lit(-radius), F.lit(radius))
     around = F.flatten(F.transform(steps, lambda i: F.transform(steps, lambda j: F.struct((F.col("row") + i).alias("row"), (F.col("col") + j).alias("col"), F.pow(F.sqrt((i * i + j * j).cast("double")), F.lit(float(power))).alias("d")))))
     wanted = cells.filter("masked").select(F.col("row").alias("r"), F.col("col").alias("c"), F.explode(around).alias("n")).select("r", "c", "n.row", "n.col", "n.d").filter("d > 0")
     known = cells.filter("NOT masked AND elev IS NOT NULL").select("row", "col", F.col("elev").alias("e"))
-    mean = wanted.join(known, ["row", "col"]).groupBy(F.col("r").alias("row"), F.col("c").alias("col")).agg((F.sum(F.col("e") / F.col("d")) / F.sum(1 / F.col("d"))).alias("mean"))
-    out = cells.join(mean, ["row", "col"], "left")
+    mean = wanted.join(known.hint("merge"), ["row", "col"]).groupBy(F.col("r").alias("row"), F.col("c").alias("col")).agg((F.sum(F.col("e") / F.col("d")) / F.sum(1 / F.col("d"))).alias("mean"))
+    out = cells.join(mean.hint("merge"), ["row", "col"], "left")
     return out.select("row", "col", F.coalesce("mean", "elev").alias("elev"), F.col("mean").isNotNull().alias("filled"))
 
 
@@ -54,7 +55,7 @@ def quads(grid: DataFrame) -> DataFrame:
     step = lambda c: grid.select(c).distinct().withColumn(f"next_{c}", F.lead(c).over(Window.orderBy(c)))
     at = grid.select("row", "col", "elev").join(step("row"), "row").join(step("col"), "col")
     corner = lambda r, c, e: grid.select(F.col("row").alias(r), F.col("col").alias(c), F.col("elev").alias(e))
-    out = at.join(corner("row", "next_col", "e01"), ["row", "next_col"]).join(corner("next_row", "col", "e10"), ["next_row", "col"]).join(corner("next_row", "next_col", "e11"), ["next_row", "next_col"])
+    out = at.join(corner("row", "next_col", "e01").hint("merge"), ["row", "next_col"]).join(corner("next_row", "col", "e10").hint("merge"), ["next_row", "col"]).join(corner("next_row", "next_col", "e11").hint("merge"), ["next_row", "next_col"])
     return out.select("row", "col", F.col("elev").alias("e00"), "e01", "e10", "e11", "next_row", "next_col")
 
 
@@ -80,7 +81,7 @@ def sampled(points: DataFrame, grid: DataFrame, size: float = 1.0, reach: int =
     row and column of several, as far as nanometres tell them apart), or null.
     """
     at = points.withColumns({"row": F.floor(F.col("z") / size), "col": F.floor(F.col("x") / size)})
-    found = at.join(quads(grid).filter("next_row = row + 1 AND next_col = col + 1").drop("next_row", "next_col"), ["row", "col"], "left")
+    found = at.join(quads(grid).filter("next_row = row + 1 AND next_col = col + 1").drop("next_row", "next_col").hint("merge"), ["row", "col"], "left")
     terrain = bilinear(F.col("e00"), F.col("e01"), F.col("e10"), F.col("e11"), F.col("z") / size - F.col("row"), F.col("x") / size - F.col("col"))
     out = found.withColumn("terrain", terrain).select(*points.columns, "terrain")
     if not reach:
@@ -88,10 +89,10 @@ def sampled(points: DataFrame, grid: DataFrame, size: float = 1.0, reach: int =
     places = out.filter("terrain IS NULL AND x IS NOT NULL AND z IS NOT NULL").select("x", "z").distinct()
     steps = F.sequence(F.lit(-reach), F.lit(reach))
     around = F.flatten(F.transform(steps, lambda i: F.transform(steps, lambda j: F.struct((F.floor(F.col("z") / size) + i).alias("row"), (F.floor(F.col("x") / size) + j).alias("col")))))
-    near = places.withColumn("c", F.explode(around)).select("x", "z", "c.row", "c.col").join(grid.filter("elev IS NOT NULL").select("row", "col", "elev"), ["row", "col"])
+    near = places.withColumn("c", F.explode(around)).select("x", "z", "c.row", "c.col").join(grid.filter("elev IS NOT NULL").select("row", "col", "elev").hint("merge"), ["row", "col"])
     away = F.hypot(F.col("x") - F.col("col") * size, F.col("z") - F.col("row") * size)
     nearest = near.groupBy("x", "z").agg(F.min(F.struct(F.round(away, 9).alias("d"), "row", "col", "elev")).alias("n")).select("x", "z", F.col("n.elev").alias("near_elev"))
-    return out.join(nearest, ["x", "z"], "left").withColumn("terrain", F.coalesce("terrain", "near_elev")).select(*points.columns, "terrain")
+    return out.join(nearest.hint("merge"), ["x", "z"], "left").withColumn("terrain", F.coalesce("terrain", "near_elev")).select(*points.columns, "terrain")
 
 
 def windowed(grid: DataFrame, first_row: int, last_row: int, first_col: int, last_col: int) -> DataFrame:

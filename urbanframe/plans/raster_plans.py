@@ -42,7 +42,7 @@ def idw_fill(spark, sf_dir):
 def dtm_delta(spark, sf_dir):
     dem = layer(spark, sf_dir, "dem")
     d = F.col("elev") - F.col("before")
-    both = R.idw_fill(dem, F.col("masked")).join(dem.select("row", "col", F.col("elev").alias("before")), ["row", "col"])
+    both = R.idw_fill(dem, F.col("masked")).join(dem.select("row", "col", F.col("elev").alias("before")).hint("merge"), ["row", "col"])
     return both.agg(F.count_if("filled").alias("filled"), F.round(F.avg(F.when(F.col("filled"), d)), 6).alias("mean_delta"), F.round(F.max(F.when(F.col("filled"), F.abs(d))), 6).alias("max_delta"))
 
 
