@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from urbanframe.functions.geometry import area, bounds, let
+from urbanframe.operators.blocks import blocks, expanded
 from urbanframe.operators.staging import written
 
 #: Rounds in which cells at the edge are split: one or two cells each way become up to eight.
@@ -114,7 +115,8 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, least: float = 0.
 
 def covered_points(points: DataFrame, polygons: DataFrame, least: float = 0.0) -> DataFrame:
     """The different ids of points (id, x, y) that some polygon (zone, parts) holds: a semi-join, whatever lies over a point."""
-    cells = written(polygon_cells(polygons, least), "polygon-cells").drop("zone")
+    shapes = polygons.select("parts").distinct().withColumn("zone", F.lit(0))
+    cells = written(polygon_cells(shapes, least).drop("zone"), "polygon-cells")
     at, c = _at(points.select("id", "x", "y"), cells).alias("p"), cells.alias("c")
     same = [F.col(f"p.{k}") == F.col(f"c.{k}") for k in KEYS]
     return at.join(c, [*same, F.col("c.inner") | odd(F.col("c.edges"), F.col("p.x"), F.col("p.y"))], "left_semi").select("id").distinct()
@@ -124,13 +126,16 @@ def zone_totals(points: DataFrame, polygons: DataFrame, value: str = "value", le
     """(zone, n, total) over points (x, y, value) in each polygon (zone, parts), null values left out; zones without points have no row.
 
     Points of a cell are added up before they meet the polygons that the cell is inside of; only those in cells at an edge
-    are tested one by one.
+    are tested one by one. Polygons of the same parts are worked out once.
     """
-    cells = written(polygon_cells(polygons, least), "polygon-cells")
+    shapes = written(polygons.select("parts").distinct().withColumn("shape", F.monotonically_increasing_id()), "shapes")
+    cells = written(polygon_cells(shapes.withColumnRenamed("shape", "zone"), least), "polygon-cells")
     rows = _at(points.select("x", "y", F.col(value).alias("v")).filter("v IS NOT NULL"), cells)
     summed = rows.groupBy(*KEYS).agg(F.count("*").alias("n"), F.sum("v").alias("total")).join(cells.filter("inner").select("zone", *KEYS), KEYS)
     tested = rows.join(cells.filter("NOT inner"), KEYS).filter(odd(F.col("edges"), F.col("x"), F.col("y"))).select("zone", F.lit(1).cast("long").alias("n"), F.col("v").alias("total"))
-    return summed.select("zone", "n", "total").unionByName(tested).groupBy("zone").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    by_shape = summed.select("zone", "n", "total").unionByName(tested).groupBy(F.col("zone").alias("shape")).agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    rows = polygons.select("zone", "parts").join(shapes, "parts").join(by_shape, "shape")
+    return rows.groupBy("zone").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
 
 
 def half_plane(ring: Column, nx: Column, ny: Column, c: Column) -> Column:
@@ -200,10 +205,12 @@ def fan(ring: Column) -> Column:
 def overlaps(faces: DataFrame, least: float = 1e-9) -> DataFrame:
     """(a, b, square) for each pair a < b of convex faces (id, owner, ring against the clock) of different owners that share more than least.
 
-    A pair meets in the cells of the larger face's size, in the one that holds the lower left corner of what their boxes
-    share. The shared part is one ring cut by the sides of the other.
+    Faces of one ring are worked out once: rings meet in the cells of the larger one's size, in the one that holds the lower
+    left corner of what their boxes share. The shared part is one ring cut by the sides of the other. Pairs of faces come of
+    pairs of rings last, by arrays of faces, of which a ring of many faces has many.
     """
-    box = faces.select("id", "owner", "ring", bounds(F.col("ring")).alias("box"))
+    rings = faces.filter("ring IS NOT NULL").groupBy("ring").agg(F.min("id").alias("id"))
+    box = rings.select("id", "ring", bounds(F.col("ring")).alias("box"))
     size = F.greatest(F.col("box.max_x") - F.col("box.min_x"), F.col("box.max_y") - F.col("box.min_y"), F.lit(LEAST_SIDE))
     boxed = written(box.withColumn("own", F.ceil(F.log2(size)).cast("int")), "face-boxes")
     levels = [r.own for r in boxed.select("own").distinct().orderBy("own").collect()]
@@ -212,9 +219,15 @@ def overlaps(faces: DataFrame, least: float = 1e-9) -> DataFrame:
     rows = rows.withColumn("cx", steps("x")).withColumn("cy", steps("y"))
     p, q = rows.filter("level = own").alias("p"), rows.alias("q")
     c = F.col
-    first = (c("q.own") < c("p.own")) | ((c("q.own") == c("p.own")) & (c("q.id") < c("p.id")))
+    first = (c("q.own") < c("p.own")) | ((c("q.own") == c("p.own")) & (c("q.id") <= c("p.id")))
     low = {d: F.greatest(c(f"p.box.min_{d}"), c(f"q.box.min_{d}")) for d in "xy"}
     meet = [low[d] < F.least(c(f"p.box.max_{d}"), c(f"q.box.max_{d}")) for d in "xy"] + [F.floor(low[d] / side(c("p.level"))) == c(f"p.c{d}") for d in "xy"]
-    pairs = p.join(q, [*(c(f"p.{k}") == c(f"q.{k}") for k in KEYS), first, c("p.owner") != c("q.owner"), *meet])
+    pairs = p.join(q, [*(c(f"p.{k}") == c(f"q.{k}") for k in KEYS), first, *meet])
     square = area(clipped_by(c("q.ring"), convex_sides(c("p.ring"))))
-    return pairs.select(F.least("p.id", "q.id").alias("a"), F.greatest("p.id", "q.id").alias("b"), square.alias("square")).filter(F.col("square") > least)
+    shared = written(pairs.select(c("p.id").alias("pr"), c("q.id").alias("qr"), square.alias("square")), "shared-areas").filter(F.col("square") > least)
+    owned = faces.filter("ring IS NOT NULL").select("id", "owner", "ring").join(boxed.select("ring", c("id").alias("r")).hint("merge"), "ring").select("id", "owner", "r")
+    held = written(blocks(owned, ["r"], "id", ["owner"]).drop("block"), "face-blocks")
+    at = lambda k: held.select(c("r").alias(f"{k}r"), c("members").alias(k))
+    both = expanded(shared.join(at("p"), "pr").join(at("q"), "qr"), "p", "q")
+    both = both.filter((c("p.owner") != c("q.owner")) & ((c("pr") != c("qr")) | (c("p.id") < c("q.id"))))
+    return both.select(F.least("p.id", "q.id").alias("a"), F.greatest("p.id", "q.id").alias("b"), "square")
