@@ -85,10 +85,13 @@ def side_matches(sides: DataFrame, bodies: DataFrame, radius: float = SIDE_M) ->
 
     status is aligned above SAME, mismatch up to it, and no_match where no side is near.
     """
-    a = sides.select("id", "x", "z", "n", cell(F.col("x"), radius).alias("cx"), cell(F.col("z"), radius).alias("cy"))
-    b = bodies.withColumn("c", F.explode(near_cells(F.col("x"), F.col("z"), radius))).select(F.col("x").alias("bx"), F.col("z").alias("bz"), F.col("n").alias("bn"), "c.cx", "c.cy")
-    near = a.join(b, ["cx", "cy"]).filter(F.hypot(F.col("x") - F.col("bx"), F.col("z") - F.col("bz")) <= radius)
-    best = near.groupBy("id").agg(F.max(dot(F.col("n"), F.col("bn"))).alias("best"))
+    own = sides.select("id", "x", "z", "n")
+    # rows of one place and normal meet once
+    a = own.select("x", "z", "n").distinct().withColumns({"cx": cell(F.col("x"), radius), "cy": cell(F.col("z"), radius)})
+    b = bodies.select("x", "z", "n").distinct().withColumn("c", F.explode(near_cells(F.col("x"), F.col("z"), radius))).select(F.col("x").alias("bx"), F.col("z").alias("bz"), F.col("n").alias("bn"), "c.cx", "c.cy")
+    near = a.hint("merge").join(b.hint("merge"), ["cx", "cy"]).filter(F.hypot(F.col("x") - F.col("bx"), F.col("z") - F.col("bz")) <= radius)
+    by_place = near.groupBy("x", "z", "n").agg(F.max(dot(F.col("n"), F.col("bn"))).alias("best"))
+    best = own.hint("merge").join(by_place.hint("merge"), ["x", "z", "n"]).groupBy("id").agg(F.max("best").alias("best"))
     out = sides.select("id").join(best, "id", "left")
     return out.withColumn("status", F.when(F.col("best").isNull(), "no_match").when(F.col("best") > SAME, "aligned").otherwise("mismatch"))
 
@@ -98,9 +101,13 @@ def edge_distances(tops: DataFrame, bottoms: DataFrame, size: float = EDGE_M) ->
 
     Tops without any in these cells are left out.
     """
-    a = tops.select("id", "x", "z", cell(F.col("x"), size).alias("cx"), cell(F.col("z"), size).alias("cy"))
-    b = bottoms.select(F.col("x").alias("bx"), F.col("z").alias("bz"), cell(F.col("x"), size).alias("ox"), cell(F.col("z"), size).alias("oy"))
+    own = tops.select("id", "x", "z")
+    # places meet, of which each stands once
+    a = own.select("x", "z").distinct().withColumns({"cx": cell(F.col("x"), size), "cy": cell(F.col("z"), size)})
+    b = bottoms.select(F.col("x").alias("bx"), F.col("z").alias("bz")).distinct().withColumns({"ox": cell(F.col("bx"), size), "oy": cell(F.col("bz"), size)})
     spread = b.withColumn("c", F.explode(near_cells(F.col("bx"), F.col("bz"), size, 2))).select("bx", "bz", "ox", "oy", "c.cx", "c.cy")
     ring = F.when((F.abs(F.col("cx") - F.col("ox")) <= 1) & (F.abs(F.col("cy") - F.col("oy")) <= 1), 1).otherwise(2)
-    near = a.join(spread, ["cx", "cy"]).select("id", F.struct(ring.alias("ring"), F.hypot(F.col("x") - F.col("bx"), F.col("z") - F.col("bz")).alias("distance")).alias("d"))
+    d = F.struct(ring.alias("ring"), F.hypot(F.col("x") - F.col("bx"), F.col("z") - F.col("bz")).alias("distance"))
+    by_place = a.hint("merge").join(spread.hint("merge"), ["cx", "cy"]).groupBy("x", "z").agg(F.min(d).alias("d"))
+    near = own.hint("merge").join(by_place.hint("merge"), ["x", "z"])
     return near.groupBy("id").agg(F.min("d").alias("d")).select("id", F.col("d.distance").alias("distance"))
