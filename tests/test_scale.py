@@ -1,7 +1,7 @@
 """Work that must not grow with copies of places, boxes or rings, nor stand in a plan many times."""
 
 from urbanframe import registry
-from urbanframe.operators import spatial as S
+from urbanframe.operators import overlay as OV, spatial as S
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,3 +13,67 @@ def plan(df) -> str:
 def test_projection_stands_in_a_plan_only_a_few_times(spark):
     for name in ("bld_height_provenance", "contract_checks", "procedural_heights", "outline_extent"):
         assert plan(registry.queries()[name](spark, SF)).lower().count("sin(") < 60, name
+
+
+def counted(monkeypatch, module, name: str) -> list[int]:
+    """The rows of each result of a function from now on."""
+    seen, real = [], getattr(module, name)
+
+    def run(*args, **kwargs):
+        out = real(*args, **kwargs)
+        seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(module, name, run)
+    return seen
+
+
+def copies(spark, first: int, n: int = 40):
+    """n ids at each of two places 1 m apart, and one far away."""
+    return spark.createDataFrame([(first + k, float(k % 2), 0.0) for k in range(2 * n)] + [(first + 2 * n, 500.0, 0.0)], "id long, x double, y double")
+
+
+def test_copies_of_places_meet_once(spark, monkeypatch):
+    left, right = copies(spark, 0), copies(spark, 1000)
+    seen = counted(monkeypatch, S, "_near_places")
+    found = {r.left_id: (r.right_id, r.distance) for r in S.nearest(left, right, 8.0).collect()}
+    assert found == {k: (1000 + k % 2, 0.0) for k in range(80)} | {80: (1080, 0.0)}
+    assert sorted(r.id for r in S.dedup_within(left, 3.0).collect()) == [0, 80]
+    edges = S.links_within(left, 3.0).collect()
+    assert len(edges) <= 81 and {v for e in edges for v in e} == set(range(80))
+    pairs = S.within_distance(left, right, 8.0)
+    assert pairs.count() == 80 * 80 + 1 and pairs.distinct().count() == 80 * 80 + 1
+    assert seen == [5, 5, 5, 5]
+
+
+def test_boxes_of_many_rows_meet_once(spark, monkeypatch):
+    targets = spark.createDataFrame([(k, 0.2, 0.2, 0.3, 0.3) for k in range(50)], "id long, west double, south double, east double, north double")
+    covers = spark.createDataFrame([(k, 0.0, 0.0, 1.0 + k % 2, 1.0) for k in range(60)], targets.schema)
+    seen = counted(monkeypatch, S, "written")
+    assert {tuple(r) for r in S.smallest_cover(targets, covers).collect()} == {(k, 0) for k in range(50)}
+    assert {tuple(r) for r in S.smallest_cover(targets, covers.filter("id > 0"), ["id"]).collect()} == {(k, 1) for k in range(50)}
+    assert seen == [2, 2]
+
+
+def test_faces_and_polygons_of_one_ring_meet_once(spark, monkeypatch):
+    at = lambda x, y: {"x": float(x), "y": float(y)}
+    ring = lambda x: [at(x, 0), at(x + 4, 0), at(x + 4, 2), at(x, 2)]
+    faces = spark.createDataFrame([(k, k % 3, ring(k % 2 * 3)) for k in range(60)], "id long, owner long, ring array<struct<x:double,y:double>>")
+    seen = counted(monkeypatch, OV, "written")
+    got = {(r.a, r.b): r.square for r in OV.overlaps(faces).collect()}
+    assert got == {(a, b): 8.0 if a % 2 == b % 2 else 2.0 for a in range(60) for b in range(a + 1, 60) if a % 3 != b % 3}
+    assert seen[:2] == [2, 3]
+    zones = spark.createDataFrame([(k, [ring(0)]) for k in range(30)], "zone long, parts array<array<struct<x:double,y:double>>>")
+    points = spark.createDataFrame([(1, 1.0, 1.0, 5.0), (2, 9.0, 9.0, 1.0)], "id long, x double, y double, value double")
+    before = len(seen)
+    assert {tuple(r) for r in OV.zone_totals(points, zones).collect()} == {(k, 1, 5.0) for k in range(30)}
+    assert seen[before] == 1 and [r.id for r in OV.covered_points(points, zones).collect()] == [1]
+
+
+def test_grids_and_conflicts_are_not_broadcast(spark):
+    for name in ("idw_fill", "dtm_delta"):
+        assert "Broadcast" not in registry.queries()[name](spark, SF)._jdf.queryExecution().sparkPlan().toString(), name
+
+
+def test_crossings_need_no_exchange_of_pairs(spark):
+    assert "Deduplicate" not in registry.queries()["segment_hits"](spark, SF)._jdf.queryExecution().analyzed().toString()

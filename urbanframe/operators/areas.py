@@ -66,7 +66,7 @@ def cache_matches(targets: DataFrame, clips: DataFrame) -> DataFrame:
     same = F.lit(True)
     for c in SIDES:
         same = same & (F.col(c) == F.col(f"c_{c}"))
-    out = targets.join(found.withColumnRenamed("target", "id"), "id").join(boxes, "cover", "left")
+    out = targets.join(found.withColumnRenamed("target", "id").hint("merge"), "id").join(boxes.hint("merge"), "cover", "left")
     return out.select("id", F.col("cover").alias("key"), F.when(F.col("cover").isNotNull(), F.when(same, "exact").otherwise("parent_clip")).alias("mode"))
 
 

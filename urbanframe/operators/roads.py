@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from urbanframe.operators.components import connected_components
-from urbanframe.operators.spatial import within_distance
+from urbanframe.operators.spatial import links_within
 from urbanframe.operators.staging import written
 
 #: The kinds of road that stay.
@@ -118,8 +118,7 @@ def weld(ways: DataFrame, nodes: DataFrame, radius: float = WELD_M) -> DataFrame
     """
     ends = ways.select(F.explode(F.array(F.element_at("refs", 1), F.element_at("refs", -1))).alias("id")).distinct().join(nodes, "id")
     ends = ends if "seq" in nodes.columns else ends.withColumn("seq", F.lit(0))
-    pairs = within_distance(ends, ends, radius).filter("left_id < right_id").select(F.col("left_id").alias("src"), F.col("right_id").alias("dst"))
-    labels = connected_components(pairs)
+    labels = connected_components(links_within(ends, radius))
     number = F.col("node").try_cast("long")
     placed = labels.join(ends.select(F.col("id").alias("node"), "seq"), "node")
     chosen = placed.groupBy("component").agg(F.min(F.struct(number.alias("n"), F.col("node"))).alias("low"), F.min(F.struct("seq", "node")).alias("first"), F.count_if(number.isNull()).alias("others"))

@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from urbanframe.functions.geometry import crossing
+from urbanframe.operators.blocks import blocks, expanded
 from urbanframe.operators.overlay import points_in_polygons
 from urbanframe.operators.staging import remove, written
 
@@ -56,19 +57,61 @@ def _renamed(df: DataFrame, names: tuple[str, str, str], to: tuple[str, str, str
     return df.select(*(F.col(a).alias(b) for a, b in zip(names, to, strict=True)))
 
 
-def within_distance(left: DataFrame, right: DataFrame, radius: float, names: tuple[str, str, str] = ("id", "x", "y"), strict: bool = False) -> DataFrame:
-    """(left_id, right_id, distance) of all pairs within radius (or strictly nearer); the right side is spread over cells."""
-    a = _renamed(left, names, ("left_id", "ax", "ay")).withColumns({"cx": cell(F.col("ax"), radius), "cy": cell(F.col("ay"), radius)})
-    b = _renamed(right, names, ("right_id", "bx", "by")).withColumn("c", F.explode(near_cells(F.col("bx"), F.col("by"), radius))).select("right_id", "bx", "by", "c.cx", "c.cy")
+def _finite(*names: str) -> Column:
+    return reduce(Column.__and__, (F.col(c) - F.col(c) == 0 for c in names))
+
+
+def _near_places(a: DataFrame, b: DataFrame, radius: float, strict: bool = False) -> DataFrame:
+    """All rows of a (ax, ay, others) with those of b (bx, by, others) within radius, with their distance."""
+    a = a.withColumns({"cx": cell(F.col("ax"), radius), "cy": cell(F.col("ay"), radius)})
+    others = [c for c in b.columns]
+    b = b.withColumn("c", F.explode(near_cells(F.col("bx"), F.col("by"), radius))).select(*others, "c.cx", "c.cy")
     d = F.hypot(F.col("ax") - F.col("bx"), F.col("ay") - F.col("by"))
-    return a.join(b, ["cx", "cy"]).withColumn("distance", d).filter(F.col("distance") < radius if strict else F.col("distance") <= radius).select("left_id", "right_id", "distance")
+    near = a.hint("merge").join(b.hint("merge"), ["cx", "cy"]).withColumn("distance", d)
+    return near.filter(F.col("distance") < radius if strict else F.col("distance") <= radius).drop("cx", "cy")
+
+
+def within_distance(left: DataFrame, right: DataFrame, radius: float, names: tuple[str, str, str] = ("id", "x", "y"), strict: bool = False) -> DataFrame:
+    """(left_id, right_id, distance) of all pairs within radius (or strictly nearer).
+
+    Places meet, with arrays of the ids that stand there, and pairs of ids come of them last; the right side is spread over
+    cells. A place of many ids has many arrays.
+    """
+    a = blocks(_renamed(left, names, ("left_id", "ax", "ay")), ["ax", "ay"], "left_id").withColumnRenamed("members", "l").drop("block")
+    b = blocks(_renamed(right, names, ("right_id", "bx", "by")), ["bx", "by"], "right_id").withColumnRenamed("members", "r").drop("block")
+    near = _near_places(a, b, radius, strict).select("l", "r", "distance")
+    return expanded(near, "l", "r").select("l.left_id", "r.right_id", "distance")
 
 
 def nearest(left: DataFrame, right: DataFrame, radius: float, names: tuple[str, str, str] = ("id", "x", "y")) -> DataFrame:
-    """(left_id, right_id, distance) of the nearest right row within radius for each left row; of ties the smallest id."""
-    pairs = within_distance(left, right, radius, names)
-    best = pairs.groupBy("left_id").agg(F.min(F.struct("distance", "right_id")).alias("b"))
-    return best.select("left_id", "b.right_id", "b.distance")
+    """(left_id, right_id, distance) of the nearest right row within radius for each left row; of ties the smallest id.
+
+    Each place is looked for once, and of the right rows of one place only that of the smallest id is met.
+    """
+    a = written(_renamed(left, names, ("left_id", "ax", "ay")), "searched")
+    first = _renamed(right, names, ("right_id", "bx", "by")).filter(F.col("right_id").isNotNull()).groupBy("bx", "by").agg(F.min("right_id").alias("right_id"))
+    pairs = _near_places(a.select("ax", "ay").distinct(), first, radius)
+    best = pairs.groupBy("ax", "ay").agg(F.min(F.struct("distance", "right_id")).alias("b"))
+    found = a.hint("merge").join(best.hint("merge"), ["ax", "ay"]).groupBy("left_id").agg(F.min("b").alias("b"))
+    return found.select("left_id", "b.right_id", "b.distance")
+
+
+def links_within(points: DataFrame, radius: float) -> DataFrame:
+    """(src, dst): edges between points (id, x, y) that give the same components as all pairs within radius.
+
+    Ids at one place meet the least of them. Places in a cell whose diagonal is below the radius meet one of them, and
+    cells meet once however many of their places are near. Radius is positive.
+    """
+    p = written(points.select("id", "x", "y"), "points").filter(_finite("x", "y"))
+    places = p.groupBy("x", "y").agg(F.min("id").alias("first"))
+    copies = p.hint("merge").join(places.hint("merge"), ["x", "y"]).filter("id <> first").select(F.col("first").alias("src"), F.col("id").alias("dst"))
+    small = [cell(F.col(c), radius / 1.5).alias(f"s{c}") for c in "xy"]
+    reps = places.groupBy(*small).agg(F.min("first").alias("rep"))
+    held = written(places.select("*", *small).hint("merge").join(reps.hint("merge"), ["sx", "sy"]).select("x", "y", "first", "rep"), "places")
+    inner = held.filter("first <> rep").select(F.col("rep").alias("src"), F.col("first").alias("dst"))
+    side = lambda k: held.select(F.col("x").alias(f"{k}x"), F.col("y").alias(f"{k}y"), F.col("rep").alias(f"{k}_rep"))
+    across = _near_places(side("a"), side("b"), radius).filter("a_rep < b_rep").select(F.col("a_rep").alias("src"), F.col("b_rep").alias("dst")).distinct()
+    return copies.unionByName(inner).unionByName(across)
 
 
 def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,11 +141,11 @@ def keep_first(points: DataFrame, pairs: DataFrame, id_col: str = "id", few: int
     dropped: list[DataFrame] = []
     while (left := open_.count()) > few:
         later = open_.select(F.col("later").alias("id")).distinct()
-        kept = open_.select(F.col("earlier").alias("id")).distinct().join(later, "id", "left_anti")
-        out = written(open_.join(kept.withColumnRenamed("id", "earlier"), "earlier", "left_semi").select(F.col("later").alias("id")).distinct(), "dropped")
+        kept = open_.select(F.col("earlier").alias("id")).distinct().join(later.hint("merge"), "id", "left_anti")
+        out = written(open_.join(kept.withColumnRenamed("id", "earlier").hint("merge"), "earlier", "left_semi").select(F.col("later").alias("id")).distinct(), "dropped")
         dropped.append(out)
         gone = out.select(F.col("id").alias("later"))
-        rest = open_.join(gone, "later", "left_anti").join(gone.withColumnRenamed("later", "earlier"), "earlier", "left_anti")
+        rest = open_.join(gone.hint("merge"), "later", "left_anti").join(gone.withColumnRenamed("later", "earlier").hint("merge"), "earlier", "left_anti")
         open_, old = written(rest, "conflicts"), open_
         remove(old)
     if left:
@@ -110,14 +153,25 @@ def keep_first(points: DataFrame, pairs: DataFrame, id_col: str = "id", few: int
         dropped.append(written(open_.coalesce(1).mapInArrow(_settled, f"id {kind}"), "dropped"))
     ids = points.select(F.col(id_col).alias("id"))
     if dropped:
-        ids = ids.join(reduce(DataFrame.union, dropped), "id", "left_anti")
+        ids = ids.join(reduce(DataFrame.union, dropped).hint("merge"), "id", "left_anti")
     return ids.withColumnRenamed("id", id_col)
 
 
 def dedup_within(points: DataFrame, radius: float, names: tuple[str, str, str] = ("id", "x", "y")) -> DataFrame:
-    """Ids of points that have no kept point of a smaller id strictly within radius."""
-    pairs = within_distance(points, points, radius, names, strict=True).filter("left_id < right_id")
-    return keep_first(points, pairs.select(F.col("left_id").alias("earlier"), F.col("right_id").alias("later")), names[0])
+    """Ids of points that have no kept point of a smaller id strictly within radius; ids are unique.
+
+    Whatever lets the first id of a place go, or that id itself, lets the later ones there go too. So only first ids meet.
+    Rows without a place stay.
+    """
+    p = written(_renamed(points, names, ("id", "x", "y")), "points")
+    if radius <= 0:
+        return p.select(F.col("id").alias(names[0]))
+    known = F.coalesce(_finite("x", "y"), F.lit(False))
+    first = written(p.filter(known & F.col("id").isNotNull()).groupBy("x", "y").agg(F.min("id").alias("id")), "first-places")
+    side = lambda k, c: first.select(F.col("x").alias(f"{k}x"), F.col("y").alias(f"{k}y"), F.col("id").alias(c))
+    pairs = _near_places(side("a", "earlier"), side("b", "later"), radius, strict=True).filter("earlier < later").select("earlier", "later")
+    kept = keep_first(first, pairs).select(F.col("id").alias(names[0]))
+    return kept.union(p.filter(~known | F.col("id").isNull()).select("id"))
 
 
 def uncovered(extra: DataFrame, primary: DataFrame, size: float, names: tuple[str, str, str] = ("id", "x", "y"), whole: bool = True) -> DataFrame:
@@ -135,9 +189,12 @@ def uncovered(extra: DataFrame, primary: DataFrame, size: float, names: tuple[st
     free = own.join(covered, "id", "left_anti")
     if not whole:
         return free.select(F.col("id").alias(names[0]))
+    # what takes the first id of a cell, or that id, takes the later ones there: only first ids meet
     free = written(free, "uncovered")
-    near = free.withColumn("c", F.explode(block)).select(F.col("id").alias("later"), "c.cx", "c.cy").join(free.withColumnRenamed("id", "earlier"), ["cx", "cy"]).filter("earlier < later")
-    return keep_first(free, near, "id").withColumnRenamed("id", names[0])
+    known = F.col("cx").isNotNull() & F.col("cy").isNotNull()
+    first = written(free.filter(known & F.col("id").isNotNull()).groupBy("cx", "cy").agg(F.min("id").alias("id")), "first-cells")
+    near = first.withColumn("c", F.explode(block)).select(F.col("id").alias("later"), "c.cx", "c.cy").join(first.withColumnRenamed("id", "earlier").hint("merge"), ["cx", "cy"]).filter("earlier < later")
+    return keep_first(first, near, "id").union(free.filter(~known | F.col("id").isNull()).select("id")).withColumnRenamed("id", names[0])
 
 
 def points_in_rings(points: DataFrame, rings: DataFrame, size: float) -> DataFrame:
@@ -148,7 +205,7 @@ def points_in_rings(points: DataFrame, rings: DataFrame, size: float) -> DataFra
 def segment_crossings(segments: DataFrame, size: float = 25.0, least: float = 0.05, most: float = 0.95, limit: int | None = None) -> DataFrame:
     """(a, b, t, u, x, y) where segments (id, road, ax, ay, bx, by) of different roads cross inside both.
 
-    A pair is given once, a < b. Above limit segments there is no result, where a limit is asked for. Long segments stand in
+    Ids are unique. A pair is given once, a < b. Above limit segments there is no result, where a limit is asked for. Long segments stand in
     cells that are doubled until they touch few; a pair meets in the cells of the longer one.
     """
     if limit is not None and segments.limit(limit + 1).count() > limit:
@@ -162,11 +219,14 @@ def segment_crossings(segments: DataFrame, size: float = 25.0, least: float = 0.
     touch = (F.col("p.x0") <= F.col("q.x1")) & (F.col("q.x0") <= F.col("p.x1")) & (F.col("p.y0") <= F.col("q.y1")) & (F.col("q.y0") <= F.col("p.y1"))
     same = (F.col("p.at") == F.col("q.at")) & (F.col("p.cx") == F.col("q.cx")) & (F.col("p.cy") == F.col("q.cy"))
     same = same & (F.col("p.at") == F.greatest("p.level", "q.level"))
+    # of the cells of a pair, that of the lower left corner of what their boxes share
+    for c in "xy":
+        same = same & (cell(F.greatest(f"p.{c}0", f"q.{c}0"), _doubled(size, F.col("p.at"))) == F.col(f"p.c{c}"))
     pairs = p.join(q, same & (F.col("p.id") < F.col("q.id")) & (F.col("p.road") != F.col("q.road")) & touch)
     t, u = crossing(*(F.col(f"{s}.{c}") for s in "pq" for c in ("ax", "ay", "bx", "by")))
     pairs = pairs.select(F.col("p.id").alias("a"), F.col("q.id").alias("b"), t.alias("t"), u.alias("u"), (F.col("p.ax") + t * (F.col("p.bx") - F.col("p.ax"))).alias("x"), (F.col("p.ay") + t * (F.col("p.by") - F.col("p.ay"))).alias("y"))
     inside = (F.col("t") > least) & (F.col("t") < most) & (F.col("u") > least) & (F.col("u") < most)
-    return pairs.filter(inside).dropDuplicates(["a", "b"])
+    return pairs.filter(inside)
 
 
 def _level(width: Column, height: Column) -> Column:
@@ -183,13 +243,20 @@ def smallest_cover(targets: DataFrame, covers: DataFrame, order: list[str] | Non
     """
     degrees = lambda c, level: F.floor(F.col(c) / F.pow(F.lit(2.0), level))
     level = F.col("level")
-    held = covers.withColumn("level", _level(F.col("east") - F.col("west"), F.col("north") - F.col("south")))
+    sides = ["west", "south", "east", "north"]
+    # of covers of one box only the first can be a result, and targets of one box have the same
+    rank = F.min(F.struct(*(F.col(c).alias(f"o{k}") for k, c in enumerate(order or [])), F.col("id").alias("cover"))).alias("first")
+    held = covers.filter("east >= west AND north >= south").groupBy(*same, *sides).agg(rank)
+    held = held.withColumn("level", _level(F.col("east") - F.col("west"), F.col("north") - F.col("south")))
+    held = written(held, "covers")
     levels = sorted(r[0] for r in held.select("level").filter("level IS NOT NULL").distinct().collect())
     steps = lambda a, b: F.explode(F.sequence(degrees(a, level), degrees(b, level)))
-    spread = held.filter("east >= west AND north >= south").withColumn("cx", steps("west", "east")).withColumn("cy", steps("south", "north"))
-    t = targets.select(F.col("id").alias("target"), *same, *(F.col(c).alias(f"t_{c}") for c in ("west", "south", "east", "north")))
-    at = t.withColumn("level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))).withColumns({"cx": degrees("t_west", level), "cy": degrees("t_south", level)})
+    spread = held.withColumn("cx", steps("west", "east")).withColumn("cy", steps("south", "north"))
+    box = [f"t_{c}" for c in sides]
+    t = targets.select(F.col("id").alias("target"), *same, *(F.col(c).alias(b) for c, b in zip(sides, box, strict=True)))
+    at = t.select(*same, *box).distinct().withColumn("level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))).withColumns({"cx": degrees("t_west", level), "cy": degrees("t_south", level)})
     inside = (F.col("west") <= F.col("t_west")) & (F.col("south") <= F.col("t_south")) & (F.col("east") >= F.col("t_east")) & (F.col("north") >= F.col("t_north"))
-    rank = [F.col(c) for c in order] if order else [((F.col("east") - F.col("west")) * (F.col("north") - F.col("south"))).alias("size")]
-    best = at.join(spread, ["level", "cx", "cy", *same]).filter(inside).groupBy("target").agg(F.min(F.struct(*rank, F.col("id").alias("cover"))).alias("b"))
-    return t.select("target").distinct().join(best, "target", "left").select("target", F.col("b.cover").alias("cover"))
+    size = [] if order else [((F.col("east") - F.col("west")) * (F.col("north") - F.col("south"))).alias("size")]
+    best = at.join(spread, ["level", "cx", "cy", *same]).filter(inside).groupBy(*same, *box).agg(F.min(F.struct(*size, "first")).alias("b"))
+    found = t.hint("merge").join(best.hint("merge"), [*same, *box], "left").groupBy("target").agg(F.min("b").alias("b"))
+    return found.select("target", F.col("b.first.cover").alias("cover"))
