@@ -222,7 +222,7 @@ def segment_crossings(segments: DataFrame, size: float = 25.0, least: float = 0.
     # of the cells of a pair, that of the lower left corner of what their boxes share
     for c in "xy":
         same = same & (cell(F.greatest(f"p.{c}0", f"q.{c}0"), _doubled(size, F.col("p.at"))) == F.col(f"p.c{c}"))
-    pairs = p.join(q, same & (F.col("p.id") < F.col("q.id")) & (F.col("p.road") != F.col("q.road")) & touch)
+    pairs = p.hint("merge").join(q.hint("merge"), same & (F.col("p.id") < F.col("q.id")) & (F.col("p.road") != F.col("q.road")) & touch)
     t, u = crossing(*(F.col(f"{s}.{c}") for s in "pq" for c in ("ax", "ay", "bx", "by")))
     pairs = pairs.select(F.col("p.id").alias("a"), F.col("q.id").alias("b"), t.alias("t"), u.alias("u"), (F.col("p.ax") + t * (F.col("p.bx") - F.col("p.ax"))).alias("x"), (F.col("p.ay") + t * (F.col("p.by") - F.col("p.ay"))).alias("y"))
     inside = (F.col("t") > least) & (F.col("t") < most) & (F.col("u") > least) & (F.col("u") < most)
