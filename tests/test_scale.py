@@ -77,3 +77,15 @@ def test_grids_and_conflicts_are_not_broadcast(spark):
 
 def test_crossings_need_no_exchange_of_pairs(spark):
     assert "Deduplicate" not in registry.queries()["segment_hits"](spark, SF)._jdf.queryExecution().analyzed().toString()
+
+
+def test_faces_are_cut_and_bevelled_once(spark):
+    for name in ("clip_faces", "prism_faces"):
+        tree = plan(registry.queries()[name](spark, SF)).lower()
+        assert not any("filter (" in line and ("aggregate(" in line or "transform(" in line) for line in tree.splitlines()), name
+    assert plan(registry.queries()["bevel_corners"](spark, SF)).lower().count("acos(") == 1
+
+
+def test_faces_of_a_small_file_are_spread(spark):
+    for name in ("clip_faces", "clip_split", "prism_faces", "bevel_corners"):
+        assert "RepartitionByExpression" in plan(registry.queries()[name](spark, SF)), name

@@ -113,10 +113,13 @@ def interior_angles(ring: Column) -> Column:
     def angle(p: Column, i: Column) -> Column:
         before = F.element_at(ring, F.when(i > 0, i).otherwise(F.size(ring)).cast("int"))
         after = _next(ring, i)
-        ux, uy, vx, vy = before["x"] - p["x"], before["y"] - p["y"], after["x"] - p["x"], after["y"] - p["y"]
-        size = F.hypot(ux, uy) * F.hypot(vx, vy)
-        cos = F.least(F.lit(1.0), F.greatest(F.lit(-1.0), (ux * vx + uy * vy) / F.when(size > 0, size)))
-        return F.when(size > 0, F.degrees(F.acos(cos)))
+        sides = F.struct((before["x"] - p["x"]).alias("ux"), (before["y"] - p["y"]).alias("uy"), (after["x"] - p["x"]).alias("vx"), (after["y"] - p["y"]).alias("vy"))
+
+        def between(d: Column) -> Column:
+            cos = lambda size: F.least(F.lit(1.0), F.greatest(F.lit(-1.0), (d["ux"] * d["vx"] + d["uy"] * d["vy"]) / F.when(size > 0, size)))
+            return let(F.hypot(d["ux"], d["uy"]) * F.hypot(d["vx"], d["vy"]), lambda size: F.when(size > 0, F.degrees(F.acos(cos(size)))))
+
+        return let(sides, between)
 
     return F.transform(ring, angle)
 
@@ -156,13 +159,22 @@ def bevelled(ring: Column, most: float = 0.6, share: float = 0.25, least: float
     def cut(p: Column, i: Column) -> Column:
         before = F.element_at(ring, F.when(i > 0, i).otherwise(F.size(ring)).cast("int"))
         after = _next(ring, i)
-        ux, uy, vx, vy = before["x"] - p["x"], before["y"] - p["y"], after["x"] - p["x"], after["y"] - p["y"]
-        u, v = F.hypot(ux, uy), F.hypot(vx, vy)
-        size = F.least(F.lit(most), share * F.least(u, v))
-        cos = F.least(F.lit(1.0), F.greatest(F.lit(-1.0), (ux * vx + uy * vy) / F.when(u * v > 0, u * v)))
-        convex = vx * uy - vy * ux > 0
-        apply = convex & (F.degrees(F.acos(cos)) <= widest) & (u >= shortest) & (v >= shortest) & (size >= least)
-        point = lambda dx, dy, n: F.struct((p["x"] + dx / n * size).alias("x"), (p["y"] + dy / n * size).alias("y"))
-        return F.when(F.coalesce(apply, F.lit(False)), F.array(point(ux, uy, u), point(vx, vy, v))).otherwise(F.array(p))
+        sides = F.struct((before["x"] - p["x"]).alias("ux"), (before["y"] - p["y"]).alias("uy"), (after["x"] - p["x"]).alias("vx"), (after["y"] - p["y"]).alias("vy"))
+
+        def at(d: Column) -> Column:
+            ux, uy, vx, vy = (d[c] for c in ("ux", "uy", "vx", "vy"))
+
+            def pieces(s: Column) -> Column:
+                u, v = s["u"], s["v"]
+                size = F.least(F.lit(most), share * F.least(u, v))
+                cos = F.least(F.lit(1.0), F.greatest(F.lit(-1.0), (ux * vx + uy * vy) / F.when(u * v > 0, u * v)))
+                convex = vx * uy - vy * ux > 0
+                apply = convex & (F.degrees(F.acos(cos)) <= widest) & (u >= shortest) & (v >= shortest) & (size >= least)
+                point = lambda dx, dy, n: F.struct((p["x"] + dx / n * size).alias("x"), (p["y"] + dy / n * size).alias("y"))
+                return F.when(F.coalesce(apply, F.lit(False)), F.array(point(ux, uy, u), point(vx, vy, v))).otherwise(F.array(p))
+
+            return let(F.struct(F.hypot(ux, uy).alias("u"), F.hypot(vx, vy).alias("v")), pieces)
+
+        return let(sides, at)
 
     return F.flatten(F.transform(ring, cut))

@@ -151,7 +151,7 @@ def extruded(faces: DataFrame, height: str) -> DataFrame:
 
     cap = lambda part, y, r: F.struct(F.lit(part).alias("part"), F.transform(r, lambda p: lift(p, y)).alias("ring"))
     every = F.concat(F.transform("ring", wall), F.array(cap("top", top, F.col("ring")), cap("bottom", F.col("base"), F.reverse("ring"))))
-    return faces.select("id", F.posexplode(every).alias("face", "f")).select("id", "f.part", "face", "f.ring")
+    return faces.select("id", F.posexplode_outer(every).alias("face", "f")).filter("face IS NOT NULL").select("id", "f.part", "face", "f.ring")
 
 
 #: Corners nearer than this are one, and pieces with less area or a smaller angle in degrees are dropped.
@@ -180,7 +180,9 @@ def clipped(ring: list[Point], box: tuple[float, float, float, float], eps: floa
 def clip_faces(faces: DataFrame, box: tuple[float, float, float, float], eps: float = CLIP_EPS) -> DataFrame:
     """(id, ring) of the parts of faces (id, ring of struct<x,y>) in a box; faces outside are left out."""
     cut = spaced(clipped_by(F.col("ring"), box_sides(*box)), eps)
-    return faces.select("id", F.filter(F.array(cut), lambda r: (F.size(r) >= 3) & (area(r) > LEAST_SQUARE)).alias("r")).select("id", F.explode("r").alias("ring"))
+    rings = faces.select("id", F.filter(F.array(cut), lambda r: (F.size(r) >= 3) & (area(r) > LEAST_SQUARE)).alias("r"))
+    # an inner explode would filter on its input's size first, that is work the whole cut out several times
+    return rings.select("id", F.explode_outer("r").alias("ring")).filter("ring IS NOT NULL")
 
 
 def clip_pieces(faces: DataFrame, box: tuple[float, float, float, float], eps: float = CLIP_EPS, least_angle: float = LEAST_ANGLE) -> DataFrame:
@@ -188,6 +190,6 @@ def clip_pieces(faces: DataFrame, box: tuple[float, float, float, float], eps: f
 
     Pieces of almost no area, or with an angle below least_angle degrees, are left out; piece counts from 0 with them.
     """
-    parts = clip_faces(faces, box, eps).select("id", F.posexplode(fan(F.col("ring"))).alias("piece", "ring"))
+    parts = clip_faces(faces, box, eps).select("id", F.posexplode_outer(fan(F.col("ring"))).alias("piece", "ring")).filter("ring IS NOT NULL")
     good = let(F.col("ring"), lambda r: (area(r) > LEAST_SQUARE) & (F.coalesce(F.array_min(interior_angles(r)), F.lit(0.0)) >= least_angle))
     return parts.filter(good)

@@ -73,6 +73,11 @@ def layer(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(LAYERS[name], **{t: table(spark, sf_dir, t) for t in used})
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows by key in as many partitions as shuffles have: a small file is few tasks, however much becomes of its rows."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def cte(*names: str) -> str:
     """WITH name AS (...), ... for DuckDB."""
     return "WITH " + ",\n".join(f"{n} AS ({re.sub(r'{(\w+)}', r'\1', LAYERS[n])})" for n in names)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from urbanframe.operators import areas as AR, faces as FA, raster as R, roads, strips as ST
-from urbanframe.plans.layers import cte, layer, planar, planar_sql, table
+from urbanframe.plans.layers import cte, layer, planar, planar_sql, spread, table
 from urbanframe.sources import buildings as BS
 
 #: Half the width of the test roads, in metres.
@@ -36,7 +36,7 @@ def _boxes(spark, sf_dir):
         "CAST(p_partkey % 100 AS DOUBLE) * 10 AS base", "CAST(2 + p_size % 5 AS DOUBLE) AS height",
     )
     at = lambda i, j: F.struct((F.col("x0") + i * F.col("w")).alias("x"), (F.col("z0") + j * F.col("h")).alias("y"))
-    return p.withColumn("ring", F.array(at(0.0, 0.0), at(1.0, 0.0), at(1.0, 1.0), at(0.0, 1.0)))
+    return spread(p, "id").withColumn("ring", F.array(at(0.0, 0.0), at(1.0, 0.0), at(1.0, 1.0), at(0.0, 1.0)))
 
 
 _BOXES = """b AS (SELECT p_partkey AS id, p_partkey * 7 % 44 + 0.25e0 AS x0, p_partkey * 13 % 34 + 0.5e0 AS z0, CAST(1 + p_size % 4 AS DOUBLE) AS w, CAST(1 + p_size % 3 AS DOUBLE) AS h,

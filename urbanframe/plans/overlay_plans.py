@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from urbanframe.functions import geometry as G
 from urbanframe.operators import model_qa as MQ, overlay as OV, strips as ST
-from urbanframe.plans.layers import cte, layer, table
+from urbanframe.plans.layers import cte, layer, spread, table
 from urbanframe.plans.raster_plans import _faces
 
 #: The box of the clipped squares reaches so far each way from their centre.
@@ -17,7 +17,7 @@ def clip_split(spark, sf_dir):
     """Squares on their tips cut by a box: octagons become triangles, of which thin ones are dropped."""
     s = table(spark, sf_dir, "part").selectExpr("p_partkey AS id", "CASE WHEN p_size % 8 = 3 THEN 3.08e0 ELSE 1 + p_size % 8 * 0.73e0 END AS s")
     at = lambda a, b: F.struct((a * F.col("s")).alias("x"), (b * F.col("s")).alias("y"))
-    faces = s.select("id", F.array(at(0.0, -1.0), at(1.0, 0.0), at(0.0, 1.0), at(-1.0, 0.0)).alias("ring"))
+    faces = spread(s, "id").select("id", F.array(at(0.0, -1.0), at(1.0, 0.0), at(0.0, 1.0), at(-1.0, 0.0)).alias("ring"))
     out = ST.clip_pieces(faces, (-HALF, -HALF, HALF, HALF))
     return out.groupBy("id").agg(F.count("*").alias("pieces"), F.sum(F.size("ring")).alias("corners"), F.round(F.sum(G.area(F.col("ring"))), 6).alias("square_m"))
 

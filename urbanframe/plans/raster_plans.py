@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from urbanframe.functions import geometry as G
 from urbanframe.operators import order as O, quality as Q, raster as R
-from urbanframe.plans.layers import cte, layer, table
+from urbanframe.plans.layers import cte, layer, spread, table
 from urbanframe.sources.heightmap import tile_images, tile_pixels
 
 DEM = cte("dem")
@@ -153,9 +153,9 @@ def normal_stats(spark, sf_dir):
 
 
 def bevel_corners(spark, sf_dir):
-    rows = _faces(spark, sf_dir).filter("NOT tie")
-    ring = G.bevelled(F.col("ring"))
-    return rows.select("id", F.size(ring).cast("long").alias("corners"), F.round(G.area(ring), 4).alias("square_m"))
+    rows = spread(_faces(spark, sf_dir).filter("NOT tie"), "id")
+    both = G.let(G.bevelled(F.col("ring")), lambda r: F.struct(F.size(r).cast("long").alias("corners"), F.round(G.area(r), 4).alias("square_m")))
+    return rows.select("id", both.alias("b")).select("id", "b.corners", "b.square_m")
 
 
 def percentiles_by_area(spark, sf_dir):
