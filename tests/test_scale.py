@@ -89,3 +89,17 @@ def test_faces_are_cut_and_bevelled_once(spark):
 def test_faces_of_a_small_file_are_spread(spark):
     for name in ("clip_faces", "clip_split", "prism_faces", "bevel_corners"):
         assert "RepartitionByExpression" in plan(registry.queries()[name](spark, SF)), name
+
+
+def test_crowded_boxes_are_divided_and_no_pair_of_them_is_sorted(spark, monkeypatch):
+    monkeypatch.setattr(S, "MOST_PAIRS", 20)
+    targets = [(k, 0.4 + k % 7 / 100, 0.4, 0.5 + k % 7 / 100, 0.5) for k in range(40)]
+    covers = [(k, k % 5 / 10, k % 3 / 10, 0.4 + k % 11 / 20, 0.5 + k % 2 / 10) for k in range(90)]
+    names = "id long, west double, south double, east double, north double"
+    frames = spark.createDataFrame(targets, names), spark.createDataFrame(covers, names)
+    held = {t[0]: [c for c in covers if c[1] <= t[1] and c[2] <= t[2] and c[3] >= t[3] and c[4] >= t[4]] for t in targets}
+    out = S.smallest_cover(*frames)
+    assert {tuple(r) for r in out.collect()} == {(t, min(((c[3] - c[1]) * (c[4] - c[2]), c[0]) for c in cs)[1]) for t, cs in held.items()}
+    assert {tuple(r) for r in S.smallest_cover(*frames, order=["id"]).collect()} == {(t, min(c[0] for c in cs)) for t, cs in held.items()}
+    sums = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "min(row_no" in line]
+    assert sums and all("HashAggregate" in line for line in sums)

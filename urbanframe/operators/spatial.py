@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from urbanframe.functions.geometry import crossing
 from urbanframe.operators.blocks import blocks, expanded
+from urbanframe.operators.order import prefix_sums
 from urbanframe.operators.overlay import points_in_polygons
 from urbanframe.operators.staging import remove, written
 
@@ -21,6 +22,8 @@ from urbanframe.operators.staging import remove, written
 FEW_CONFLICTS = 1_000_000
 #: Boxes of more cells each way stand in larger cells.
 MOST_STEPS = 8
+#: A cell in which more pairs of boxes than this may meet is divided among tasks.
+MOST_PAIRS = 4_000_000
 
 
 def cell(value: Column, size: float) -> Column:
@@ -239,7 +242,9 @@ def smallest_cover(targets: DataFrame, covers: DataFrame, order: list[str] | Non
 
     With order the first cover by these columns; with same only covers with the target's values there. A cover stands in the cells of its own level that it touches, four at
     most, and holds the south-western corner of what it covers; so the join is an equality on level and cell. There are as
-    many levels as sizes of covers by powers of 2, which reach the driver. Repeated targets give one row.
+    many levels as sizes of covers by powers of 2, which reach the driver. Covers are numbered in their order first, so that
+    pairs are added up by a number as they come, and none is sorted or kept; the targets of a crowded cell go to many tasks,
+    each with all of its covers. Repeated targets give one row.
     """
     degrees = lambda c, level: F.floor(F.col(c) / F.pow(F.lit(2.0), level))
     level = F.col("level")
@@ -248,15 +253,22 @@ def smallest_cover(targets: DataFrame, covers: DataFrame, order: list[str] | Non
     rank = F.min(F.struct(*(F.col(c).alias(f"o{k}") for k, c in enumerate(order or [])), F.col("id").alias("cover"))).alias("first")
     held = covers.filter("east >= west AND north >= south").groupBy(*same, *sides).agg(rank)
     held = held.withColumn("level", _level(F.col("east") - F.col("west"), F.col("north") - F.col("south")))
-    held = written(held, "covers")
+    held = held.withColumn("size", F.lit(0.0) if order else (F.col("east") - F.col("west")) * (F.col("north") - F.col("south")))
+    held = written(prefix_sums(held, ["size", "first"], {}, "ordered-covers"), "covers")
     levels = sorted(r[0] for r in held.select("level").filter("level IS NOT NULL").distinct().collect())
     steps = lambda a, b: F.explode(F.sequence(degrees(a, level), degrees(b, level)))
-    spread = held.withColumn("cx", steps("west", "east")).withColumn("cy", steps("south", "north"))
+    place = ["level", "cx", "cy", *same]
+    spread = held.drop("size", "first").withColumn("cx", steps("west", "east")).withColumn("cy", steps("south", "north"))
     box = [f"t_{c}" for c in sides]
     t = targets.select(F.col("id").alias("target"), *same, *(F.col(c).alias(b) for c, b in zip(sides, box, strict=True)))
     at = t.select(*same, *box).distinct().withColumn("level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))).withColumns({"cx": degrees("t_west", level), "cy": degrees("t_south", level)})
+    tasks = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    work = at.groupBy(*place).agg(F.count("*").alias("n")).join(spread.groupBy(*place).agg(F.count("*").alias("m")).hint("merge"), place)
+    work = work.select(*place, F.least(F.lit(tasks), F.ceil(F.col("n") * F.col("m") / MOST_PAIRS)).cast("int").alias("parts"))
+    at = at.join(work.hint("merge"), place).withColumn("part", F.pmod(F.xxhash64(*box), F.col("parts")).cast("int")).drop("parts")
+    spread = spread.join(work.hint("merge"), place).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
     inside = (F.col("west") <= F.col("t_west")) & (F.col("south") <= F.col("t_south")) & (F.col("east") >= F.col("t_east")) & (F.col("north") >= F.col("t_north"))
-    size = [] if order else [((F.col("east") - F.col("west")) * (F.col("north") - F.col("south"))).alias("size")]
-    best = at.join(spread, ["level", "cx", "cy", *same]).filter(inside).groupBy(*same, *box).agg(F.min(F.struct(*size, "first")).alias("b"))
+    best = at.join(spread.hint("merge"), [*place, "part"]).filter(inside).groupBy(*same, *box).agg(F.min("row_no").alias("row_no"))
+    best = best.join(held.select("row_no", "first.cover").hint("merge"), "row_no").select(*same, *box, F.struct("row_no", "cover").alias("b"))
     found = t.hint("merge").join(best.hint("merge"), [*same, *box], "left").groupBy("target").agg(F.min("b").alias("b"))
-    return found.select("target", F.col("b.first.cover").alias("cover"))
+    return found.select("target", F.col("b.cover").alias("cover"))
