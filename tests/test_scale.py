@@ -103,3 +103,11 @@ def test_crowded_boxes_are_divided_and_no_pair_of_them_is_sorted(spark, monkeypa
     assert {tuple(r) for r in S.smallest_cover(*frames, order=["id"]).collect()} == {(t, min(c[0] for c in cs)) for t, cs in held.items()}
     sums = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "min(row_no" in line]
     assert sums and all("HashAggregate" in line for line in sums)
+
+
+def test_places_are_projected_before_they_are_grouped(spark):
+    for name in ("nearest_height", "enriched_heights"):
+        trees = plan(registry.queries()[name](spark, SF)).lower()
+        grouped = [line for line in trees.splitlines() if "aggregate [" in line]
+        assert grouped and not any("sin(" in line for line in grouped), name
+    assert "sin(" not in plan(registry.queries()["nearest_height"](spark, SF)).lower()

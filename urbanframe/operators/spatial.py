@@ -92,7 +92,9 @@ def nearest(left: DataFrame, right: DataFrame, radius: float, names: tuple[str,
     Each place is looked for once, and of the right rows of one place only that of the smallest id is met.
     """
     a = written(_renamed(left, names, ("left_id", "ax", "ay")), "searched")
-    first = _renamed(right, names, ("right_id", "bx", "by")).filter(F.col("right_id").isNotNull()).groupBy("bx", "by").agg(F.min("right_id").alias("right_id"))
+    # places may be long expressions, which grouping would work out slowly and many times
+    b = written(_renamed(right, names, ("right_id", "bx", "by")), "found")
+    first = b.filter(F.col("right_id").isNotNull()).groupBy("bx", "by").agg(F.min("right_id").alias("right_id"))
     pairs = _near_places(a.select("ax", "ay").distinct(), first, radius)
     best = pairs.groupBy("ax", "ay").agg(F.min(F.struct("distance", "right_id")).alias("b"))
     found = a.hint("merge").join(best.hint("merge"), ["ax", "ay"]).groupBy("left_id").agg(F.min("b").alias("b"))
