@@ -111,3 +111,12 @@ def test_places_are_projected_before_they_are_grouped(spark):
         grouped = [line for line in trees.splitlines() if "aggregate [" in line]
         assert grouped and not any("sin(" in line for line in grouped), name
     assert "sin(" not in plan(registry.queries()["nearest_height"](spark, SF)).lower()
+
+
+def test_lines_are_walked_along_once_for_junctions(spark, monkeypatch):
+    from urbanframe.operators import strips as ST
+
+    seen, real = [], ST.written
+    monkeypatch.setattr(ST, "written", lambda df, name: (seen.append(plan(df)), real(df, name))[1])
+    tree = plan(registry.queries()["junction_accounts"](spark, SF))
+    assert "Window" not in tree and "Scan" not in tree and len(seen) == 1 and "Union" not in seen[0]

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from urbanframe.functions.geometry import area, interior_angles, let
 from urbanframe.operators.overlay import box_sides, clipped_by, fan, spaced
 from urbanframe.operators.roads import along
+from urbanframe.operators.staging import written
 
 #: Limits of a junction's fill.
 RADIUS_FACTOR, LEAST_RADIUS, MOST_RADIUS = 2.8, 3.0, 18.0
@@ -46,8 +47,8 @@ def trimmed(points: DataFrame) -> tuple[DataFrame, DataFrame]:
     (jx, jy, x, y, half_width): both sides of each cut, for junction_fills, by the place of the junction in metres.
     """
     own = along(points).withColumns({"whole": F.max("travelled").over(Window.partitionBy("road")), "hw": F.col("half_width")})
-    last = F.row_number().over(Window.partitionBy("road").orderBy(F.desc("seq"))) == 1
-    first = F.row_number().over(Window.partitionBy("road").orderBy("seq")) == 1
+    in_order = Window.partitionBy("road").orderBy("seq")
+    first, last = F.row_number().over(in_order) == 1, F.lead(F.lit(1)).over(in_order).isNull()
     own = own.withColumns({"first": first, "last": last}).withColumn("cut", F.when(F.col("is_junction") & (F.col("first") | F.col("last")), F.least(F.col("hw"), F.col("whole") * 0.45)).otherwise(0.0))
     by_road = Window.partitionBy("road")
     own = own.withColumns({"start": F.max(F.when(F.col("first"), F.col("cut"))).over(by_road), "end": F.max(F.when(F.col("last"), F.col("cut"))).over(by_road)})
@@ -59,8 +60,10 @@ def trimmed(points: DataFrame) -> tuple[DataFrame, DataFrame]:
     ends = ends.withColumn("travelled", F.col("travelled") + sign * F.col("cut"))
     sides = inner.select("road", "travelled", *side(1), *side(-1)).unionByName(ends.select("road", "travelled", *side(1), *side(-1)))
     both = ends.select(F.bround("x").alias("jx"), F.bround("y").alias("jy"), "hw", *side(1), *side(-1))
-    at = lambda s: both.select("jx", "jy", F.col(f"{s}x").alias("x"), F.col(f"{s}y").alias("y"), F.col("hw").alias("half_width"))
-    return sides, at("l").unionByName(at("r"))
+    at = lambda s: F.struct(F.col(f"{s}x").alias("x"), F.col(f"{s}y").alias("y"))
+    # a union, or an inner explode's filter, would work the lines out twice
+    ends = both.select("jx", "jy", F.explode_outer(F.array(at("l"), at("r"))).alias("p"), F.col("hw").alias("half_width"))
+    return sides, ends.select("jx", "jy", "p.x", "p.y", "half_width")
 
 
 def strip_quads(points: DataFrame) -> DataFrame:
@@ -117,8 +120,10 @@ def junction_fills(ends: DataFrame) -> DataFrame:
     """(jx, jy, n, reason, square_m, corners) for strip ends (jx, jy, x, y, half_width) at junctions.
 
     reason is the first of small (fewer than 3 ends), complex (more than 8), radius, small again (a flat hull) and area,
-    or null for a fill. Only junctions of 3 to 8 ends are gathered; the others are counted and no more.
+    or null for a fill. Only junctions of 3 to 8 ends are gathered; the others are counted and no more. Ends are written
+    first, so that they are worked out once.
     """
+    ends = written(ends.select("jx", "jy", "x", "y", "half_width"), "strip-ends")
     limit = F.when(F.col("n") < 3, "small").when(F.col("n") > MOST_POINTS, "complex")
     counts = ends.groupBy("jx", "jy").agg(F.count("*").alias("n"), F.max("half_width").alias("hw")).withColumn("reason", limit)
     few = counts.filter("reason IS NULL").drop("reason")
