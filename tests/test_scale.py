@@ -120,3 +120,8 @@ def test_lines_are_walked_along_once_for_junctions(spark, monkeypatch):
     monkeypatch.setattr(ST, "written", lambda df, name: (seen.append(plan(df)), real(df, name))[1])
     tree = plan(registry.queries()["junction_accounts"](spark, SF))
     assert "Window" not in tree and "Scan" not in tree and len(seen) == 1 and "Union" not in seen[0]
+
+
+def test_chains_pass_python_as_sorted_rows(spark):
+    tree = plan(registry.queries()["chain_merge"](spark, SF))
+    assert "MapInArrow" in tree and "FlatMapGroups" not in tree

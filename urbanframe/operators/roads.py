@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from itertools import groupby
+from operator import itemgetter
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
@@ -43,6 +45,8 @@ MERGE_TAGS = ("highway", "lanes", "width", "oneway", "bridge", "tunnel", "layer"
 #: Lower-cased values of a way that goes in one direction.
 ONE_WAY = ("yes", "1", "true", "-1")
 WELD_M = 1.0
+#: Merged ways that a task sends on at once, or more by one cluster.
+BATCH = 2_000
 #: Begins the names of nodes that tie chains; no way id holds it.
 HUB = "\x00node"
 
@@ -210,21 +214,29 @@ def chain_clusters(ways: DataFrame) -> DataFrame:
     plain = written(nodes.filter((F.col("n") == 2) & free).drop("n"), "chain-nodes")
     ties, meeting = _linked(plain), plain.select("g", "node")
     labels = clusters = connected_components(ties)
-    open_ends = ends.join(meeting, ["g", "node"], "left_anti")
+    rest = ends.join(meeting, ["g", "node"], "left_anti")
+    closed = lambda rows: rows.groupBy("g", "node", "id").agg(F.count("*").alias("n"), F.first("one_way").alias("one_way"), F.max("last").alias("last"))
+    chained = None
     while True:
-        named = open_ends.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("id", F.coalesce("component", "id")).drop("component")
-        open_ends = written(named, "chain-ends")
-        both = open_ends.groupBy("g", "node", "id").agg(F.count("*").alias("n"), F.first("one_way").alias("one_way"), F.max("last").alias("last"))
+        # only what was joined can come back to a node, so the ends of single ways are looked at only where a chain does
+        named = rest.join(labels.withColumnRenamed("node", "id"), "id").withColumn("id", F.col("component")).drop("component")
+        if chained is not None:
+            again = chained.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("id", F.coalesce("component", "id")).drop("component")
+            named = named.unionByName(again)
+        chained = written(named, "chain-ends")
+        single = rest.join(labels.select(F.col("node").alias("id")), "id", "left_anti")
+        looped = closed(chained).filter("n = 2").select("g", "node").distinct()
+        both = closed(chained.join(looped, ["g", "node"], "left_semi").unionByName(single.join(looped, ["g", "node"], "left_semi")))
         other = F.when(F.col("n") == 1, end)
         sums = both.groupBy("g", "node").agg(F.count_if(F.col("n") == 2).alias("loops"), F.count_if(F.col("n") == 1).alias("others"), F.first("one_way").alias("one_way"), F.min(other).alias("x"), F.max(other).alias("y"))
         hubs = written(sums.filter((F.col("loops") > 0) & ((F.col("others") == 2) | (F.col("others") == 0) & (F.col("loops") > 1))), "chain-hubs")
         if hubs.isEmpty():
             break
-        at = hubs.select("g", "node")
-        tied = open_ends.join(at, ["g", "node"]).select(F.col("id").alias("src"), F.concat_ws("/", F.lit(HUB), "g", "node").alias("dst"))
+        at, rest = hubs.select("g", "node"), written(single, "chain-ends")
+        tied = chained.unionByName(rest).join(at, ["g", "node"]).select(F.col("id").alias("src"), F.concat_ws("/", F.lit(HUB), "g", "node").alias("dst"))
         ties, meeting, clusters = ties.union(tied), meeting.union(at), None
         labels = connected_components(_linked(hubs.filter("others = 2")))
-        open_ends = open_ends.join(at, ["g", "node"], "left_anti")
+        chained, rest = (rows.join(at, ["g", "node"], "left_anti") for rows in (chained, rest))
     clusters = connected_components(ties) if clusters is None else clusters
     by_way = ends.join(meeting, ["g", "node"]).groupBy("id").agg(F.collect_set("node").alias("meeting"))
     return by_way.join(clusters.withColumnRenamed("node", "id"), "id").select(F.col("id").alias("way_id"), F.col("component").alias("cluster"), "meeting")
@@ -235,7 +247,7 @@ def merge_chains(ways: DataFrame) -> DataFrame:
 
     Only ends within the same tags count, and way ids are unique. The result is that of merging one pair at a time, in way
     order. Ways that nothing can join pass through without Python, as do closed ways and those without refs; of the rest a
-    task sees one cluster at a time, which is little more than the row that comes of it.
+    task reads sorted rows and holds one cluster at a time, which is little more than the row that comes of it.
     """
     tags = [F.coalesce(F.col(t), F.lit("")).alias(t) for t in MERGE_TAGS]
     own = {"g": F.sha2(F.to_json(F.array(*MERGE_TAGS)), 256), "a": F.try_element_at("refs", F.lit(1)), "b": F.try_element_at("refs", F.lit(-1)), "one_way": F.lower("oneway").isin(*ONE_WAY)}
@@ -243,16 +255,29 @@ def merge_chains(ways: DataFrame) -> DataFrame:
     found = written(chain_clusters(base.filter((F.size("refs") >= 2) & (F.col("a") != F.col("b"))).select("way_id", *own)), "chain-clusters")
     columns = ["way_id", "refs", *MERGE_TAGS]
     schema = ", ".join(["way_id string", "refs array<string>", *(f"{t} string" for t in MERGE_TAGS), "merged int"])
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("way_id")
-        first = pdf.iloc[0]
-        rows = [(w, list(r)) for w, r in zip(pdf["way_id"], pdf["refs"], strict=True)]
-        out = _chained(rows, not _one_way(first["oneway"]), {node for nodes in pdf["meeting"] for node in nodes})
-        return pd.DataFrame([(w, refs, *(first[t] for t in MERGE_TAGS), len(m)) for w, refs, m in out], columns=[*columns, "merged"])
+    oneway = columns.index("oneway")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        out: list[tuple] = []
+        for _, group in groupby(rows, itemgetter(-1)):
+            held = list(group)
+            first = held[0]
+            chains = _chained([r[:2] for r in held], not _one_way(first[oneway]), {node for r in held for node in r[-2]})
+            out += [(w, refs, *first[2:-2], len(m)) for w, refs, m in chains]
+            if len(out) >= BATCH:
+                yield _batch(out)
+                out = []
+        if out:
+            yield _batch(out)
+
+    def _batch(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.string(), pa.list_(pa.string()), *(pa.string() for _ in MERGE_TAGS), pa.int32()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], [*columns, "merged"])
 
     alone = base.join(found, "way_id", "left_anti").select(*columns, F.lit(1).alias("merged"))
-    return alone.unionByName(base.select(*columns).join(found, "way_id").groupBy("cluster").applyInPandas(run, schema))
+    tied = base.select(*columns).join(found, "way_id").select(*columns, "meeting", "cluster").repartition(F.col("cluster")).sortWithinPartitions("cluster", "way_id")
+    return alone.unionByName(tied.mapInArrow(run, schema))
 
 
 def along(points: DataFrame, road: str = "road", order: str = "seq") -> DataFrame:
