@@ -122,6 +122,18 @@ def test_lines_are_walked_along_once_for_junctions(spark, monkeypatch):
     assert "Window" not in tree and "Scan" not in tree and len(seen) == 1 and "Union" not in seen[0]
 
 
+def test_ways_are_gathered_once_for_their_components(spark, monkeypatch):
+    from urbanframe.operators import roads as RO
+
+    seen, real = [], RO.written
+    monkeypatch.setattr(RO, "written", lambda df, name: (seen.append(name), real(df, name))[1])
+    tree = plan(registry.queries()["road_components"](spark, SF))
+    assert "Window" not in tree and "collect_list" not in tree and seen == ["ways"]
+    rows = spark.createDataFrame([(["1", "2", "3"],), (["3", "4"],), (["7", "7"],), (["8", "9"],)], "refs array<string>")
+    (r,) = RO.connectivity(rows).collect()
+    assert (r.components, r.ways, r.largest_ways, r.dangling, r.status) == (3, 4, 2, 4, "warn")
+
+
 def test_chains_pass_python_as_sorted_rows(spark):
     tree = plan(registry.queries()["chain_merge"](spark, SF))
     assert "MapInArrow" in tree and "FlatMapGroups" not in tree

@@ -101,10 +101,12 @@ def end_degrees(ways: DataFrame) -> DataFrame:
 
 
 def connectivity(ways: DataFrame) -> DataFrame:
-    """components, largest_share (of ways), dangling ends and the status, for ways (way_id, refs) of two nodes or more."""
-    nodes = ways.select("way_id", F.posexplode("refs").alias("seq", "ref"))
-    labels = connected_components(way_edges(nodes).select("src", "dst"))
-    first = ways.select("way_id", F.element_at("refs", 1).alias("node")).join(labels, "node")
+    """components, largest_share (of ways), dangling ends and the status, for ways (refs) of two nodes or more, which are worked out once."""
+    ways = written(ways.select("refs"), "ways")
+    steps = lambda from_: F.slice("refs", F.lit(from_), F.size("refs") - 1)
+    edges = ways.select(F.explode_outer(F.arrays_zip(steps(1).alias("src"), steps(2).alias("dst"))).alias("e")).select("e.src", "e.dst")
+    labels = connected_components(edges)
+    first = ways.select(F.element_at("refs", 1).alias("node")).join(labels, "node")
     sizes = first.groupBy("component").agg(F.count("*").alias("ways"))
     one = sizes.agg(F.count("*").alias("components"), F.max("ways").alias("largest_ways"), F.sum("ways").alias("ways"))
     dangling = end_degrees(ways).agg(F.count_if(F.col("degree") == 1).alias("dangling"))
