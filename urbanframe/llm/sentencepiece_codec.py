@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding on the tokenizers library.
 
 The model's protobuf is parsed here; its normaliser, the metaspace marker, the scores (unigram) or merges (BPE) and byte
-fallback are rebuilt as a tokenizer of the tokenizers library. Batches are encoded multithreaded and decoded again, and
+fallback are rebuilt as a tokenizer of the tokenizers library. Batches are encoded and decoded again, and
 every text's ids can be compared with those of the sentencepiece library.
 
 A piece holds the marker only at its start, which is checked when the tokenizer is built, so a text's ids are those of its
@@ -60,6 +60,11 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         at += length
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 @dataclass(frozen=True)
 class PieceModel:
     pieces: tuple[tuple[str, float, int], ...]  # piece, score, kind
@@ -139,13 +144,15 @@ class Codec:
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
         known, new = self.known, []
-        for segment in {s for p in parts for s in p if s not in known}:
+        for segment in set().union(*parts).difference(known):
             if (ids := self.older.get(segment)) is None:
                 new.append(segment)
             else:
                 known[segment] = ids
-        for segment, e in zip(new, self.segments.encode_batch(new, add_special_tokens=False), strict=True):
-            known[segment] = np.array(e.ids, "<u4").tobytes()
+        # nothing stands before or after the model, so it is asked itself: that spares offsets, masks and words of short segments
+        tokens = self.segments.model.tokenize
+        for segment in new:
+            known[segment] = packed([t.id for t in tokens(segment)])
         return [b"".join(map(known.__getitem__, p)) for p in parts]
 
     def normal(self, text: str) -> str:
@@ -186,7 +193,7 @@ def _run(sent, threads: int, verify: bool, text_at: int, names: list[str]) -> Ca
                 same = [d == own.normal(t) for d, t in zip(decoded, texts, strict=True)]
                 agreed: list[bool | None] = [None] * len(texts)
                 if verify:
-                    agreed = [np.array(x, "<u4").tobytes() == e for x, e in zip(_library(data).encode(texts, num_threads=threads), encoded, strict=True)]
+                    agreed = [packed(x) == e for x, e in zip(_library(data).encode(texts, num_threads=threads), encoded, strict=True)]
                 offsets = pa.array(np.concatenate([[0], np.cumsum([len(e) // 4 for e in encoded])]).astype(np.int32))
                 ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(encoded), "<i4")))
                 crc = pa.array([zlib.crc32(e) for e in encoded], pa.int64())
