@@ -137,3 +137,23 @@ def test_ways_are_gathered_once_for_their_components(spark, monkeypatch):
 def test_chains_pass_python_as_sorted_rows(spark):
     tree = plan(registry.queries()["chain_merge"](spark, SF))
     assert "MapInArrow" in tree and "FlatMapGroups" not in tree
+
+
+def test_arrays_of_faces_meet_where_they_are_joined(spark, monkeypatch):
+    from urbanframe.operators import blocks as BL
+
+    monkeypatch.setattr(BL, "BLOCK", 4)
+    monkeypatch.setattr(BL, "MOST_PAIRS", 20, raising=False)
+    at = lambda x, y: {"x": float(x), "y": float(y)}
+    ring = lambda x: [at(x, 0), at(x + 4, 0), at(x + 4, 2), at(x, 2)]
+    place = [0 if k % 5 else (3 if k % 2 else 9) for k in range(70)]
+    faces = spark.createDataFrame([(k, k % 3, ring(place[k])) for k in range(70)], "id long, owner long, ring array<struct<x:double,y:double>>")
+    sides, real = [], BL.F.broadcast
+    monkeypatch.setattr(BL.F, "broadcast", lambda df: (sides.extend(r.side for r in df.collect()), real(df))[1])
+    out = OV.overlaps(faces)
+    want = {(a, b): 2.0 * max(0, 4 - abs(place[a] - place[b])) for a in range(70) for b in range(a + 1, 70) if a % 3 != b % 3 and abs(place[a] - place[b]) < 4}
+    tree = plan(out)
+    assert "Repartition 4, true" not in tree and "Repartition 4, false" in tree
+    assert sides and max(sides) > 2
+    rows = out.collect()
+    assert len(rows) == len(want) and {(r.a, r.b): r.square for r in rows} == want

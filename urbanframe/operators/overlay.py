@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from urbanframe.functions.geometry import area, bounds, let
-from urbanframe.operators.blocks import blocks, expanded
+from urbanframe.operators.blocks import blocks, met, unfolded
 from urbanframe.operators.staging import written
 
 #: Rounds in which cells at the edge are split: one or two cells each way become up to eight.
@@ -202,15 +202,16 @@ def fan(ring: Column) -> Column:
     return let(ring, of)
 
 
-def overlaps(faces: DataFrame, least: float = 1e-9) -> DataFrame:
+def overlaps(faces: DataFrame, least: float = 1e-9, digits: int | None = None) -> DataFrame:
     """(a, b, square) for each pair a < b of convex faces (id, owner, ring against the clock) of different owners that share more than least.
 
     Faces of one ring are worked out once: rings meet in the cells of the larger one's size, in the one that holds the lower
     left corner of what their boxes share. The shared part is one ring cut by the sides of the other. Pairs of faces come of
-    pairs of rings last, by arrays of faces, of which a ring of many faces has many.
+    pairs of rings last, by arrays of faces, of which a ring of many faces has many. Arrays go to a ring's task once for each
+    ring that it meets, not for each pair of arrays. With digits squares are rounded, once for a pair of rings.
     """
-    rings = faces.filter("ring IS NOT NULL").groupBy("ring").agg(F.min("id").alias("id"))
-    box = rings.select("id", "ring", bounds(F.col("ring")).alias("box"))
+    rings = faces.filter("ring IS NOT NULL").groupBy("ring").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+    box = rings.select("id", "n", "ring", bounds(F.col("ring")).alias("box"))
     size = F.greatest(F.col("box.max_x") - F.col("box.min_x"), F.col("box.max_y") - F.col("box.min_y"), F.lit(LEAST_SIDE))
     boxed = written(box.withColumn("own", F.ceil(F.log2(size)).cast("int")), "face-boxes")
     levels = [r.own for r in boxed.select("own").distinct().orderBy("own").collect()]
@@ -224,10 +225,14 @@ def overlaps(faces: DataFrame, least: float = 1e-9) -> DataFrame:
     meet = [low[d] < F.least(c(f"p.box.max_{d}"), c(f"q.box.max_{d}")) for d in "xy"] + [F.floor(low[d] / side(c("p.level"))) == c(f"p.c{d}") for d in "xy"]
     pairs = p.join(q, [*(c(f"p.{k}") == c(f"q.{k}") for k in KEYS), first, *meet])
     square = area(clipped_by(c("q.ring"), convex_sides(c("p.ring"))))
-    shared = written(pairs.select(c("p.id").alias("pr"), c("q.id").alias("qr"), square.alias("square")), "shared-areas").filter(F.col("square") > least)
+    many = c("p.n").cast("double") * c("q.n")
+    shared = written(pairs.select(c("p.id").alias("pr"), c("q.id").alias("qr"), many.alias("pairs"), square.alias("square")), "shared-areas").filter(F.col("square") > least)
     owned = faces.filter("ring IS NOT NULL").select("id", "owner", "ring").join(boxed.select("ring", c("id").alias("r")).hint("merge"), "ring").select("id", "owner", "r")
-    held = written(blocks(owned, ["r"], "id", ["owner"]).drop("block"), "face-blocks")
-    at = lambda k: held.select(c("r").alias(f"{k}r"), c("members").alias(k))
-    both = expanded(shared.join(at("p"), "pr").join(at("q"), "qr"), "p", "q")
+    held = written(blocks(owned, ["r"], "id", ["owner"]), "face-blocks")
+    at = lambda k: held.select(c("r").alias(f"{k}r"), c("block").alias(f"{k}_block"), c("members").alias(k))
+    value = c("square") if digits is None else F.round("square", digits)
+    left = shared.select("pr", "qr", value.alias("square")).join(at("p").hint("merge"), "pr")
+    work = shared.groupBy("qr").agg(F.sum("pairs").alias("pairs"))
+    both = unfolded(met(left, at("q"), ["qr"], ["pr", "p_block"], ["q_block"], work).select("pr", "qr", "square", "p", "q"), "p", "q")
     both = both.filter((c("p.owner") != c("q.owner")) & ((c("pr") != c("qr")) | (c("p.id") < c("q.id"))))
     return both.select(F.least("p.id", "q.id").alias("a"), F.greatest("p.id", "q.id").alias("b"), "square")

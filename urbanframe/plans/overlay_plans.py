@@ -27,7 +27,7 @@ def strip_overlap(spark, sf_dir):
     s = layer(spark, sf_dir, "segments").selectExpr("id", "road", "ax", "ay", "CASE WHEN id % 2 = 0 THEN 40e0 ELSE 6e0 END AS w", "CASE WHEN id % 2 = 0 THEN 6e0 ELSE 40e0 END AS h")
     at = lambda i, j: F.struct((F.col("ax") + i * F.col("w")).alias("x"), (F.col("ay") + j * F.col("h")).alias("y"))
     faces = s.select("id", F.col("road").alias("owner"), F.array(at(0.0, 0.0), at(1.0, 0.0), at(1.0, 1.0), at(0.0, 1.0)).alias("ring"))
-    return OV.overlaps(faces).select("a", "b", F.round("square", 4).alias("square_m"))
+    return OV.overlaps(faces, digits=4).withColumnRenamed("square", "square_m")
 
 
 def _measured(spark, sf_dir):
