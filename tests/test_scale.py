@@ -157,3 +157,30 @@ def test_arrays_of_faces_meet_where_they_are_joined(spark, monkeypatch):
     assert sides and max(sides) > 2
     rows = out.collect()
     assert len(rows) == len(want) and {(r.a, r.b): r.square for r in rows} == want
+
+
+def test_segments_of_the_same_ends_cross_once(spark, monkeypatch):
+    from urbanframe.operators import blocks as BL
+
+    ends = [(0.1, 0.3, 17.7, 13.9), (0.7, 14.3, 19.1, 1.9), (9.3, -3.1, 8.7, 21.7), (0.1, 0.3, 3.0, 20.0), (300.0, 0.0, 310.0, 0.0), (11.0, -90.0, 3.1, 95.3)]
+    rows = [(k, k % 3, *ends[k * 7 % 6 if k % 4 else k % 2]) for k in range(80)]
+    frame = spark.createDataFrame([*rows, (90, 1, None, 0.0, 1.0, 1.0)], "id long, road long, ax double, ay double, bx double, by double")
+    want = {}
+    for a, ra, ax, ay, bx, by in rows:
+        for b, rb, cx, cy, dx, dy in rows[a + 1 :]:
+            det = (bx - ax) * (dy - cy) - (by - ay) * (dx - cx)
+            if ra == rb or abs(det) <= 1e-12:
+                continue
+            t, u = ((cx - ax) * (dy - cy) - (cy - ay) * (dx - cx)) / det, ((cx - ax) * (by - ay) - (cy - ay) * (bx - ax)) / det
+            if 0.05 < t < 0.95 and 0.05 < u < 0.95:
+                want[a, b] = (t, u, ax + t * (bx - ax), ay + t * (by - ay))
+    for block, most in ((256, 16_000_000), (4, 20)):
+        monkeypatch.setattr(BL, "BLOCK", block)
+        monkeypatch.setattr(BL, "MOST_PAIRS", most, raising=False)
+        with monkeypatch.context() as m:
+            seen = counted(m, S, "written")
+            got = S.segment_crossings(frame).collect()
+        assert len(got) == len(want) > 500 and {(r.a, r.b): (r.t, r.u, r.x, r.y) for r in got} == want
+        assert len(seen) == 1 and (block == 4 or seen == [6])
+    rounded = S.segment_crossings(frame, digits=(4, 3)).collect()
+    assert all(abs(v - w) < 6e-4 and round(v, 4) == v for r in rounded for v, w in zip((r.t, r.u, r.x, r.y), want[r.a, r.b], strict=True)) and len(rounded) == len(want)

@@ -23,17 +23,11 @@ def expanded(pairs: DataFrame, left: str, right: str) -> DataFrame:
     """Rows with arrays of members left and right once for each pair of theirs, as columns left and right; spread over all tasks first."""
     parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = pairs.repartition(parts)
-    return _each(spread, left, right)
+    return unfolded(spread, left, right)
 
 
 def unfolded(pairs: DataFrame, left: str, right: str) -> DataFrame:
-    """The same as expanded, where the rows are; coalesce moves none, but parts the join from the arrays' members: else all
-    that comes of one row of the join is kept before the first is handed on.
-    """
-    return _each(pairs.coalesce(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), left, right)
-
-
-def _each(pairs: DataFrame, left: str, right: str) -> DataFrame:
+    """The same as expanded, where the rows are."""
     rest = [c for c in pairs.columns if c not in (left, right)]
     return pairs.select(*rest, right, F.explode(left).alias(left)).select(*rest, left, F.explode(right).alias(right))
 
@@ -43,7 +37,9 @@ def met(left: DataFrame, right: DataFrame, by: list[str], left_key: list[str], r
 
     Rows meet where they are joined: pairs are neither exchanged nor sorted. A heavy group is a square of parts: each of its
     left rows, told apart by left_key, lies in one line and in all columns, right ones the other way round. So a group is
-    sent as often as the square root of four times the tasks, at most, whatever its size.
+    sent as often as the square root of four times the tasks, at most, whatever its size. Conditions of a filter on the result
+    are tested in the join. What follows it is parted from it by a coalesce that moves no row: else all that comes of one row
+    of the join is kept before the first is handed on, in one long method that is compiled late.
     """
     tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = work.agg(F.sum("pairs")).first()[0] or 0
@@ -56,4 +52,5 @@ def met(left: DataFrame, right: DataFrame, by: list[str], left_key: list[str], r
         rows = rows.withColumn(own, F.pmod(F.xxhash64(*key), F.col("side")).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.col("side") - 1)))
         return rows.drop("side").repartition(tasks, *by, "part_line", "part_column")
 
-    return dealt(left, left_key, "part_line", "part_column").hint("merge").join(dealt(right, right_key, "part_column", "part_line").hint("merge"), [*by, "part_line", "part_column"]).drop("part_line", "part_column")
+    lines, columns = dealt(left, left_key, "part_line", "part_column"), dealt(right, right_key, "part_column", "part_line")
+    return lines.hint("merge").join(columns.hint("merge"), [*by, "part_line", "part_column"]).drop("part_line", "part_column").coalesce(tasks)

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from urbanframe.functions.geometry import crossing
-from urbanframe.operators.blocks import blocks, expanded
+from urbanframe.operators.blocks import blocks, expanded, met, unfolded
 from urbanframe.operators.order import prefix_sums
 from urbanframe.operators.overlay import points_in_polygons
 from urbanframe.operators.staging import remove, written
@@ -207,31 +207,51 @@ def points_in_rings(points: DataFrame, rings: DataFrame, size: float) -> DataFra
     return points_in_polygons(points, rings.select(F.col("ring_id").alias("zone"), F.array("ring").alias("parts")), size).withColumnRenamed("zone", "ring_id")
 
 
-def segment_crossings(segments: DataFrame, size: float = 25.0, least: float = 0.05, most: float = 0.95, limit: int | None = None) -> DataFrame:
+def segment_crossings(segments: DataFrame, size: float = 25.0, least: float = 0.05, most: float = 0.95, limit: int | None = None, digits: tuple[int, int] | None = None) -> DataFrame:
     """(a, b, t, u, x, y) where segments (id, road, ax, ay, bx, by) of different roads cross inside both.
 
     Ids are unique. A pair is given once, a < b. Above limit segments there is no result, where a limit is asked for. Long segments stand in
-    cells that are doubled until they touch few; a pair meets in the cells of the longer one.
+    cells that are doubled until they touch few; a pair meets in the cells of the longer one. Segments of the same ends meet others once,
+    as arrays that lie in the cells, and pairs of segments come last. With digits shares and places are rounded, once for a pair of arrays.
     """
     if limit is not None and segments.limit(limit + 1).count() > limit:
         segments = segments.limit(0)
     low = lambda f, c: f(F.col(f"a{c}"), F.col(f"b{c}"))
-    boxed = segments.withColumns({"x0": low(F.least, "x"), "x1": low(F.greatest, "x"), "y0": low(F.least, "y"), "y1": low(F.greatest, "y")})
-    boxed = boxed.withColumn("level", cell_level(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"), size))
+    ends = ["ax", "ay", "bx", "by"]
+    boxed = blocks(segments, ends, "id", ["road"]).withColumns({"x0": low(F.least, "x"), "x1": low(F.greatest, "x"), "y0": low(F.least, "y"), "y1": low(F.greatest, "y")})
+    boxed = boxed.withColumns({"level": cell_level(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"), size), "first": F.array_min("members.id"), "last": F.array_max("members.id")})
+    boxed = written(boxed.drop("block"), "segment-blocks")
     spread = boxed.withColumn("at", F.explode(F.filter(_levels(boxed), lambda v: v >= F.col("level"))))
     spread = spread.withColumn("c", F.explode(box_cells(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), _doubled(size, F.col("at"))))).select("*", "c.cx", "c.cy").drop("c")
-    p, q = spread.alias("p"), spread.alias("q")
-    touch = (F.col("p.x0") <= F.col("q.x1")) & (F.col("q.x0") <= F.col("p.x1")) & (F.col("p.y0") <= F.col("q.y1")) & (F.col("q.y0") <= F.col("p.y1"))
-    same = (F.col("p.at") == F.col("q.at")) & (F.col("p.cx") == F.col("q.cx")) & (F.col("p.cy") == F.col("q.cy"))
-    same = same & (F.col("p.at") == F.greatest("p.level", "q.level"))
+    place = ["at", "cx", "cy"]
+    n = F.sum(F.size("members")).cast("double")
+    work = spread.groupBy(*place).agg((n * n).alias("pairs"))
+    # whether a row stands in cells of its own level, and in its lowest one each way: what would be slow for each pair
+    lowest = lambda v: cell(F.col(f"{v}0"), _doubled(size, F.col("at"))) == F.col(f"c{v}")
+    spread = spread.withColumns({"own": F.col("level") == F.col("at"), "low_x": lowest("x"), "low_y": lowest("y")}).drop("level")
+    side = lambda k: spread.select(*place, *(F.col(v).alias(f"{k}_{v}") for v in spread.columns if v not in place))
+    pairs = met(side("p"), side("q"), place, ["p_first"], ["q_first"], work)
+    c = F.col
+    touch = (c("p_x0") <= c("q_x1")) & (c("q_x0") <= c("p_x1")) & (c("p_y0") <= c("q_y1")) & (c("q_y0") <= c("p_y1"))
     # of the cells of a pair, that of the lower left corner of what their boxes share
-    for c in "xy":
-        same = same & (cell(F.greatest(f"p.{c}0", f"q.{c}0"), _doubled(size, F.col("p.at"))) == F.col(f"p.c{c}"))
-    pairs = p.hint("merge").join(q.hint("merge"), same & (F.col("p.id") < F.col("q.id")) & (F.col("p.road") != F.col("q.road")) & touch)
-    t, u = crossing(*(F.col(f"{s}.{c}") for s in "pq" for c in ("ax", "ay", "bx", "by")))
-    pairs = pairs.select(F.col("p.id").alias("a"), F.col("q.id").alias("b"), t.alias("t"), u.alias("u"), (F.col("p.ax") + t * (F.col("p.bx") - F.col("p.ax"))).alias("x"), (F.col("p.ay") + t * (F.col("p.by") - F.col("p.ay"))).alias("y"))
-    inside = (F.col("t") > least) & (F.col("t") < most) & (F.col("u") > least) & (F.col("u") < most)
-    return pairs.filter(inside)
+    once = (c("p_low_x") | c("q_low_x")) & (c("p_low_y") | c("q_low_y")) & (c("p_own") | c("q_own"))
+    pairs = pairs.filter((c("p_first") < c("q_first")) & touch & once)
+    t, u = crossing(*(c(f"{s}_{v}") for s in "pq" for v in ends))
+    inside = (t > least) & (t < most) & (u > least) & (u < most)
+    # a row or none, so that these tests don't become part of the join's
+    ways = [F.col(f"{k}_{v}") for k in "pq" for v in (*ends, "members", "first", "last")]
+    pairs = pairs.select(*ways, F.explode(F.when(inside, F.array(F.struct(t.alias("t"), u.alias("u"))))).alias("cut"))
+    t, u = c("cut.t"), c("cut.u")
+    share, at = (lambda v: v, lambda v: v) if digits is None else (lambda v: F.round(v, digits[0]), lambda v: F.round(v, digits[1]))
+    along = lambda k, d, r: at(c(f"{k}_a{d}") + r * (c(f"{k}_b{d}") - c(f"{k}_a{d}")))
+    # places are worked out along the segment of the smaller id, which may be of either array
+    turned = c("p_last") > c("q_first")
+    other = {f"q{d}": F.when(turned, along("q", d, u)) for d in "xy"}
+    pairs = pairs.select(c("p_members").alias("p"), c("q_members").alias("q"), share(t).alias("t"), share(u).alias("u"), *(along("p", d, t).alias(f"p{d}") for d in "xy"), *(v.alias(k) for k, v in other.items()))
+    rows = unfolded(pairs, "p", "q").filter(c("p.road") != c("q.road"))
+    ahead = c("p.id") < c("q.id")
+    either = lambda a, b: F.when(ahead, c(a)).otherwise(c(b))
+    return rows.select(F.least("p.id", "q.id").alias("a"), F.greatest("p.id", "q.id").alias("b"), either("t", "u").alias("t"), either("u", "t").alias("u"), either("px", "qx").alias("x"), either("py", "qy").alias("y"))
 
 
 def _level(width: Column, height: Column) -> Column:

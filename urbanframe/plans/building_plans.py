@@ -283,8 +283,7 @@ def first_cover(spark, sf_dir):
 
 
 def segment_hits(spark, sf_dir):
-    out = S.segment_crossings(layer(spark, sf_dir, "segments"), limit=None)
-    return out.select("a", "b", F.round("t", 4).alias("t"), F.round("u", 4).alias("u"), F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
+    return S.segment_crossings(layer(spark, sf_dir, "segments"), limit=None, digits=(4, 3))
 
 
 def _diamonds(spark, sf_dir, centre_x: str, centre_y: str, size: str, hole: float = 0.0):
